@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, whatever the length of a text (runtime SQL settings of the session)."""
+    """Bound what one Arrow batch holds, whatever the length of a text (runtime SQL settings of the session).
+
+    Also sends this package's code to the executors, once for each Spark context.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if not getattr(context, "_tideline_sent", False) and root.is_dir():
+        path = f"{tempfile.mkdtemp(prefix='tideline-code-')}/tideline_code.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f"{root.name}/{f.relative_to(root)}")
+        context.addPyFile(path)
+        context._tideline_sent = True
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,14 +76,17 @@ def size_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def by_group(batches: Iterator[pa.RecordBatch], key: str, work: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
-    """Stream a partition sorted by key in pieces that never split a key; holds one piece and one key's rows at most."""
+def by_group(batches: Iterator[pa.RecordBatch], key: str, work: Callable[[pa.Table], Iterator[pa.RecordBatch]], least: int = 1) -> Iterator[pa.RecordBatch]:
+    """Stream a partition sorted by key in pieces of `least` rows or more that never split a key; holds one piece and one key's rows at most."""
     held: list[pa.RecordBatch] = []
     for b in batches:
         if not b.num_rows:
             continue
         k = b.column(b.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
         cut = int(np.searchsorted(k, k[-1], side="left"))
+        if held and sum(x.num_rows for x in held) + cut < least:
+            held.append(b)
+            continue
         if cut == 0 and held:
             last = held[-1].column(held[-1].schema.get_field_index(key))[-1].as_py()
             if last == k[-1]:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import audio, chat, packing, simhash
+from tideline.llm import audio, chat, packing, quality, repeats, simhash, toxicity
+from tideline.llm.classify import fold
 from tideline.llm.common import table
 
 PAYLOAD = 64
@@ -38,6 +39,36 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that a repeated 200-byte string covers, removed."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _judged(docs: DataFrame, scores: DataFrame, out: int, folds: int, threshold: float) -> DataFrame:
+    held = F.coalesce(fold("id", folds) == out, F.lit(False))
+    return scores.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; labels of fold 0 of 5 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(fold("doc_id", 5) != 0)
+    model = quality.fit(docs.where(fold("doc_id", 5) != 0), labels)
+    return _judged(docs, quality.score(docs, model), 0, 5, 0.3)
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")).where(fold("doc_id", 3) != 1)
+    return toxicity.fit(docs.select("doc_id", "text"), labels)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; labels of fold 1 of 3 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _judged(docs, toxicity.score(docs, toxicity_model(spark, docs, sf_dir)), 1, 3, 0.7)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token ids packed into sequences of 2048."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
@@ -56,7 +87,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op6_packing, op10_chat)}
+    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op6_packing, op8_toxicity, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
