@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import audio, chat, packing, quality, repeats, simhash, toxicity
+from tideline.llm import audio, chat, hnsw, packing, passages, quality, repeats, simhash, toxicity
 from tideline.llm.classify import fold
 from tideline.llm.common import table
 
@@ -69,12 +69,23 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, toxicity.score(docs, toxicity_model(spark, docs, sf_dir)), 1, 3, 0.7)
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    out = hnsw.near_vectors(table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token ids packed into sequences of 2048."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated and nearly repeated passages of all documents, with what stays and what is removed."""
+    return passages.passages(table(spark, sf_dir, "documents")).drop("k").withColumnRenamed("id", "doc_id")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and a hostile one through the prefix tree and back."""
     t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -87,7 +98,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op6_packing, op8_toxicity, op10_chat)}
+    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op8_toxicity, op9_passages, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
