@@ -1,23 +1,54 @@
-"""The corpus pipeline: five of the training-data operators one after another over `documents`."""
+"""The corpus pipeline: five of the training-data operators one after another over `documents`.
+
+Each stage works on all rows that its predecessor kept. The domains and labels that classifiers learn from are those of
+the labels table; a stage's texts are the ones it is given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import simhash
-from tideline.llm.common import Stash
+from tideline.llm import mixing, packing, queries, repeats, simhash, toxicity
+from tideline.llm.common import Stash, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose restored text scores below 0.7."""
+    model = queries.toxicity_model(spark, docs, sf_dir)
+    scored = toxicity.score(docs.select(F.struct(*COLUMNS).alias("row"), "text"), model, "row")
+    return scored.where("score < 0.7").select(*[f"id.{c}" for c in COLUMNS])
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id. Rows without a doc_id stay."""
     found = simhash.near_duplicates(docs).where("id <> component_id").select(F.col("id").alias("doc_id"))
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(found, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts without the bytes that repeated 200-byte strings cover."""
+    out = repeats.remove_repeats(docs.select(*COLUMNS), as_text=True)
+    return out.select("row.doc_id", F.col("kept").alias("text"), "row.lang", "row.source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its rate says: the whole part, and once more by the hash of its id for the fraction."""
+    rows = docs.select(F.struct(*COLUMNS).alias("row"), "text", "doc_id")
+    out = mixing.mix(rows, table(spark, sf_dir, "labels"), row_col="row")
+    times = out.withColumn("n", mixing.copies("rate", "row.doc_id"))
+    return times.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), "n"))).select(*[f"row.{c}" for c in COLUMNS])
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of 2048; copies of a document are told apart by row_in_task within their task."""
+    return packing.pack(docs, queries.vocabulary())
 
 
-STAGES = [("simhash", simhash_stage)]
+STAGES = [("toxicity", toxicity_stage), ("simhash", simhash_stage), ("repeats", repeats_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
+#: No SQL expresses these stages; tests hold each against a plain version.
 ORACLE_SQL = None
 
 

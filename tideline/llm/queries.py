@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import audio, chat, hnsw, packing, passages, quality, repeats, simhash, toxicity
+from tideline.llm import audio, chat, hnsw, mixing, packing, passages, quality, repeats, simhash, toxicity
 from tideline.llm.classify import fold
 from tideline.llm.common import table
 
@@ -58,6 +58,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, quality.score(docs, model), 0, 5, 0.3)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and rates of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = mixing.mix(docs, table(spark, sf_dir, "labels"))
+    named = [F.round(F.col("p")[k], 9).alias(f"p_quality{q}_toxic{t}") for k, (q, t) in enumerate(mixing.DOMAINS)]
+    return out.select(F.col("row").alias("doc_id"), "n_tokens", *named, "rate")
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")).where(fold("doc_id", 3) != 1)
     return toxicity.fit(docs.select("doc_id", "text"), labels)
@@ -98,7 +106,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op8_toxicity, op9_passages, op10_chat)}
+    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op7_mixing, op8_toxicity, op9_passages, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -165,9 +165,10 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
     return per_anchor.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, contexts: int = CONTEXTS) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, contexts: int = CONTEXTS, as_text: bool = False) -> DataFrame:
     """(row struct of the input's columns, n_bytes, n_removed, n_spans, kept binary): every byte covered by a
     `length`-byte string that starts anywhere else too, judged on the input, is removed; n_spans counts maximal runs.
+    With as_text `kept` is a string, without the rests of characters that a removed run cuts through.
 
     A null text is empty, texts shorter than `length` stay whole, repeated rows repeat each other's strings, an empty
     table gives an empty result. Work and shuffle grow with the bytes of the texts; a task holds a part of one text and
@@ -197,7 +198,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 out.append((len(raw), int(gone.sum()), len(_spans(gone)), kept))
             n, removed, runs, kept = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     joined = rows.join(spans, ["k1", "k2"], "left").select("row", F.col("text").cast("binary").alias("text"), "spans")
-    return joined.mapInArrow(cut_out, f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(cut_out, f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")

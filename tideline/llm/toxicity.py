@@ -218,7 +218,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score): one row for each row of docs, over its whole restored text.
+    """(id, score): one row for each row of docs, over its whole restored text; id_col may be a struct to carry along.
 
     Null and empty texts are scored like any other (by the bias alone), repeated rows each, an empty table gives an
     empty result; other columns are ignored. No shuffle.
@@ -238,7 +238,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             z += np.bincount((pair // wide).astype(np.int64), model.weights[(pair % wide).astype(np.int64)], b.num_rows) if len(pair) else 0
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigmoid(z))], ["id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(work, "id long, score double")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(work, f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
 
 def restored(docs: DataFrame, lm: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
