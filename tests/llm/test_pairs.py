@@ -7,7 +7,7 @@ import numpy as np
 from tideline.llm import hnsw, passages
 from tideline.llm import queries as Q
 
-from .test_contracts import components
+from test_contracts import components
 
 
 def slow_links(rows, cosine=0.9):
