@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.plans import catalog, cdc, monitoring
+from tideline.plans import catalog, cdc, monitoring, tables
 
 
 def _entries():
-    for module in (cdc, catalog, monitoring):
+    for module in (cdc, catalog, monitoring, tables):
         for entry in module.QUERIES:
             name, query, sql = entry if len(entry) == 3 else (entry[0].__name__, *entry)
             yield name, query, sql

@@ -60,6 +60,19 @@ class BatchLedger:
         storage.write_text(self.spark, f"{self.path}/created", "yes")
 
 
+def change_feed(table: SnapshotTable, first: int, last: int, keys: list[str], live: str = "__DeleteVersion IS NULL") -> DataFrame:
+    """Changes of the live rows between two versions: _change_type (insert, delete, update_preimage, update_postimage) and
+    _commit_version. Rows are compared by a hash of their content, so unchanged ones do not appear."""
+    columns = table.read(last).columns
+    rest = [c for c in columns if c not in keys]
+    side = lambda v, n: table.read(v).where(live).select(*keys, F.struct(*rest).alias(n), F.xxhash64(*rest).alias(f"{n}_hash"))
+    both = side(first, "old").join(side(last, "new"), keys, "full").where("NOT (old_hash <=> new_hash)")
+    row = lambda kind, image: F.struct(F.lit(kind).alias("_change_type"), F.col(image).alias("image"))
+    rows = F.when(F.col("old").isNull(), F.array(row("insert", "new"))).when(F.col("new").isNull(), F.array(row("delete", "old"))).otherwise(F.array(row("update_preimage", "old"), row("update_postimage", "new")))
+    out = both.select(*keys, F.explode(rows).alias("r"))
+    return out.select(*keys, "r.image.*", "r._change_type", F.lit(last).cast("long").alias("_commit_version"))
+
+
 def start_apply(changes: DataFrame, target: SnapshotTable, checkpoint: str, keys: list[str], sequence: str, name: str = "apply", ledger: BatchLedger | None = None, yyyymm: int = 197001):
     """Stream of change rows into a snapshot table; drains what is there and stops."""
 
