@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -71,6 +72,12 @@ class Stash:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+    def release(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of plans that are done, before the next large shuffle."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
 def size_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a plan's size; for a saved table its files' bytes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

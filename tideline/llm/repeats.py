@@ -140,10 +140,11 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
                 d = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[r : r + length]) for r in range(n)]), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(n, h), np.full(n, ctx), np.arange(n, dtype=np.int32), np.full(n, c), d[:, 0].copy(), d[:, 1].copy())], ["h", "ctx", "r", "c", "w1", "w2"])
 
-    found = stash.save(docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= length).mapInArrow(find, "h long, ctx long, k1 long, k2 long, at int, n int"))
+    found = stash.save(docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= length).mapInArrow(find, "h long, ctx long, k1 long, k2 int, at int, n int"))
     met = found.groupBy("h").agg(F.count("*").alias("total"), F.min("ctx").alias("x"), F.max("ctx").alias("y")).where("total > 1").select("h", (F.col("x") != F.col("y")).alias("mixed"))
     seen = stash.save(found.join(met, "h"))
     stash.drop(found)
+    stash.release()
 
     kinds = stash.save(seen.where("mixed").groupBy("h", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "at", "n")).alias("one")))
     frequent = kinds.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > contexts).select("h", F.lit(True).alias("frequent"))
@@ -165,8 +166,8 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
     return per_anchor.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, contexts: int = CONTEXTS, as_text: bool = False) -> DataFrame:
-    """(row struct of the input's columns, n_bytes, n_removed, n_spans, kept binary): every byte covered by a
+def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, gram: int = GRAM, contexts: int = CONTEXTS, as_text: bool = False) -> DataFrame:
+    """(row struct of the input's other columns, n_bytes, n_removed, n_spans, kept binary): every byte covered by a
     `length`-byte string that starts anywhere else too, judged on the input, is removed; n_spans counts maximal runs.
     With as_text `kept` is a string, without the rests of characters that a removed run cuts through.
 
@@ -177,10 +178,13 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     spark = docs.sparkSession
     small_batches(spark)
     stash = Stash(spark, "repeats")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = [F.xxhash64(text, *[F.lit(x) for x in seed], *[F.col(c).cast("string") for c in docs.columns if c != text_col]) for seed in ((), (1,))]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), text.alias("text"), keys[0].alias("k1"), keys[1].alias("k2"))
+    text, others = F.coalesce(F.col(text_col), F.lit("")), [c for c in docs.columns if c != text_col]
+    digest = F.xxhash64(text, *[F.col(c).cast("string") for c in others])
+    whole = F.col(id_col).cast("long") if id_col in docs.columns else F.lit(None).cast("long")
+    # a row's key: its id and a short hash of all it holds; without an id the long hash stands for it
+    rows = docs.select(F.struct(*(others or [F.lit(None).cast("string").alias("none")])).alias("row"), text.alias("text"), F.coalesce(whole, digest).alias("k1"), F.hash(digest, F.lit(3)).alias("k2"))
     spans = stash.save(repeated_spans(rows.select("k1", "k2", "text"), stash, length, gram, contexts))
+    stash.release()
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
