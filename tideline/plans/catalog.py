@@ -310,7 +310,10 @@ a AS (SELECT schema_id, 'done' AS status FROM d UNION ALL SELECT e.schema_id, 'n
     (schema_merge_columns, WIDEST + "SELECT flow_id, col AS \"column\", type, FALSE AS failed FROM t"),
     (schema_merge_order, WIDEST + "SELECT flow_id, string_agg(col || ' ' || type, ',' ORDER BY v0, CAST(substr(col, 2) AS INTEGER)) AS ddl FROM t GROUP BY flow_id"),
     (schema_merge_conflicts, WIDEST + ", p AS (SELECT flow_id, max(CASE WHEN col = 'c1' AND version < 3 THEN 1 ELSE 0 END) AS a, max(CASE WHEN col = 'c1' AND version = 3 THEN 1 ELSE 0 END) AS z FROM r GROUP BY flow_id) SELECT flow_id, a = 1 AND z = 1 AS failed FROM p"),
-    (schema_classify, None),
+    (schema_classify, WIDEST + """,
+e AS (SELECT *, max(rank) OVER (PARTITION BY flow_id, col ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM r),
+o AS (SELECT flow_id, bool_or(prev IS NOT NULL AND rank > prev) AS overwrite, bool_or(version >= 2) AS newer, bool_or(version >= 2 AND (prev IS NULL OR rank > prev)) AS changed, bool_or(version < 2) AS had FROM e GROUP BY 1)
+SELECT flow_id, CASE WHEN NOT changed AND NOT newer THEN 'SAME' WHEN NOT changed OR NOT overwrite THEN 'FLOW_RESTART_ONLY' ELSE 'FLOW_RESTART_AND_OVERWRITE' END AS change FROM o WHERE had"""),
     (schema_diff_events, """
 WITH r AS (SELECT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, 'c' || l_partkey % 8 AS col, max(l_suppkey % 5) AS rank FROM lineitem WHERE l_partkey % 8 < 6 GROUP BY 1, 2, 3),
 b AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version < 2 GROUP BY 1, 2), a AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version <> 1 GROUP BY 1, 2),
