@@ -47,7 +47,7 @@ def path_key(path: Column) -> Column:
 def with_schema_id(df: DataFrame, schemas: DataFrame, key: str = "key") -> DataFrame:
     """Add schema_id by (db.schema) from a small spec table (db_schema, schema_id); heartbeats keep db.schema; an unknown one raises."""
     name = F.substring_index(F.col(key), ".", 2)
-    spec = F.broadcast(schemas.select(F.col("db_schema").alias("__db_schema"), F.col("schema_id").alias("__id")))  # control table
+    spec = schemas.select(F.col("db_schema").alias("__db_schema"), F.col("schema_id").alias("__id"))
     beat = F.col(key).contains("heartbeat")
     out = df.join(spec, name == F.col("__db_schema"), "left")
     unknown = F.raise_error(F.concat(F.lit("unknown schema "), name)).cast("string")
@@ -57,9 +57,9 @@ def with_schema_id(df: DataFrame, schemas: DataFrame, key: str = "key") -> DataF
 def with_active_flag(df: DataFrame, flows: DataFrame, key: str = "key") -> DataFrame:
     """Add is_active_event: heartbeats are; tables without a flow are not; schemas in the flow's inactive list are not.
 
-    flows: src_table, inactive array<string>; a control table, so it is broadcast.
+    flows: src_table, inactive array<string>; a control table; Spark broadcasts it while its size allows.
     """
-    spec = F.broadcast(flows.select(F.col("src_table").alias("__table"), F.col("inactive").alias("__inactive")))
+    spec = flows.select(F.col("src_table").alias("__table"), F.col("inactive").alias("__inactive"))
     out = df.join(spec, table_of(key) == F.col("__table"), "left")
     listed = F.array_contains(F.coalesce("__inactive", F.array().cast("array<string>")), F.col("schema_id"))
     flag = F.when(F.col(key).contains("heartbeat"), True).when(F.col("__table").isNull(), False).otherwise(~listed)

@@ -81,10 +81,10 @@ def split_retries(changes: DataFrame, columns: list[str], op: str = "op_type", r
 def apply_truncates(table: DataFrame, truncates: DataFrame, by: list[str], sequence: str) -> DataFrame:
     """The table without rows older than the latest truncate of their group.
 
-    truncates: `by` and the sequence; a small event table, reduced to one row a group and broadcast.
+    truncates: `by` and the sequence; reduced to one row a group before the join.
     """
     last = truncates.groupBy(*by).agg(F.max(sequence).alias("__truncated"))
-    out = table.join(F.broadcast(last), by, "left")
+    out = table.join(last, by, "left")
     return out.where(F.col("__truncated").isNull() | (F.col(sequence) >= F.col("__truncated"))).drop("__truncated")
 
 
@@ -99,7 +99,7 @@ def initial_load(rows: DataFrame, schema_id: Column, key: Column, order: list[Co
 
 def fingerprint_gate(df: DataFrame, known: DataFrame, fingerprint: str = "schema_fingerprint") -> tuple[DataFrame, DataFrame]:
     """(known rows, quarantined rows) by the registered schema versions, a control table."""
-    k = F.broadcast(known.select(fingerprint).distinct())
+    k = known.select(fingerprint).distinct()
     return df.join(k, fingerprint, "left_semi"), df.join(k, fingerprint, "left_anti")
 
 

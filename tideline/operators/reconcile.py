@@ -51,7 +51,7 @@ def in_flight(events: DataFrame, cursors: DataFrame, by: list[str], op: str, sta
     c = cursors.select(*by, F.col("cursor"))
     beyond = F.col(stamp) > F.coalesce("cursor", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     weight = F.when(~beyond, 0).when(F.col(op) == "I", 1).when(F.col(op) == "D", -1).otherwise(0)
-    return events.join(F.broadcast(c), by, "left").groupBy(*by).agg(F.sum(weight).alias("in_flight"))  # a control table of cursors
+    return events.join(c, by, "left").groupBy(*by).agg(F.sum(weight).alias("in_flight"))
 
 
 def unexpected_errors(results: DataFrame, error: str = "is_error", message: str = "message") -> DataFrame:

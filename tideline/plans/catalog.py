@@ -131,7 +131,7 @@ def init_load_specs(spark, sf_dir):
     """Schemas by flows, inserted where absent."""
     n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("schema_id"))
     f = table(spark, sf_dir, "part").select(F.concat(F.lit("flow"), s("p_partkey")).alias("flow_id"))
-    every = f.crossJoin(F.broadcast(n)).withColumn("status", F.lit("new"))  # the schemas are a control table; the product is the result asked for
+    every = f.crossJoin(n).withColumn("status", F.lit("new"))  # the product of two control tables is the result asked for
     done = table(spark, sf_dir, "supplier").select(F.concat(F.lit("NATION_"), s("s_nationkey")).alias("schema_id"), F.concat(F.lit("flow"), s("s_suppkey")).alias("flow_id"), F.lit("done").alias("status"))
     return M.insert_missing(done, every, ["schema_id", "flow_id"]).groupBy("schema_id", "status").agg(F.count("*").alias("n"))
 

@@ -68,7 +68,7 @@ def tenant_rollup(spark, sf_dir):
     o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     dims = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", join_name("r_name", "n_name").alias("name"))
-    return o.join(c, "c_custkey").join(F.broadcast(dims), "n_nationkey").groupBy("name").agg(F.sum("n").alias("n_rows"))  # nations
+    return o.join(c, "c_custkey").join(dims, "n_nationkey").groupBy("name").agg(F.sum("n").alias("n_rows"))
 
 
 def active_tenant_counts(spark, sf_dir):
@@ -166,7 +166,7 @@ def name_resolution(spark, sf_dir):
     """Ids to names, left joined; unknown ids stay null."""
     c = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") + 3).alias("id"))
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), join_name(F.lit("db"), "n_name").alias("name"))
-    return c.join(F.broadcast(n), "id", "left").groupBy("name").agg(F.count("*").alias("n"))  # nations
+    return c.join(n, "id", "left").groupBy("name").agg(F.count("*").alias("n"))
 
 
 def latest_archive_count(spark, sf_dir):

@@ -37,7 +37,7 @@ def decode_by_registry(spark, sf_dir):
     """Images decoded for registered schema versions only; others come out null and are counted apart."""
     a = feed(spark, sf_dir)
     registry = table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.col("r_regionkey").cast("long").alias("schema_fingerprint"), F.lit(True).alias("known"))
-    d = a.join(F.broadcast(registry), "schema_fingerprint", "left")  # registry of schema versions
+    d = a.join(registry, "schema_fingerprint", "left")
     d = d.withColumn("image", F.when(F.col("known"), typed_image("after", IMAGE, "oracle")))
     return d.groupBy("schema_fingerprint").agg(F.count("*").alias("n"), F.count("image.key").alias("n_decoded"), F.sum("image.key").alias("key_sum"))
 
@@ -126,7 +126,7 @@ def app_schema_pairs(spark, sf_dir):
     """Schema specs of one app, joined on the app."""
     c = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 20).alias("app"), F.col("c_nationkey").alias("schema_no")).distinct()
     apps = table(spark, sf_dir, "supplier").where("s_suppkey < 20").select(F.col("s_suppkey").alias("app"), F.col("s_name").alias("app_name"))
-    return c.join(F.broadcast(apps.where("app = 7")), "app")  # one app
+    return c.join(apps.where("app = 7"), "app")
 
 
 def rows_by_database(spark, sf_dir):
