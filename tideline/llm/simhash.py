@@ -145,7 +145,6 @@ def fingerprint_components(distinct: DataFrame, stash: Stash, radius: int = RADI
         if hot is None or not hot.count():
             found.append(rows)
             break
-        hot = F.broadcast(hot)  # at most 1/bucket of the rows have a hot key of their own
         found.append(rows.join(hot, "key", "left_anti"))
         finer = [F.xxhash64("key", F.lit(k), _block(2 * radius + 2 + 3 * level, k)) for k in range(2 * radius + 2 + 3 * level)]
         rows = stash.save(rows.join(hot, "key").select(F.explode(F.array(*finer)).alias("key"), "fp", "rep"))
