@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideline import storage
+
 #: Catalog types that become strings, doubles, bytes, and the default decimal.
 STRINGS = ("NVARCHAR2", "CHAR", "NCHAR", "VARCHAR", "VARCHAR2", "LONG", "LONG VARCHAR", "CLOB", "NCLOB", "UROWID", "ROWID", "XMLTYPE", "CHAR VARYING", "CHARACTER VARYING", "CHARACTER", "NATIONAL CHAR VARYING", "NATIONAL CHARACTER VARYING", "NATIONAL CHAR", "NATIONAL CHARACTER")
 DOUBLES = ("BINARY_FLOAT", "BINARY_DOUBLE", "REAL", "DOUBLE PRECISION")
@@ -54,9 +56,24 @@ def key_conflicts(keys: DataFrame, table: str, columns: str) -> DataFrame:
     return keys.groupBy(table).agg(F.collect_set(F.array_sort(columns)).alias("sets")).where(F.size("sets") > 1)
 
 
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Add the row's place (from 1) in the order of a column, without gathering the rows in one task.
+
+    Rows are range-partitioned into a written table; a row for each of its partitions is all that is summed in one place.
+    """
+    path = storage.fresh_dir(df.sparkSession, "numbered")
+    cut = df.repartitionByRange(order).withColumn("__part", F.spark_partition_id())
+    cut.write.parquet(path)
+    rows = df.sparkSession.read.schema(cut.schema).parquet(path)
+    sizes = rows.groupBy("__part").count()
+    base = sizes.select("__part", (F.sum("count").over(Window.orderBy("__part")) - F.col("count")).alias("__base"))
+    place = F.col("__base") + F.row_number().over(Window.partitionBy("__part").orderBy(order))
+    return rows.join(base, "__part").withColumn(name, place).drop("__part", "__base")
+
+
 def group_flows(flows: DataFrame, order: str, per_group: int) -> DataFrame:
-    """Add group_number: `per_group` flows each in order of name. A control table, numbered in one task."""
-    return flows.withColumn("group_number", F.ceil(F.row_number().over(Window.orderBy(order)) / per_group).cast("long"))
+    """Add group_number: `per_group` flows each in order of name."""
+    return numbered(flows, order, "__n").withColumn("group_number", F.ceil(F.col("__n") / per_group).cast("long")).drop("__n")
 
 
 def latest_snapshot(df: DataFrame, stamp: str = "created_at") -> DataFrame:
