@@ -10,7 +10,8 @@ equal strings have equal anchors. Neighbouring strings of one anchor form one co
 * anchors with more than CONTEXTS distinct contexts are dealt again by the strings themselves (128-bit hashes, counted
   with map-side combine), so no shard grows with a frequent passage.
 
-Equal contexts are aggregated before they are shuffled on, so thousands of copies cost their shard one context.
+Equal contexts are aggregated before they are shuffled on, so thousands of copies cost their shard one context. A context
+that one text holds many times (a run of one word) leaves its task as one row with all its places.
 """
 
 from __future__ import annotations
@@ -110,15 +111,28 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
             k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
             texts = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in b.column(2)]
             for text, at, count, h, context in anchors(texts, length, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, context, k1[text], k2[text], at.astype(np.int32), count.astype(np.int32))], ["h", "ctx", "k1", "k2", "at", "n"])
+                rows, own = once(text, at, count, h, context)
+                sent = (h, context, k1[text], k2[text], at.astype(np.int32), count.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*[pa.array(x[rows]) for x in sent], own], ["h", "ctx", "k1", "k2", "at", "n", "own"])
+
+    def once(text: np.ndarray, at: np.ndarray, count: np.ndarray, h: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Rows to send, and for those that stand for several equal contexts of a text the starts of all of them."""
+        _, first, group, n = np.unique(mix(h.view(np.uint64) ^ mix(context.view(np.uint64) + text.astype(np.uint64))), return_index=True, return_inverse=True, return_counts=True)
+        own = pa.nulls(len(first), _RANGES)
+        if len(first) < len(at):
+            order, end, listed = np.argsort(group, kind="stable"), np.cumsum(n), [None] * len(first)
+            for g in np.flatnonzero(n > 1).tolist():
+                listed[g] = [{"s": int(at[i]), "e": int(at[i] + count[i])} for i in order[end[g] - n[g] : end[g]]]
+            own = pa.array(listed, _RANGES)
+        return first, own
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, wanted in zip(b.column(0), b.column(1)):
                 raw, got = text.as_buffer(), wanted.values
-                h, ctx, at, n, c = (got.field(x).to_numpy() for x in ("h", "ctx", "at", "n", "c"))
+                h, ctx, at, n, c, frequent = (got.field(x).to_numpy(zero_copy_only=False) for x in ("h", "ctx", "at", "n", "c", "frequent"))
                 pieces = [raw.slice(a, m + length - 1).to_pybytes() for a, m in zip(at.tolist(), n.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ctx), pa.array(c), pa.array(pieces, pa.binary())], ["h", "ctx", "c", "raw"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ctx), pa.array(c), pa.array(pieces, pa.binary()), pa.array(frequent)], ["h", "ctx", "c", "raw", "frequent"])
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def piece(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -140,30 +154,38 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
                 d = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[r : r + length]) for r in range(n)]), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(n, h), np.full(n, ctx), np.arange(n, dtype=np.int32), np.full(n, c), d[:, 0].copy(), d[:, 1].copy())], ["h", "ctx", "r", "c", "w1", "w2"])
 
-    found = stash.save(docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= length).mapInArrow(find, "h long, ctx long, k1 long, k2 int, at int, n int"))
-    met = found.groupBy("h").agg(F.count("*").alias("total"), F.min("ctx").alias("x"), F.max("ctx").alias("y")).where("total > 1").select("h", (F.col("x") != F.col("y")).alias("mixed"))
+    found = stash.save(docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= length).mapInArrow(find, "h long, ctx long, k1 long, k2 int, at int, n int, own array<struct<s:int,e:int>>"))
+    times = F.sum(F.when(F.col("own").isNull(), 1).otherwise(2))
+    met = stash.save(found.groupBy("h").agg(times.alias("total"), F.min("ctx").alias("x"), F.max("ctx").alias("y")).where("total > 1").select("h", (F.col("x") != F.col("y")).alias("mixed")))
+    stash.release()
     seen = stash.save(found.join(met, "h"))
     stash.drop(found)
     stash.release()
 
-    kinds = stash.save(seen.where("mixed").groupBy("h", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "at", "n")).alias("one")))
+    kinds = kept = stash.save(seen.where("mixed").groupBy("h", "ctx").agg(times.cast("long").alias("c"), F.min(F.struct("k1", "k2", "at", "n")).alias("one")))
     frequent = kinds.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > contexts).select("h", F.lit(True).alias("frequent"))
     kinds = kinds.join(frequent, "h", "left").select("h", "ctx", "c", "one.*", F.coalesce("frequent", F.lit(False)).alias("frequent"))
     wanted = kinds.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "ctx", "at", "n", "c", "frequent")).alias("wanted"))
     texts = docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).join(wanted, ["k1", "k2"])
-    plain, often = (texts.select("text", F.expr(f"filter(wanted, x -> x.frequent = {f})").alias("wanted")).where("size(wanted) > 0") for f in ("false", "true"))
-    shape = "h long, ctx long, c long, raw binary"
-    by_shard = plain.mapInArrow(cut, shape).repartition("h").sortWithinPartitions("h").mapInArrow(shard, "h long, ctx long, spans array<struct<s:int,e:int>>")
+    cuts = texts.select("text", "wanted").mapInArrow(cut, "h long, ctx long, c long, raw binary, frequent boolean")
+    some = not frequent.isEmpty()
+    cuts = stash.save(cuts) if some else cuts  # two readers: the texts are shuffled once all the same
+    by_shard = cuts.where("NOT frequent").drop("frequent").repartition("h").sortWithinPartitions("h").mapInArrow(shard, "h long, ctx long, spans array<struct<s:int,e:int>>")
     marks = by_shard.where("size(spans) > 0")
-    if not frequent.isEmpty():
-        each = stash.save(often.mapInArrow(cut, shape).mapInArrow(strings, "h long, ctx long, r int, c long, w1 long, w2 long"))
+    if some:
+        each = stash.save(cuts.where("frequent").drop("frequent").mapInArrow(strings, "h long, ctx long, r int, c long, w1 long, w2 long"))
         again = each.groupBy("w1", "w2").agg(F.sum("c").alias("k")).where("k > 1").select("w1", "w2")
         marks = marks.unionByName(each.join(again, ["w1", "w2"]).groupBy("h", "ctx").agg(F.array_sort(F.collect_list(F.struct(F.col("r").alias("s"), (F.col("r") + 1).alias("e")))).alias("spans")))
     marks = stash.save(marks)
+    stash.release()
     moved = F.transform("spans", lambda x: F.struct((x["s"] + F.col("at")).alias("s"), (x["e"] + F.col("at")).alias("e")))
-    whole = F.array(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("n")).alias("e")))
+    moved = F.coalesce("own", moved)
+    whole = F.coalesce("own", F.array(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("n")).alias("e"))))
     per_anchor = seen.where("mixed").join(marks, ["h", "ctx"]).select("k1", "k2", moved.alias("spans")).unionByName(seen.where("NOT mixed").select("k1", "k2", whole.alias("spans")))
-    return per_anchor.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = stash.save(per_anchor.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    for done in (seen, met, kept, marks, *([cuts, each] if some else [])):
+        stash.drop(done)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, gram: int = GRAM, contexts: int = CONTEXTS, as_text: bool = False) -> DataFrame:
@@ -183,7 +205,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     whole = F.col(id_col).cast("long") if id_col in docs.columns else F.lit(None).cast("long")
     # a row's key: its id and a short hash of all it holds; without an id the long hash stands for it
     rows = docs.select(F.struct(*(others or [F.lit(None).cast("string").alias("none")])).alias("row"), text.alias("text"), F.coalesce(whole, digest).alias("k1"), F.hash(digest, F.lit(3)).alias("k2"))
-    spans = stash.save(repeated_spans(rows.select("k1", "k2", "text"), stash, length, gram, contexts))
+    spans = repeated_spans(rows.select("k1", "k2", "text"), stash, length, gram, contexts)
     stash.release()
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
