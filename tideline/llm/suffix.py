@@ -5,14 +5,21 @@ from __future__ import annotations
 import numpy as np
 
 
-def _grouped(keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stable order by small integer keys, the sorted keys, and each one's rank among its equals."""
-    narrow = keys.astype(np.uint16) if k <= 1 << 16 else keys
-    order = np.argsort(narrow, kind="stable")
+#: Reduced strings of at most this length end the recursion.
+SHORT = 1 << 14
+
+
+def _runs(keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stable order by small integer keys; then of each run of equal keys its key, first place and length."""
+    order = np.argsort(keys.astype(np.uint8 if k <= 1 << 8 else np.uint16) if k <= 1 << 16 else keys, kind="stable")
     s = keys[order]
-    new = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    rank = np.arange(len(s)) - np.repeat(new, np.diff(np.append(new, len(s))))
-    return order, s, rank
+    edge = np.flatnonzero(s[1:] != s[:-1])
+    first = np.zeros(len(edge) + 1, np.int64)
+    first[1:] = edge + 1
+    count = np.empty_like(first)
+    count[:-1] = first[1:] - first[:-1]
+    count[-1] = len(s) - first[-1]
+    return order, s[first], first, count
 
 
 def _induce(s: np.ndarray, small: np.ndarray, start: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -22,10 +29,11 @@ def _induce(s: np.ndarray, small: np.ndarray, start: np.ndarray, lms: np.ndarray
     descending order. Several buckets are taken in one step as long as none of them receives a suffix from that step.
     """
     n, k = len(s), len(start) - 1
+    line = np.arange(n)
     sa = np.full(n, -1, np.int64)
-    _, c, rank = _grouped(s[lms[::-1]], k)
-    order = np.argsort(s[lms[::-1]].astype(np.uint16) if k <= 1 << 16 else s[lms[::-1]], kind="stable")
-    sa[start[c + 1] - 1 - rank] = lms[::-1][order]
+    back = lms[::-1]
+    order, c, first, count = _runs(s[back], k)
+    sa[np.repeat(start[c + 1] - 1 + first, count) - np.arange(len(back))] = back[order]
 
     head = start[:-1].copy()
 
@@ -36,10 +44,9 @@ def _induce(s: np.ndarray, small: np.ndarray, start: np.ndarray, lms: np.ndarray
 
     def put_up(p: np.ndarray) -> None:
         if len(p):
-            order, c, rank = _grouped(s[p], k)
-            sa[head[c] + rank] = p[order]
-            last = np.append(c[1:] != c[:-1], True)
-            head[c[last]] += rank[last] + 1
+            order, c, first, count = _runs(s[p], k)
+            sa[np.repeat(head[c] - first, count) + line[: len(p)]] = p[order]
+            head[c] += count
 
     b, width = 0, 1
     while b < k:
@@ -77,10 +84,9 @@ def _induce(s: np.ndarray, small: np.ndarray, start: np.ndarray, lms: np.ndarray
 
     def put_down(p: np.ndarray) -> None:
         if len(p):
-            order, c, rank = _grouped(s[p], k)
-            sa[tail[c] - 1 - rank] = p[order]
-            last = np.append(c[1:] != c[:-1], True)
-            tail[c[last]] -= rank[last] + 1
+            order, c, first, count = _runs(s[p], k)
+            sa[np.repeat(tail[c] - 1 + first, count) - line[: len(p)]] = p[order]
+            tail[c] -= count
 
     b, width = k, 1
     while b > 0:
@@ -105,11 +111,25 @@ def _induce(s: np.ndarray, small: np.ndarray, start: np.ndarray, lms: np.ndarray
     return sa
 
 
+def _doubling(s: np.ndarray) -> np.ndarray:
+    """Suffix array of a short string by doubling sorted prefixes: the end of the recursion."""
+    n, rank, j = len(s), s.astype(np.int64), 1
+    while True:
+        key = rank * (n + 1 + int(rank.max()))
+        key[: n - j] += rank[j:] + 1
+        sa = np.argsort(key, kind="stable")
+        rank = np.empty(n, np.int64)
+        rank[sa] = np.concatenate(([0], np.cumsum(key[sa[1:]] != key[sa[:-1]])))
+        if rank[sa[-1]] == n - 1:
+            return sa
+        j *= 2
+
+
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     """Suffix array of integers 0..k-1 whose last one is a single 0."""
     n = len(s)
-    if n == 1:
-        return np.zeros(1, np.int64)
+    if n <= SHORT:
+        return _doubling(s)
     step = np.sign(np.diff(s))
     at = np.where(step != 0, np.arange(n - 1), n - 2)
     at = np.minimum.accumulate(at[::-1])[::-1]
