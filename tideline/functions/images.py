@@ -50,7 +50,9 @@ def typed_image(image: Column | str, schema: T.StructType, database: str) -> Col
     """Struct of typed columns from a JSON text of strings; a null image gives a null struct."""
     c = F.col(image) if isinstance(image, str) else image
     raw = F.from_json(c, T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
-    return F.when(c.isNotNull(), F.struct(*[typed_value(raw[f.name], f.dataType, database).alias(f.name) for f in schema.fields]))
+    # the lambda's argument is computed once, however often the rules of a type look at a value
+    typed = F.transform(F.array(raw), lambda r: F.struct(*[typed_value(r[f.name], f.dataType, database).alias(f.name) for f in schema.fields]))
+    return F.when(c.isNotNull(), F.element_at(typed, 1))
 
 
 def repair_unchanged(before: Column | str, after: Column | str) -> Column:
