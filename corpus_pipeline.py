@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import mixing, packing, queries, repeats, simhash, toxicity
+from tideline.llm import mixing, nearcopies, packing, queries, repeats, toxicity
 from tideline.llm.common import Stash, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,8 +23,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id. Rows without a doc_id stay."""
-    found = simhash.near_duplicates(docs).where("id <> component_id").select(F.col("id").alias("doc_id"))
+    """One document of each group linked at a Jaccard similarity of 0.8 of five-word shingles: the one with the smallest
+    doc_id. Rows without a doc_id stay."""
+    found = nearcopies.near_copies(docs).where("id <> component_id").select(F.col("id").alias("doc_id"))
     return docs.join(found, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
