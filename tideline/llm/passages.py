@@ -2,7 +2,8 @@
 
 Units of a text are its paragraphs (lines) and, so that a passage is found inside a longer paragraph too, stretches
 between content-defined cuts: a cut is where the hash of two adjoining words is smallest among WINDOW (winnowing), a
-stretch goes from a cut to the next but one. A passage of 3 * WINDOW words holds a whole stretch wherever it stands.
+stretch goes from a cut to the next but one, across line breaks too. A passage of more than 3 * WINDOW words holds a whole
+stretch wherever it stands in its text.
 
 Equal units form a class by aggregation. Distinct paragraphs are MinHashed over five-word shingles, banded for recall,
 and colliding ones verified by exact Jaccard similarity; a stretch has too few shingles for any similarity below one to
@@ -27,6 +28,8 @@ SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.99
 WINDOW = 16
 #: Words that a paragraph or a removed run has at least.
 LEAST = 20
+#: Words of a text's part that the next part looks at again: a stretch and the windows of its first cut.
+OVERLAP = 4 * WINDOW
 #: Distinct paragraphs of a bucket that are compared in one piece; larger buckets are compared as pairs of blocks.
 BLOCK = 1_000
 
@@ -79,8 +82,13 @@ def _cuts(words: np.ndarray) -> np.ndarray:
 
 
 def units(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text number, first word, words, class, band keys or None) arrays: paragraphs, then stretches, part by part."""
+    """(text number, first word, words, class, band keys or None) arrays: paragraphs, then stretches, part by part.
+
+    Where a text goes on in the next part, its last OVERLAP words are looked at again there, for the stretches that end
+    behind the last cut seen so far: the stretches are those of the whole text.
+    """
     seen = np.zeros(len(texts), np.int64)
+    held, behind, passed = -1, np.zeros(0, np.uint64), -1  # the last text so far, its last words, its last cut
     for (starts, owners), raw in parts(texts):
         s, line, h = _words(raw)
         n = len(s)
@@ -88,7 +96,7 @@ def units(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
             continue
         piece = np.searchsorted(starts, s, side="right") - 1
         text = owners[piece]
-        first = np.searchsorted(piece, piece)  # of the piece's words
+        first = np.searchsorted(text, text)  # of the text's words in this part
         number = np.arange(n) - first + seen[text]
         up, down = powers(n + 1)
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((h + np.uint64(1)) * up[:n])))
@@ -109,13 +117,23 @@ def units(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
                     key = mix(key * np.uint64(0x9FB21C651E98DF25) + low)
                 keys[:, band] = key.view(np.int64)
             yield text[x], number[x], y - x, name(x, y), keys
+        if held != text[0]:
+            behind, passed = behind[:0], -1
+        t = len(behind)
+        h, text2 = np.concatenate((behind, h)), np.concatenate((np.full(t, text[0]), text))
+        number2 = np.concatenate((np.arange(-t, 0) + seen[text[0]], number))
         c = _cuts(h)
-        if len(c) > 2:
-            x, y = c[:-2], c[2:]
-            ok = (piece[x] == piece[y]) & (line[x] == line[y])
-            x, y = x[ok], y[ok]
-            yield text[x], number[x], y - x, name(x, y), None
-        last = np.append(np.flatnonzero(piece[1:] != piece[:-1]), n - 1)
+        x, y = c[:-2], c[2:]
+        ok = (text2[x] == text2[y]) & ((text2[x] != text[0]) | (number2[y] > passed))
+        x, y = x[ok], y[ok]
+        if len(x):
+            up, down = powers(n + t + 1)
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((h + np.uint64(1)) * up[: n + t])))
+            yield text2[x], number2[x], y - x, name(x, y), None
+        mine = c[text2[c] == text[-1]]
+        held, passed = text[-1], max([passed if held == text[-1] else -1, *number2[mine[-1:]].tolist()])
+        behind = h[text2 == held][-OVERLAP:]
+        last = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1)
         np.add.at(seen, text[last], last - first[last] + 1)
 
 
@@ -154,7 +172,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     component_id is the smallest id among the first occurrences of the run's units; removed is false for the occurrence that
     stays. A text without such a run has no row. k tells rows with equal ids apart. Null and short texts have no runs;
     repeated rows repeat each other; null ids count as smaller than others; an empty table gives an empty result; other
-    columns are ignored. Paragraphs of more than a megabyte are cut at blanks.
+    columns are ignored. Paragraphs are cut at blanks where a text is taken in parts of a megabyte; stretches are not cut there.
     """
     spark = docs.sparkSession
     small_batches(spark)
