@@ -1,59 +1,109 @@
-"""Repeated passages in short lines, across line breaks and across the parts of a long text."""
+"""Repeated passages against brute force: in short lines, across lines, at text ends, in texts of several parts."""
 
 import random
 
 import numpy as np
 import pytest
 
-from tideline.llm import classify, passages
+from tideline.llm import passages
+from tideline.llm import queries as Q
 
 
 def prose(r, n):
     return ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 6))) for _ in range(n)]
 
 
-def test_across_line_breaks(spark):
-    r = random.Random(3)
-    short, crossing = prose(r, 60), prose(r, 60)
-    texts = {}
-    for i in range(12):
-        w = prose(r, 26) + short + prose(r, 26)
-        texts[i] = "\n".join(" ".join(w[k : k + 13]) for k in range(0, len(w), 13))
-    for i in range(12, 24):  # one line break within the passage, elsewhere in each text
-        w = prose(r, 100) + crossing + prose(r, 100)
-        texts[i] = " ".join(w[: 112 + i]) + "\n" + " ".join(w[112 + i :])
-    texts |= {i: "\n".join(" ".join(prose(r, 10)) for _ in range(12)) for i in range(24, 34)}  # clean
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    got = passages.passages(df).collect()
-    assert {x.id for x in got} == set(range(24))
+def covered(rows, least):
+    """{(row number, word number): removed} by brute force over all strings of `least` words; rows are (id, text)."""
+    words = [(t or "").split() for _, t in rows]
+    places = {}
+    for i, w in enumerate(words):
+        for s in range(len(w) - least + 1):
+            places.setdefault(tuple(w[s : s + least]), []).append((rows[i][0], s, i))
+    kept, removed = set(), set()
+    for where in places.values():
+        if len(where) > 1:
+            for k, (_, s, i) in enumerate(sorted(where)):
+                (removed if k else kept).update((i, x) for x in range(s, s + least))
+    return kept, removed
+
+
+def reported(rows, got):
+    number = {i: k for k, (i, _) in enumerate(rows)}
+    out = {False: set(), True: set()}
     for x in got:
-        words = texts[x.id].split()[x.start_word : x.start_word + x.n_words]
-        assert set(words) <= set(short if x.id < 12 else crossing)
-    for i in range(24):
-        run = max((x for x in got if x.id == i), key=lambda x: x.n_words)
-        assert run.removed == (i not in (0, 12)) and run.component_id == (0 if i < 12 else 12)
-
-
-@pytest.mark.parametrize("part", [300, 1000, 4096])
-def test_parts_change_no_stretch(monkeypatch, part):
-    r = random.Random(part)
-    texts = ["\n".join(" ".join(prose(r, r.randint(1, 30))) for _ in range(n)).encode() for n in (1, 120, 2, 0, 40, 300)]
-
-    def stretches():
-        out = [list(zip(t.tolist(), x.tolist(), n.tolist(), c.tolist())) for t, x, n, c, keys in passages.units(texts) if keys is None]
-        return sorted(sum(out, []))
-
-    # each text's own cuts over all of its words
-    want = []
-    for k, raw in enumerate(texts):
-        h = passages._words(raw)[2] if raw else np.zeros(0, np.uint64)
-        c = passages._cuts(h)
-        want += [(k, int(x), int(y - x)) for x, y in zip(c[:-2], c[2:])]
-    monkeypatch.setattr(classify, "PART", part)
-    got = stretches()
-    assert len(got) == len(set(got))
-    assert {x[:3] for x in got} >= set(want)
-    names = {}
-    for k, x, n, c in got:
-        names.setdefault(c, set()).add(tuple(texts[k].split()[x : x + n]))
-    assert all(len(v) == 1 for v in names.values()) and len(set().union(*names.values())) == len(names)
+        out[x.removed].update((number[x.id], w) for w in range(x.start_word, x.start_word + x.n_words))
+    return out[False], out[True]
+
+
+def mixed_texts(r, n, passage_words, blanks=" \n  \t"):
+    shared = [prose(r, passage_words + k) for k in range(6)]
+    rows = []
+    for i in range(n):
+        w = prose(r, r.randint(0, 150))
+        for _ in range(r.randint(0, 3)):
+            p = r.choice(shared)
+            cut = r.randint(0, 8)
+            at = r.choice([0, len(w), r.randint(0, len(w))])
+            w[at:at] = p[cut:]
+        rows.append((i, "".join(x + r.choice(blanks) for x in w)))
+    return rows
+
+
+@pytest.mark.parametrize("least, part, words", [(51, 1 << 20, 1 << 18), (51, 300, 130), (12, 1000, 77)])
+def test_brute_force(spark, monkeypatch, least, part, words):
+    monkeypatch.setattr(passages, "PART", part)
+    monkeypatch.setattr(passages, "_WORDS", words)
+    r = random.Random(least + part)
+    rows = mixed_texts(r, 60, least + 4, " \n  \t" if least > 50 else " \t") + [(60, ""), (61, None), (62, " ".join(["a"] * 200)), (63, " ".join(prose(r, least - 1)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept, removed = covered(rows, least)
+    assert kept and removed
+    assert reported(rows, passages.passages(df, least=least).collect()) == (kept, removed)
+
+
+def test_long_text(spark):
+    """A passage far inside a text of over a megabyte, and one over the border of its parts."""
+    r = random.Random(8)
+    deep, border = prose(r, 60), prose(r, 70)
+    long = prose(r, 260_000)
+    size = np.cumsum([len(w) + 1 for w in long])
+    at = int(np.searchsorted(size, passages.PART)) - 30
+    long[at:at] = border
+    long[-90_000:-90_000] = deep
+    rows = [(1, " ".join(long)), (2, " ".join(prose(r, 40) + deep + prose(r, 40))), (3, " ".join(prose(r, 9) + border))]
+    assert len(rows[0][1]) > passages.PART
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert reported(rows, got) == covered(rows, passages.LEAST)
+
+
+def test_op9_brute_force(spark, sf):
+    """The registered query: every repeated string is found with its exact bounds; what else is found are near copies."""
+    rows = [(x.doc_id, x.text) for x in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = Q.op9_passages(spark, sf).withColumnRenamed("doc_id", "id").collect()
+    kept, removed = covered(rows, passages.LEAST)
+    has_kept, has_removed = reported(rows, got)
+    assert kept and kept <= has_kept | has_removed and removed <= has_removed
+
+    def shingles(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    lines = [(i, s, shingles(w)) for i, t in rows for s, w in lines_of(t) if len(w) >= passages.LEAST]
+    near = set()
+    for a, (i, s, x) in enumerate(lines):
+        for j, t, y in lines[:a]:
+            if len(x & y) >= 0.8 * len(x | y):
+                near |= {(i, s), (j, t)}
+    number = {i: k for k, (i, _) in enumerate(rows)}
+    allowed = {(number[i], w) for i, s in near for w in range(s, s + len(next(ws for at, ws in lines_of(dict(rows)[i]) if at == s)))}
+    assert has_kept | has_removed == kept | removed | allowed
+
+
+def lines_of(text):
+    out, at = [], 0
+    for line in (text or "").split("\n"):
+        w = line.split()
+        if w:
+            out.append((at, w))
+        at += len(w)
+    return out

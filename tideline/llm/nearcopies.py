@@ -16,9 +16,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.classify import parts
 from tideline.llm.common import Stash, by_group, connected_components, small_batches
-from tideline.llm.passages import BLOCK, SHINGLE, SIMILARITY, _words, jaccard_components, shingle_hashes
+from tideline.llm.passages import BLOCK, SHINGLE, SIMILARITY, jaccard_components, shingle_hashes, words_of
 
 #: Texts whose shingles are counted for the order, and shingles that go last.
 SAMPLE, COMMON = 10_000, 1 << 16
@@ -27,7 +26,7 @@ SAMPLE, COMMON = 10_000, 1 << 16
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted hashes of the lower-case text's word shingles; fewer words than a shingle has make one, no word none."""
     raw = (text or "").encode("utf-8", "surrogatepass").lower()
-    h = np.concatenate([_words(part)[2] for _, part in parts([raw])])
+    h = words_of([raw])[2]
     if 0 < len(h) < SHINGLE:
         return np.array([xxhash.xxh64_intdigest(h.tobytes(), 5)], np.uint64)
     return np.unique(shingle_hashes(h))

@@ -1,18 +1,19 @@
 """Repeated and nearly repeated passages: paragraph MinHash banding, exact verification, removal by components.
 
-Units of a text are its paragraphs (lines) and, so that a passage is found inside a longer paragraph too, stretches
-between content-defined cuts: a cut is where the hash of two adjoining words is smallest among WINDOW (winnowing), a
-stretch goes from a cut to the next but one, across line breaks too. A passage of more than 3 * WINDOW words holds a whole
-stretch wherever it stands in its text.
-
-Equal units form a class by aggregation. Distinct paragraphs are MinHashed over five-word shingles, banded for recall,
-and colliding ones verified by exact Jaccard similarity; a stretch has too few shingles for any similarity below one to
-reach 0.8 with a word changed inside, so its class alone decides. Classes linked by verified pairs form components; the first
-occurrence of each component stays, the others are removed.
+Paragraphs are the lines of a text. Equal paragraphs form a class by aggregation; distinct ones are MinHashed over five-word
+shingles, banded for recall, and colliding ones are verified by exact Jaccard similarity. Classes linked by verified pairs form
+components; the first occurrence of each component stays, the others are removed.
+
+A passage may also lie inside longer paragraphs or go over line breaks, where no two paragraphs are alike. So every string of
+`least` words is held against all others too, without a row for each: a string owns an anchor, the k-gram within it whose hash is
+smallest, which depends on the string alone, and the neighbouring strings of one anchor form a context. Equal contexts
+collapse by aggregation; an anchor whose contexts differ has its strings counted one by one. A run of words is reported
+where each of its strings also starts elsewhere: its bounds are exact, and one other place holds `least` of its words in a row.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from math import ceil, log
 
@@ -21,17 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.classify import mix, parts, powers
+from tideline.llm.classify import PART, mix, powers
 from tideline.llm.common import Stash, by_group, connected_components, small_batches
 
-SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.99
-WINDOW = 16
-#: Words that a paragraph or a removed run has at least.
-LEAST = 20
-#: Words of a text's part that the next part looks at again: a stretch and the windows of its first cut.
-OVERLAP = 4 * WINDOW
+SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
+#: Words that a passage has at least (passages of over 50 words).
+LEAST = 51
+#: Words of an anchor.
+GRAM = 16
 #: Distinct paragraphs of a bucket that are compared in one piece; larger buckets are compared as pairs of blocks.
 BLOCK = 1_000
+#: Words whose arrays are held at once.
+_WORDS = 1 << 18
 
 
 def tune_bands(rows: int = 3, similarity: float = SIMILARITY, recall: float = RECALL) -> int:
@@ -44,16 +46,48 @@ BANDS = tune_bands(ROWS)
 _SEEDS = np.random.default_rng(9).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def _words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first byte, line number, hash) of each word."""
-    b = np.frombuffer(raw, np.uint8)
-    edge = np.flatnonzero(np.diff((~_SPACE[b]).view(np.int8), prepend=0, append=0))
-    s, e = edge[::2], edge[1::2]
-    up, down = powers(len(b) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)])))
-    return s, np.searchsorted(np.flatnonzero(b == 10), s), mix((total[e] - total[s]) * down[s])
+_BLANK = re.compile(rb"[\t-\r ]")
+_POSITION = np.uint64((1 << 24) - 1)
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[list[tuple[int, int]], bytes]]:
+    """Texts joined by blanks into blocks of about PART bytes and cut between words only: [(text number, first byte)], bytes."""
+    held, raw, size = [], [], 0
+    for k, t in enumerate(texts):
+        at = 0
+        while at < len(t):
+            gap = _BLANK.search(t, at + PART) if len(t) - at > PART else None
+            end = gap.end() if gap else len(t)
+            if size and size + end - at > PART:
+                yield held, b"".join(raw)
+                held, raw, size = [], [], 0
+            held.append((k, size))
+            raw += [t[at:end], b" "]
+            size += end - at + 1
+            at = end
+    if size:
+        yield held, b"".join(raw)
+
+
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, line number in its text, hash) of every word of the texts, in order."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    passed = np.zeros(len(texts), np.int64)  # line breaks of a text so far
+    for held, raw in _pieces(texts):
+        b = np.frombuffer(raw, np.uint8)
+        edge = np.flatnonzero(np.diff((~_SPACE[b]).view(np.int8), prepend=0, append=0))
+        s, e = edge[::2], edge[1::2]
+        up, down = powers(len(b) + 1)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)])))
+        owner, start = np.array(held).T
+        breaks = np.flatnonzero(b == 10)
+        piece = np.searchsorted(start, s, side="right") - 1
+        before = np.searchsorted(breaks, np.append(start, len(b)))
+        base = passed[owner] - before[:-1]
+        out.append((owner[piece], np.searchsorted(breaks, s) + base[piece], mix((total[e] - total[s]) * down[s])))
+        np.add.at(passed, owner, np.diff(before))
+    text, line, h = zip(*out)
+    return np.concatenate(text), np.concatenate(line), np.concatenate(h)
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
@@ -65,76 +99,71 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def _cuts(words: np.ndarray) -> np.ndarray:
-    """Winnowed word positions: the leftmost smallest two-word hash of every WINDOW of them."""
-    n = len(words) - 1
-    if n < WINDOW:
-        return np.zeros(0, np.int64)
-    g = mix(words[:-1] * np.uint64(0x9FB21C651E98DF25) + words[1:])
-    at = np.uint64((1 << 24) - 1)
-    key = np.full(-(-n // WINDOW) * WINDOW, np.uint64(0xFFFFFFFFFFFFFFFF))
-    key[:n] = (g & ~at) | np.arange(n, dtype=np.uint64)
-    blocks = key.reshape(-1, WINDOW)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    m = n - WINDOW + 1
-    return np.unique((np.minimum(behind[:m], ahead[WINDOW - 1 : WINDOW - 1 + m]) & at).astype(np.int64))
-
-
-def units(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text number, first word, words, class, band keys or None) arrays: paragraphs, then stretches, part by part.
-
-    Where a text goes on in the next part, its last OVERLAP words are looked at again there, for the stretches that end
-    behind the last cut seen so far: the stretches are those of the whole text.
-    """
-    seen = np.zeros(len(texts), np.int64)
-    held, behind, passed = -1, np.zeros(0, np.uint64), -1  # the last text so far, its last words, its last cut
-    for (starts, owners), raw in parts(texts):
-        s, line, h = _words(raw)
-        n = len(s)
-        if not n:
-            continue
-        piece = np.searchsorted(starts, s, side="right") - 1
-        text = owners[piece]
-        first = np.searchsorted(text, text)  # of the text's words in this part
-        number = np.arange(n) - first + seen[text]
-        up, down = powers(n + 1)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((h + np.uint64(1)) * up[:n])))
-        name = lambda x, y: mix((total[y] - total[x]) * down[x] + (y - x).astype(np.uint64)).view(np.int64)
-        new = np.flatnonzero(np.concatenate(([True], (line[1:] != line[:-1]) | (piece[1:] != piece[:-1]))))
-        ends = np.append(new[1:], n)
-        long = ends - new >= LEAST
-        x, y = new[long], ends[long]
-        if len(x):
-            sh = shingle_hashes(h)
-            cut = np.stack([x, y - SHINGLE + 1], axis=1).ravel()
-            keys = np.empty((len(x), BANDS), np.int64)
-            padded = np.append(sh, np.zeros(SHINGLE, np.uint64))
-            for band in range(BANDS):
-                key = np.full(len(x), band, np.uint64)
-                for k in range(band * ROWS, band * ROWS + ROWS):
-                    low = np.minimum.reduceat((padded ^ _SEEDS[0, k]) * _SEEDS[1, k], cut)[::2]
-                    key = mix(key * np.uint64(0x9FB21C651E98DF25) + low)
-                keys[:, band] = key.view(np.int64)
-            yield text[x], number[x], y - x, name(x, y), keys
-        if held != text[0]:
-            behind, passed = behind[:0], -1
-        t = len(behind)
-        h, text2 = np.concatenate((behind, h)), np.concatenate((np.full(t, text[0]), text))
-        number2 = np.concatenate((np.arange(-t, 0) + seen[text[0]], number))
-        c = _cuts(h)
-        x, y = c[:-2], c[2:]
-        ok = (text2[x] == text2[y]) & ((text2[x] != text[0]) | (number2[y] > passed))
-        x, y = x[ok], y[ok]
-        if len(x):
-            up, down = powers(n + t + 1)
-            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((h + np.uint64(1)) * up[: n + t])))
-            yield text2[x], number2[x], y - x, name(x, y), None
-        mine = c[text2[c] == text[-1]]
-        held, passed = text[-1], max([passed if held == text[-1] else -1, *number2[mine[-1:]].tolist()])
-        behind = h[text2 == held][-OVERLAP:]
-        last = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1)
-        np.add.at(seen, text[last], last - first[last] + 1)
+def _sums(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    up, down = powers(len(words) + 1)
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum((words + np.uint64(1)) * up[: len(words)]))), down
+
+
+def _runs_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each run of equal keys, and the place after its last."""
+    n = len(keys[0])
+    new = np.ones(n, bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys]) if n > 1 else True
+    first = np.flatnonzero(new)
+    return first, np.append(first, n)[1:]
+
+
+def band_keys(words: np.ndarray) -> np.ndarray:
+    """Band keys of one paragraph of SHINGLE words or more."""
+    low = np.full(BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in range(0, len(words) - SHINGLE + 1, _WORDS):
+        sh = shingle_hashes(words[at : at + _WORDS + SHINGLE - 1])
+        for k in range(BANDS * ROWS):
+            low[k] = min(low[k], ((sh ^ _SEEDS[0, k]) * _SEEDS[1, k]).min())
+    key = np.arange(BANDS, dtype=np.uint64)
+    for k in range(ROWS):
+        key = mix(key * np.uint64(0x9FB21C651E98DF25) + low[k::ROWS])
+    return key.view(np.int64)
+
+
+def paragraphs(text: np.ndarray, line: np.ndarray, h: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(text number, first word, words, class, band keys) of every line of `least` words or more."""
+    x, y = _runs_of(text, line)
+    long = y - x >= max(least, SHINGLE)
+    x, y = x[long], y[long]
+    total, down = _sums(h)
+    name = mix((total[y] - total[x]) * down[x] + (y - x).astype(np.uint64)).view(np.int64)
+    keys = np.array([band_keys(h[a:b]) for a, b in zip(x.tolist(), y.tolist())], np.int64).reshape(-1, BANDS)
+    return text[x], x - np.searchsorted(text, text[x]), y - x, name, keys
+
+
+def contexts(text: np.ndarray, h: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, first string's first word, strings, anchor hash, context hash) of every context."""
+    gram = min(GRAM, max(1, least // 2))
+    w = least - gram + 1
+    for at in range(0, len(h) - least + 1, _WORDS):
+        t, part = text[at : at + _WORDS + least - 1], h[at : at + _WORDS + least - 1]
+        n = len(part)
+        m = n - least + 1
+        total, down = _sums(part)
+        g = mix((total[gram:] - total[:-gram]) * down[: n - gram + 1])
+        key = np.full(-(-len(g) // w) * w, np.uint64(0xFFFFFFFFFFFFFFFF))
+        key[: len(g)] = (g & ~_POSITION) | np.arange(len(g), dtype=np.uint64)
+        blocks = key.reshape(-1, w)
+        ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+        behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+        owner = (np.minimum(behind[:m], ahead[w - 1 : w - 1 + m]) & _POSITION).astype(np.int64)
+        valid = t[:m] == t[least - 1 :]
+        first, stop = _runs_of(np.where(valid, owner, -1))
+        first, stop = first[valid[first]], stop[valid[first]]
+        end = stop + least - 1
+        yield t[first], first + at - np.searchsorted(text, t[first]), stop - first, g[owner[first]].view(np.int64), mix((total[end] - total[first]) * down[first] + (end - first).astype(np.uint64)).view(np.int64)
+
+
+def strings(words: np.ndarray, least: int) -> np.ndarray:
+    """Hash of the `least` words from each word on."""
+    total, down = _sums(words)
+    return mix((total[least:] - total[:-least]) * down[: len(words) - least + 1]).view(np.int64)
 
 
 def jaccard_components(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
@@ -165,14 +194,37 @@ def jaccard_components(sets: list[np.ndarray], similarity: float = SIMILARITY) -
         done[p] = True
 
 
-def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, k, start_word, n_words, component_id, removed): maximal runs of words of LEAST words or more that are
-    repeated or nearly repeated elsewhere, in the same text or another one.
+def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join the sets (key, name, shingles) of each key into components of the exact similarity."""
+
+    def piece(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, names = t.column("key").to_numpy(), t.column("name").to_numpy()
+        sets = t.column("shingles").combine_chunks()
+        a, c = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for s, e in zip(*(x.tolist() for x in _runs_of(key))):
+            label = jaccard_components([sets[i].values.to_numpy().view(np.uint64) for i in range(s, e)]) + s
+            far = np.flatnonzero(label != np.arange(s, e)) + s
+            a.append(names[label[far - s]]), c.append(names[far])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(c))], ["a", "b"])
+
+    yield from by_group(batches, "key", piece)
 
-    component_id is the smallest id among the first occurrences of the run's units; removed is false for the occurrence that
-    stays. A text without such a run has no row. k tells rows with equal ids apart. Null and short texts have no runs;
-    repeated rows repeat each other; null ids count as smaller than others; an empty table gives an empty result; other
-    columns are ignored. Paragraphs are cut at blanks where a text is taken in parts of a megabyte; stretches are not cut there.
+
+def _listed(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *values]), kind))
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+    """(id, k, start_word, n_words, component_id, removed): maximal runs of words of `least` words or more that are
+    repeated elsewhere, in the same text or another one, and nearly repeated paragraphs of that length.
+
+    Of every repeated string and of every component of paragraphs the first occurrence, by id and place, stays; a run of
+    others has `removed` true. Runs of either kind are maximal, so one that begins with a first occurrence and goes on with a
+    repeat is a kept and a removed run, which share words at the border. component_id is the smallest id among the first
+    occurrences of the run's strings. A text without such a run has no row. k tells rows with equal ids apart; rows alike in
+    id and text repeat each other, and their runs appear once. Null and short texts have no runs; null ids count as
+    smaller than others; an empty table gives an empty result; other columns are ignored. Texts are never cut.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -180,62 +232,100 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("string"), F.lit(9), text_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Paragraphs with their band keys, and contexts (once a text) with the places they start at."""
         for b in batches:
             ids, k = b.column(0), b.column(1).to_numpy()
-            for text, start, n, name, keys in units([x.as_buffer().to_pybytes() for x in b.column(2)]):
-                bands = pa.nulls(len(text), pa.list_(pa.int64())) if keys is None else pa.ListArray.from_arrays(np.arange(len(text) + 1, dtype=np.int32) * BANDS, keys.ravel())
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(text)), pa.array(k[text]), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(name), bands], ["id", "k", "start", "n", "class", "bands"])
+            text, line, h = words_of([x.as_buffer().to_pybytes() for x in b.column(2)])
+
+            def row(text, n, name, h, at, bands):
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(text)), pa.array(k[text]), pa.array(n.astype(np.int32)), pa.array(name), h, at, bands], ["id", "k", "n", "class", "anchor", "at", "bands"])
+
+            x, at, n, name, keys = paragraphs(text, line, h, least)
+            yield row(x, n, name, pa.nulls(len(x), pa.int64()), _listed(list(at.reshape(-1, 1)), pa.int32()), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * BANDS, keys.ravel()))
+            for x, at, n, anchor, name in contexts(text, h, least):
+                order = np.lexsort((at, name, anchor, x))
+                x, at, n, anchor, name = (c[order] for c in (x, at, n, anchor, name))
+                one, _ = _runs_of(x, anchor, name)
+                yield row(x[one], n[one], name[one], pa.array(anchor[one]), pa.ListArray.from_arrays(np.append(one, len(x)).astype(np.int32), pa.array(at.astype(np.int32))), pa.nulls(len(one), pa.list_(pa.int64())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of the wanted places of a text: a context's strings, or a paragraph's shingle set."""
         for b in batches:
+            sets = []
             for raw, wanted in zip(b.column(0), b.column(1)):
-                h = np.concatenate([_words(part)[2] for _, part in parts([raw.as_buffer().to_pybytes()])])
+                h = words_of([raw.as_buffer().to_pybytes()])[2]
                 got = wanted.values
-                names, starts, ns = (got.field(c).to_numpy() for c in ("class", "start", "n"))
-                sets = [np.unique(shingle_hashes(h[s : s + m])).view(np.int64) for s, m in zip(starts.tolist(), ns.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sets, pa.list_(pa.int64()))], ["class", "shingles"])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def piece(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            key, names = t.column("key").to_numpy(), t.column("class").to_numpy()
-            sets = t.column("shingles").combine_chunks()
-            edge = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
-            a, c = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                label = jaccard_components([sets[i].values.to_numpy().view(np.uint64) for i in range(s, e)]) + s
-                far = np.flatnonzero(label != np.arange(s, e)) + s
-                a.append(names[label[far - s]]), c.append(names[far])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(c))], ["a", "b"])
-
-        yield from by_group(batches, "key", piece)
-
-    found = stash.save(rows.mapInArrow(find, "id long, k long, start int, n int, class long, bands array<long>"))
-    one = F.struct("id", "k", "start")
-    repeated = stash.save(found.groupBy("class").agg(F.count("*").alias("c"), F.min(one).alias("first")).where("c > 1").drop("c"))
-
-    lines = stash.save(found.where("bands IS NOT NULL").groupBy("class").agg(F.min(one).alias("first"), F.min(F.struct("k", "start", "n", "bands")).alias("one")))
+                para = got.field("anchor").is_null().to_numpy(zero_copy_only=False)
+                for s, m, p in zip(got.field("start").to_pylist(), got.field("n").to_pylist(), para.tolist()):
+                    sets.append(np.unique(shingle_hashes(h[s : s + m])).view(np.int64) if p else strings(h[s : s + m + least - 1], least))
+            got = b.column(1).flatten()
+            yield pa.RecordBatch.from_arrays([got.field("anchor"), got.field("class"), _listed(sets, pa.int64())], ["anchor", "class", "hashes"])
+
+    kinds = "id long, k long, n int, class long, anchor long, at array<int>, bands array<long>"
+    found = stash.save(rows.mapInArrow(find, kinds))
+    one = F.struct("id", "k", F.col("at")[0].alias("start"))
+
+    # contexts: anchors met once own nothing; those with one kind of context repeat as they are
+    ctx = found.where("anchor IS NOT NULL").select("anchor", "class", "id", "k", "n", "at")
+    met = ctx.groupBy("anchor").agg(F.sum(F.size("at")).alias("c"), F.min("class").alias("x"), F.max("class").alias("y")).where("c > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    seen = stash.save(ctx.join(met, "anchor"))
+    classes = stash.save(seen.groupBy("anchor", "class").agg(F.sum(F.size("at")).cast("long").alias("c"), F.min(one).alias("first"), F.first("n").alias("n"), F.first("mixed").alias("mixed")))
+
+    # paragraphs: classes, buckets, and what has to be cut out of the texts
+    lines = stash.save(found.where("bands IS NOT NULL").groupBy("class").agg(F.min(one).alias("first"), F.min(F.struct("n", "bands")).alias("one")))
     banded = lines.select("class", F.explode("one.bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("x"), F.min("class").alias("y")).where("c > 1")
+    buckets = banded.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor("class").alias("x"), F.min("class").alias("y")).where("c > 1")
     buckets = stash.save(buckets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key", "c"))  # of buckets with equal members, one
     members = stash.save(banded.join(buckets, "key"))
-    wanted = members.select("class").distinct().join(lines, "class").select("class", "one.*").groupBy("k").agg(F.collect_list(F.struct("class", "start", "n")).alias("wanted"))
-    sets = stash.save(rows.select("k", "text").join(wanted, "k").select("text", "wanted").mapInArrow(cut, "class long, shingles array<long>").dropDuplicates(["class"]))
+    places = lambda df, n, anchor: df.select("first.k", F.struct(anchor.alias("anchor"), "class", "first.start", n.alias("n")).alias("w"))
+    wanted = places(members.select("class").distinct().join(lines, "class"), F.col("one.n"), F.lit(None).cast("long")).unionByName(places(classes.where("mixed"), F.col("n"), F.col("anchor")))
+    wanted = wanted.groupBy("k").agg(F.collect_list("w").alias("wanted"))
+    cuts = stash.save(rows.select("k", "text").join(wanted, "k").select("text", "wanted").mapInArrow(cut, "anchor long, class long, hashes array<long>"))
+
+    # strings of the contexts that differ, counted one by one: (place in the context, first occurrence) of the repeated ones
+    each = cuts.where("anchor IS NOT NULL").dropDuplicates(["anchor", "class"]).join(classes.where("mixed").select("anchor", "class", "c", "first"), ["anchor", "class"])
+    each = stash.save(each.select("anchor", "class", "c", "first", F.posexplode("hashes").alias("r", "string")))
+    again = each.groupBy("anchor", "string").agg(F.sum("c").alias("c"), F.min(F.struct("first.id", "first.k", (F.col("first.start") + F.col("r")).alias("start"))).alias("origin")).where("c > 1")
+    some = each.select("anchor", "class", "r", "string").join(again, ["anchor", "string"]).groupBy("anchor", "class").agg(F.collect_list(F.struct(F.col("r").alias("r"), F.lit(1).alias("n"), "origin")).alias("parts"))
+    whole = classes.where("NOT mixed").select("anchor", "class", F.array(F.struct(F.lit(0).alias("r"), "n", F.col("first").alias("origin"))).alias("parts"))
+    hits = seen.join(stash.save(some.unionByName(whole)), ["anchor", "class"]).select("id", "k", F.explode("at").alias("at"), "parts").select("id", "k", "at", F.explode("parts").alias("p"))
+    low = F.coalesce("p.origin.id", F.lit(-(1 << 63)))
+    self_ = F.col("id").eqNullSafe(F.col("p.origin.id")) & (F.col("k") == F.col("p.origin.k")) & (F.col("at") + F.col("p.r") == F.col("p.origin.start"))
+    hits = hits.select("id", "k", F.struct((F.col("at") + F.col("p.r")).alias("s"), (F.col("at") + F.col("p.r") + F.col("p.n") + (least - 1)).alias("e"), low.alias("component"), (~self_).alias("removed")).alias("u"))
+
+    # paragraphs that meet in a bucket, verified; the first occurrence of a component stays
+    sets = cuts.where("anchor IS NULL").dropDuplicates(["class"]).select(F.col("class").alias("name"), F.col("hashes").alias("shingles"))
     blocks = F.ceil(F.col("c") / (BLOCK // 2)).cast("int")
     own = F.pmod(F.xxhash64("class", F.lit(3)), blocks).cast("int")
     pair = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.xxhash64("key", F.least(j, own), F.greatest(j, own)))
-    placed = members.select("class", F.explode(F.when(F.col("c") <= BLOCK, F.array("key")).otherwise(pair)).alias("key"))
-    linked = placed.join(sets, "class").repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a long, b long")
+    placed = members.select(F.col("class").alias("name"), F.explode(F.when(F.col("c") <= BLOCK, F.array("key")).otherwise(pair)).alias("key"))
+    linked = placed.join(sets, "name").select("key", "name", "shingles").repartition("key").sortWithinPartitions("key").mapInArrow(verified, "a long, b long")
     parts_of = stash.save(connected_components(linked, stash))
-
-    # a class belongs to its component, or is one of its own; components with several occurrences count
-    firsts = lines.join(parts_of, F.col("class") == F.col("node")).groupBy("component").agg(F.min("first").alias("first"))
-    near = parts_of.join(firsts, "component").select(F.col("node").alias("class"), "first")
-    alone = repeated.join(parts_of, F.col("class") == F.col("node"), "left_anti").select("class", "first")
-    hits = found.drop("bands").join(near.unionByName(alone), "class")
-    hits = hits.select("id", "k", F.struct("start", (F.col("start") + F.col("n")).alias("stop"), F.col("first.id").alias("component")).alias("u"), (~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("k") == F.col("first.k")) & (F.col("start") == F.col("first.start")))).alias("removed"))
-    runs = hits.groupBy("id", "k", "removed").agg(F.array_sort(F.collect_set("u")).alias("us"))
-    empty = F.expr("cast(array() as array<struct<start:int,stop:int,component:bigint>>)")
-    last = lambda a: F.element_at(a, -1)
-    grow = lambda a, u: F.when((F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["stop"] >= u["start"]), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last(a)["start"].alias("start"), F.greatest(last(a)["stop"], u["stop"]).alias("stop"), F.least(last(a)["component"], u["component"]).alias("component"))))).otherwise(F.concat(a, F.array(u)))
-    runs = runs.select("id", "k", "removed", F.explode(F.aggregate("us", empty, grow)).alias("r")).where(f"r.stop - r.start >= {LEAST}")
-    return runs.select("id", "k", F.col("r.start").alias("start_word"), (F.col("r.stop") - F.col("r.start")).alias("n_words"), F.col("r.component").alias("component_id"), "removed")
+    firsts = lines.join(parts_of, F.col("class") == F.col("node")).groupBy("component").agg(F.min("first").alias("origin"))
+    near = parts_of.join(firsts, "component").select(F.col("node").alias("class"), "origin")
+    near = found.where("bands IS NOT NULL").select("id", "k", "n", "class", F.col("at")[0].alias("at")).join(near, "class")
+    stays = F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("k") == F.col("origin.k")) & (F.col("at") == F.col("origin.start"))
+    near = near.select("id", "k", F.struct(F.col("at").alias("s"), (F.col("at") + F.col("n")).alias("e"), F.coalesce("origin.id", F.lit(-(1 << 63))).alias("component"), (~stays).alias("removed")).alias("u"))
+
+    runs = hits.unionByName(near).groupBy("id", "k").agg(F.collect_list("u").alias("us")).mapInArrow(_merge, "id long, k long, start_word int, n_words int, component_id long, removed boolean")
+    return runs.withColumn("component_id", F.when(F.col("component_id") != -(1 << 63), F.col("component_id")))
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Maximal runs of the word ranges of each row, for removed and kept ones apart."""
+    for b in batches:
+        us = b.column(2)
+        flat = us.flatten()
+        s, e, c = (flat.field(x).to_numpy().astype(np.int64) for x in ("s", "e", "component"))
+        group = 2 * np.repeat(np.arange(b.num_rows), us.value_lengths().to_numpy()) + flat.field("removed").to_numpy(zero_copy_only=False)
+        order = np.lexsort((s, group))
+        s, e, c, group = s[order], e[order], c[order], group[order]
+        reach = np.maximum.accumulate(group * (1 << 40) + e)
+        new = np.concatenate((np.ones(min(1, len(s)), bool), group[1:] * (1 << 40) + s[1:] > reach[:-1]))
+        first = np.flatnonzero(new)
+        if not len(first):
+            continue
+        stop = np.maximum.reduceat(e, first)
+        g = group[first]
+        row = pa.array(g // 2)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(s[first].astype(np.int32)), pa.array((stop - s[first]).astype(np.int32)), pa.array(np.minimum.reduceat(c, first)), pa.array(g % 2 == 1)], ["id", "k", "start_word", "n_words", "component_id", "removed"])
