@@ -3,10 +3,11 @@
 import random
 
 import corpus_pipeline as P
+import numpy as np
 import pytest
 from test_contracts import components
 
-from tideline.llm import nearcopies
+from tideline.llm import nearcopies, simhash
 
 
 def shingles(text):
@@ -41,7 +42,8 @@ def test_stage_matches_exact_jaccard(spark, monkeypatch, block):
     df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     want = groups(rows)
     assert 30 < len(set(want.values())) < len(want)
-    assert {x.id: x.component_id for x in nearcopies.near_copies(df).collect()} == want
+    got = nearcopies.near_copies(df).collect()
+    assert {x.id: x.component_id for x in got} == want and {x.id for x in got if x.kept} == set(want.values())
     kept = [x.doc_id for x in P.simhash_stage(spark, df, "").collect()]
     assert sorted(k for k in kept if k is not None) == sorted(set(want.values())) and kept.count(None) == 1
 
@@ -54,3 +56,41 @@ def test_stage_on_documents(spark, sf):
 
 def test_empty(spark):
     assert nearcopies.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_and_edge_cases(spark):
+    """Different texts under one id are judged each; copies under one id leave one row; rows without an id stay."""
+    long = " ".join(f"w{k}" for k in range(60))
+    near = long.replace("w30", "x30")
+    rows = [(1, long), (5, long), (5, "other words of five here"), (7, near), (7, long), (7, long), (9, None), (9, ""), (3, " "), (None, long), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None, 4, "k") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, k int, near_key string").repartition(3)
+    got = sorted(((x.doc_id, x.text) for x in P.simhash_stage(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, long), (5, "other words of five here"), (3, " "), (None, long), (None, None)], key=str)
+    assert P.simhash_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_radius():
+    """Sets of similarity 0.8 lie well within the radius."""
+    r = np.random.default_rng(4)
+    for n in (64, 65, 100, 401, 2000):
+        far = []
+        for _ in range(300):
+            x = r.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+            common = int(np.ceil(1.6 * n / 1.8))
+            a, b = np.sort(x[:n]), np.sort(x[n - common : 2 * n - common])
+            far.append(int(np.bitwise_count(nearcopies.fingerprint(a) ^ nearcopies.fingerprint(b)).sum()))
+        assert np.mean(far) + 5.5 * np.std(far) < nearcopies.RADIUS
+
+
+def test_pivot_components():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 1 << 63, (30, 2), dtype=np.uint64)
+    fp = np.repeat(base, 5, axis=0)
+    for k in range(len(fp)):
+        for bit in r.integers(0, 128, k % 5 * 12):
+            fp[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    size = r.integers(80, 110, len(fp))
+    table = simhash.pivot_table(fp).astype(np.int16)
+    links = [(a, b) for a in range(len(fp)) for b in range(a) if np.bitwise_count(fp[a] ^ fp[b]).sum() <= nearcopies.RADIUS and min(size[a], size[b]) >= 0.8 * max(size[a], size[b])]
+    want, got = components(range(len(fp)), links), nearcopies.pivot_components(fp, table, size)
+    assert all((got[a] == got[b]) == (want[a] == want[b]) for a in range(len(fp)) for b in range(a))

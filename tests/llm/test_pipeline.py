@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline as P
 import numpy as np
 import pytest
-from test_contracts import components, slow_fingerprint
+from test_nearcopies import groups
 from test_repeats import slow
 
 from tideline.llm import mixing, toxicity
@@ -34,9 +34,7 @@ def test_toxicity(spark, sf, kept):
 
 
 def test_simhash(kept):
-    fp = {r.doc_id: slow_fingerprint(r.text or "") for r in kept[1].collect()}
-    ids = sorted(fp)
-    group = components(ids, [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (fp[a] ^ fp[b]).bit_count() <= 4])
+    group = groups([(r.doc_id, r.text) for r in kept[1].collect()])
     assert sorted(r.doc_id for r in kept[2].collect()) == sorted(set(group.values()))
 
 

@@ -1,14 +1,23 @@
-"""Near copies of whole texts: groups linked by exact Jaccard similarity of word shingles, with no pair lost.
+"""Near copies of whole texts by SimHash and pivot tables, at an exact Jaccard similarity of word shingles.
 
-Texts with equal shingle sets collapse first. Two sets of similarity 0.8 share a shingle among the first fifth of either in
-any fixed order (prefix filter), so sets meet at the shingles of their first fifth. The order puts shingles that are
-common in a sample last; the sample changes the work and never the result. Sets that meet are verified exactly. Each
-set is compared at one of its shingles first; then only at those where more than one group still meets.
+`simhash.near_duplicates` links fingerprints at few bits; here a similarity of the shingle sets themselves decides:
+
+* texts with equal shingle sets collapse first;
+* sets of similarity 0.8 share a shingle among the first fifth of either in any fixed order (prefix filter), so no pair is
+  lost where sets meet at the shingles of their first fifth. The order puts shingles that are common in a sample last; the
+  sample changes the work and never the result;
+* of the sets that meet, pairs are discarded by sizes, by the pivot table (largest difference of the Hamming distances to the
+  reference fingerprints, computed once for each set) and by the distance of the 128-bit fingerprints. RADIUS lies seven
+  standard deviations above the distance expected at similarity 0.8; sets of fewer than FEW shingles, whose distances
+  scatter more, are not discarded;
+* survivors form groups, whose texts are read once more and verified exactly.
+
+No step makes all pairs of a group: buckets are compared against one member first, and then only where groups meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,20 +25,31 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.classify import mix
 from tideline.llm.common import Stash, by_group, connected_components, small_batches
-from tideline.llm.passages import BLOCK, SHINGLE, SIMILARITY, jaccard_components, shingle_hashes, words_of
+from tideline.llm.passages import BLOCK, SHINGLE, SIMILARITY, _listed, jaccard_components, shingle_hashes, words_of
+from tideline.llm.simhash import PIVOTS, majority_bits, pivot_table
 
 #: Texts whose shingles are counted for the order, and shingles that go last.
 SAMPLE, COMMON = 10_000, 1 << 16
+#: Bits at which 128-bit fingerprints may differ, and shingles below which they decide nothing.
+RADIUS, FEW = 48, 64
+
 
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted hashes of each lower-case text's word shingles; fewer words than a shingle has make one, no word none."""
+    text, _, h = words_of([(t or "").encode("utf-8", "surrogatepass").lower() for t in texts])
+    edge = np.searchsorted(text, np.arange(len(texts) + 1))
+    out = []
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        short = 0 < b - a < SHINGLE
+        out.append(np.array([xxhash.xxh64_intdigest(h[a:b].tobytes(), 5)], np.uint64) if short else np.unique(shingle_hashes(h[a:b])))
+    return out
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted hashes of the lower-case text's word shingles; fewer words than a shingle has make one, no word none."""
-    raw = (text or "").encode("utf-8", "surrogatepass").lower()
-    h = words_of([raw])[2]
-    if 0 < len(h) < SHINGLE:
-        return np.array([xxhash.xxh64_intdigest(h.tobytes(), 5)], np.uint64)
-    return np.unique(shingle_hashes(h))
+
+def fingerprint(s: np.ndarray) -> np.ndarray:
+    """128-bit SimHash (two words) of a set of hashes."""
+    return np.array([majority_bits(s), majority_bits(mix(s * np.uint64(0x9FB21C651E98DF25) + np.uint64(1)))], np.uint64)
 
 
 def prefix(s: np.ndarray, common: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -41,19 +61,50 @@ def prefix(s: np.ndarray, common: np.ndarray, count: np.ndarray) -> np.ndarray:
     return s[: n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1]
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) between the sets of each key."""
+def pivot_components(fp: np.ndarray, table: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Component label (an index) of each fingerprint; as in jaccard_components each step compares one with all others."""
+    n = len(size)
+    label, done = np.arange(n), np.zeros(n, bool)
+    while True:
+        largest = np.bincount(label, minlength=n).argmax()
+        open_ = np.flatnonzero(~done & (label != largest)) if done.any() else np.arange(n)
+        if not len(open_):
+            return label
+        p = int(open_[0])
+        near = np.flatnonzero((size >= SIMILARITY * size[p] - 1e-9) & (size[p] >= SIMILARITY * size - 1e-9))
+        if size[p] >= FEW / SIMILARITY:
+            few = size[near] < FEW
+            near = near[few | (np.abs(table[near] - table[p]).max(axis=1) <= RADIUS)]
+            near = near[(size[near] < FEW) | (np.bitwise_count(fp[near] ^ fp[p]).sum(axis=1) <= RADIUS)]
+        touched = np.unique(label[near])
+        label[np.isin(label, touched)] = touched[0]
+        done[p] = True
+
+
+def _links(label_of: Callable[[pa.Table], np.ndarray]) -> Callable:
+    """Links (a, b) that join the rows (key, s, ...) of each key as label_of does."""
 
     def piece(t: pa.Table) -> Iterator[pa.RecordBatch]:
         key, names = t.column("key").to_numpy(), t.column("s").to_numpy()
-        sets = t.column("shingles").combine_chunks()
         edge = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            label = jaccard_components([sets[i].values.to_numpy().view(np.uint64) for i in range(s, e)]) + s
+            label = label_of(t.slice(s, e - s)) + s
             far = np.flatnonzero(label != np.arange(s, e)) + s
-            yield pa.RecordBatch.from_arrays([pa.array(names[label[far - s]]), pa.array(names[far])], ["a", "b"])
+            a.append(names[label[far - s]]), b.append(names[far])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return lambda batches: by_group(batches, "key", piece)
+
 
-    yield from by_group(batches, "key", piece)
+def _by_fingerprint(t: pa.Table) -> np.ndarray:
+    fp = np.stack([t.column(c).to_numpy() for c in ("f1", "f2")], axis=1).view(np.uint64)
+    table = np.ascontiguousarray(np.stack([t.column(c).to_numpy() for c in ("p1", "p2")], axis=1)).view(np.uint8).astype(np.int16)
+    return pivot_components(fp, table, t.column("n").to_numpy())
+
+
+def _by_set(t: pa.Table) -> np.ndarray:
+    return jaccard_components([x.values.to_numpy().view(np.uint64) for x in t.column("shingles").combine_chunks()])
 
 
 def _block(n: Column) -> tuple[Column, Column]:
@@ -62,17 +113,54 @@ def _block(n: Column) -> tuple[Column, Column]:
     return blocks, F.pmod(F.xxhash64("s", F.lit(3)), blocks).cast("int")
 
 
+def linked_in_buckets(members: DataFrame, facts: DataFrame, label_of: Callable[[pa.Table], np.ndarray], stash: Stash) -> DataFrame:
+    """(node, component) of the sets that link with another one in any bucket; members: (s, key, c), facts: by s.
+
+    First each set is compared at its largest bucket, in blocks that have the bucket's first set in common. Then, in the
+    buckets where several groups still meet, the sets outside the largest group are compared with all others.
+    """
+
+    def compare(placed: DataFrame) -> DataFrame:
+        return stash.save(placed.join(facts, "s").repartition("key").sortWithinPartitions("key").mapInArrow(_links(label_of), "a long, b long"))
+
+    chosen = members.groupBy("s").agg(F.max(F.struct("c", "key")).alias("m")).select("s", "m.key")
+    chosen = stash.save(chosen.groupBy("key").agg(F.count("*").alias("c"), F.min("s").alias("y")).where("c > 1").join(chosen, "key"))
+    blocks, own = _block(F.col("c"))
+    every = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.xxhash64("key", j))
+    first = compare(chosen.select("s", F.explode(F.when(F.col("s") == F.col("y"), every).otherwise(F.array(F.xxhash64("key", own)))).alias("key")))
+    group = stash.save(connected_components(first, stash))
+
+    left = members.join(group, F.col("s") == F.col("node"), "left").select("s", "key", "c", F.coalesce("component", "s").alias("g"))
+    per = left.groupBy("key", "g").agg(F.count("*").alias("n"))
+    mixed = per.groupBy("key").agg(F.max(F.struct("n", "g")).alias("m"), F.count("*").alias("gs")).where("gs > 1").select("key", "m")
+    # of small buckets all of whose sets were compared above, nothing is left
+    asked = chosen.where(F.col("c") <= BLOCK // 2).groupBy("key").agg(F.count("*").alias("asked"))
+    left = left.join(mixed, "key").join(asked, "key", "left").where("asked IS NULL OR asked < c").withColumn("inside", F.col("g") == F.col("m.g"))
+    ins, own_in = _block(F.col("m.n"))
+    outs, own_out = _block(F.col("c") - F.col("m.n"))
+    inside = F.transform(F.sequence(F.lit(0), outs - 1), lambda a: F.xxhash64("key", F.lit("in"), a, own_in))
+    outside = F.concat(F.transform(F.sequence(F.lit(0), ins - 1), lambda b: F.xxhash64("key", F.lit("in"), own_out, b)), F.transform(F.sequence(F.lit(0), outs - 1), lambda a: F.xxhash64("key", F.lit("out"), F.least(a, own_out), F.greatest(a, own_out))))
+    places = F.when(F.col("c") <= BLOCK, F.array("key")).when(F.col("inside"), inside).otherwise(outside)
+    second = compare(left.select("s", F.explode(places).alias("key")))
+    return stash.save(connected_components(first.unionByName(second), stash))
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id), a row for each row of docs with an id: the smallest id of the texts linked with it, directly or
-    through others. Texts without words link with each other alone. An empty table gives an empty result."""
+    """(id, k, component_id, kept): a row for each row of docs with an id. component_id is the smallest id of the texts linked
+    with it, directly or through others; of each component one (id, k) is kept, the smallest one.
+
+    k, near_key of the row, tells rows with equal ids and different texts apart; rows alike in both are alike in
+    all columns here. Texts without words link with each other alone. Null texts are empty, rows with a null id are
+    left out, an empty table gives an empty result, and other columns are ignored.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     stash = Stash(spark, "nearcopies")
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("string"), F.lit(5), text_col).alias("k"), F.col(text_col).alias("text"))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), near_key(id_col, text_col).alias("k"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t) for t in b.column(0).to_pylist()]
+            sets = shingle_sets(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], ["h"])
 
     share = min(1.0, SAMPLE / max(1, rows.count()))
@@ -84,50 +172,37 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t) for t in b.column(2).to_pylist()]
+            sets = shingle_sets(b.column(2).to_pylist())
             names = np.array([xxhash.xxh64_intdigest(s.tobytes(), 8) for s in sets], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(s) for s in sets], np.uint64).reshape(-1, 2)
+            table = np.ascontiguousarray(pivot_table(fp)).view(np.int64)  # a byte for each reference
             keys = [prefix(s, *lookup.value).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names), pa.array(keys, pa.list_(pa.int64()))], ["id", "k", "s", "keys"])
+            facts = [pa.array(c) for c in (names, np.array([len(s) for s in sets], np.int64), *fp.view(np.int64).T, *table.T)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *facts, _listed(keys, pa.int64())], ["id", "k", "s", "n", "f1", "f2", "p1", "p2", "keys"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t).view(np.int64) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["s", "shingles"])
-
-    found = stash.save(rows.mapInArrow(find, "id long, k long, s long, keys array<long>"))
-    distinct = stash.save(found.groupBy("s").agg(F.min(F.struct("id", "k", "keys")).alias("one")))
-    keyed = distinct.select("s", F.explode("one.keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor("s").alias("x"), F.min("s").alias("y")).where("c > 1")
-    buckets = stash.save(buckets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key", "c", "y"))  # of buckets with equal members, one
-    members = stash.save(keyed.join(buckets, "key"))
-    wanted = members.select("s").distinct().join(distinct, "s").select("s", F.col("one.k").alias("k"))
+            yield pa.RecordBatch.from_arrays([b.column(0), _listed([s.view(np.int64) for s in shingle_sets(b.column(1).to_pylist())], pa.int64())], ["s", "shingles"])
+
+    found = stash.save(rows.mapInArrow(find, "id long, k long, s long, n long, f1 long, f2 long, p1 long, p2 long, keys array<long>"))
+    facts = stash.save(found.groupBy("s").agg(F.min(F.struct("id", "k")).alias("one"), *[F.first(c).alias(c) for c in ("n", "f1", "f2", "p1", "p2", "keys")]))
+    keyed = facts.select("s", F.explode("keys").alias("key"))
+    met = stash.save(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    keyed = stash.save(keyed.join(met, "key"))
+    buckets = keyed.groupBy("key").agg(F.first("c").alias("c"), F.bit_xor("s").alias("x"), F.min("s").alias("y"))
+    buckets = stash.save(buckets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))  # of buckets with equal members, one
+    members = stash.save(keyed.join(buckets, "key").select("s", "key", "c"))
+    close = linked_in_buckets(members, facts.select("s", "n", "f1", "f2", "p1", "p2"), _by_fingerprint, stash)
+
+    groups = stash.save(close.join(close.groupBy("component").agg(F.count("*").alias("c")), "component").select(F.col("node").alias("s"), F.col("component").alias("key"), "c"))
+    wanted = groups.join(facts, "s").select("s", F.col("one.k").alias("k"))
     sets = stash.save(rows.select("k", "text").join(wanted, "k").select("s", "text").mapInArrow(again, "s long, shingles array<long>").dropDuplicates(["s"]))
+    linked = linked_in_buckets(groups, sets, _by_set, stash)
 
-    def compare(placed: DataFrame) -> DataFrame:
-        return stash.save(placed.join(sets, "s").repartition("key").sortWithinPartitions("key").mapInArrow(_verified, "a long, b long"))
+    named = stash.save(facts.select("s", "one").join(linked, F.col("s") == F.col("node"), "left").select("s", "one", F.coalesce("component", "s").alias("g")))
+    named = named.join(named.groupBy("g").agg(F.min("one").alias("kept")), "g").select("s", "kept")
+    return found.select("id", "k", "s").join(named, "s").select("id", "k", F.col("kept.id").alias("component_id"), ((F.col("id") == F.col("kept.id")) & (F.col("k") == F.col("kept.k"))).alias("kept"))
 
-    # first each set at its most common shingle; blocks of a large bucket have its first member in common
-    chosen = members.groupBy("s").agg(F.max(F.struct("c", "key")).alias("m")).select("s", "m.key")
-    chosen = stash.save(chosen.groupBy("key").agg(F.count("*").alias("c"), F.min("s").alias("y")).where("c > 1").join(chosen, "key"))
-    blocks, own = _block(F.col("c"))
-    every = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.xxhash64("key", j))
-    first = compare(chosen.select("s", F.explode(F.when(F.col("s") == F.col("y"), every).otherwise(F.array(F.xxhash64("key", own)))).alias("key")))
-    group = stash.save(connected_components(first, stash))
-
-    # then wherever several groups meet: the sets outside the bucket's largest group with all others
-    left = members.join(group, F.col("s") == F.col("node"), "left").select("s", "key", "c", F.coalesce("component", "s").alias("g"))
-    per = stash.save(left.groupBy("key", "c", "g").agg(F.count("*").alias("n")))
-    mixed = per.groupBy("key").agg(F.max(F.struct("n", "g")).alias("m"), F.count("*").alias("gs")).where("gs > 1").select("key", "m")
-    left = left.join(mixed, "key").withColumn("inside", F.col("g") == F.col("m.g"))
-    ins, own_in = _block(F.col("m.n"))
-    outs, own_out = _block(F.col("c") - F.col("m.n"))
-    inside = F.transform(F.sequence(F.lit(0), outs - 1), lambda a: F.xxhash64("key", F.lit("in"), a, own_in))
-    outside = F.concat(F.transform(F.sequence(F.lit(0), ins - 1), lambda b: F.xxhash64("key", F.lit("in"), own_out, b)), F.transform(F.sequence(F.lit(0), outs - 1), lambda a: F.xxhash64("key", F.lit("out"), F.least(a, own_out), F.greatest(a, own_out))))
-    places = F.when(F.col("c") <= BLOCK, F.array("key")).when(F.col("inside"), inside).otherwise(outside)
-    second = compare(left.select("s", F.explode(places).alias("key")))
 
-    linked = stash.save(connected_components(first.unionByName(second), stash))
-    named = distinct.select("s", F.col("one.id").alias("low")).join(linked, F.col("s") == F.col("node"), "left").select("s", "low", F.coalesce("component", "s").alias("g"))
-    named = stash.save(named)
-    named = named.join(named.groupBy("g").agg(F.min("low").alias("component_id")), "g").select("s", "component_id")
-    return found.select("id", "s").join(named, "s").select("id", "component_id")
+def near_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.lit(5), text_col)

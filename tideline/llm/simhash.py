@@ -1,25 +1,28 @@
-"""SimHash near-duplicates: 64-bit fingerprints linked at few differing bits, found through pivot distance tables.
+"""SimHash near-duplicates: 64-bit fingerprints linked at few differing bits, with pivot distance tables.
 
-Which pairs are compared is settled by an exact pigeonhole rule (two fingerprints within `radius` bits agree on at
-least `m - radius` of m bit blocks), so no link is lost. Within a bucket of agreeing fingerprints the pivot table,
-the Hamming distances to `PIVOTS` reference fingerprints computed once for each fingerprint, discards every pair whose
-largest coordinate difference exceeds the radius (triangle inequality); survivors are verified bit by bit.
+Distances to reference fingerprints alone give no key to join on, so which pairs meet is settled by an exact pigeonhole rule
+(two fingerprints within `radius` bits agree on at least `m - radius` of m bit blocks): no link is lost. The pivot table, the
+Hamming distances to `PIVOTS` reference fingerprints, is computed once for each distinct fingerprint and goes with it into
+its buckets. There it orders the fingerprints, so that only those within the radius in the first coordinate are paired, and
+discards every pair whose largest coordinate difference exceeds the radius (triangle inequality); survivors are verified bit by bit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import Stash, by_group, connected_components, labels_of, small_batches
 
 PIVOTS = 16
+TABLE = ("p1", "p2")  # the pivot table of a fingerprint, a byte a distance
 RADIUS = 4
 WORDS = 4
 #: Distinct fingerprints in a bucket beyond which it is dealt again by a further bit block (no pair is lost).
@@ -39,12 +42,19 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
         ends, starts = ends[words - 1 :], starts[: -(words - 1) or None]
     else:
         ends, starts = ends[-1:], starts[:1]
-    ones, digest = np.zeros(64, np.int64), xxhash.xxh64_digest
+    digest, h = xxhash.xxh64_intdigest, np.empty(len(starts), np.uint64)
     for at in range(0, len(starts), _CHUNK):
         s, e = starts[at : at + _CHUNK].tolist(), ends[at : at + _CHUNK].tolist()
-        raw = np.frombuffer(b"".join([digest(joined[x:y], 42) for x, y in zip(s, e)]), np.uint8)
-        ones += np.unpackbits(raw.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
+        h[at : at + _CHUNK] = [digest(joined[x:y], 42) for x, y in zip(s, e)]
+    return majority_bits(h)
+
+
+def majority_bits(h: np.ndarray) -> int:
+    """The 64 majority bits of 64-bit hashes; none give 0."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), _CHUNK):
+        ones += np.unpackbits(h[at : at + _CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -59,20 +69,28 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(work, "id long, fp long")
 
 
-def pivots(n: int = PIVOTS) -> np.ndarray:
-    """The reference fingerprints: fixed, spread over the 64-bit space."""
-    return np.random.default_rng(64).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.arange(n, dtype=np.uint64) % np.uint64(2)
+def pivots(n: int = PIVOTS, words: int = 1) -> np.ndarray:
+    """The reference fingerprints (n x words of 64 bits): fixed, spread over the whole space."""
+    return np.frombuffer(np.random.default_rng(64).bytes(8 * n * words), np.uint64).reshape(n, words)
 
 
 def pivot_table(fp: np.ndarray, n: int = PIVOTS) -> np.ndarray:
-    """Hamming distances of each fingerprint (rows) to each reference fingerprint."""
-    return np.bitwise_count(fp.view(np.uint64)[:, None] ^ pivots(n)[None, :]).astype(np.int8)
+    """Hamming distances, a byte each, of fingerprints (rows of 64-bit words) to each reference fingerprint."""
+    out = np.zeros((len(fp), n), np.uint8)
+    for k, p in enumerate(pivots(n, fp.shape[1])):
+        out[:, k] = np.bitwise_count(fp ^ p).sum(axis=1)
+    return out
 
 
-def _links(key: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
+def pivot_columns(fp: str = "fp") -> list[Column]:
+    """The pivot table of a 64-bit fingerprint column as long columns p1, p2, ... with eight distances each, a byte a distance."""
+    near = [F.bit_count(F.col(fp).bitwiseXOR(F.lit(int(p)))).cast("long") for p in pivots().view(np.int64).ravel()]
+    return [reduce(Column.bitwiseOR, [F.shiftleft(d, 8 * k) for k, d in enumerate(near[at : at + 8])]).alias(f"p{at // 8 + 1}") for at in range(0, PIVOTS, 8)]
+
+
+def _links(key: np.ndarray, fp: np.ndarray, table: np.ndarray, radius: int) -> np.ndarray:
     """Group label (an index) of each row: rows of one key linked within the radius, directly or through others."""
     n = len(fp)
-    table = pivot_table(fp)
     order = np.lexsort((table[:, 0], key))
     key, fp, table = key[order], fp.view(np.uint64)[order], table[order]
     first, label = table[:, 0], np.arange(n)
@@ -101,8 +119,9 @@ def _links(key: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
 def _in_buckets(radius: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def piece(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            key, fp, rep = (t.column(c).to_numpy() for c in ("key", "fp", "rep"))
-            label = _links(key, fp, radius)
+            key, fp, rep, *table = (t.column(c).to_numpy() for c in ("key", "fp", "rep", *TABLE))
+            table = np.ascontiguousarray(np.stack(table, axis=1)).view(np.uint8).astype(np.int16)
+            label = _links(key, fp, table, radius)
             low = np.full(len(rep), np.iinfo(np.int64).max)
             np.minimum.at(low, label, rep)
             low = low[label]
@@ -132,22 +151,30 @@ def fingerprint_components(distinct: DataFrame, stash: Stash, radius: int = RADI
     """(rep, component) of the representatives (fp long, rep long) that link with any other fingerprint.
 
     Buckets with more than `bucket` fingerprints are dealt again by the blocks of the remaining bits (again one at
-    least must agree), so hot buckets shrink and no pair is lost; the last level compares what is left in blocks.
+    least must agree), so hot buckets shrink and no pair is lost. Buckets that stay larger after that are cut into blocks, and
+    every pair of blocks is a bucket of its own.
     """
     n = distinct.count()
     m = _blocks_for(n, radius)
+    facts = ("fp", "rep", *TABLE)
+    distinct = distinct.select("fp", "rep", *pivot_columns())
     keys = [F.xxhash64(F.lit(i), *[_block(m, k) for k in c]) for i, c in enumerate(combinations(range(m), m - radius))]
-    rows = stash.save(distinct.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep"))
+    rows = stash.save(distinct.select(F.explode(F.array(*keys)).alias("key"), *facts))
     found = []
     for level in range(3):
-        hot = rows.groupBy("key").count().where(F.col("count") > bucket).select("key")
-        hot = stash.save(hot.coalesce(1)) if level < 2 else None
-        if hot is None or not hot.count():
+        hot = stash.save(rows.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > bucket).coalesce(1))
+        if hot.isEmpty():
             found.append(rows)
             break
         found.append(rows.join(hot, "key", "left_anti"))
-        finer = [F.xxhash64("key", F.lit(k), _block(2 * radius + 2 + 3 * level, k)) for k in range(2 * radius + 2 + 3 * level)]
-        rows = stash.save(rows.join(hot, "key").select(F.explode(F.array(*finer)).alias("key"), "fp", "rep"))
+        of = 2 * radius + 2 + 3 * level
+        blocks = F.ceil(F.col("c") / max(1, bucket // 2)).cast("int")
+        own = F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.xxhash64("key", F.least(j, own), F.greatest(j, own)))
+        finer = F.array(*[F.xxhash64("key", F.lit(k), _block(of, k)) for k in range(of)]) if level < 2 else pairs
+        rows = stash.save(rows.join(hot, "key").select(F.explode(finer).alias("key"), *facts))
+        if level == 2:
+            found.append(rows)
     links = None
     for part in found:
         got = part.repartition("key").sortWithinPartitions("key").mapInArrow(_in_buckets(radius), "a long, b long")
