@@ -23,10 +23,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at a Jaccard similarity of 0.8 of five-word shingles: the one with the smallest
-    doc_id. Rows without a doc_id stay."""
-    found = nearcopies.near_copies(docs).where("id <> component_id").select(F.col("id").alias("doc_id"))
-    return docs.join(found, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """One row of each group of texts linked at a Jaccard similarity of 0.8 of five-word shingles: the one with the smallest
+    doc_id, and of rows alike in doc_id and text one. Rows are told apart by doc_id and text, so different texts under one
+    doc_id are judged each; rows without a doc_id stay; null texts are empty and copies of each other."""
+    found = nearcopies.near_copies(docs).where("kept").select("id", F.col("k").alias("near_key")).distinct()
+    keyed = docs.select(*COLUMNS).withColumn("near_key", nearcopies.near_key("doc_id", "text"))
+    kept = keyed.join(found, (F.col("id") == F.col("doc_id").cast("long")) & keyed["near_key"].eqNullSafe(found["near_key"])).select(keyed["near_key"], *COLUMNS)
+    return kept.dropDuplicates(["doc_id", "near_key"]).select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
