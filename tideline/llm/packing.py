@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import base64
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +22,26 @@ END = 1
 WINDOW = 4096
 
 
+#: Fixed value: the vocabulary's special token; the ranks leave its id free.
+SPECIAL = {"<|endoftext|>": 50256}
+
+
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str):
-    """Encoder of a byte-level BPE vocabulary given as ranks (`.tiktoken`), or as `.json` for the tokenizers library."""
+    """Encoder of a byte-level BPE vocabulary given as `.json` for the tokenizers library, or as ranks (`.tiktoken`), which
+    give the same ids. The string of a special token in a text is that token, as in the library."""
     if vocabulary.endswith(".json"):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(vocabulary)
-        t.encode_special_tokens = True
         return lambda text: t.encode(text, add_special_tokens=False).ids
     import public_tokenizers
     import tiktoken
 
     with open(vocabulary, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    return lambda text: e.encode(text, allowed_special="all")
 
 
 def dot_product_pack(demand: np.ndarray, capacity: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
@@ -72,58 +77,81 @@ def dot_product_pack(demand: np.ndarray, capacity: np.ndarray) -> tuple[list[lis
     return bins, np.array(used).reshape(len(bins), -1)
 
 
-PIECES = "doc_id long, row_in_task long, start long, length long, ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long, sequence_tokens long"
+PIECES = "doc_id long, row_in_task long, start long, length long, ids binary, doc_tokens long, loss_tokens long, loss_mask binary, sequence_id long, offset long, sequence_tokens long"
+
+
+class Piece(NamedTuple):
+    doc: int | None
+    row: int
+    start: int
+    ids: np.ndarray
+    tokens: int  # of its document
+    mask: np.ndarray | None  # which ids bear loss; None: all
+
+    @property
+    def loss(self) -> int:
+        return len(self.ids) if self.mask is None else int(self.mask.sum())
 
+    def fitting(self, tokens: int, loss: int) -> int:
+        """How many of the first ids keep within both bounds."""
+        if self.mask is None:
+            return min(tokens, loss, len(self.ids))
+        return min(tokens, int(np.searchsorted(np.cumsum(self.mask), loss, side="right")), len(self.ids))
+
+    def cut(self, at: int) -> tuple[Piece, Piece]:
+        head, tail = (None, None) if self.mask is None else (self.mask[:at], self.mask[at:])
+        return self._replace(ids=self.ids[:at], mask=head), self._replace(start=self.start + at, ids=self.ids[at:], mask=tail)
+
+
+def _packer(vocabulary: str, size: int, segments: int, loss_limit: int, end: int, turns: bool):
+    def encoded(encode, value) -> tuple[np.ndarray, np.ndarray | None]:
+        if not turns:
+            return np.array([*encode(value or ""), end], "<u4"), None
+        parts = [(encode(x["text"] or ""), bool(x["loss"])) for x in value or [] if x is not None]
+        mask = [np.full(len(ids), loss) for ids, loss in parts]
+        return np.array([*(i for ids, _ in parts for i in ids), end], "<u4"), np.concatenate([*mask, [parts[-1][1] if parts else False]])
 
-def _packer(vocabulary: str, size: int, segments: int, loss_limit: int, end: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         base = TaskContext.get().partitionId() << 40
         state = {"sequence": 0, "row": 0}
-        open_: list[tuple] = []  # (doc_id, row, start, ids, doc_tokens, loss)
+        open_: list[Piece] = []
         ready: list[tuple] = []
 
-        def put(pieces: list[tuple]) -> None:
-            at, total, seq = 0, sum(len(p[3]) for p in pieces), base + state["sequence"]
+        def put(pieces: list[Piece]) -> None:
+            at, total, seq = 0, sum(len(p.ids) for p in pieces), base + state["sequence"]
             state["sequence"] += 1
-            for doc, row, start, ids, n, loss in pieces:
-                ready.append((doc, row, start, len(ids), ids.tobytes(), n, loss, seq, at, total))
-                at += len(ids)
+            for p in pieces:
+                ready.append((p.doc, p.row, p.start, len(p.ids), p.ids.tobytes(), p.tokens, p.loss, None if p.mask is None else p.mask.astype(np.uint8).tobytes(), seq, at, total))
+                at += len(p.ids)
 
         def place(last: bool) -> None:
             """Pack the open pieces; a bin with room is filled by cutting the next piece, so only the last few stay short."""
             nonlocal open_
             if not open_:
                 return
-            demand = np.array([(len(p[3]), 1, p[5]) for p in open_], np.int64)
+            demand = np.array([(len(p.ids), 1, p.loss) for p in open_], np.int64)
             bins, _ = dot_product_pack(demand, np.array([size, segments, loss_limit]))
-            groups, rest = [[open_[i] for i in b] for b in bins], []
-            full = []
-            donors = list(range(len(groups) - 1, -1, -1))
+            groups, rest, full = [[open_[i] for i in b] for b in bins], [], []
+            donor = len(groups) - 1
             for k, g in enumerate(groups):
-                used, loss = sum(len(p[3]) for p in g), sum(p[5] for p in g)
-                while used < size and len(g) < segments and donors:
-                    while donors and (donors[0] <= k or not groups[donors[0]]):
-                        donors.pop(0)
-                    if not donors:
+                tokens, loss = sum(len(p.ids) for p in g), sum(p.loss for p in g)
+                while tokens < size and len(g) < segments:
+                    while donor > k and not groups[donor]:
+                        donor -= 1
+                    if donor <= k:
                         break
-                    source = groups[donors[0]]
-                    p = source.pop()
-                    take = min(size - used, len(p[3]))
-                    loss_take = min(p[5], take)
-                    if loss + loss_take > loss_limit:
-                        take = loss_take = min(loss_limit - loss, take)
-                    if take <= 0:
-                        source.append(p)
+                    p = groups[donor].pop()
+                    at = p.fitting(size - tokens, loss_limit - loss)
+                    if not at:
+                        groups[donor].append(p)
                         break
-                    g.append((p[0], p[1], p[2], p[3][:take], p[4], min(p[5], take)))
-                    if take < len(p[3]):
-                        source.append((p[0], p[1], p[2] + take, p[3][take:], p[4], p[5] - min(p[5], take)))
-                    used += take
-                    loss += min(p[5], take)
-                if not g:
-                    continue
-                if used == size or len(g) >= segments:
+                    head, tail = p.cut(at)
+                    g.append(head)
+                    if len(tail.ids):
+                        groups[donor].append(tail)
+                    tokens, loss = tokens + at, loss + head.loss
+                if g and (tokens == size or len(g) >= segments or loss == loss_limit):
                     full.append(g)
                 else:
                     rest += g
@@ -133,31 +161,24 @@ def _packer(vocabulary: str, size: int, segments: int, loss_limit: int, end: int
             if last and open_:
                 if len(rest) < len(demand) or full:
                     return place(True)
-                for g in _powers(rest, min(size, loss_limit), segments):
+                for g in _powers(rest, size, segments, loss_limit):
                     put(g)
                 open_ = []
 
         def out() -> Iterator[pa.RecordBatch]:
             if ready:
-                cols = list(zip(*ready))
-                kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [x.split()[0] for x in PIECES.split(", ")])
+                kinds = {"long": pa.int64(), "binary": pa.binary()}
+                names, types = zip(*(x.split() for x in PIECES.split(", ")))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*ready), types)], list(names))
                 ready.clear()
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.array([*encode(text or ""), end], "<u4")
-                whole = len(ids) // size * size if loss_limit >= size else 0
-                step = size if whole else min(size, loss_limit)
-                whole = whole or (len(ids) // step * step if step < size else 0)
-                if step == size:
-                    for s in range(0, whole, size):
-                        put([(doc, state["row"], s, ids[s : s + size], len(ids), size)])
-                else:
-                    for s in range(0, whole, step):
-                        open_.append((doc, state["row"], s, ids[s : s + step], len(ids), step))
-                if whole < len(ids):
-                    open_.append((doc, state["row"], whole, ids[whole:], len(ids), len(ids) - whole))
+            for doc, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids, mask = encoded(encode, value)
+                left = Piece(doc, state["row"], 0, ids, len(ids), mask)
+                while len(left.ids):  # whole sequences of one document are not packed
+                    head, left = left.cut(left.fitting(size, loss_limit))
+                    put([head]) if len(head.ids) == size else open_.append(head)
                 state["row"] += 1
                 if len(open_) >= WINDOW:
                     place(False)
@@ -169,35 +190,45 @@ def _packer(vocabulary: str, size: int, segments: int, loss_limit: int, end: int
     return work
 
 
-def _powers(pieces: list[tuple], size: int, segments: int) -> list[list[tuple]]:
+def _powers(pieces: list[Piece], size: int, segments: int, loss_limit: int) -> list[list[Piece]]:
     """Cut the last pieces of a task into sequences whose lengths are powers of two, which need no padding."""
-    groups, flat = [], list(pieces)
-    left = sum(len(p[3]) for p in flat)
+    groups, flat = [], list(reversed(pieces))
+    left = sum(len(p.ids) for p in flat)
     while left:
-        room = 1 << (min(left, size).bit_length() - 1)
-        g = []
-        while room and len(g) < segments:
-            doc, row, start, ids, n, loss = flat.pop(0)
-            take = min(room, len(ids))
-            g.append((doc, row, start, ids[:take], n, min(loss, take)))
-            if take < len(ids):
-                flat.insert(0, (doc, row, start + take, ids[take:], n, loss - min(loss, take)))
-            room -= take
-            left -= take
-        groups.append(g)
+        taken, loss, tokens = [], 0, 0
+        while flat and tokens < size and len(taken) < segments and (at := flat[-1].fitting(size - tokens, loss_limit - loss)):
+            head, tail = flat.pop().cut(at)
+            if len(tail.ids):
+                flat.append(tail)
+            taken.append(head)
+            tokens, loss = tokens + at, loss + head.loss
+        over = tokens - (1 << (tokens.bit_length() - 1))
+        while over:  # what is over a power of two goes back
+            p = taken.pop()
+            keep, back = p.cut(max(0, len(p.ids) - over))
+            over -= len(back.ids)
+            flat.append(back)
+            if len(keep.ids):
+                taken.append(keep)
+        groups.append(taken)
+        left -= sum(len(p.ids) for p in taken)
     return groups
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, segments: int = SEGMENTS, loss_limit: int | None = None, end: int = END) -> DataFrame:
     """Pieces of the documents' token ids in sequences, columns PIECES (`ids`: little-endian unsigned 32-bit).
 
-    A sequence obeys three limits at once: `size` tokens, `segments` pieces and `loss_limit` loss-bearing tokens
-    (every token of a plain document bears loss). Runs of whole sequences within a document are cut off first; the
-    rest is packed by `dot_product_pack` over windows of open pieces in each task, remaining room is filled by cutting,
-    and what a task has at its end goes into power-of-two lengths. No shuffle: a task packs its own rows.
-    A null text is empty (its end id alone), a null id stays null, repeated rows are packed each, an empty table gives
-    an empty result and other columns are ignored.
+    The text column holds plain texts, every token of which bears loss, or instruction data: an array of turns
+    struct<text string, loss boolean>, each encoded on its own, where the tokens of the turns marked bear loss (the end id as
+    the last turn does). `loss_mask` has a byte, 0 or 1, for each id of a piece; null: all ones.
+
+    A sequence obeys three limits at once: `size` tokens, `segments` pieces and `loss_limit` loss-bearing tokens. Runs of whole
+    sequences within a document are cut off first; the rest is packed by `dot_product_pack` over windows of open pieces
+    in each task, remaining room is filled by cutting, and what a task has at its end goes into power-of-two lengths. No
+    shuffle: a task packs its own rows. A null text or turn is empty (no text: the end id alone), a null id stays null,
+    repeated rows are packed each, an empty table gives an empty result and other columns are ignored.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_packer(vocabulary, size, segments, loss_limit or size, end), PIECES)
+    turns = rows.schema["text"].dataType.typeName() == "array"
+    return rows.mapInArrow(_packer(vocabulary, size, segments, loss_limit or size, end, turns), PIECES)

@@ -17,7 +17,7 @@ PAYLOAD = 64
 def vocabulary() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json: the same ids, 3.5 times as fast
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json: the same ids (tested), 3.5 times as fast
 
 
 def op1_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
