@@ -1,8 +1,11 @@
 """Near-duplicate vectors through hierarchical navigable small-world graphs, one for each shard.
 
-Every vector is a query against every shard. Within a task the queries of a batch walk the graph in step, as array
-operations. A beam is widened for each query whose last place still lies within the similarity bound, and for all queries
-of a shard until an audit against brute force finds the recall asked for. Found pairs are verified in double precision.
+Each shard's graph is built once, by a task of its own, and written to the shared folder. Every vector is a query against every
+shard: a task loads one graph and a block of the queries, so neither grows with the table. Within a task the queries of a
+batch walk the graph in step, as array operations. A beam is widened for each query whose last place still lies within the
+similarity bound, and for all queries of a shard until an audit passes: vectors of all shards are compared by brute force with
+the shard, and their links and their nearest neighbours, themselves left out, must be found. Found pairs are verified in
+double precision.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Stash, connected_components, labels_of, small_batches
+from tideline.llm.common import Stash, by_group, connected_components, labels_of, small_batches
 
 COSINE = 0.9
 SHARDS = 8
@@ -22,7 +25,10 @@ SHARDS = 8
 SHARD_ROWS = 100_000
 LINKS = 16  # of a node on upper levels; twice as many on the lowest
 BEAM, BUILD_BEAM = 48, 48
-AUDIT, RECALL = 256, 0.995
+#: Queries of a task.
+QUERY_ROWS = 25_000
+#: Audit queries against each shard, neighbours of each that must be found beside its links, and the recall of either.
+AUDIT, NEAREST, RECALL = 256, 10, 0.99
 
 
 class Graph:
@@ -149,17 +155,43 @@ class Graph:
             rest, beam = rest[full], beam * 2
         return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
-    def audited_beam(self, q: np.ndarray, bound: float, beam: int) -> tuple[int, float]:
-        """The first beam, doubling, whose recall of the linked pairs of the audit queries reaches RECALL."""
-        truth = q @ self.x.T >= bound
-        total = int(truth.sum())
+    def audited_beam(self, q: np.ndarray, own: np.ndarray, bound: float, beam: int) -> tuple[int, float]:
+        """The first beam, doubling, whose recall of the links and of the NEAREST neighbours of the audit queries reaches
+        RECALL, and the smaller of the two recalls. own: a query's own node in this graph, or -1; it counts in neither."""
+        sims = q @ self.x.T
+        here = np.flatnonzero(own >= 0)
+        sims[here, own[here]] = -2
+        k = min(NEAREST, len(self.x) - 1)
+        links = sims >= bound
+        near = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k else np.zeros((len(q), 0), int)
+        least = np.take_along_axis(sims, near, 1).min(axis=1) if k else np.zeros(len(q))
         while True:
             a, b = self.within(q, bound, beam)
-            recall = float(truth[a, b].sum()) / total if total else 1.0
-            if recall >= RECALL or beam >= len(self.x):
-                return beam, recall
+            ids, found = self.nearest(q, beam)
+            hits = ((found >= least[:, None] - 1e-6) & (ids != own[:, None])).sum(axis=1)
+            recalls = [links[a, b].sum() / max(1, links.sum()) if links.any() else 1.0, np.minimum(hits, k).sum() / max(1, k * len(q)) if k else 1.0]
+            if min(recalls) >= RECALL or beam >= len(self.x):
+                return beam, float(min(recalls))
             beam *= 2
 
+    def rows(self) -> list[np.ndarray]:
+        """The links of each node, level by level."""
+        return [np.concatenate([self.next[lv][i] for lv in range(top + 1)]) for i, top in enumerate(self.level.tolist())]
+
+    @classmethod
+    def of_rows(cls, x: np.ndarray, level: np.ndarray, links: np.ndarray) -> Graph:
+        """The graph whose nodes' levels and rows, one after another, are given."""
+        g = cls.__new__(cls)
+        g.x, g.level, g.entry = np.ascontiguousarray(x, np.float32), level, int(np.argmax(level))
+        start = np.concatenate(([0], np.cumsum(LINKS * (level + 2))[:-1]))
+        g.next = [links[start[:, None] + np.arange(2 * LINKS)]]
+        for lv in range(1, int(level.max()) + 1):
+            upper = np.full((len(x), LINKS), -1, np.int32)
+            at = np.flatnonzero(level >= lv)
+            upper[at] = links[start[at, None] + LINKS * (lv + 1) + np.arange(LINKS)]
+            g.next.append(upper)
+        return g
+
 
 def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
@@ -169,31 +201,61 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy().astype(np.float64).reshape(len(lists), -1)
 
 
+def _build(bound: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (shard, kind, node, copies, v) sorted by shard: a shard's own vectors (kind 0) and the audit's (1)."""
+
+        def piece(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            shard, kind, node = (t.column(c).to_numpy() for c in ("shard", "kind", "node"))
+            v = t.column("v").combine_chunks()
+            for s in np.unique(shard).tolist():
+                own, audit = np.flatnonzero((shard == s) & (kind == 0)), np.flatnonzero((shard == s) & (kind == 1))
+                if not len(own):
+                    continue
+                own = own[np.argsort(node[own], kind="stable")]
+                x, q = _unit(_matrix(v.take(pa.array(own)))), _unit(_matrix(v.take(pa.array(audit))))
+                g, n = Graph(x), len(own)
+                at = np.minimum(np.searchsorted(node[own], node[audit]), n - 1)
+                beam, recall = g.audited_beam(q.astype(np.float32), np.where(node[own][at] == node[audit], at, -1), bound, BEAM) if len(audit) else (BEAM, 1.0)
+                links = g.rows()
+                ends = np.concatenate(([0], np.cumsum([len(r) for r in links]))).astype(np.int32)
+                few = t.take(pa.array(own)).combine_chunks()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, s, np.int32)), pa.array(np.arange(n, dtype=np.int32)), few.column("node").combine_chunks(), few.column("copies").combine_chunks(), few.column("v").combine_chunks(),
+                     pa.array(g.level.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(links))), pa.array(np.full(n, beam, np.int32)), pa.array(np.full(n, recall))],
+                    ["shard", "pos", "node", "copies", "v", "level", "links", "beam", "recall"],
+                )
+
+        yield from by_group(batches, "shard", piece)
+
+    return work
+
+
 def _search(bound: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (shard, kind): first a shard's own vectors, then the queries."""
-        shard, held, graph, own, beam = None, [], None, None, BEAM
+        """Rows sorted by (task, pos): first the nodes of a shard's graph, then queries (without a place, level and links)."""
+        task, held, graph, own, beam = None, [], None, None, BEAM
         for b in batches:
-            at, shards, kinds = 0, b.column(0).to_numpy(), b.column(1).to_numpy()
-            edges = np.flatnonzero((np.diff(shards) != 0) | (np.diff(kinds) != 0)) + 1
+            at, tasks, query = 0, b.column(0).to_numpy(), b.column(5).is_null().to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(tasks) != 0) | (np.diff(query.view(np.int8)) != 0)) + 1
             for end in [*edges.tolist(), b.num_rows]:
                 part = b.slice(at, end - at)
                 at = end
                 if not part.num_rows:
                     continue
-                if part.column(0)[0].as_py() != shard:
-                    shard, held, graph = part.column(0)[0].as_py(), [], None
-                if part.column(1)[0].as_py() == 0:
+                if part.column(0)[0].as_py() != task:
+                    task, held, graph = part.column(0)[0].as_py(), [], None
+                if not part.column(5)[0].is_valid:
+                    if not held:
+                        continue  # an empty shard
+                else:
                     held.append(part)
                     continue
-                if not held:
-                    continue  # an empty shard
                 if graph is None:
                     t = pa.Table.from_batches(held).combine_chunks()
                     own = (t.column("node").to_numpy(), t.column("copies").to_numpy(), _unit(_matrix(t.column("v").combine_chunks())))
-                    graph = Graph(own[2])
-                    pick = np.unique(np.linspace(0, len(own[0]) - 1, AUDIT).astype(int))
-                    beam, _ = graph.audited_beam(graph.x[pick], bound, BEAM)
+                    graph = Graph.of_rows(own[2], t.column("level").to_numpy().astype(np.int64), t.column("links").combine_chunks().flatten().to_numpy())
+                    beam = t.column("beam")[0].as_py()
                 step = int(max(64, min(1024, 3e7 // len(own[0]))))
                 for s in range(0, part.num_rows, step):
                     few = part.slice(s, step)
@@ -212,8 +274,13 @@ def _search(bound: float):
     return work
 
 
+def _dealt(rows: DataFrame, task: str, n: int, *then: str) -> DataFrame:
+    """rows by the hash of their task number, with so many partitions that few hold two of n tasks."""
+    return rows.repartition(min(8 * n, n + 2_000), task).sortWithinPartitions(task, *then)
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, shards: int = SHARDS) -> DataFrame:
-    """(id, n_links, component_id), a row for each input row.
+    """(id, n_links, component_id, recall), a row for each input row. recall: the smallest that the shards' audits found.
 
     Equal vectors are searched for once and count as linked. Rows whose vector is null, empty, zero, of another length
     than most, or holds nulls or non-finite numbers, and rows without an id, link with nothing: n_links is 0 and the
@@ -232,15 +299,22 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     rows = stash.save(rows.select("id", F.when(fine, F.xxhash64("v")).alias("node"), F.when(fine, F.col("v")).alias("v")))
     nodes = stash.save(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")))
     n = nodes.count()
-    count = max(shards, -(-n // SHARD_ROWS))
+    count, blocks = max(shards, -(-n // SHARD_ROWS)), max(1, -(-n // QUERY_ROWS))
+    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("shard")
     own = nodes.select(F.pmod(F.xxhash64("node", F.lit(1)), count).cast("int").alias("shard"), F.lit(0).alias("kind"), "node", "copies", "v")
-    queries = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("shard"), F.lit(1).alias("kind"), "node", "copies", "v")
-    dealt = own.unionByName(queries).repartitionByRange(count, "shard").sortWithinPartitions("shard", "kind")
-    found = stash.save(dealt.mapInArrow(_search(cosine), "node long, n long, other long"))
+    audit = nodes.orderBy(F.xxhash64("node", F.lit(2)), "node").limit(AUDIT).select(every, F.lit(1).alias("kind"), "node", "copies", "v")
+    graphs = _dealt(own.unionByName(audit), "shard", count).mapInArrow(_build(cosine), "shard int, pos int, node long, copies long, v array<double>, level int, links array<int>, beam int, recall double")
+    graphs = stash.save(graphs)
+    loads = graphs.select(F.explode(F.sequence(F.col("shard") * blocks, F.col("shard") * blocks + blocks - 1)).alias("task"), "pos", "node", "copies", "v", "level", "links", "beam")
+    block = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    queries = nodes.select(every, block.alias("block"), "node", "copies", "v").select((F.col("shard") * blocks + F.col("block")).alias("task"), F.lit((1 << 31) - 1).alias("pos"), "node", "copies", "v", none("int", "level"), none("array<int>", "links"), none("int", "beam"))
+    found = stash.save(_dealt(loads.unionByName(queries), "task", count * blocks, "pos").mapInArrow(_search(cosine), "node long, n long, other long"))
+    recall = graphs.agg(F.coalesce(F.min("recall"), F.lit(1.0)).alias("recall"))  # one row
     links = found.groupBy("node").agg(F.sum("n").alias("n"))
     parts = connected_components(found.where("n = 0").select(F.col("node").alias("a"), F.col("other").alias("b")), stash)
     parts = parts.join(nodes.select("node", "rep"), "node")
     parts = parts.join(parts.groupBy("component").agg(F.min("rep").alias("smallest")), "component").select("node", "smallest")
     facts = nodes.select("node", "rep", "copies").join(links, "node", "left").join(parts, "node", "left")
     facts = facts.select("node", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("smallest", "rep").alias("component_id"))
-    return rows.select("id", "node").join(facts, "node", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    return rows.select("id", "node").join(facts, "node", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id")).crossJoin(F.broadcast(recall))

@@ -80,7 +80,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at cosine 0.9."""
     out = hnsw.near_vectors(table(spark, sf_dir, "embeddings"))
-    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"), F.round("recall", 6).alias("audited_recall"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
