@@ -33,7 +33,7 @@ def test_restoring(spark):
 def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "some text"), (2, None), (None, "")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, label int")
-    assert [r.score for r in quality.score(docs, quality.fit(docs, none)).collect()] == [0.5] * 3
+    assert [r.score for r in quality.judge(docs, none).collect()] == [0.5] * 3
     assert [r.score for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()] == [0.5] * 3
 
 

@@ -68,10 +68,10 @@ def test_packing(odd, none):
 
 def test_scores(odd, none, spark):
     labels = spark.createDataFrame([(3, 1), (4, 0), (None, 1), (5, None), (77, 1)], "doc_id long, label int")
-    for module in (quality, toxicity):
-        model = module.fit(odd.select("doc_id", "text"), labels)
-        got = module.score(odd, model).collect()
-        assert len(got) == 8 and all(0 <= r.score <= 1 for r in got) and module.score(none, model).count() == 0
+    model = toxicity.fit(odd.select("doc_id", "text"), labels)
+    for got in (toxicity.score(odd, model).collect(), quality.judge(odd, labels).collect()):
+        assert len(got) == 8 and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.score(none, model).count() == 0 and quality.judge(none, labels).count() == 0
 
 
 def test_mixing(odd, none, spark):

@@ -107,3 +107,16 @@ def lines_of(text):
             out.append((at, w))
         at += len(w)
     return out
+
+
+@pytest.mark.parametrize("words", [1 << 18, 97])
+def test_band_keys_alike(monkeypatch, words):
+    """Band keys do not depend on how many paragraphs are taken at once."""
+    monkeypatch.setattr(passages, "_WORDS", words)
+    r = random.Random(4)
+    text = "\n".join(" ".join(prose(r, r.choice([3, 60, 250]))) for _ in range(80))
+    number, line, h = passages.words_of([text.encode(), b"", text.encode()])
+    text_, at, n, name, keys = passages.paragraphs(number, line, h, 51)
+    start = at + (text_ == 2) * (len(h) // 2)
+    monkeypatch.setattr(passages, "_WORDS", 1 << 18)
+    assert len(at) and (keys == [passages.band_keys(h[s : s + m]) for s, m in zip(start, n)]).all()

@@ -41,8 +41,7 @@ class Classifier:
     """Softmax over the bins of quality.describe's measures."""
 
     def __init__(self, x: np.ndarray, domain: np.ndarray, k: int = len(DOMAINS)):
-        self.bins = quality.fit_arrays(x[:0], x, 0.5)  # the edges alone
-        size = quality.N * quality.BINS + 1
+        self.bins, size = quality.Bins.of(x), quality.SIZE
         self.weights = np.zeros((size, k))
         if not len(x):
             return

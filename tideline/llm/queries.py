@@ -45,7 +45,7 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def _judged(docs: DataFrame, scores: DataFrame, out: int, folds: int, threshold: float) -> DataFrame:
+def _judged(scores: DataFrame, out: int, folds: int, threshold: float) -> DataFrame:
     held = F.coalesce(fold("id", folds) == out, F.lit(False))
     return scores.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -54,8 +54,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; labels of fold 0 of 5 are held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(fold("doc_id", 5) != 0)
-    model = quality.fit(docs.where(fold("doc_id", 5) != 0), labels)
-    return _judged(docs, quality.score(docs, model), 0, 5, 0.3)
+    return _judged(quality.judge(docs, labels), 0, 5, 0.3)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +73,7 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents; labels of fold 1 of 3 are held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _judged(docs, toxicity.score(docs, toxicity_model(spark, docs, sf_dir)), 1, 3, 0.7)
+    return _judged(toxicity.score(docs, toxicity_model(spark, docs, sf_dir)), 1, 3, 0.7)
 
 
 def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
