@@ -9,7 +9,8 @@ from tideline.operators import changes as C
 from tideline.operators import metadata, reconcile
 from tideline.plans import cdc
 from tideline.sources import readers
-from tideline.streaming.apply import BatchLedger, SnapshotTable, extract_increment, replay_checkpoint
+from tideline import storage
+from tideline.streaming.apply import BatchLedger, ChangePieces, change_stream, extract_increment, replay_checkpoint, replay_from, run_extract, send_retries, start_apply
 
 
 def state(df):
@@ -33,15 +34,110 @@ def test_any_order_and_split(spark, feed, seed):
     assert state(table) == want
 
 
+THIRDS = ("event_id < 300", "event_id >= 300 AND event_id < 700", "event_id >= 700")
+
+
+def pieces(spark, tmp_path, buckets=3):
+    return ChangePieces(spark, str(tmp_path / "t"), cdc.KEYS, "__cdc_sequencer", buckets)
+
+
 def test_replay_changes_nothing(spark, feed, tmp_path):
-    t = SnapshotTable(spark, str(tmp_path / "t"))
-    merge = lambda rows: lambda now: C.apply_changes(rows, cdc.KEYS, "__cdc_sequencer", now)
-    for batch, rows in enumerate([feed.where("event_id < 300"), feed.where("event_id >= 300 AND event_id < 700"), feed.where("event_id >= 700")]):
-        t.merge(batch, merge(rows))
+    t = pieces(spark, tmp_path)
+    assert t.read() is None and t.compact() is None
+    for batch, part in enumerate(THIRDS):
+        t.append("a", batch, feed.where(part))
         once = state(t.read())
-        t.merge(batch, merge(rows))
+        t.append("a", batch, feed.where(part))
         assert state(t.read()) == once
     assert once == state(C.apply_changes(feed, cdc.KEYS, "__cdc_sequencer"))
+    t.append("b", 0, feed.where(THIRDS[0]))  # another checkpoint counts from 0 again
+    assert state(t.read()) == once and len(t.pieces()) == 4
+    t.compact([1])
+    assert state(t.read()) == once
+    t.compact()
+    assert state(t.read()) == once and t.rows(t.pieces()).count() == t.read().count()
+
+
+def test_unfinished_piece_is_not_read(spark, feed, tmp_path):
+    """Files without the mark of a finished write, as a lost driver leaves them, do not count; the retry replaces them."""
+    t = pieces(spark, tmp_path)
+    t.append("a", 0, feed.where(THIRDS[0]))
+    once = state(t.read())
+    t.append("a", 1, feed.where(THIRDS[1]))
+    both = state(t.read())
+    (tmp_path / "t" / "run=a" / "batch=1" / "_SUCCESS").unlink()
+    assert state(t.read()) == once
+    t.append("a", 1, feed.where(THIRDS[1]))
+    assert state(t.read()) == both
+
+
+def test_lost_compaction(spark, feed, tmp_path, monkeypatch):
+    t = pieces(spark, tmp_path)
+    for batch, part in enumerate(THIRDS):
+        t.append("a", batch, feed.where(part))
+    once = state(t.read())
+    monkeypatch.setattr(storage, "delete", lambda *a: None)  # lost before the old files are removed
+    t.compact()
+    assert state(t.read()) == once and len(t.pieces()) == 4
+
+
+def test_empty_batches_do_nothing(spark, feed, tmp_path):
+    feed.limit(0).write.parquet(str(tmp_path / "in"))
+    t, ledger = pieces(spark, tmp_path), BatchLedger(spark, str(tmp_path / "ledger"), "app", "s")
+    stream = spark.readStream.schema(feed.schema).parquet(str(tmp_path / "in"))
+    start_apply(stream, t, str(tmp_path / "c"), ledger=ledger).awaitTermination()
+    assert t.pieces() == [] and not storage.exists(spark, str(tmp_path / "ledger"))
+
+
+def test_replay_under_a_new_checkpoint(spark, feed, tmp_path):
+    """A replay without a ledger adds what it holds and loses nothing; the ledger has each batch's own month."""
+    feed.write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(feed.schema).parquet(str(tmp_path / "in"))
+    t, ledger = pieces(spark, tmp_path), BatchLedger(spark, str(tmp_path / "ledger"), "app", "s")
+    start_apply(stream(), t, str(tmp_path / "c"), ledger=ledger, month=lambda: 202312).awaitTermination()
+    once = state(t.read())
+    assert ledger.done("apply", 0, 202401) and not ledger.done("apply", 0, 202311)
+    replay_from(stream(), "ts", "2024-01-20 00:00:00", t, str(tmp_path / "checkpoints")).awaitTermination()
+    assert state(t.read()) == once == state(C.apply_changes(feed, cdc.KEYS, "__cdc_sequencer")) and len(storage.folders(spark, t.path)) == 2
+    start_apply(stream(), t, str(tmp_path / "d"), run="again", ledger=ledger, month=lambda: 202401).awaitTermination()
+    assert len(storage.folders(spark, t.path)) == 2  # the ledger knew the batch, a month later
+
+
+def test_trigger(spark, feed, tmp_path):
+    feed.where(THIRDS[0]).write.parquet(str(tmp_path / "in"))
+    t = pieces(spark, tmp_path)
+    q = start_apply(spark.readStream.schema(feed.schema).parquet(str(tmp_path / "in")), t, str(tmp_path / "c"), trigger={"processingTime": "1 second"})
+    q.processAllAvailable()
+    q.stop()
+    assert state(t.read()) == state(C.apply_changes(feed.where(THIRDS[0]), cdc.KEYS, "__cdc_sequencer"))
+
+
+def test_change_stream(spark, feed, tmp_path):
+    t = pieces(spark, tmp_path)
+    t.append("a", 0, feed.where(THIRDS[0]))
+    rows = lambda: spark.read.parquet(str(tmp_path / "out"))
+    for batch, part in enumerate(THIRDS):
+        t.append("a", batch, feed.where(part)) if batch else None
+        change_stream(t).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+        assert rows().count() == t.rows(t.pieces()).count() and rows().where(f"batch = {batch}").count() > 0
+
+
+def test_stored_watermark(spark, tmp_path):
+    docs = spark.createDataFrame([(1, 10), (2, 20)], "id int, at int")
+    got = []
+    for df in (docs, docs, docs.unionByName(spark.createDataFrame([(3, 30)], "id int, at int"))):
+        run_extract(df, str(tmp_path / "x"), "at", "x", lambda rows: got.append(sorted(r.id for r in rows.collect())))
+    assert got == [[1, 2], [], [3]]
+
+
+def test_retries_come_back_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "U", None, 0), (2, "U", "x", 0), (3, "U", None, 1), (4, "I", None, 0)], "id int, op_type string, lob string, retries int")
+    ok, again = C.split_retries(rows, ["lob"])
+    send_retries(again, str(tmp_path / "retry"), 0)
+    send_retries(again, str(tmp_path / "retry"), 0)
+    back = spark.read.parquet(str(tmp_path / "retry")).drop("batch")
+    assert sorted(r.id for r in ok.collect()) == [2, 3, 4] and [r.id for r in back.collect()] == [1]
+    assert [r.id for r in C.split_retries(back.select(rows.columns), ["lob"])[0].collect()] == [1]
 
 
 def test_tie_prefers_the_upsert(spark):

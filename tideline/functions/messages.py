@@ -13,7 +13,7 @@ HEARTBEAT_PREFIX = "gg."
 def normalized_key(key: Column | str) -> Column:
     """Lower-case `db.schema.table`. A two-part key is a heartbeat and gets its database; a leading c## goes; others raise."""
     k = F.lower(F.col(key) if isinstance(key, str) else key)
-    plain = F.regexp_replace(k, "c##", "")
+    plain = F.regexp_replace(k, "^c##", "")
     parts = F.size(F.split(k, r"\."))
     bad = F.raise_error(F.concat(F.lit("message key is not db.schema.table: "), F.coalesce(k, F.lit("null")))).cast("string")
     beat = k.contains("heartbeat")

@@ -49,6 +49,11 @@ def apply_changes(changes: DataFrame, keys: list[str], sequence: str, current: D
     return latest(rows, keys, sequence, op).drop(op)
 
 
+def merged(states: DataFrame, keys: list[str], sequence: str) -> DataFrame:
+    """One table of several (with tombstones), whatever their order: the latest row of each key."""
+    return latest(states.withColumn("__op", F.when(F.col("__DeleteVersion").isNotNull(), "D").otherwise("U")), keys, sequence, "__op").drop("__op")
+
+
 def current_state(table: DataFrame) -> DataFrame:
     return table.where(F.col("__DeleteVersion").isNull())
 

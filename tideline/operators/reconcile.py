@@ -88,9 +88,10 @@ def count_tables(tables: dict[str, DataFrame], by: str) -> DataFrame:
     return out
 
 
-def data_sample(df: DataFrame, n: int, seed: int, **tags: str) -> DataFrame:
-    """n rows drawn at random, tagged with where they come from: a bounded sort, not a full one."""
-    out = df.orderBy(F.rand(seed)).limit(n)
+def data_sample(df: DataFrame, n: int, seed: int, keys: list[str], **tags: str) -> DataFrame:
+    """n rows drawn at random by the hash of their key, the same ones for a seed, tagged with where they come from: a bounded sort,
+    not a full one."""
+    out = df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), *keys)), *keys).limit(n)
     for name, value in tags.items():
         out = out.withColumn(name, F.lit(value))
     return out

@@ -13,7 +13,7 @@ from tideline.functions.messages import meta_map, normalized_key, path_fingerpri
 from tideline.operators import changes as C
 from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
 from tideline.sources.readers import table_stream
-from tideline.streaming.apply import BatchLedger, SnapshotTable, fork_batches, start_apply
+from tideline.streaming.apply import BatchLedger, ChangePieces, fork_batches, start_apply
 
 KEYS = ["key", "__schema_id"]
 
@@ -219,17 +219,17 @@ def _event_stream(spark, sf_dir):
 
 def stream_apply(spark, sf_dir):
     root = storage.fresh_dir(spark, "stream-apply")
-    target = SnapshotTable(spark, f"{root}/table")
-    start_apply(changes(event_feed(_event_stream(spark, sf_dir))), target, f"{root}/checkpoint", KEYS, "__cdc_sequencer").awaitTermination()
+    target = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer")
+    start_apply(changes(event_feed(_event_stream(spark, sf_dir))), target, f"{root}/checkpoint").awaitTermination()
     return flat(C.current_state(target.read()))
 
 
 def stream_ledger(spark, sf_dir):
     """The stream run twice from scratch under one ledger: the second run finds its batches done."""
     root = storage.fresh_dir(spark, "stream-ledger")
-    target, ledger = SnapshotTable(spark, f"{root}/table"), BatchLedger(spark, f"{root}/ledger", "app", "apply")
-    for run in (1, 2):
-        start_apply(changes(event_feed(_event_stream(spark, sf_dir))), target, f"{root}/checkpoint{run}", KEYS, "__cdc_sequencer", ledger=ledger, yyyymm=202401).awaitTermination()
+    target, ledger = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer"), BatchLedger(spark, f"{root}/ledger", "app", "apply")
+    for run in ("first", "second"):
+        start_apply(changes(event_feed(_event_stream(spark, sf_dir))), target, f"{root}/{run}", run=run, ledger=ledger).awaitTermination()
     done = spark.read.parquet(f"{root}/ledger/rows")
     rows = C.current_state(target.read()).agg(F.count("*").alias("n_live"))
     return rows.crossJoin(done.agg(F.max(F.col("batch_id").cast("long")).alias("last_batch"), (F.count("*") - F.countDistinct("batch_id")).alias("repeated_batches"))).select("n_live", "repeated_batches")

@@ -14,22 +14,22 @@ from tideline.operators import merge as M
 from tideline.operators import metadata as MD
 from tideline.operators import reconcile as R
 from tideline.plans.catalog import _versions
-from tideline.plans.cdc import KEYS, _message_keys, changes, feed
-from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, table, tenant_feed
+from tideline.plans.cdc import KEYS, _event_stream, _message_keys, changes, feed, flat
+from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
 from tideline.sources.readers import json_file_stream, text_file_stream
-from tideline.streaming.apply import SnapshotTable, change_feed, replay_checkpoint
+from tideline.streaming.apply import ChangePieces, change_feed, replay_from
 
 s = lambda c: F.col(c).cast("string")
 
 
 def change_feed_between(spark, sf_dir):
-    """Change feed between two versions of the current-state table."""
-    target = SnapshotTable(spark, storage.fresh_dir(spark, "feed"))
+    """Change feed that the second half of the changes makes to the current-state table of the first."""
+    target = ChangePieces(spark, storage.fresh_dir(spark, "feed"), KEYS, "__cdc_sequencer")
     c = changes(feed(spark, sf_dir))
-    half = c.where("ts < timestamp_ntz '2024-01-20 00:00:00'")
-    target.merge(0, lambda now: C.apply_changes(half, KEYS, "__cdc_sequencer", now))
-    target.merge(1, lambda now: C.apply_changes(c.where("ts >= timestamp_ntz '2024-01-20 00:00:00'"), KEYS, "__cdc_sequencer", now))
-    out = change_feed(target, 0, 1, KEYS)
+    target.append("first", 0, c.where("ts < timestamp_ntz '2024-01-20 00:00:00'"))
+    before = target.pieces()
+    target.append("first", 1, c.where("ts >= timestamp_ntz '2024-01-20 00:00:00'"))
+    out = change_feed(target, before, [p for p in target.pieces() if p not in before])
     return out.select("key", F.col("__schema_id").alias("schema_id"), "event_id", F.col("_change_type").alias("change_type"))
 
 
@@ -51,9 +51,9 @@ def lag_window(spark, sf_dir):
 
 
 def source_sample(spark, sf_dir):
-    """A random sample, tagged with its source: rows are checked to be the table's own by joining back."""
-    o = table(spark, sf_dir, "orders")
-    return R.data_sample(o.select("o_orderkey", "o_custkey"), 100, 7, src_db="db", src_table="orders").join(o.select("o_orderkey"), "o_orderkey", "left_semi").groupBy("src_db", "src_table").agg(F.count("*").alias("n"))
+    """A random sample, tagged with its source."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return R.data_sample(o, 100, 7, ["o_orderkey"], src_db="db", src_table="orders")
 
 
 def registry_table(spark, sf_dir):
@@ -115,11 +115,13 @@ def text_stream(spark, sf_dir):
 
 
 def replay_start(spark, sf_dir):
-    """A changed start timestamp takes another checkpoint folder; rows before the start are left out."""
-    start = "2024-01-18 00:00:00"
-    assert replay_checkpoint("/c", start) != replay_checkpoint("/c", "2024-01-18 00:00:01")
-    a = feed(spark, sf_dir).where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-    return a.groupBy("op_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+    """The apply stream from one start timestamp, then replayed from an earlier one under a checkpoint of its own into the same
+    table, then started again from that one, which resumes and adds nothing."""
+    root = storage.fresh_dir(spark, "replay")
+    target = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer")
+    for start in ("2024-01-18 00:00:00", "2024-01-10 00:00:00", "2024-01-10 00:00:00"):
+        replay_from(changes(event_feed(_event_stream(spark, sf_dir))), "ts", start, target, f"{root}/checkpoints").awaitTermination()
+    return flat(C.current_state(target.read())).crossJoin(F.broadcast(spark.createDataFrame([(len(storage.folders(spark, target.path)),)], "n_runs long")))  # one row
 
 
 def app_schema_pairs(spark, sf_dir):
@@ -228,7 +230,7 @@ SELECT key, schema_id, b AS event_id, 'insert' AS change_type FROM j WHERE a IS
 UNION ALL SELECT key, schema_id, a, 'update_preimage' FROM j WHERE a <> b UNION ALL SELECT key, schema_id, b, 'update_postimage' FROM j WHERE a <> b"""),
     (decode_by_registry, SQL_A + "z AS (SELECT 1) SELECT k % 4 AS schema_fingerprint, count(*) AS n, count(*) FILTER (WHERE k % 4 < 3 AND op_type <> 'D') AS n_decoded, CAST(sum(CASE WHEN k % 4 < 3 AND op_type <> 'D' THEN new_key END) AS BIGINT) AS key_sum FROM b GROUP BY 1"),
     (lag_window, "SELECT event_type, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS yyyymmdd, max(ts) AS max_ts, count(*) AS n FROM events WHERE user_id % 3 = 1 AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1, 2"),
-    (source_sample, "SELECT 'db' AS src_db, 'orders' AS src_table, least(count(*), 100) AS n FROM orders"),
+    (source_sample, "SELECT o_orderkey, o_custkey, o_orderstatus, 'db' AS src_db, 'orders' AS src_table FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 100"),
     (registry_table, """WITH k AS (SELECT DISTINCT 'c##db' || user_id % 3 || '.sch' || user_id % 2 || '.tab' || user_id % 5 || CASE WHEN user_id % 7 = 0 THEN '__dol' ELSE '' END AS key, event_id % 3 AS fp FROM events WHERE event_id % 50 <> 0)
 SELECT replace(split_part(key, '.', 3), '__dol', '$') AS table_name, count(*) AS n, count(DISTINCT key) AS n_keys FROM k GROUP BY 1"""),
     (overwrite_with_schema, "SELECT o_orderstatus, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS n_notes, count(*) AS n FROM orders GROUP BY 1"),
@@ -236,7 +238,9 @@ SELECT replace(split_part(key, '.', 3), '__dol', '$') AS table_name, count(*) AS
     (extract_status, "SELECT 'c' || user_id % 10 AS collection, count(*) AS n_fatal FROM events WHERE event_type = 'error' AND event_id % 2 = 1 GROUP BY 1"),
     (truncate_events_sink, SQL_A + "z AS (SELECT 1) SELECT 'accounts' AS target_table, schema_id, max(csn) AS csn, arg_max(pos, csn) AS pos, count(*) AS n, TRUE AS has_files FROM a WHERE op_type = 'D' AND k % 5 = 0 GROUP BY schema_id"),
     (text_stream, "SELECT n_name AS name, n_regionkey AS region FROM nation"),
-    (replay_start, SQL_A + "z AS (SELECT 1) SELECT op_type, count(*) AS n, min(event_id) AS first_event FROM a WHERE ts >= TIMESTAMP '2024-01-18' GROUP BY 1"),
+    (replay_start, SQL_A + """
+r AS (SELECT *, row_number() OVER (PARTITION BY key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM s WHERE ts >= TIMESTAMP '2024-01-10')
+SELECT key, schema_id, amount, note, event_id, csn, CAST(pk_rank AS BIGINT) AS pk_rank, CAST(2 AS BIGINT) AS n_runs FROM r WHERE rn = 1 AND op <> 'D'"""),
     (app_schema_pairs, "SELECT DISTINCT c_custkey % 20 AS app, c_nationkey AS schema_no, s_name AS app_name FROM customer JOIN supplier ON c_custkey % 20 = s_suppkey WHERE s_suppkey = 7"),
     (rows_by_database, "SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_nationkey) AS names FROM nation GROUP BY 1"),
     (distinct_names, "SELECT DISTINCT lower(p_type) AS name FROM part"),

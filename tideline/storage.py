@@ -26,20 +26,15 @@ def _file(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file through Spark's own file system."""
+def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _file(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+    return fs.exists(p)
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders in a folder, by name; none if it does not exist."""
     fs, p = _file(spark, path)
-    if not fs.exists(p):
-        return None
-    rows = spark.read.option("wholetext", "true").text(path).collect()
-    return rows[0].value if rows else ""
+    return sorted(str(x.getPath()) for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
 
 
 def delete(spark: SparkSession, path: str) -> None:

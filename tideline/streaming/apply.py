@@ -1,43 +1,65 @@
-"""Exactly-once upserts on plain columnar files: versioned snapshots behind a pointer, and a ledger of batches."""
+"""Exactly-once upserts on plain partitioned files: change pieces that are aggregated when read, and a ledger of batches."""
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline import storage
-from tideline.operators.changes import apply_changes
+from tideline.operators.changes import apply_changes, merged
 from tideline.types import COMPLETED_BATCH
 
+#: Folders by hash of key in every piece.
+BUCKETS = 16
 
-class SnapshotTable:
-    """A table whose versions are folders v=<batch>; a pointer file names the current one.
 
-    A batch writes its version, then moves the pointer. A batch that is retried writes the same version again from the one
-    before it, so its repetition changes nothing.
+class ChangePieces:
+    """Current state as files under run=<run>/batch=<batch>/bucket=<hash of key>.
+
+    A batch adds one piece, its latest row of each key, and reads nothing. The state is the latest row of each key over all
+    pieces, whatever their order, so a piece that is written again, or that a replay under another run repeats, changes
+    nothing. Only pieces whose write was finished are read. There is no other file that could be lost.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], sequence: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.keys, self.sequence, self.buckets = spark, path, keys, sequence, buckets
+
+    def _write(self, state: DataFrame, run: str, batch_id: int) -> None:
+        bucket = F.pmod(F.hash(*self.keys), self.buckets)
+        state.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/run={run}/batch={batch_id}")
+
+    def append(self, run: str, batch_id: int, changes: DataFrame) -> None:
+        self._write(apply_changes(changes, self.keys, self.sequence), run, batch_id)
 
-    def version(self) -> tuple[int, int]:
-        """(current version, the one before it); -1 for none."""
-        text = storage.read_text(self.spark, f"{self.path}/pointer")
-        return tuple(map(int, text.split(","))) if text else (-1, -1)
+    def pieces(self) -> list[str]:
+        """Folders of finished pieces."""
+        return [p for run in storage.folders(self.spark, self.path) for p in storage.folders(self.spark, run) if storage.is_file(self.spark, f"{p}/_SUCCESS")]
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.version()[0] if version is None else version
-        return self.spark.read.parquet(f"{self.path}/v={v}") if v >= 0 else None
+    def rows(self, pieces: list[str]) -> DataFrame | None:
+        """All rows of some pieces, with the piece they are in as columns run, batch and bucket."""
+        return self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(*pieces) if pieces else None
 
-    def merge(self, batch_id: int, merge: Callable[[DataFrame | None], DataFrame]) -> None:
-        now, before = self.version()
-        base = before if now == batch_id else now
-        merge(self.read(base) if base >= 0 else None).write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        storage.write_text(self.spark, f"{self.path}/pointer", f"{batch_id},{base}")
-        if base >= 0 and before >= 0 and before != base:
-            storage.delete(self.spark, f"{self.path}/v={before}")
+    def read(self, pieces: list[str] | None = None) -> DataFrame | None:
+        """State with tombstones, of all pieces or of some; None before the first one."""
+        rows = self.rows(self.pieces() if pieces is None else pieces)
+        return None if rows is None else merged(rows.drop("run", "batch", "bucket"), self.keys, self.sequence)
+
+    def compact(self, buckets: list[int] | None = None) -> None:
+        """Put the rows of some buckets (all if not given) into one piece. A loss between its write and the removal of the
+        old files leaves both, which changes nothing."""
+        pieces, wanted = self.pieces(), list(range(self.buckets)) if buckets is None else buckets
+        rows = self.rows(pieces)
+        if rows is None:
+            return
+        self._write(merged(rows.where(F.col("bucket").isin(wanted)).drop("run", "batch", "bucket"), self.keys, self.sequence), f"compact-{uuid.uuid4().hex}", 0)
+        for p in pieces:
+            for b in wanted:
+                storage.delete(self.spark, f"{p}/bucket={b}")
 
 
 class BatchLedger:
@@ -49,7 +71,7 @@ class BatchLedger:
 
     def done(self, query_id: str, batch_id: int, yyyymm: int) -> bool:
         before = yyyymm - 1 if yyyymm % 100 > 1 else yyyymm - 89
-        if storage.read_text(self.spark, f"{self.path}/created") is None:
+        if not storage.exists(self.spark, f"{self.path}/rows"):
             return False
         rows = self.spark.read.schema(COMPLETED_BATCH).parquet(f"{self.path}/rows").where(F.col("yyyymm").isin(yyyymm, before))
         return not rows.where((F.col("app") == self.app) & (F.col("stream_name") == self.stream) & (F.col("streaming_query_id") == query_id) & (F.col("batch_id") == str(batch_id))).isEmpty()
@@ -57,33 +79,59 @@ class BatchLedger:
     def log(self, query_id: str, batch_id: int, yyyymm: int) -> None:
         row = self.spark.range(1).select(F.lit(self.app).alias("app"), F.lit(self.stream).alias("stream_name"), F.lit(query_id).alias("streaming_query_id"), F.lit(str(batch_id)).alias("batch_id"), F.current_timestamp().alias("completed_at"), F.lit(yyyymm).cast("int").alias("yyyymm"))
         row.write.mode("append").partitionBy("yyyymm").parquet(f"{self.path}/rows")
-        storage.write_text(self.spark, f"{self.path}/created", "yes")
 
 
-def change_feed(table: SnapshotTable, first: int, last: int, keys: list[str], live: str = "__DeleteVersion IS NULL") -> DataFrame:
-    """Changes of the live rows between two versions: _change_type (insert, delete, update_preimage, update_postimage) and
-    _commit_version. Rows are compared by a hash of their content, so unchanged ones do not appear."""
-    columns = table.read(last).columns
-    rest = [c for c in columns if c not in keys]
-    side = lambda v, n: table.read(v).where(live).select(*keys, F.struct(*rest).alias(n), F.xxhash64(*rest).alias(f"{n}_hash"))
-    both = side(first, "old").join(side(last, "new"), keys, "full").where("NOT (old_hash <=> new_hash)")
+def change_feed(table: ChangePieces, before: list[str], added: list[str], live: str = "__DeleteVersion IS NULL") -> DataFrame:
+    """Changes that the pieces `added` make to the live rows of the pieces `before`: _change_type (insert, delete,
+    update_preimage, update_postimage). Only keys of the added pieces are compared, by a hash of their content."""
+    keys, new = table.keys, table.read(added)
+    touched = new.select(*keys)
+    old = table.read(before)
+    old = new.limit(0) if old is None else old.join(touched, keys, "left_semi")
+    rest = [c for c in new.columns if c not in keys]
+    side = lambda state, n: state.where(live).select(*keys, F.struct(*rest).alias(n), F.xxhash64(*rest).alias(f"{n}_hash"))
+    both = side(old, "old").join(side(merged(old.unionByName(new), keys, table.sequence), "new"), keys, "full").where("NOT (old_hash <=> new_hash)")
     row = lambda kind, image: F.struct(F.lit(kind).alias("_change_type"), F.col(image).alias("image"))
     rows = F.when(F.col("old").isNull(), F.array(row("insert", "new"))).when(F.col("new").isNull(), F.array(row("delete", "old"))).otherwise(F.array(row("update_preimage", "old"), row("update_postimage", "new")))
     out = both.select(*keys, F.explode(rows).alias("r"))
-    return out.select(*keys, "r.image.*", "r._change_type", F.lit(last).cast("long").alias("_commit_version"))
+    return out.select(*keys, "r.image.*", "r._change_type")
+
 
+def change_stream(table: ChangePieces, files: int = 1000) -> DataFrame:
+    """Stream of the rows of all pieces as they come: the latest change of each key in each batch, deletes as tombstones."""
+    shape = table.rows(table.pieces()).schema
+    return table.spark.readStream.schema(shape).option("maxFilesPerTrigger", files).parquet(table.path)
 
-def start_apply(changes: DataFrame, target: SnapshotTable, checkpoint: str, keys: list[str], sequence: str, name: str = "apply", ledger: BatchLedger | None = None, yyyymm: int = 197001):
-    """Stream of change rows into a snapshot table; drains what is there and stops."""
+
+def this_month() -> int:
+    now = datetime.now(timezone.utc)
+    return now.year * 100 + now.month
+
+
+def start_apply(changes: DataFrame, target: ChangePieces, checkpoint: str, name: str = "apply", run: str = "first", ledger: BatchLedger | None = None, month: Callable[[], int] = this_month, trigger: dict | None = None):
+    """Stream of change rows into a table. The default trigger drains what is there and stops; {"processingTime": ...} keeps on.
+
+    run names the checkpoint's life, so batches of another one, which count from 0 again, have pieces of their own. Batches
+    without rows do nothing; a batch that the ledger has (for `name`, by the month it is done in) is passed over.
+    """
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():
+            return
+        yyyymm = month()
         if ledger and ledger.done(name, batch_id, yyyymm):
             return
-        target.merge(batch_id, lambda current: apply_changes(df, keys, sequence, current))
+        target.append(run, batch_id, df)
         if ledger:
             ledger.log(name, batch_id, yyyymm)
 
-    return changes.writeStream.foreachBatch(batch).queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return changes.writeStream.foreachBatch(batch).queryName(name).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def replay_from(changes: DataFrame, stamp: str, start: str, target: ChangePieces, root: str, **options):
+    """start_apply over the changes at or after a start timestamp: another start replays under a checkpoint and run of its own."""
+    checkpoint = replay_checkpoint(root, start)
+    return start_apply(changes.where(F.col(stamp) >= F.lit(start).cast(changes.schema[stamp].dataType)), target, checkpoint, run=checkpoint.rsplit("/", 1)[-1].replace("=", "-"), **options)
 
 
 def fork_batches(stream: DataFrame, active: str, inactive: str, checkpoint: str, partitions: list[str], records: int = 1_000_000, flag: str = "is_active_event"):
@@ -101,8 +149,6 @@ def fork_batches(stream: DataFrame, active: str, inactive: str, checkpoint: str,
 
 def replay_checkpoint(root: str, start: str) -> str:
     """Checkpoint folder of a start timestamp: another start replays, the same one resumes."""
-    import re
-
     if not re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", start):
         raise ValueError(f"start timestamp {start!r} is not yyyy-MM-dd HH:mm:ss")
     return f"{root}/start={start.replace(' ', 'T').replace(':', '')}"
@@ -110,8 +156,22 @@ def replay_checkpoint(root: str, start: str) -> str:
 
 def extract_increment(docs: DataFrame, state: DataFrame | None, stamp: str, name: str) -> tuple[DataFrame, DataFrame]:
     """(documents after the stored watermark, new state row); an empty extract leaves the watermark."""
-    spark = docs.sparkSession
     mark = None if state is None else state.where(F.col("name") == name).agg(F.max("watermark")).first()[0]
     rows = docs if mark is None else docs.where(F.col(stamp) > F.lit(mark))
     new = rows.agg(F.coalesce(F.max(stamp), F.lit(mark)).alias("watermark")).select(F.lit(name).alias("name"), "watermark")
     return rows, new
+
+
+def run_extract(docs: DataFrame, path: str, stamp: str, name: str, sink: Callable[[DataFrame], None]) -> None:
+    """One bounded extract with its watermark stored under path: the documents go to `sink`, and the watermark is appended after
+    that, so a lost run is repeated. The largest stored watermark counts."""
+    spark = docs.sparkSession
+    state = spark.read.parquet(f"{path}/watermarks") if storage.exists(spark, f"{path}/watermarks") else None
+    rows, new = extract_increment(docs, state, stamp, name)
+    sink(rows)
+    new.where("watermark IS NOT NULL").write.mode("append").parquet(f"{path}/watermarks")
+
+
+def send_retries(retries: DataFrame, path: str, batch_id: int) -> None:
+    """Records to be tried again, back into the files that the change stream reads; a repeated batch replaces its own."""
+    retries.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
