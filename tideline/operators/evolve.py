@@ -1,19 +1,19 @@
 """Schema registry and evolution: versions folded into one schema for each flow, then classified and compared.
 
-Types are texts of the DDL. The fold of a flow's versions is sequential by nature, so it runs per flow in
-`applyInPandas`; flows are independent. Everything on its output is DataFrame code.
+Types are texts of the DDL. The fields of nested structs are rows of their own, named by their path, so every field folds over
+the versions for itself, as one aggregate of an ordered list; a conflict stops its whole flow at that version. No Python
+takes part but for splitting the texts of struct types and parsing schema texts.
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
-import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: The order of numeric widening, and decimal digits of the integral types.
 WIDENING = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -26,84 +26,149 @@ OVERRIDES = {
 }
 
 
-def _decimal(kind: str) -> tuple[int, int] | None:
-    m = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
-    if m:
-        return int(m[1]), int(m[2])
-    return (INTEGRAL_DIGITS[kind], 0) if kind in INTEGRAL_DIGITS else None
-
-
-def can_widen(old: str, new: str) -> bool:
-    """May a column of the old type hold the new type instead?"""
-    if old in (new, "void"):
-        return True
-    if old in WIDENING and new in WIDENING:
-        return WIDENING.index(old) < WIDENING.index(new)
-    if new.startswith("decimal") and (a := _decimal(old)):
-        b = _decimal(new)
-        return b[1] >= a[1] and b[0] - b[1] >= a[0] - a[1]
-    if old.startswith("decimal") and new in ("float", "double"):
-        return False
-    return (old, new) in {("date", "timestamp"), ("timestamp", "bigint"), ("bigint", "timestamp")}
-
-
-class MergeError(ValueError):
-    """Two types of one column that nothing holds both of."""
-
+PAIRS = ("date>timestamp", "timestamp>bigint", "bigint>timestamp")
+
+
+def _parsed(kind: Column) -> Column:
+    """What the widening rule asks of a type: its text, its rank among the numeric ones (-1: none), and its digits before and
+    after the point."""
+    rank = F.coalesce(*[F.when(kind == t, i) for i, t in enumerate(WIDENING)], F.lit(-1))
+    size = lambda g: F.try_to_number(F.nullif(F.regexp_extract(kind, r"^decimal\((\d+),(\d+)\)$", g), F.lit("")), F.lit("99")).cast("int")
+    whole = F.coalesce(*[F.when(kind == t, d) for t, d in INTEGRAL_DIGITS.items()], size(1) - size(2))
+    return F.struct(kind.alias("t"), rank.alias("rank"), whole.alias("whole"), F.when(whole.isNotNull(), F.coalesce(size(2), F.lit(0))).alias("scale"))
+
+
+def can_widen(old: Column, new: Column) -> Column:
+    """May a column of the old type hold the new type instead? Both as _parsed gives them."""
+    decimal = new["t"].startswith("decimal") & (new["scale"] >= old["scale"]) & (new["whole"] >= old["whole"])
+    numeric = (old["rank"] >= 0) & (new["rank"] >= 0)
+    listed = F.concat(old["t"], F.lit(">"), new["t"]).isin(*PAIRS)
+    return (old["t"] == new["t"]) | (old["t"] == "void") | F.when(numeric, old["rank"] < new["rank"]).otherwise(F.coalesce(decimal, F.lit(False)) | listed)
+
+
+def merge_type(table: Column, data: Column, database: str = "oracle") -> Column:
+    """Type of a column after an incoming version: overrides first, then either way of widening, the newer side first; null for two
+    types that nothing holds both of."""
+    kept = [(table["t"] == a) & (data["t"] == b) for a, b in sorted(OVERRIDES.get(database, ()))]
+    stays = (data["t"] == "void") | (table["t"] == data["t"])
+    for k in kept:
+        stays |= k
+    return F.when(stays, table).when(can_widen(table, data), data).when(can_widen(data, table), table)
+
+
+def split_struct(kind: str) -> list[tuple[str, str]]:
+    """(name, type) of the fields of a struct type's text."""
+    out, depth, start = [], 0, len("struct<")
+    for i, c in enumerate(kind[:-1] + ","):
+        if c in "<(" and i >= start:
+            depth += 1
+        elif c in ">)":
+            depth -= 1
+        elif c == "," and not depth and i >= start:
+            name, _, rest = kind[start:i].partition(":")
+            out.append((name.strip(), rest.strip()))
+            start = i + 1
+    return [x for x in out if x[0]]
+
+
+def _paths(kind: str, above: tuple[str, ...] = ()) -> list[tuple[list[str], int, str]]:
+    """(path, position, type or struct) of a type's text and of all fields in it."""
+    if not kind.startswith("struct<"):
+        return [(list(above), 0, kind)]
+    out = [(list(above), 0, "struct")]
+    for i, (name, inner) in enumerate(split_struct(kind)):
+        (path, _, first), *rest = _paths(inner, (*above, name))
+        out += [(path, i, first), *rest]
+    return out
 
-def merge_type(table: str, data: str, database: str = "oracle") -> str:
-    """Type of a column after an incoming version: overrides first, then either way of widening, the newer side first."""
-    if (table, data) in OVERRIDES.get(database, ()):
-        return table
-    if data == "void" or table == data:
-        return table
-    if table == "void" or can_widen(table, data):
-        return data
-    if can_widen(data, table):
-        return table
-    raise MergeError(f"{table} and {data}")
 
+def flat_types(columns: DataFrame) -> DataFrame:
+    """Column rows with `path`, the names from the column to a field of its struct; each distinct struct text is split once."""
 
-def merge_columns(table: dict[str, str], data: dict[str, str], database: str = "oracle") -> tuple[dict[str, str], list[str], list[str], list[str]]:
-    """(merged, new, missing, retyped) of two ordered name -> type maps; table order first, new columns appended."""
-    merged = {c: merge_type(t, data[c], database) if c in data else t for c, t in table.items()}
-    new = [c for c in data if c not in table]
-    retyped = [c for c, t in table.items() if merged[c] != t]
-    return merged | {c: data[c] for c in new}, new, [c for c in table if c not in data], retyped
+    def split(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame([(t, *row) for t in part.type for row in _paths(t)], columns=["type", "below", "at", "kind"])
+
+    struct = F.col("type").startswith("struct<")
+    kinds = columns.where(struct).select("type").distinct().mapInPandas(split, "type string, below array<string>, at int, kind string")
+    rest = [c for c in columns.columns if c != "type"]
+    plain = columns.where(~struct).select(*rest, F.array("column").alias("path"), "type")
+    nested = columns.where(struct).join(kinds, "type").select(*rest, F.concat(F.array("column"), "below").alias("path"), F.col("kind").alias("type"), F.when(F.size("below") > 0, F.col("at")).otherwise(F.col("position")).alias("at"))
+    return plain.unionByName(nested.drop("position").withColumnRenamed("at", "position").select(*plain.columns))
+
+
+def _folded_fields(columns: DataFrame, database: str) -> DataFrame:
+    """Fields (flow_id, path, type, overwrite, since, position, version, failed_at, field) as of the last version that merged."""
+    done = "array<struct<version:int,position:int,t:string,retyped:boolean,failed:boolean>>"
+    seen = F.array_sort(F.collect_list(F.struct("version", "position", _parsed(F.col("type")).alias("x"))))
+    fields = flat_types(columns.withColumn("version", F.col("version").cast("int")).withColumn("position", F.col("position").cast("int")))
+    fields = fields.groupBy("flow_id", "path").agg(seen.alias("vs"))
+    none = F.struct(F.lit(None).cast("struct<t:string,rank:int,whole:int,scale:int>").alias("now"), F.array().cast(done).alias("steps"))
+
+    def step(acc: Column, v: Column) -> Column:
+        first = acc["now"].isNull()
+        new = F.when(first, v["x"]).otherwise(merge_type(acc["now"], v["x"], database))
+        row = F.struct(v["version"].alias("version"), v["position"].alias("position"), new["t"].alias("t"), (~first & (new["t"] != acc["now"]["t"])).alias("retyped"), new.isNull().alias("failed"))
+        return F.struct(F.coalesce(new, acc["now"]).alias("now"), F.concat(acc["steps"], F.array(row)).alias("steps"))
+
+    fields = fields.select("flow_id", "path", F.aggregate("vs", none, step)["steps"].alias("steps"))
+    bad = F.get(F.filter("steps", lambda s: s["failed"]), 0)["version"]
+    fields = fields.withColumn("bad", bad).withColumn("last", F.element_at("steps", -1)["version"])
+    flow = Window.partitionBy("flow_id")
+    why = F.min(F.when(F.col("bad").isNotNull(), F.struct(F.col("bad").alias("version"), F.array_join("path", ".").alias("field")))).over(flow)
+    fields = fields.withColumn("why", why).withColumn("version", F.least("why.version", F.max("last").over(flow)))
+    applied = F.filter("steps", lambda s: F.col("why").isNull() | (s["version"] < F.col("why.version")))
+    fields = fields.withColumn("steps", applied).where(F.size("steps") > 0)
+    return fields.select("flow_id", "path", F.element_at("steps", -1)["t"].alias("type"), F.exists("steps", lambda s: s["retyped"]).alias("overwrite"), F.col("steps")[0]["version"].alias("since"), F.col("steps")[0]["position"].alias("position"), "version", F.col("why.version").alias("failed_at"), F.col("why.field").alias("field"))
+
+
+#: Levels of structs in structs that a fold puts together again; deeper ones raise.
+DEPTH = 6
+
+
+def _folded(columns: DataFrame, database: str) -> DataFrame:
+    """Columns with the types of structs put together from their fields, the deepest first."""
+    one = F.struct("path", "since", "position", "type", "overwrite")
+    flow = ["version", "failed_at", "field"]
+    rows = _folded_fields(columns, database).groupBy("flow_id", F.col("path")[0].alias("column")).agg(F.collect_list(one).alias("fs"), F.max("overwrite").alias("changed"), *[F.first(c).alias(c) for c in flow])
+    deep = F.array_max(F.transform("fs", lambda f: F.size(f["path"]))) > DEPTH
+    rows = rows.withColumn("fs", F.when(deep, F.raise_error(F.concat(F.lit("structs too deep in "), "column"))).otherwise(F.col("fs")))
+    for d in range(DEPTH, 1, -1):
+        inner = F.array_sort(F.transform(F.filter("fs", lambda f: F.size(f["path"]) == d), lambda f: F.struct(f["since"].alias("since"), f["position"].alias("position"), F.slice(f["path"], 1, d - 1).alias("above"), F.concat_ws(":", F.element_at(f["path"], -1), f["type"]).alias("text"))))
+        rows = rows.withColumn("inner", inner)
+        below = lambda f: F.filter("inner", lambda x: x["above"] == f["path"])
+        text = lambda f: F.concat(F.lit("struct<"), F.array_join(F.transform(below(f), lambda x: x["text"]), ","), F.lit(">"))
+        rows = rows.withColumn("fs", F.transform(F.filter("fs", lambda f: F.size(f["path"]) < d), lambda f: F.struct(f["path"].alias("path"), f["since"].alias("since"), f["position"].alias("position"), F.when((f["type"] == "struct") & (F.size(f["path"]) == d - 1), text(f)).otherwise(f["type"]).alias("type"), f["overwrite"].alias("overwrite"))))
+    return rows.select("flow_id", "column", F.col("fs")[0]["type"].alias("type"), F.col("fs")[0]["since"].alias("since"), F.col("fs")[0]["position"].alias("at"), "changed", *flow)
 
 
-def needs_overwrite(new: list[str], retyped: list[str]) -> bool:
-    """A rewrite is spared only if there are new columns and no type changed."""
-    return not (new and not retyped)
+FOLDED = "flow_id string, position int, column string, type string, version int, overwrite boolean, failed boolean"
 
 
-FOLDED = "flow_id string, position int, column string, type string, version int, overwrite boolean, failed boolean"
+def _with_errors(columns: DataFrame, database: str) -> DataFrame:
+    flow = Window.partitionBy("flow_id")
+    place = F.row_number().over(flow.orderBy("since", "at", "column")) - 1
+    error = F.when(F.col("failed_at").isNotNull(), F.concat(F.lit("no common type for "), F.col("field"), F.lit(" in version "), F.col("failed_at")))
+    return _folded(columns, database).select("flow_id", place.cast("int").alias("position"), "column", "type", "version", F.max("changed").over(flow).alias("overwrite"), F.col("failed_at").isNotNull().alias("failed"), error.alias("error"))
 
 
 def fold_versions(columns: DataFrame, database: str = "oracle") -> DataFrame:
     """Merged columns of each flow (FOLDED) from rows (flow_id, version, position, column, type), versions in order.
 
-    A flow with a conflict is marked failed and keeps what it had; others go on. A flow's schema texts fit a task.
+    The first version's columns come first, then new ones as they appear; fields of structs merge alike. A flow with a
+    conflict is marked failed and keeps what it had before that version; others go on. overwrite: a type changed, so new
+    columns alone spare the table's rewrite.
     """
+    return _with_errors(columns, database).drop("error")
+
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        flow, merged, overwrite, failed, last = rows.flow_id.iloc[0], None, False, False, 0
-        for version, part in rows.sort_values(["version", "position", "column"]).groupby("version", sort=True):
-            data = dict(zip(part.column, part.type))
-            last = int(version)
-            if merged is None:
-                merged = data
-                continue
-            try:
-                was = merged
-                merged, new, _, retyped = merge_columns(merged, data, database)
-                overwrite |= merged != was and needs_overwrite(new, retyped)
-            except MergeError:
-                failed = True
-                break
-        return pd.DataFrame([(flow, i, c, t, last, overwrite, failed) for i, (c, t) in enumerate(merged.items())], columns=[x.split()[0] for x in FOLDED.split(", ")])
-
-    return columns.groupBy("flow_id").applyInPandas(fold, FOLDED)
+def fold_flows(columns: DataFrame, database: str = "oracle") -> DataFrame:
+    """(flow_id, ddl, fingerprints, overwrite, error): the merged schema of each flow and the fingerprints it stands for, from
+    rows with a `fingerprint` too. A flow with a conflict has an error and nothing else; it fails alone."""
+    prints = columns.groupBy("flow_id").agg(F.array_sort(F.collect_set("fingerprint")).alias("fingerprints"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat_ws(" ", "column", "type").alias("d")))), lambda x: x["d"]), ",")
+    flows = _with_errors(columns, database).groupBy("flow_id").agg(text.alias("ddl"), F.max("overwrite").alias("overwrite"), F.first("error").alias("error"))
+    return flows.join(prints, "flow_id").select("flow_id", *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in ("ddl", "fingerprints", "overwrite")], "error")
 
 
 def classify(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -140,10 +205,45 @@ _AVRO = {"boolean": "boolean", "int": "int", "long": "bigint", "float": "float",
 _LOGICAL = {"timestamp-millis": "timestamp", "timestamp-micros": "timestamp", "date": "date"}
 
 
+#: Fixed value: the start and polynomial of the 64-bit fingerprint in the public schema specification.
+EMPTY = 0xC15D213AA4D7A795
+_NAMED = ("record", "error", "enum", "fixed")
+
+
+def canonical(node, space: str = "") -> str:
+    """Parsing canonical form of a schema: what readers need of it, in a fixed order, without white space."""
+    if isinstance(node, list):
+        return "[" + ",".join(canonical(n, space) for n in node) + "]"
+    if isinstance(node, str):
+        return json.dumps(node if node in _AVRO or "." in node or not space else f"{space}.{node}")
+    kind = node["type"]
+    if not isinstance(kind, str) or kind in _AVRO:
+        return canonical(kind, space)
+    if kind == "array":
+        return f'{{"type":"array","items":{canonical(node["items"], space)}}}'
+    if kind == "map":
+        return f'{{"type":"map","values":{canonical(node["values"], space)}}}'
+    if kind not in _NAMED:
+        return canonical(kind, space)
+    name = node["name"] if "." in node["name"] else ".".join(filter(None, (node.get("namespace", space), node["name"])))
+    inside = name.rpartition(".")[0]
+    if kind == "enum":
+        rest = ',"symbols":[' + ",".join(map(json.dumps, node["symbols"])) + "]"
+    elif kind == "fixed":
+        rest = f',"size":{int(node["size"])}'
+    else:
+        rest = ',"fields":[' + ",".join(f'{{"name":{json.dumps(f["name"])},"type":{canonical(f["type"], inside)}}}' for f in node["fields"]) + "]"
+    return f'{{"name":{json.dumps(name)},"type":"{"record" if kind == "error" else kind}"{rest}}}'
+
+
 def fingerprint(schema: str) -> int:
-    """64-bit fingerprint of a schema text, the same whatever its white space."""
-    text = json.dumps(json.loads(schema), separators=(",", ":"))
-    return int.from_bytes(hashlib.sha256(text.encode()).digest()[:8], "big", signed=True)
+    """64-bit Rabin fingerprint of a schema text's parsing canonical form, as a signed number."""
+    fp = EMPTY
+    for byte in canonical(json.loads(schema)).encode():
+        fp ^= byte
+        for _ in range(8):
+            fp = fp >> 1 ^ (EMPTY if fp & 1 else 0)
+    return fp - (1 << 64) if fp >> 63 else fp
 
 
 def preprocess(node, preserve_case: bool = False, numeric_as_string: bool = False):

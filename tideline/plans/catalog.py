@@ -128,11 +128,12 @@ def schema_id_assignment(spark, sf_dir):
 
 
 def init_load_specs(spark, sf_dir):
-    """Schemas by flows, inserted where absent."""
+    """Schemas by flows, inserted where absent: nations by the brands of all parts."""
     n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("schema_id"))
-    f = table(spark, sf_dir, "part").select(F.concat(F.lit("flow"), s("p_partkey")).alias("flow_id"))
-    every = f.crossJoin(n).withColumn("status", F.lit("new"))  # the product of two control tables is the result asked for
-    done = table(spark, sf_dir, "supplier").select(F.concat(F.lit("NATION_"), s("s_nationkey")).alias("schema_id"), F.concat(F.lit("flow"), s("s_suppkey")).alias("flow_id"), F.lit("done").alias("status"))
+    f = table(spark, sf_dir, "part").select(F.col("p_brand").alias("flow_id")).distinct()
+    # the product of two control tables is the result asked for; what is there is left out first
+    every = n.select("schema_id", F.lit(1).alias("one")).join(f.withColumn("one", F.lit(1)), "one").drop("one").withColumn("status", F.lit("new"))
+    done = table(spark, sf_dir, "supplier").select(F.concat(F.lit("NATION_"), s("s_nationkey")).alias("schema_id"), F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 30).cast("string")).alias("flow_id"), F.lit("done").alias("status")).distinct()
     return M.insert_missing(done, every, ["schema_id", "flow_id"]).groupBy("schema_id", "status").agg(F.count("*").alias("n"))
 
 
@@ -187,23 +188,56 @@ def schema_classify(spark, sf_dir):
     return E.classify(shape(old, spec), shape(new, v))
 
 
+def schema_classify_failure(spark, sf_dir):
+    """Change classes where the last version of some flows turns column c1 into text: those fail, each for itself."""
+    v = _versions(spark, sf_dir).withColumn("fingerprint", F.col("version").cast("long"))
+    v = v.withColumn("type", F.when((F.col("version") == 3) & (F.col("column") == "c1"), "string").otherwise(F.col("type")))
+    merged = E.fold_flows(v)
+    return E.classify(E.fold_flows(v.where("version < 2")), merged).join(merged, "flow_id").select("flow_id", "change", F.coalesce(F.size("fingerprints"), F.lit(0)).alias("n_fingerprints"), "error")
+
+
+def schema_merge_nested(spark, sf_dir):
+    """Versions whose columns are fields of a struct in a struct: fields merge one by one and new ones are appended."""
+    v = _versions(spark, sf_dir)
+    fields = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat_ws(":", "column", "type").alias("t")))), lambda x: x["t"]), ",")
+    one = v.groupBy("flow_id", "version").agg(F.concat(F.lit("struct<inner:struct<"), fields, F.lit(">,tag:string>")).alias("type"))
+    m = E.fold_versions(one.select("flow_id", "version", F.lit(0).alias("position"), F.lit("image").alias("column"), "type"))
+    return m.select("flow_id", "column", "type", "failed")
+
+
 def schema_diff_events(spark, sf_dir):
     before, after = _two_states(spark, sf_dir)
     both = before.select("flow_id").distinct().join(after.select("flow_id").distinct(), "flow_id")
     return E.diff_events(before.join(both, "flow_id", "left_semi"), after.join(both, "flow_id", "left_semi"))
 
 
-def schema_registry(spark, sf_dir):
-    """Column rows parsed from schema texts; each order's lines make a schema text."""
+def _schema_texts(spark, sf_dir):
+    """Each order's lines make a schema text."""
     li = _lines(spark, sf_dir)
     kinds = F.array(*[F.lit(k) for k in ("int", "long", "double", "string", "bytes")])
     field = F.to_json(F.struct(F.concat(F.lit("C"), s("l_linenumber")).alias("name"), F.array(F.lit("null"), F.element_at(kinds, (F.col("l_partkey") % 5 + 1).cast("int"))).alias("type")))
     one = li.groupBy("l_orderkey", "l_linenumber").agg(F.min_by(field, F.struct("l_partkey", "l_suppkey")).alias("f"))
     g = one.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "f"))), lambda x: x["f"]), ",").alias("fs"))
-    image = F.concat(F.lit('{"type":"record","name":"Row","fields":['), F.col("fs"), F.lit("]}"))
-    schemas = g.select(s("l_orderkey").alias("key"), F.concat(F.lit('{"type":"record","name":"E","fields":[{"name":"op","type":"string"},{"name":"before","type":["null",'), image, F.lit("]}]}")).alias("schema"))
-    cols = E.registry_columns(schemas)
-    return cols.select("key", "position", "column", "type")
+    image = F.concat(F.lit('{"type":"record","name":"Row","doc":"an image", "fields":['), F.col("fs"), F.lit("]}"))
+    return g.select(s("l_orderkey").alias("key"), F.concat(F.lit('{"type":"record","name":"E","namespace":"a.b","fields":[{"name":"op","type":"string"},{"default":null, "name":"before","type":["null",'), image, F.lit("]}]}")).alias("schema"))
+
+
+def schema_registry(spark, sf_dir):
+    """Column rows parsed from schema texts."""
+    return E.registry_columns(_schema_texts(spark, sf_dir)).select("key", "position", "column", "type")
+
+
+def schema_fingerprint(spark, sf_dir):
+    """64-bit fingerprints of the schema texts' parsing canonical form, with the texts and their white space as they are."""
+    return E.registry_columns(_schema_texts(spark, sf_dir)).select("key", "fingerprint").distinct()
+
+
+def schema_registry_numbers(spark, sf_dir):
+    """Column rows of schemas whose numbers are written as text: decimals, of at most 38 digits, in lower-case columns."""
+    p = table(spark, sf_dir, "part")
+    field = F.concat(F.lit('{"name":"P_SIZE","type":{"type":"string","origtype":"number","scale":'), (F.col("p_size") % 7).cast("string"), F.lit('}},{"name":"BIG","type":{"type":"bytes","logicalType":"decimal","precision":'), (F.col("p_size") % 20 + 30).cast("string"), F.lit(',"scale":2}}'))
+    schemas = p.select(s("p_partkey").alias("key"), F.concat(F.lit('{"type":"record","name":"E","fields":['), field, F.lit("]}")).alias("schema"))
+    return E.registry_columns(schemas, numeric_as_string=True).select("key", "position", "column", "type")
 
 
 def schema_cast(spark, sf_dir):
@@ -305,7 +339,7 @@ SELECT l.l_orderkey, CASE WHEN pk IS NOT NULL THEN 'PRIMARY_KEY' WHEN l.l_orderk
 SELECT flow_id, 'no_key' AS rule FROM f WHERE nk UNION ALL SELECT flow_id, 'no_partition' FROM f WHERE np UNION ALL SELECT flow_id, 'duplicate_id' FROM f GROUP BY flow_id HAVING count(*) > 1"""),
     (schema_id_assignment, """WITH c AS (SELECT DISTINCT 'db' || c_custkey % 7 AS src_db, 'n' || c_nationkey AS src_schema FROM customer), n AS (SELECT 'db' || n_nationkey % 7 AS src_db, 'n' || n_nationkey AS src_schema, 'old' || n_nationkey AS schema_id FROM nation)
 SELECT * FROM n UNION ALL SELECT src_db, src_schema, md5(src_db || '.' || src_schema) FROM c WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.src_db = c.src_db AND n.src_schema = c.src_schema)"""),
-    (init_load_specs, """WITH d AS (SELECT 'NATION_' || s_nationkey AS schema_id, 'flow' || s_suppkey AS flow_id FROM supplier), e AS (SELECT n_name AS schema_id, 'flow' || p_partkey AS flow_id FROM nation, part),
+    (init_load_specs, """WITH d AS (SELECT DISTINCT 'NATION_' || s_nationkey AS schema_id, 'Brand#' || s_suppkey % 30 AS flow_id FROM supplier), e AS (SELECT n_name AS schema_id, flow_id FROM nation, (SELECT DISTINCT p_brand AS flow_id FROM part)),
 a AS (SELECT schema_id, 'done' AS status FROM d UNION ALL SELECT e.schema_id, 'new' FROM e LEFT JOIN d ON e.schema_id = d.schema_id AND e.flow_id = d.flow_id WHERE d.flow_id IS NULL) SELECT schema_id, status, count(*) AS n FROM a GROUP BY ALL"""),
     (schema_merge_columns, WIDEST + "SELECT flow_id, col AS \"column\", type, FALSE AS failed FROM t"),
     (schema_merge_order, WIDEST + "SELECT flow_id, string_agg(col || ' ' || type, ',' ORDER BY v0, CAST(substr(col, 2) AS INTEGER)) AS ddl FROM t GROUP BY flow_id"),
@@ -314,6 +348,22 @@ a AS (SELECT schema_id, 'done' AS status FROM d UNION ALL SELECT e.schema_id, 'n
 e AS (SELECT *, max(rank) OVER (PARTITION BY flow_id, col ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM r),
 o AS (SELECT flow_id, bool_or(prev IS NOT NULL AND rank > prev) AS overwrite, bool_or(version >= 2) AS newer, bool_or(version >= 2 AND (prev IS NULL OR rank > prev)) AS changed, bool_or(version < 2) AS had FROM e GROUP BY 1)
 SELECT flow_id, CASE WHEN NOT changed AND NOT newer THEN 'SAME' WHEN NOT changed OR NOT overwrite THEN 'FLOW_RESTART_ONLY' ELSE 'FLOW_RESTART_AND_OVERWRITE' END AS change FROM o WHERE had"""),
+    (schema_classify_failure, WIDEST + """,
+e AS (SELECT *, max(rank) OVER (PARTITION BY flow_id, col ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM r),
+o AS (SELECT flow_id, bool_or(prev IS NOT NULL AND rank > prev) AS overwrite, bool_or(version >= 2) AS newer, bool_or(version >= 2 AND (prev IS NULL OR rank > prev OR (version = 3 AND col = 'c1'))) AS changed, bool_or(version < 2) AS had,
+  bool_or(version = 3 AND col = 'c1') AND bool_or(version < 3 AND col = 'c1') AS failed, count(DISTINCT version) AS n FROM e GROUP BY 1)
+SELECT flow_id, CASE WHEN failed THEN 'FAILURE' WHEN NOT changed AND NOT newer THEN 'SAME' WHEN NOT changed OR NOT overwrite THEN 'FLOW_RESTART_ONLY' ELSE 'FLOW_RESTART_AND_OVERWRITE' END AS change,
+  CAST(CASE WHEN failed THEN 0 ELSE n END AS INTEGER) AS n_fingerprints, CASE WHEN failed THEN 'no common type for c1 in version 3' END AS error FROM o WHERE had"""),
+    (schema_merge_nested, WIDEST + """SELECT flow_id, 'image' AS "column", 'struct<inner:struct<' || string_agg(col || ':' || type, ',' ORDER BY v0, CAST(substr(col, 2) AS INTEGER)) || '>,tag:string>' AS type, FALSE AS failed FROM t GROUP BY flow_id"""),
+    (schema_fingerprint, """
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn FROM lineitem),
+f AS (SELECT l_orderkey, string_agg('{"name":"C' || l_linenumber || '","type":["null","' || CASE l_partkey % 5 WHEN 0 THEN 'int' WHEN 1 THEN 'long' WHEN 2 THEN 'double' WHEN 3 THEN 'string' ELSE 'bytes' END || '"]}', ',' ORDER BY l_linenumber) AS fs FROM o WHERE rn = 1 GROUP BY 1),
+c AS (SELECT l_orderkey, '{"name":"a.b.E","type":"record","fields":[{"name":"op","type":"string"},{"name":"before","type":["null",{"name":"a.b.Row","type":"record","fields":[' || fs || ']}]}]}' AS form FROM f),
+k AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, x: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 13933329357911598997::UBIGINT ELSE 0::UBIGINT END), i::UBIGINT)) AS t),
+p AS (SELECT l_orderkey, list_reduce(list_transform(string_split(form, ''), lambda x: ascii(x)::UBIGINT), lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INTEGER) + 1]), 13933329357911598997::UBIGINT) AS h FROM c, k)
+SELECT CAST(l_orderkey AS VARCHAR) AS key, CAST(CASE WHEN h >= 9223372036854775808 THEN h::HUGEINT - 18446744073709551616 ELSE h::HUGEINT END AS BIGINT) AS fingerprint FROM p"""),
+    (schema_registry_numbers, """SELECT CAST(p_partkey AS VARCHAR) AS key, 0 AS position, 'p_size' AS "column", 'decimal(38,' || p_size % 7 || ')' AS type FROM part
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 1, 'big', 'decimal(' || least(p_size % 20 + 30, 38) || ',2)' FROM part"""),
     (schema_diff_events, """
 WITH r AS (SELECT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, 'c' || l_partkey % 8 AS col, max(l_suppkey % 5) AS rank FROM lineitem WHERE l_partkey % 8 < 6 GROUP BY 1, 2, 3),
 b AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version < 2 GROUP BY 1, 2), a AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version <> 1 GROUP BY 1, 2),

@@ -59,7 +59,7 @@ def replicat_pairing(spark, sf_dir):
 
 
 def ambiguous_schema(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 40 = 0").select(s("c_nationkey").alias("src_schema"), F.col("c_mktsegment").alias("src_db"))
+    c = table(spark, sf_dir, "customer").select(F.floor("c_acctbal").cast("string").alias("src_schema"), F.col("c_mktsegment").alias("src_db"))
     return R.duplicated(c, ["src_schema"], "src_db").withColumnRenamed("n", "n_dbs")
 
 
@@ -202,7 +202,7 @@ l AS (SELECT remote_database, replicat, max(ts) AS t FROM a WHERE NOT (remote_da
 d AS (SELECT x.*, CAST(floor((epoch_us((SELECT max(ts) FROM a)) - epoch_us(t)) / 1000000.0) AS BIGINT) AS lag_seconds FROM x LEFT JOIN l ON x.remote_database = l.remote_database AND x.replicat = l.replicat)
 SELECT *, CASE WHEN lag_seconds IS NULL OR lag_seconds > 300 THEN 1 ELSE 0 END AS alert FROM d"""),
     (replicat_pairing, SQL_B + "z AS (SELECT 1) SELECT key, count(DISTINCT op_type) AS n_replicats FROM f GROUP BY key HAVING count(DISTINCT op_type) > 1"),
-    (ambiguous_schema, "SELECT CAST(c_nationkey AS VARCHAR) AS src_schema, count(DISTINCT c_mktsegment) AS n_dbs FROM customer WHERE c_custkey % 40 = 0 GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1"),
+    (ambiguous_schema, "SELECT CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS src_schema, count(DISTINCT c_mktsegment) AS n_dbs FROM customer GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1"),
     (tenant_rollup, "SELECT lower(r_name || '.' || n_name) AS name, count(*) AS n_rows FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1"),
     (active_tenant_counts, "SELECT o_orderpriority, count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_archived FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1"),
     (purge_threshold, "SELECT o_orderstatus, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= c_acctbal * 20 GROUP BY 1"),
