@@ -80,12 +80,10 @@ def decode_csn(text: Column | str, database: str) -> Column:
         three = (F.size(p) == 3) & digits(part(0)) & part(1).rlike(_UUID) & digits(part(2))
         value = F.when(two, (part(0).cast("decimal(38,0)") * two32 + part(1).cast("decimal(38,0)")).cast("decimal(38,0)")).when(three, part(2).cast("decimal(38,0)")).otherwise(bad("is neither file:offset nor number:uuid:number"))
     elif database == "sqlserver":
-        n = F.length(t)
-        half = F.substring(t, F.lit(1), (n / 2).cast("int"))
-        p = F.split(half, ":")
-        ok = (half == F.substring(t, (n / 2).cast("int") + 1, n)) & half.rlike("^[0-9a-fA-F]{8}:[0-9a-fA-F]{8}:[0-9a-fA-F]{4}$")
-        part = lambda i: _hex(F.get(p, F.lit(i)))
-        value = F.when(ok, ((part(0) * two32 + part(1)).cast("decimal(38,0)") * F.lit(1 << 16).cast("decimal(38,0)") + part(2)).cast("decimal(38,0)")).otherwise(bad("is not two equal halves"))
+        part = lambda at, n: _hex(F.substring(t, at, n))
+        whole = ((part(1, 8) * two32 + part(10, 8)).cast("decimal(38,0)") * F.lit(1 << 16).cast("decimal(38,0)") + part(19, 4)).cast("decimal(38,0)")
+        ok = t.rlike(r"^([0-9a-fA-F]{8}:[0-9a-fA-F]{8}:[0-9a-fA-F]{4})\1$")
+        return F.when(ok & t.rlike("[1-9a-fA-F]"), whole).when(ok, bad("is zero")).otherwise(bad("is not two equal halves"))
     else:
         raise ValueError(f"unknown database {database}")
     return F.when(value == 0, bad("is zero")).otherwise(value)
