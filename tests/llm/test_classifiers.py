@@ -84,3 +84,53 @@ def test_pack_small(spark, segments, loss):
         assert len(s) <= segments and sum(x.loss_tokens for x in s) <= loss
         assert [x.offset for x in s] == [0, *np.cumsum([x.length for x in s])[:-1]] and sum(x.length for x in s) <= 128
     assert len({(x.sequence_id >> 40, x.row_in_task) for x in got}) == len(rows)
+
+
+def test_decoding_is_the_best_reading():
+    """Viterbi against the cost of every reading of short spans."""
+    from itertools import product
+
+    r = np.random.default_rng(4)
+    lm = np.log(r.dirichlet(np.ones(toxicity.SIZE), (toxicity.SIZE, toxicity.SIZE)))
+
+    def readings(span):
+        """(text, channel cost) of every way to read a span: the channel's rules stated once more, run by run."""
+        runs = []
+        for c in span:
+            runs.append((c, runs.pop()[1] + 1) if runs and runs[-1][0] == c else (c, 1))
+        choices = []
+        for c, n in runs:
+            if c in toxicity.ALPHABET:
+                some = [(c * n, 0.0)] if n < 3 else [(c, toxicity.REPEAT), (2 * c, toxicity.REPEAT + 0.5)]
+                some += [(c, toxicity.REPEAT + 1.5)] if n == 2 else []
+            elif c in toxicity.BETWEEN:
+                some = [("", toxicity.SPREAD), (" ", toxicity.PLAIN)]
+            else:
+                some = [(c, toxicity.PLAIN)]
+                for x in toxicity.SIGNS.get(c, ""):
+                    some += [(x * k, toxicity.SWAP * n) for k in ([1, 2] if n > 1 else [1])]
+            choices.append(some)
+        for way in product(*choices):
+            yield "".join(t for t, _ in way), sum(c for _, c in way)
+
+    def cost(text, channel):
+        a = b = 0
+        for ch in text + "\n":
+            k = toxicity.ALPHABET.find(ch) + 1 if ch != "\n" else 0
+            channel -= lm[a, b, k]
+            a, b = b, k
+        return channel
+
+    for span in ["1d10t", "m.0.r", "baaad1", "aab", "s t 1", "h3ll00", "x", "1", "..", "a11", "zzz22"]:
+        best = min(cost(t, c) for t, c in readings(span))
+        got = toxicity.decode(span, lm.tolist())
+        assert min(cost(t, c) for t, c in readings(span) if t == got) == pytest.approx(best)
+
+
+def test_labelled_texts_one_row_an_id(spark):
+    """Repeated ids count once, before the bound and after the join."""
+    from tideline.llm import classify
+
+    labels = spark.createDataFrame([(1, 1)] * 50 + [(2, 0), (3, None), (None, 1), (1, 0)], "doc_id long, label int")
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (2, None), (4, "x"), (None, "y")] * 3, "doc_id long, text string")
+    assert sorted(map(tuple, classify.labelled_texts(docs, labels, 2).collect())) == [(0, ""), (0, "a")]

@@ -133,3 +133,29 @@ def test_chat(spark):
         assert not n.parent_id or ns[n.parent_id].offset < n.offset
     empty = chat.prefix_tree(df.where("false"))
     assert chat.read_back(*empty).count() == 0
+
+
+def test_log_mel_by_direct_transform():
+    """Filterbank energies from a plain resampling sum and a plain discrete Fourier transform."""
+    r = np.random.default_rng(3)
+    x = r.uniform(-1, 1, 2400).astype(np.float32)
+    n, up, down = audio.UP * audio.TAPS, audio.UP, audio.DOWN
+    t = np.arange(n) - (n - 1) / 2
+    h = np.sinc(t / max(up, down)) * np.hamming(n) * (up / max(up, down))
+    wide = np.zeros(len(x) * up)
+    wide[::up] = x
+    y = np.convolve(wide, h)[::down]
+    rate = audio.RATE * up // down
+    win, hop = int(audio.WINDOW_S * rate), int(audio.HOP_S * rate)
+    got = audio.log_mel(x)
+    for f in (0, 1, len(got) // 2):
+        frame = y[f * hop : f * hop + win] * np.hanning(win)
+        power = np.array([abs(sum(frame * np.exp(-2j * np.pi * k * np.arange(win) / audio.FFT))) ** 2 for k in range(audio.FFT // 2 + 1)])
+        mel = lambda v: 2595 * np.log10(1 + v / 700)
+        edges = 700 * (10 ** (np.linspace(mel(60.0), mel(rate / 2), audio.MELS + 2) / 2595) - 1)
+        freq = np.arange(audio.FFT // 2 + 1) * rate / audio.FFT
+        want = []
+        for lo, mid, hi in zip(edges, edges[1:], edges[2:]):
+            w = np.clip(np.minimum((freq - lo) / (mid - lo), (hi - freq) / (hi - mid)), 0, None)
+            want.append(np.log(w @ power + 1e-6))
+        assert np.allclose(got[f], want, atol=2e-3)

@@ -1,13 +1,13 @@
 """Mixing to target weights with soft membership.
 
 A softmax classifier, fitted on the labelled table, gives every document posteriors over domains (the combinations of
-the two labels) from measures of its whole text. Non-negative document rates are then found by projected-gradient least
+the two labels) from measures of its whole text and from the words that tell toxic texts. Non-negative document rates are then found by projected-gradient least
 squares so that the expected tokens of each domain, sum over documents of rate * tokens * posterior, match the targets:
 
     minimise  1/2 * |(sum_d r_d n_d P_d - T) / N|^2 + LAMBDA/2 * sum_d (n_d / N) (r_d - 1)^2   over r >= 0.
 
 In the metric n_d / N the gradient of a document needs its own posteriors and the domains' residuals alone, so a step is one
-distributed sum of as many numbers as there are domains; tasks replay the residuals so far to get a document's rate.
+distributed sum of as many numbers as there are domains; tasks repeat the few steps since rates were last written.
 A token is a word between white space here.
 """
 
@@ -21,15 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import quality
-from tideline.llm.classify import adam, smallest
+from tideline.llm.classify import Lookup, adam, fit_words, labelled_texts, word_logits
 from tideline.llm.common import Stash, small_batches
 
 #: Domains: (quality, toxic) of the labels, with the target shares of all tokens.
 DOMAINS = ((1, 0), (0, 0), (1, 1), (0, 1))
 TARGETS = (0.83, 0.045, 0.115, 0.01)
-#: Bound on the labelled rows that the classifier reads.
-LABELLED = 20_000
+#: Bounds of the fit: labelled rows read, and word features kept.
+LABELLED, FEATURES = 8_000, 2_048
 LAMBDA, STEPS, CLOSE = 0.005, 80, 1e-7
+#: Steps after which rates are written.
+KEEP = 10
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -38,38 +40,66 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 class Classifier:
-    """Softmax over the bins of quality.describe's measures."""
+    """Softmax over the bins of quality.describe's measures and of the word logit of toxicity."""
 
-    def __init__(self, x: np.ndarray, domain: np.ndarray, k: int = len(DOMAINS)):
-        self.bins, size = quality.Bins.of(x), quality.SIZE
+    def __init__(self, x: np.ndarray, logit: np.ndarray, domain: np.ndarray, features: np.ndarray, words: np.ndarray, k: int = len(DOMAINS)):
+        self.bins, self.features, self.words = quality.Bins.of(x), features, words
+        self.cuts = np.quantile(logit, np.linspace(0, 1, quality.BINS + 1)[1:-1]) if len(logit) else np.zeros(quality.BINS - 1)
+        size, width = quality.SIZE + quality.BINS, quality.N + 1
         self.weights = np.zeros((size, k))
         if not len(x):
             return
-        rows, truth = self.bins.inputs(x), np.eye(k)[domain]
+        rows, truth = self.inputs(x, logit), np.eye(k)[domain]
 
         def gradient(w: np.ndarray) -> np.ndarray:
             w = w.reshape(size, k)
             off = (softmax(w[rows].sum(axis=1) + w[-1]) - truth) / len(x)
-            g = np.stack([np.bincount(rows.ravel(), np.repeat(off[:, j], quality.N), size) for j in range(k)], axis=1)
+            g = np.stack([np.bincount(rows.ravel(), np.repeat(off[:, j], width), size) for j in range(k)], axis=1)
             g[-1] = off.sum(axis=0)
             return (g + 1e-4 * w).ravel()
 
         self.weights = adam(gradient, size * k, 300, 0.05).reshape(size, k)
 
-    def posteriors(self, x: np.ndarray) -> np.ndarray:
-        return softmax(self.weights[self.bins.inputs(x)].sum(axis=1) + self.weights[-1])
+    def inputs(self, x: np.ndarray, logit: np.ndarray) -> np.ndarray:
+        """The active input of each measure, the word logit's last."""
+        return np.concatenate([self.bins.inputs(x), quality.N * quality.BINS + np.searchsorted(self.cuts, logit, side="right")[:, None]], axis=1)
+
+    def posteriors(self, x: np.ndarray, logit: np.ndarray) -> np.ndarray:
+        return softmax(self.weights[self.inputs(x, logit)].sum(axis=1) + self.weights[-1])
+
+
+def _lower(texts: list[str | None]) -> list[bytes]:
+    return [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+
+
+def _described(find: Lookup, words: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(measures, word logit) of texts."""
+    return np.array([quality.describe(t) for t in texts]).reshape(-1, quality.N), word_logits(_lower(texts), find, words)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Classifier from docs (doc_id, text) and labels (doc_id, quality, toxic): at most LABELLED labelled rows, chosen by
-    the hash of their ids. Labels that are null or no domain are left out; without labels all posteriors are equal."""
+    the hash of their ids, one for each id. Half of them teach which words tell toxic texts, the other half how far to trust
+    that. Labels that are null or no domain are left out; without labels all posteriors are equal."""
+    stash = Stash(docs.sparkSession, "domains")
     domain = F.coalesce(*[F.when((F.col("quality") == q) & (F.col("toxic") == t), k) for k, (q, t) in enumerate(DOMAINS)])
-    chosen = smallest(labels.select("doc_id", domain.alias("domain")).where("domain IS NOT NULL"), LABELLED)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most LABELLED ids
-    got = quality.measures(texts.select(F.col("domain").alias("doc_id"), "text")).toArrow()
+    texts = stash.save(labelled_texts(docs, labels.select("doc_id", domain.alias("label")), LABELLED))
+    toxic = [k for k, (_, t) in enumerate(DOMAINS) if t]
+    half = F.pmod(F.xxhash64("text"), F.lit(2)) == 0
+    features, words = fit_words(texts.where(half).select(F.col("label").isin(toxic).cast("int").alias("label"), "text"), lambda: _lower, stash, FEATURES)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Lookup(features)
+        for b in batches:
+            x, logit = _described(find, words, b.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * quality.N, x.ravel()), pa.array(logit), b.column(2)], ["label", "x", "logit", "half"])
+
+    got = texts.select("label", "text", half.alias("half")).mapInArrow(describe, "label int, x array<double>, logit double, half boolean").toArrow()
     if not got.num_rows:
-        return Classifier(np.zeros((0, quality.N)), np.zeros(0, int))
-    return Classifier(got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, quality.N), got.column("id").to_numpy())
+        return Classifier(np.zeros((0, quality.N)), np.zeros(0), np.zeros(0, int), features, words)
+    x, logit, domain, first = _p(got.column("x").combine_chunks()), got.column("logit").to_numpy(), got.column("label").to_numpy(), got.column("half").to_numpy()
+    use = ~first if (~first).any() else first
+    return Classifier(x[use], logit[use], domain[use], features, words)
 
 
 def posteriors(docs: DataFrame, model: Classifier, row_col: str, text_col: str = "text") -> DataFrame:
@@ -77,10 +107,10 @@ def posteriors(docs: DataFrame, model: Classifier, row_col: str, text_col: str =
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(DOMAINS)
+        k, find = len(DOMAINS), Lookup(model.features)
         for b in batches:
             texts = b.column(1).to_pylist()
-            p = model.posteriors(np.array([quality.describe(t) for t in texts]).reshape(-1, quality.N)).round(9)
+            p = model.posteriors(*_described(find, model.words, texts)).round(9)
             n = np.array([len(t.split()) if t else 0 for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.ListArray.from_arrays(np.arange(len(p) + 1, dtype=np.int32) * k, p.ravel())], ["row", "n_tokens", "p"])
 
@@ -88,11 +118,13 @@ def posteriors(docs: DataFrame, model: Classifier, row_col: str, text_col: str =
     return rows.mapInArrow(work, f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, p array<double>")
 
 
-def replay(p: np.ndarray, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the accelerated projected steps whose residuals are given, and the point of the next gradient."""
+def replay(p: np.ndarray, residuals: np.ndarray, rate: np.ndarray | None = None, point: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the accelerated projected steps whose residuals are given, and the point of the next gradient; from the
+    start, or from the rates and points of an earlier step."""
     ratio = np.sqrt(LAMBDA / (1 + LAMBDA))
     momentum = (1 - ratio) / (1 + ratio)
-    rate = point = np.ones(len(p))
+    rate = np.ones(len(p)) if rate is None else rate
+    point = rate if point is None else point
     for e in residuals:
         new = np.maximum(0, point - (p @ e + LAMBDA * (point - 1)) / (1 + LAMBDA))
         rate, point = new, new + momentum * (new - rate)
@@ -103,24 +135,42 @@ def _p(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def mixing_residuals(table: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS) -> np.ndarray:
-    """Residuals of every step over (n_tokens, p): a distributed sum of one number for each domain a step."""
+def mixing_residuals(table: DataFrame, stash: Stash, targets: tuple[float, ...] = TARGETS, steps: int = STEPS, keep: int = KEEP) -> np.ndarray:
+    """Residuals of every step over (n_tokens, p): a distributed sum of one number for each domain a step. Rates and points are
+    written every `keep` steps, so a task repeats fewer steps than that."""
     k = len(targets)
     total = table.agg(F.sum("n_tokens")).first()[0] or 0
-    residuals = np.zeros((0, k))
+    residuals, behind = np.zeros((0, k)), 0
     if not total:
         return residuals
     want = np.array(targets) / sum(targets)
+    now, written = table.select("n_tokens", "p", F.lit(1.0).alias("rate"), F.lit(1.0).alias("point")), None
+
+    def at(b: pa.RecordBatch, so_far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        p = _p(b.column(1))
+        return p, *replay(p, so_far, b.column(2).to_numpy(), b.column(3).to_numpy())
+
     for _ in range(steps):
+        if len(residuals) - behind == keep:
+
+            def move(batches: Iterator[pa.RecordBatch], so_far: np.ndarray = residuals[behind:]) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    _, rate, point = at(b, so_far)
+                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rate), pa.array(point)], b.schema.names)
+
+            old, written = written, stash.save(now.mapInArrow(move, "n_tokens long, p array<double>, rate double, point double"))
+            now, behind = written, len(residuals)
+            if old is not None:
+                stash.drop(old)
 
-        def work(batches: Iterator[pa.RecordBatch], so_far: np.ndarray = residuals) -> Iterator[pa.RecordBatch]:
+        def work(batches: Iterator[pa.RecordBatch], so_far: np.ndarray = residuals[behind:]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros(k)
             for b in batches:
-                p = _p(b.column(1))
-                sums += (b.column(0).to_numpy() * replay(p, so_far)[1]) @ p
+                p, _, point = at(b, so_far)
+                sums += (b.column(0).to_numpy() * point) @ p
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], [f"d{j}" for j in range(k)])
 
-        got = table.select("n_tokens", "p").mapInArrow(work, ", ".join(f"d{j} double" for j in range(k))).agg(*[F.sum(f"d{j}") for j in range(k)]).first()
+        got = now.mapInArrow(work, ", ".join(f"d{j} double" for j in range(k))).agg(*[F.sum(f"d{j}") for j in range(k)]).first()
         e = np.round(np.array(got, float) / total - want, 9)
         close = len(residuals) and np.abs(e - residuals[-1]).max() < CLOSE
         residuals = np.vstack([residuals, e])
@@ -149,7 +199,7 @@ def mix(docs: DataFrame, labels: DataFrame, train: DataFrame | None = None, row_
     """
     stash = Stash(docs.sparkSession, "mixing")
     table = stash.save(posteriors(docs, fit(train if train is not None else docs, labels), row_col, text_col))
-    return rates(table, mixing_residuals(table, targets))
+    return rates(table, mixing_residuals(table, stash, targets))
 
 
 def copies(rate: str, *seed: str):

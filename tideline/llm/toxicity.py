@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.classify import Lookup, adam, parts, sigmoid, smallest, word_features
-from tideline.llm.common import small_batches
+from tideline.llm.classify import Lookup, fit_words, labelled_texts, parts, sigmoid, word_logits
+from tideline.llm.common import Stash, small_batches
 
 #: Bounds of the fit: labelled rows read, and features kept.
 LABELLED, FEATURES = 8_000, 4_096
@@ -27,6 +27,8 @@ SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g",
 BETWEEN = " .-_*"
 #: Costs in nats of the channel: a sign for a letter, a sign for itself, a letter repeated, a sign put between letters.
 SWAP, PLAIN, REPEAT, SPREAD = 1.0, 2.5, 0.7, 0.3
+#: Signs of a span whose restored text is remembered.
+KEPT = 64
 ALPHABET = "".join(chr(c) for c in [*range(97, 123), *range(0xDF, 0x100)])
 SIZE = len(ALPHABET) + 1  # 0: any other sign, the edge of a word
 _CODE = np.zeros(256, np.int64)
@@ -136,7 +138,8 @@ class Restorer:
 
     def __init__(self, lm: np.ndarray):
         lm = lm.astype(np.float64).tolist()
-        self.decode = lru_cache(maxsize=200_000)(lambda span: decode(span, lm))
+        short = lru_cache(maxsize=200_000)(lambda span: decode(span, lm))
+        self.decode = lambda span: short(span) if len(span) <= KEPT else decode(span, lm)
 
     def _word(self, m: re.Match) -> str:
         w = m[0]
@@ -167,54 +170,12 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     """Model from docs and labelled rows (doc_id, label 0 or 1) that may be learnt from.
 
     The language model counts all documents. The regression reads at most LABELLED labelled rows, chosen by the hash of
-    their ids, and keeps at most FEATURES features: those whose document counts differ most between the labels
-    (log-likelihood ratio). Rows with a null id or label are left out; without labels every score is one half.
+    their ids, one for each id, and keeps at most FEATURES features: those whose document counts differ most between the
+    labels (log-likelihood ratio). Rows with a null id or label are left out; without labels every score is one half.
     """
     lm = language_model(count_trigrams(docs, text_col))
-    chosen = smallest(labelled.where("label IS NOT NULL").select("doc_id", F.col("label").cast("int").alias("label")), LABELLED)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most LABELLED ids
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(lm)
-        for b in batches:
-            seen: list[list[np.ndarray]] = [[] for _ in range(b.num_rows)]
-            for doc, h in word_features(restore.all(b.column(1).to_pylist())):
-                pair = np.unique(doc.astype(np.uint64) << np.uint64(32) | h)
-                cut = np.searchsorted(pair >> np.uint64(32), np.arange(b.num_rows + 1))
-                for k in np.flatnonzero(np.diff(cut)):
-                    seen[k].append(pair[cut[k] : cut[k + 1]].astype(np.uint32))
-            packed = [np.unique(np.concatenate(s)).tobytes() if s else b"" for s in seen]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], ["label", "features"])
-
-    got = texts.select("label", "text").mapInArrow(work, "label int, features binary").toArrow()
-    y = got.column("label").to_numpy().astype(np.float64)
-    if not len(y):
-        return Model(lm, np.zeros(0, np.uint32), np.zeros(1))
-    sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in got.column("features")]
-    kinds, total = np.unique(np.concatenate(sets), return_counts=True)
-    ones = np.zeros(len(kinds))
-    for s, label in zip(sets, y):
-        if label:
-            ones[np.searchsorted(kinds, s)] += 1
-    share, x = y.mean(), lambda k, e: np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(e, 1e-9)), 0)
-    a, n1, n = ones, y.sum(), len(y)
-    table = [(a, total * share), (total - a, total * (1 - share)), (n1 - a, (n - total) * share), (n - n1 - total + a, (n - total) * (1 - share))]
-    ratio = 2 * sum(x(k, e) for k, e in table)
-    keep = np.flatnonzero((ratio > 10) & (total >= 3))
-    keep = np.sort(keep[np.argsort(-ratio[keep], kind="stable")[:FEATURES]])
-    features = kinds[keep]
-    find = Lookup(features)
-    pairs = [(k, find(s)[1]) for k, s in enumerate(sets)]
-    rows = np.concatenate([np.full(len(p), k) for k, p in pairs]) if len(features) else np.zeros(0, int)
-    cols = np.concatenate([p for _, p in pairs]) if len(features) else np.zeros(0, int)
-
-    def gradient(w: np.ndarray) -> np.ndarray:
-        off = sigmoid(np.bincount(rows, w[cols], len(y)) + w[-1]) - y
-        g = np.bincount(cols, off[rows], len(w)) + 0.05 * w
-        g[-1] = off.sum() + 0.001 * w[-1]
-        return g / len(y)
-
-    return Model(lm, features, adam(gradient, len(features) + 1, 400, 0.05))
+    texts = labelled_texts(docs, labelled, LABELLED, id_col, text_col)
+    return Model(lm, *fit_words(texts, lambda: Restorer(lm).all, Stash(docs.sparkSession, "toxicity"), FEATURES))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,15 +188,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore, find = Restorer(model.lm), Lookup(model.features)
-        wide = np.uint64(max(1, len(model.features)))
         for b in batches:
-            z = np.full(b.num_rows, model.weights[-1])
-            found = [np.zeros(0, np.uint64)]
-            for doc, h in word_features(restore.all(b.column(1).to_pylist())):
-                at, pos = find(h)
-                found.append(np.unique(doc[at].astype(np.uint64) * wide + pos.astype(np.uint64)))
-            pair = np.unique(np.concatenate(found))
-            z += np.bincount((pair // wide).astype(np.int64), model.weights[(pair % wide).astype(np.int64)], b.num_rows) if len(pair) else 0
+            z = word_logits(restore.all(b.column(1).to_pylist()), find, model.weights)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigmoid(z))], ["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
