@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests on one machine) a folder of our own."""
+    """spark.checkpoint.dir. Where it is unset, a session on one machine (tests) gets a folder of its own; on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
