@@ -159,3 +159,10 @@ def test_log_mel_by_direct_transform():
             w = np.clip(np.minimum((freq - lo) / (mid - lo), (hi - freq) / (hi - mid)), 0, None)
             want.append(np.log(w @ power + 1e-6))
         assert np.allclose(got[f], want, atol=2e-3)
+
+
+def test_roles_come_back(spark):
+    roles = ["\x00", "\\", "\\n", "a\nb", "\\\n", "\\\\n\n", "<|im_end|>", "<\\|x", "user\x00\\", "", None, "\n", "\\\\"]
+    t = spark.createDataFrame([(i, 0, role, f"t{i}<|im_end|>\n") for i, role in enumerate(roles)], "conv_id long, turn int, role string, text string")
+    got = {r.conv_id: (r.turns[0].role, r.turns[0].text) for r in chat.read_back(*chat.prefix_tree(t)).collect()}
+    assert got == {i: (role or "", f"t{i}<|im_end|>\n") for i, role in enumerate(roles)}

@@ -31,8 +31,9 @@ def _role(role: Column) -> Column:
 
 
 def _plain_role(role: Column) -> Column:
-    mark = "\x00"
-    return F.replace(F.replace(F.replace(F.replace(unescape(role), F.lit("\\\\"), F.lit(mark)), F.lit("\\n"), F.lit("\n")), F.lit(mark), F.lit("\\")), F.lit(""), F.lit(""))
+    """The role back: pairs of backslashes first, from the left, then the marks of line breaks between them."""
+    parts = F.split(unescape(role), r"\\\\")
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def prefix_tree(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
