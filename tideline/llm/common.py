@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 import zipfile
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.storage import shared_dir
+
 #: Rows of an Arrow batch in the text operators: long texts must not add up in one batch.
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
@@ -41,15 +42,6 @@ def small_batches(spark: SparkSession) -> None:
         context._tideline_sent = True
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
 class Stash:
     """Tables of intermediate results in the shared folder; they cut lineage and outlive a lost executor."""
 
@@ -72,17 +64,6 @@ class Stash:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-    def release(self) -> None:
-        """Let Spark's cleaner remove the shuffle files of plans that are done, before the next large shuffle."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
-
-def size_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of a plan's size; for a saved table its files' bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def by_group(batches: Iterator[pa.RecordBatch], key: str, work: Callable[[pa.Table], Iterator[pa.RecordBatch]], least: int = 1) -> Iterator[pa.RecordBatch]:
     """Stream a partition sorted by key in pieces of `least` rows or more that never split a key; holds one piece and one key's rows at most."""
     held: list[pa.RecordBatch] = []

@@ -157,10 +157,8 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
     found = stash.save(docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= length).mapInArrow(find, "h long, ctx long, k1 long, k2 int, at int, n int, own array<struct<s:int,e:int>>"))
     times = F.sum(F.when(F.col("own").isNull(), 1).otherwise(2))
     met = stash.save(found.groupBy("h").agg(times.alias("total"), F.min("ctx").alias("x"), F.max("ctx").alias("y")).where("total > 1").select("h", (F.col("x") != F.col("y")).alias("mixed")))
-    stash.release()
     seen = stash.save(found.join(met, "h"))
     stash.drop(found)
-    stash.release()
 
     kinds = kept = stash.save(seen.where("mixed").groupBy("h", "ctx").agg(times.cast("long").alias("c"), F.min(F.struct("k1", "k2", "at", "n")).alias("one")))
     frequent = kinds.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > contexts).select("h", F.lit(True).alias("frequent"))
@@ -177,12 +175,11 @@ def repeated_spans(docs: DataFrame, stash: Stash, length: int, gram: int, contex
         again = each.groupBy("w1", "w2").agg(F.sum("c").alias("k")).where("k > 1").select("w1", "w2")
         marks = marks.unionByName(each.join(again, ["w1", "w2"]).groupBy("h", "ctx").agg(F.array_sort(F.collect_list(F.struct(F.col("r").alias("s"), (F.col("r") + 1).alias("e")))).alias("spans")))
     marks = stash.save(marks)
-    stash.release()
     moved = F.transform("spans", lambda x: F.struct((x["s"] + F.col("at")).alias("s"), (x["e"] + F.col("at")).alias("e")))
     moved = F.coalesce("own", moved)
     whole = F.coalesce("own", F.array(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("n")).alias("e"))))
     per_anchor = seen.where("mixed").join(marks, ["h", "ctx"]).select("k1", "k2", moved.alias("spans")).unionByName(seen.where("NOT mixed").select("k1", "k2", whole.alias("spans")))
-    spans = stash.save(per_anchor.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    spans = stash.save(per_anchor.groupBy("k1", "k2").agg(F.flatten(F.collect_set("spans")).alias("spans")))  # rows alike in key and text: once
     for done in (seen, met, kept, marks, *([cuts, each] if some else [])):
         stash.drop(done)
     return spans
@@ -206,7 +203,6 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     # a row's key: its id and a short hash of all it holds; without an id the long hash stands for it
     rows = docs.select(F.struct(*(others or [F.lit(None).cast("string").alias("none")])).alias("row"), text.alias("text"), F.coalesce(whole, digest).alias("k1"), F.hash(digest, F.lit(3)).alias("k2"))
     spans = repeated_spans(rows.select("k1", "k2", "text"), stash, length, gram, contexts)
-    stash.release()
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
