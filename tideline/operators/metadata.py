@@ -103,8 +103,42 @@ def conserved_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     return out.where(F.when(F.col("__hit").isNull(), lost).otherwise(True)).drop("__hit")
 
 
+def _broken(specs: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
+    """(key, rule) of every rule whose condition holds."""
+    each = F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(name)) for name, c in rules.items()])
+    return specs.select(key, F.explode(F.filter(each, lambda r: r.isNotNull())).alias("rule"))
+
+
+def _repeated(specs: DataFrame, by: str, key: str, rule: str) -> DataFrame:
+    return specs.groupBy(by).agg(F.count("*").alias("n")).where("n > 1").select(F.col(by).alias(key), F.lit(rule).alias("rule"))
+
+
+#: Source databases, and kinds of initial load.
+DATABASES = ("oracle", "postgres", "mysql", "sqlserver")
+LOADS = ("delta", "dms")
+
+
 def spec_violations(flows: DataFrame) -> DataFrame:
-    """(flow_id, rule) of every rule that a flow spec breaks: no key, no partition, or an id used twice."""
-    rules = [F.when(F.size("key_columns") < 1, "no_key"), F.when(F.size("partition_columns") < 1, "no_partition")]
-    each = flows.select("flow_id", F.explode(F.filter(F.array(*rules), lambda r: r.isNotNull())).alias("rule"))
-    return each.unionByName(flows.groupBy("flow_id").count().where("count > 1").select("flow_id", F.lit("duplicate_id").alias("rule")))
+    """(flow_id, rule) of every rule that a flow spec breaks: an id that is not app_table, a target table that is not the source's
+    with its dollar signs marked, no key, no partition, an inactive schema that is not db.schema, an id or a path used twice
+    (there flow_id names the id or the path)."""
+    rules = {
+        "id_mismatch": F.col("flow_id") != F.concat_ws("_", "app", "src_table"),
+        "target_mismatch": F.lower("target_table") != F.lower(F.replace("src_table", F.lit("$"), F.lit("__DOL"))),
+        "no_key": F.size("key_columns") < 1,
+        "no_partition": F.size("partition_columns") < 1,
+        "schema_format": F.exists("inactive", lambda x: F.size(F.split(x, r"\.")) != 2),
+    }
+    return _broken(flows, "flow_id", rules).unionByName(_repeated(flows, "flow_id", "flow_id", "duplicate_id")).unionByName(_repeated(flows, "target_path", "flow_id", "duplicate_path"))
+
+
+def app_violations(apps: DataFrame, flows: DataFrame) -> DataFrame:
+    """(app, rule) of every rule that an app spec breaks: a database that is not supported, no topics, no flows."""
+    with_flows = apps.join(flows.groupBy("app").agg(F.count("*").alias("n_flows")), "app", "left")
+    rules = {"database": ~F.lower(F.trim("src_db_type")).isin(*DATABASES), "no_topics": F.size("cdc_topics") < 1, "no_flows": F.coalesce("n_flows", F.lit(0)) < 1}
+    return _broken(with_flows, "app", rules)
+
+
+def load_violations(specs: DataFrame) -> DataFrame:
+    """(table_name, rule) of initial-load specs whose load_type is not known."""
+    return _broken(specs, "table_name", {"load_type": ~F.lower(F.trim("load_type")).isin(*LOADS)})

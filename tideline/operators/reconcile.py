@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.messages import alert_status
@@ -88,6 +91,21 @@ def count_tables(tables: dict[str, DataFrame], by: str) -> DataFrame:
     return out
 
 
+def count_tables_apart(spark: SparkSession, scans: dict[str, Callable[[], DataFrame]], by: str) -> DataFrame:
+    """(table_name, group_id, n_rows, error): count_tables where a table that cannot be opened (missing, other columns, no
+    connection) has one row with its error and leaves the others alone. Opening reads one row at most."""
+    good, bad = {}, []
+    for name, scan in scans.items():
+        try:
+            df = scan().select(by)
+            df.limit(1).isEmpty()
+            good[name] = df
+        except PySparkException as e:
+            bad.append((name, e.getCondition() or type(e).__name__))
+    failed = spark.createDataFrame(bad, "table_name string, error string").select("table_name", F.lit(None).cast("string").alias("group_id"), F.lit(None).cast("long").alias("n_rows"), "error")
+    return failed if not good else count_tables(good, by).withColumn("error", F.lit(None).cast("string")).unionByName(failed)
+
+
 def data_sample(df: DataFrame, n: int, seed: int, keys: list[str], **tags: str) -> DataFrame:
     """n rows drawn at random by the hash of their key, the same ones for a seed, tagged with where they come from: a bounded sort,
     not a full one."""

@@ -112,12 +112,35 @@ def key_conflicts(spark, sf_dir):
     return MD.key_conflicts(keys, "l_orderkey", "cols").select("l_orderkey", F.size("sets").cast("long").alias("n_sets"))
 
 
-def spec_violations(spark, sf_dir):
-    """Specs built from customers: some have no key, some no partition, some share an id."""
-    c = table(spark, sf_dir, "customer")
+def _flow_specs(spark, sf_dir):
+    """Specs built from customers, which break one rule or another."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
     some = lambda cond, v: F.when(cond, F.array(F.lit(v))).otherwise(F.array().cast("array<string>"))
-    f = c.select((F.col("c_custkey") - F.when(F.col("c_custkey") % 50 == 1, 1).otherwise(0)).cast("string").alias("flow_id"), some(F.col("c_custkey") % 7 != 0, "k").alias("key_columns"), some(F.col("c_custkey") % 11 != 0, "p").alias("partition_columns"))
-    return MD.spec_violations(f)
+    twin = (k - F.when(k % 50 == 1, 1).otherwise(0)).cast("string")
+    app, src = F.concat(F.lit("app"), (k % 9).cast("string")), F.concat(F.lit("t$"), twin)
+    return c.select(
+        F.concat_ws("_", app, F.when(k % 13 == 0, "other").otherwise(src)).alias("flow_id"), app.alias("app"), src.alias("src_table"),
+        F.concat(F.when(k % 17 == 0, "T$").otherwise("T__DOL"), twin).alias("target_table"), F.concat(F.lit("/t/"), F.when(k % 40 == 0, "x").otherwise(s("c_custkey"))).alias("target_path"),
+        some(k % 7 != 0, "k").alias("key_columns"), some(k % 11 != 0, "p").alias("partition_columns"), F.when(k % 19 == 0, F.array(F.lit("db.s"), F.lit("schema"))).otherwise(F.array(F.lit("db.s"))).alias("inactive"),
+    )
+
+
+def spec_violations(spark, sf_dir):
+    return MD.spec_violations(_flow_specs(spark, sf_dir))
+
+
+def app_violations(spark, sf_dir):
+    """Apps built from nations: not every database is known, and not every app has topics or flows."""
+    n = F.col("n_nationkey")
+    kinds = F.element_at(F.array(*[F.lit(x) for x in ("Oracle ", "postgres", "mysql", "sqlserver", "db2")]), (n % 5 + 1).cast("int"))
+    apps = table(spark, sf_dir, "nation").select(F.concat(F.lit("app"), s("n_nationkey")).alias("app"), kinds.alias("src_db_type"), F.when(n % 4 != 0, F.array(F.lit("topic"))).otherwise(F.array().cast("array<string>")).alias("cdc_topics"))
+    return MD.app_violations(apps, _flow_specs(spark, sf_dir))
+
+
+def load_violations(spark, sf_dir):
+    """Initial-load specs built from suppliers."""
+    k = F.col("s_suppkey")
+    return MD.load_violations(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("table_name"), F.when(k % 3 == 0, "Delta").when(k % 3 == 1, "dms ").when(k % 6 == 2, "csv").alias("load_type")))
 
 
 def schema_id_assignment(spark, sf_dir):
@@ -320,6 +343,10 @@ def new_schema_onboarding(spark, sf_dir):
     return E.onboard(seen, specs, ["schema"], F.concat(F.lit("id"), F.col("schema")))
 
 
+SPECS = """
+WITH f AS (SELECT c_custkey AS k, 'app' || c_custkey % 9 AS app, 'app' || c_custkey % 9 || '_' || CASE WHEN c_custkey % 13 = 0 THEN 'other' ELSE 't$' || (c_custkey - CASE WHEN c_custkey % 50 = 1 THEN 1 ELSE 0 END) END AS flow_id,
+  '/t/' || CASE WHEN c_custkey % 40 = 0 THEN 'x' ELSE CAST(c_custkey AS VARCHAR) END AS path FROM customer)"""
+
 QUERIES = [
     (ordered_key_columns, "SELECT l_orderkey, string_agg('c' || l_partkey, ',' ORDER BY l_linenumber, 'c' || l_partkey) AS names FROM lineitem GROUP BY l_orderkey"),
     (type_mapping, CATALOG + "SELECT data_type, delta_type, count(*) AS n FROM m GROUP BY ALL"),
@@ -335,8 +362,13 @@ SELECT l.l_orderkey, CASE WHEN pk IS NOT NULL THEN 'PRIMARY_KEY' WHEN l.l_orderk
   coalesce(pk, CASE WHEN l.l_orderkey % 4 = 1 THEN cols END, ui, every) AS key_columns FROM l JOIN u ON l.l_orderkey = u.l_orderkey"""),
     (flow_grouping, "SELECT p_partkey, p_name || '_' || p_partkey AS src_table, CAST(ceil(row_number() OVER (ORDER BY p_name || '_' || p_partkey) / 30.0) AS BIGINT) AS group_number FROM part"),
     (key_conflicts, "WITH k AS (SELECT l_orderkey, l_suppkey % 2 AS sn, list_sort(list(DISTINCT l_linenumber)) AS c FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2) SELECT l_orderkey, count(DISTINCT c) AS n_sets FROM k GROUP BY 1 HAVING count(DISTINCT c) > 1"),
-    (spec_violations, """WITH f AS (SELECT CAST(c_custkey - CASE WHEN c_custkey % 50 = 1 THEN 1 ELSE 0 END AS VARCHAR) AS flow_id, c_custkey % 7 = 0 AS nk, c_custkey % 11 = 0 AS np FROM customer)
-SELECT flow_id, 'no_key' AS rule FROM f WHERE nk UNION ALL SELECT flow_id, 'no_partition' FROM f WHERE np UNION ALL SELECT flow_id, 'duplicate_id' FROM f GROUP BY flow_id HAVING count(*) > 1"""),
+    (spec_violations, SPECS + """
+SELECT flow_id, 'id_mismatch' AS rule FROM f WHERE k % 13 = 0 UNION ALL SELECT flow_id, 'target_mismatch' FROM f WHERE k % 17 = 0 UNION ALL SELECT flow_id, 'no_key' FROM f WHERE k % 7 = 0
+UNION ALL SELECT flow_id, 'no_partition' FROM f WHERE k % 11 = 0 UNION ALL SELECT flow_id, 'schema_format' FROM f WHERE k % 19 = 0
+UNION ALL SELECT flow_id, 'duplicate_id' FROM f GROUP BY flow_id HAVING count(*) > 1 UNION ALL SELECT path, 'duplicate_path' FROM f GROUP BY path HAVING count(*) > 1"""),
+    (app_violations, SPECS + """, a AS (SELECT n_nationkey AS n, 'app' || n_nationkey AS app FROM nation)
+SELECT app, 'database' AS rule FROM a WHERE n % 5 = 4 UNION ALL SELECT app, 'no_topics' FROM a WHERE n % 4 = 0 UNION ALL SELECT app, 'no_flows' FROM a WHERE app NOT IN (SELECT app FROM f)"""),
+    (load_violations, "SELECT s_name AS table_name, 'load_type' AS rule FROM supplier WHERE s_suppkey % 3 = 2"),
     (schema_id_assignment, """WITH c AS (SELECT DISTINCT 'db' || c_custkey % 7 AS src_db, 'n' || c_nationkey AS src_schema FROM customer), n AS (SELECT 'db' || n_nationkey % 7 AS src_db, 'n' || n_nationkey AS src_schema, 'old' || n_nationkey AS schema_id FROM nation)
 SELECT * FROM n UNION ALL SELECT src_db, src_schema, md5(src_db || '.' || src_schema) FROM c WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.src_db = c.src_db AND n.src_schema = c.src_schema)"""),
     (init_load_specs, """WITH d AS (SELECT DISTINCT 'NATION_' || s_nationkey AS schema_id, 'Brand#' || s_suppkey % 30 AS flow_id FROM supplier), e AS (SELECT n_name AS schema_id, flow_id FROM nation, (SELECT DISTINCT p_brand AS flow_id FROM part)),

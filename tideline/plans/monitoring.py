@@ -143,6 +143,12 @@ def multi_table_counts(spark, sf_dir):
     return R.count_tables(names, "g")
 
 
+def multi_table_counts_apart(spark, sf_dir):
+    """Counts of four tables, of which one does not exist and one has other columns."""
+    t = lambda n, c: lambda: table(spark, sf_dir, n).select(F.col(c).alias("g"))
+    return R.count_tables_apart(spark, {"orders": t("orders", "o_orderstatus"), "absent": t("absent", "x"), "part": t("part", "no_such_column"), "events": t("events", "event_type")}, "g")
+
+
 def unexpected_errors(spark, sf_dir):
     """Error rows of a run, missing tables aside."""
     e = table(spark, sf_dir, "events").select("event_id", (F.col("event_type") == "error").cast("int").alias("is_error"), F.when(F.col("event_id") % 3 == 0, "table does not exist").when(F.col("event_id") % 3 == 1, "timeout").alias("message"))
@@ -215,6 +221,7 @@ SELECT *, CASE WHEN lag_seconds IS NULL OR lag_seconds > 300 THEN 1 ELSE 0 END A
     (max_lob_kib, "SELECT CAST(greatest(ceil(greatest(max(strlen(text)), max(strlen(source))) / 1024.0), 5) AS BIGINT) AS max_lob_kib FROM documents"),
     (data_compare_by_hash, "SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 9 THEN 'missing_left' WHEN o_orderkey % 100 = 7 THEN 'missing_right' ELSE 'different' END AS verdict FROM orders WHERE o_orderkey % 100 IN (7, 9) OR (o_orderkey % 50 = 3 AND o_orderstatus <> 'X')"),
     (multi_table_counts, "SELECT 'orders' AS table_name, o_orderstatus AS group_id, count(*) AS n_rows FROM orders GROUP BY 2 UNION ALL SELECT 'lineitem', l_returnflag, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'events', event_type, count(*) FROM events GROUP BY 2"),
+    (multi_table_counts_apart, "SELECT 'orders' AS table_name, o_orderstatus AS group_id, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM orders GROUP BY 2 UNION ALL SELECT 'events', event_type, count(*), NULL FROM events GROUP BY 2 UNION ALL SELECT 'absent', NULL, NULL, 'PATH_NOT_FOUND' UNION ALL SELECT 'part', NULL, NULL, 'UNRESOLVED_COLUMN.WITH_SUGGESTION'"),
     (unexpected_errors, "SELECT CASE WHEN event_id % 3 = 1 THEN 'timeout' END AS message, count(*) AS n FROM events WHERE event_type = 'error' AND event_id % 3 <> 0 GROUP BY 1"),
     (fan_out_scan, "SELECT n_name, 'db1' AS src_db FROM nation WHERE n_name IN ('NATION_3', 'NATION_7', 'NATION_11') UNION ALL SELECT n_name, 'db2' FROM nation WHERE n_name IN ('NATION_7', 'NATION_11')"),
     (recent_partitions, "SELECT CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n FROM orders WHERE year(o_orderdate) * 100 + month(o_orderdate) >= 199711 GROUP BY 1"),
