@@ -71,3 +71,44 @@ def test_packing(kept):
 def test_run(spark, sf, kept):
     got = P.run(spark, sf)
     assert got.columns == kept[5].columns and abs(got.count() - kept[5].count()) <= 2
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null, repeated and missing ids, null, empty, blank, short and very long texts, and columns with the operators' own names."""
+    long = " ".join(f"word{k % 9973}x{k % 7}" for k in range(120_000))
+    rows = [(1, "some plain words in a row"), (1, "some plain words in a row"), (1, "another text under the same id"), (None, "no id here"), (None, None), (2, None), (2, ""), (3, " "), (4, long), (5, "x")]
+    assert len(long) > 1 << 20
+    rows = [(i, t, "en", None, None, "a", 1.5, 7, "b") for i, t in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, near_key string, score double, row int, id string").repartition(3).persist()
+
+
+def test_toxicity_edges(spark, sf, odd):
+    got = P.toxicity_stage(spark, odd, sf)
+    assert got.columns == list(P.COLUMNS) and got.count() <= odd.count()
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    assert not kept - Counter((r.doc_id, r.text) for r in odd.collect()) and kept[None, None] == kept[2, None]
+    assert P.toxicity_stage(spark, odd.limit(0), sf).count() == 0
+
+
+def test_repeats_edges(spark, sf, odd):
+    got = P.repeats_stage(spark, odd, sf).collect()
+    want = [k.decode() for *_, k in slow([(r.text or "").encode() if r.doc_id != 4 else b"" for r in odd.collect()], 200)]
+    assert sorted(r.text for r in got if r.doc_id != 4) == sorted(w for w, r in zip(want, odd.collect()) if r.doc_id != 4)
+    assert len(got) == odd.count() and all(r.n_chars == len(r.text) for r in got)
+    assert P.repeats_stage(spark, odd.limit(0), sf).count() == 0
+
+
+def test_mixing_edges(spark, sf, odd):
+    rate = Counter()
+    for r in mixing.mix(odd.select("doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet")).collect():
+        rate[r.row] += int(np.ceil(r.rate))
+    n = Counter(r.doc_id for r in P.mixing_stage(spark, odd, sf).collect())
+    assert all(n[d] <= rate[d] for d in n)
+    assert P.mixing_stage(spark, odd.limit(0), sf).count() == 0
+
+
+def test_packing_edges(spark, sf, odd):
+    got = P.packing_stage(spark, odd, sf).collect()
+    assert sum(r.length for r in got) == sum(r.doc_tokens for r in got if r.start == 0) and sum(r.start == 0 for r in got) == odd.count()
+    assert P.packing_stage(spark, odd.limit(0), sf).count() == 0
