@@ -16,7 +16,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose restored text scores below 0.7."""
+    """Documents whose restored text scores below 0.7. Null and empty texts are scored by the model's bias, rows are judged each, rows
+    without a doc_id are judged but not learnt from; an empty table stays empty, columns besides COLUMNS are dropped."""
     model = queries.toxicity_model(spark, docs, sf_dir)
     scored = toxicity.score(docs.select(F.struct(*COLUMNS).alias("row"), "text"), model, "row")
     return scored.where("score < 0.7").select(*[f"id.{c}" for c in COLUMNS])
@@ -33,13 +34,15 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts without the bytes that repeated 200-byte strings cover."""
+    """The texts without the bytes that repeated 200-byte strings cover, a row for each row; characters that a removed run cuts
+    through go with it. Rows alike in all columns repeat each other's strings; null texts become empty, short ones stay."""
     out = repeats.remove_repeats(docs.select(*COLUMNS), as_text=True)
     return out.select("row.doc_id", F.col("kept").alias("text"), "row.lang", "row.source", F.length("kept").cast("long").alias("n_chars"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its rate says: the whole part, and once more by the hash of its id for the fraction."""
+    """Every document as often as its rate says: the whole part, and once more by the hash of its id for the fraction (rows of one
+    doc_id alike; rows without one share a hash). Texts without words get their rate by their posteriors; an empty table stays empty."""
     rows = docs.select(F.struct(*COLUMNS).alias("row"), "text", "doc_id")
     out = mixing.mix(rows, table(spark, sf_dir, "labels"), row_col="row")
     times = out.withColumn("n", mixing.copies("rate", "row.doc_id"))
@@ -47,7 +50,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of 2048; copies of a document are told apart by row_in_task within their task."""
+    """Token pieces in sequences of 2048; copies of a document are told apart by row_in_task within their task. A null or empty text is
+    its end id alone, a null doc_id stays null, an empty table gives no pieces."""
     return packing.pack(docs, queries.vocabulary())
 
 
