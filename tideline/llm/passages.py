@@ -126,6 +126,20 @@ def band_keys(words: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def all_band_keys(words: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Band keys of the paragraphs x..y of some words."""
+    sh = np.append(shingle_hashes(words), np.uint64(0))
+    cut = np.stack([x, y - SHINGLE + 1], axis=1).ravel()
+    keys = np.empty((len(x), BANDS), np.int64)
+    for band in range(BANDS):
+        key = np.full(len(x), band, np.uint64)
+        for k in range(band * ROWS, band * ROWS + ROWS):
+            low = np.minimum.reduceat((sh ^ _SEEDS[0, k]) * _SEEDS[1, k], cut)[::2]
+            key = mix(key * np.uint64(0x9FB21C651E98DF25) + low)
+        keys[:, band] = key.view(np.int64)
+    return keys
+
+
 def paragraphs(text: np.ndarray, line: np.ndarray, h: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """(text number, first word, words, class, band keys) of every line of `least` words or more."""
     x, y = _runs_of(text, line)
@@ -133,7 +147,13 @@ def paragraphs(text: np.ndarray, line: np.ndarray, h: np.ndarray, least: int) ->
     x, y = x[long], y[long]
     total, down = _sums(h)
     name = mix((total[y] - total[x]) * down[x] + (y - x).astype(np.uint64)).view(np.int64)
-    keys = np.array([band_keys(h[a:b]) for a, b in zip(x.tolist(), y.tolist())], np.int64).reshape(-1, BANDS)
+    keys = np.zeros((len(x), BANDS), np.int64)
+    for first, stop in zip(*_runs_of(x // _WORDS)):  # paragraphs near each other at once
+        few = slice(first, stop)
+        if y[stop - 1] - x[first] > 2 * _WORDS:
+            keys[few] = [band_keys(h[a:b]) for a, b in zip(x[few].tolist(), y[few].tolist())]
+        else:
+            keys[few] = all_band_keys(h[x[first] : y[stop - 1]], x[few] - x[first], y[few] - x[first])
     return text[x], x - np.searchsorted(text, text[x]), y - x, name, keys
 
 
