@@ -4,7 +4,7 @@ Each shard's graph is built once, by a task of its own, and written to the share
 shard: a task loads one graph and a block of the queries, so neither grows with the table. Within a task the queries of a
 batch walk the graph in step, as array operations. A beam is widened for each query whose last place still lies within the
 similarity bound, and for all queries of a shard until an audit passes: vectors of all shards are compared by brute force with
-the shard, and their links and their nearest neighbours, themselves left out, must be found. Found pairs are verified in
+the shard, and their links, themselves left out, must be found, and where those are few their nearest neighbours too. Found pairs are verified in
 double precision.
 """
 
@@ -27,8 +27,10 @@ LINKS = 16  # of a node on upper levels; twice as many on the lowest
 BEAM, BUILD_BEAM = 48, 48
 #: Queries of a task.
 QUERY_ROWS = 25_000
-#: Audit queries against each shard, neighbours of each that must be found beside its links, and the recall of either.
-AUDIT, NEAREST, RECALL = 256, 10, 0.99
+#: Audit queries against each shard, and the recall of their links that is asked for. Where fewer than ENOUGH links were there
+#: to lose, NEAREST neighbours of each query must be found too, to a recall of NEAR.
+AUDIT, RECALL = 256, 0.99
+ENOUGH, NEAREST, NEAR = 100, 10, 0.95
 
 
 class Graph:
@@ -156,8 +158,9 @@ class Graph:
         return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
     def audited_beam(self, q: np.ndarray, own: np.ndarray, bound: float, beam: int) -> tuple[int, float]:
-        """The first beam, doubling, whose recall of the links and of the NEAREST neighbours of the audit queries reaches
-        RECALL, and the smaller of the two recalls. own: a query's own node in this graph, or -1; it counts in neither."""
+        """The first beam, doubling, whose recall of the audit queries' links reaches RECALL, and that of their NEAREST neighbours
+        NEAR where there are few links; and the recall of the links. own: a query's own node in this graph, or -1; it counts
+        in neither."""
         sims = q @ self.x.T
         here = np.flatnonzero(own >= 0)
         sims[here, own[here]] = -2
@@ -165,13 +168,17 @@ class Graph:
         links = sims >= bound
         near = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k else np.zeros((len(q), 0), int)
         least = np.take_along_axis(sims, near, 1).min(axis=1) if k else np.zeros(len(q))
+        few = links.sum() < ENOUGH
         while True:
             a, b = self.within(q, bound, beam)
-            ids, found = self.nearest(q, beam)
-            hits = ((found >= least[:, None] - 1e-6) & (ids != own[:, None])).sum(axis=1)
-            recalls = [links[a, b].sum() / max(1, links.sum()) if links.any() else 1.0, np.minimum(hits, k).sum() / max(1, k * len(q)) if k else 1.0]
-            if min(recalls) >= RECALL or beam >= len(self.x):
-                return beam, float(min(recalls))
+            recall = float(links[a, b].sum() / links.sum()) if links.any() else 1.0
+            near_recall = 1.0
+            if few and k:
+                ids, found = self.nearest(q, beam)
+                hits = ((found >= least[:, None] - 1e-6) & (ids != own[:, None])).sum(axis=1)
+                near_recall = np.minimum(hits, k).sum() / (k * len(q))
+            if recall >= RECALL and near_recall >= NEAR or beam >= len(self.x):
+                return beam, recall
             beam *= 2
 
     def rows(self) -> list[np.ndarray]:
