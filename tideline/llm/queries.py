@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import audio, chat, hnsw, mixing, packing, passages, quality, repeats, simhash, toxicity
+from tideline.llm import audio, chat, hnsw, lexical, mixing, packing, passages, quality, repeats, simhash, toxicity
 from tideline.llm.classify import fold
 from tideline.llm.common import table
 
@@ -104,9 +104,30 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns.cast("binary"), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    out = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op7_mixing, op8_toxicity, op9_passages, op10_chat)}
+    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op7_mixing, op8_toxicity, op9_passages, op10_chat, op12_lexical)}
+
+
+TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL_SQL = f"""
+WITH words AS (SELECT doc_id, unnest({TERMS_SQL}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+asked AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+weights AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_lexical": LEXICAL_SQL}
