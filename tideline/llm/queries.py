@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import audio, chat, hnsw, lexical, mixing, packing, passages, quality, repeats, simhash, toxicity
+from tideline.llm import audio, chat, hnsw, langid, lexical, mixing, packing, passages, quality, repeats, runs, simhash, toxicity
 from tideline.llm.classify import fold
 from tideline.llm.common import table
 
@@ -104,14 +104,41 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns.cast("binary"), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): where crc32(doc_id) is a multiple of 10, the words from some word on repeat a stretch of that place."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    d = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    d = d.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    d = d.withColumn("rest", F.col("n") - F.col("a")).withColumn("p", (1 + F.floor(F.col("rest") / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(F.col("rest") / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("rest"))), " ")
+    return d.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, some of them with planted repeats."""
+    out = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.reduce("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda a, r: F.when(a.isNull() | (r["length"] > a["length"]), r).otherwise(a))
+    out = out.withColumn("best", best).withColumn("lines", F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), ""))
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return out.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", milli.alias("exponent_milli"), F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of each benchmark item."""
     out = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
 
 
+def op13_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; those of fold 0 of 5 are held out."""
+    out = langid.identify(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 0)
+    held = F.coalesce(fold("id", 5) == 0, F.lit(False))
+    return out.select(F.col("id").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op7_mixing, op8_toxicity, op9_passages, op10_chat, op12_lexical)}
+    return {f.__name__: f for f in (op1_audio_features, op2_simhash, op3_suffix_array, op4_quality, op5_hnsw, op6_packing, op7_mixing, op8_toxicity, op9_passages, op10_chat, op11_runs, op12_lexical, op13_langid)}
 
 
 TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
