@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideline import storage
+
 GC_SECONDS = 432_000
 
 
@@ -64,17 +66,48 @@ def collect_tombstones(table: DataFrame, event_time: Column, now: Column, keep_s
     return table.where(~F.coalesce(old, F.lit(False)))
 
 
-def carry_forward(changes: DataFrame, keys: list[str], sequence: str, columns: list[str], current: DataFrame | None = None) -> DataFrame:
-    """Null large values of a change come from the nearest earlier change of the key in this batch, else from its live row."""
-    before = Window.partitionBy(*keys).orderBy(sequence).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = changes
-    for c in columns:
-        out = out.withColumn(c, F.last(c, ignorenulls=True).over(before))
+def segmented(rows: DataFrame, keys: list[str], sequence: str, segments: int | None = None) -> DataFrame:
+    """Rows with __segment: the number of a range of (keys, sequence). Ranges are of about equal size and in order, so a key
+    with very many rows has many of them. Written to the shared folder: their bounds come from a sample of the rows, and every
+    later step must see the same ones. segments: the session's shuffle partitions if not given."""
+    spark = rows.sparkSession
+    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = storage.fresh_dir(spark, "segments")
+    rows.repartitionByRange(n, *keys, sequence).withColumn("__segment", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def carry_forward(changes: DataFrame, keys: list[str], sequence: str, columns: list[str], current: DataFrame | None = None, reset: Column | None = None, segments: int | None = None) -> DataFrame:
+    """Null large values of a change come from the nearest earlier change of the key that has one, else from its row in `current`.
+
+    reset: changes (deletes) that nothing is carried over; a value after one comes from behind it, or stays null. A row of
+    `current` with the sequence among its columns serves later changes only. Equal sequences of a key are ordered by their large values.
+
+    A segmented scan: keys are cut by ranges of the sequence, each segment's last values are found (an aggregate with map-side
+    combine), scanned over the segments of the key (one row each), and put in front of the segment's own rows. No key gathers its
+    changes in one task: a group is a key's part of one range.
+    """
+    cut = F.coalesce(reset, F.lit(False)) if reset is not None else F.lit(False)
+    marks = [f"__m{i}" for i in range(len(columns))]
+    at = segmented(changes.withColumn("__reset", cut), keys, sequence, segments)
+    # a mark is a struct around the value, so that a reset is a mark too (around null)
+    at = at.select("*", F.lit(1).alias("__row"), *[F.when(F.col("__reset") | F.col(c).isNotNull(), F.struct(F.when(~F.col("__reset"), F.col(c)).alias("v"))).alias(m) for c, m in zip(columns, marks)])
+    part = [*keys, "__segment"]
+    last = at.groupBy(*part).agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(sequence, *columns))).alias(m) for m in marks])
+    earlier = Window.partitionBy(*keys).orderBy("__segment").rowsBetween(Window.unboundedPreceding, -1)
+    prior = last.select(*part, F.lit(0).alias("__row"), *[F.last(m, ignorenulls=True).over(earlier).alias(m) for m in marks])
+    here = Window.partitionBy(*part).orderBy("__row", sequence, *columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = at.unionByName(prior.where(" OR ".join(f"{m} IS NOT NULL" for m in marks)), allowMissingColumns=True)
+    out = out.select("*", *[F.last(m, ignorenulls=True).over(here).alias(f"__h{i}") for i, m in enumerate(marks)]).where("__row = 1")
+    live = [F.lit(None).cast(changes.schema[c].dataType) for c in columns]
     if current is not None:
-        live = current.select(*keys, *[F.col(c).alias(f"__live_{c}") for c in columns])
-        out = out.join(live, keys, "left")
-        out = reduce(lambda d, c: d.withColumn(c, F.coalesce(c, f"__live_{c}")), columns, out).drop(*[f"__live_{c}" for c in columns])
-    return out
+        rest = [c for c in (sequence, *columns) if c in current.columns]
+        out = out.join(current.select(*keys, F.struct(*rest).alias("__live")), keys, "left")
+        usable = F.col(f"__live.{sequence}") < F.col(sequence) if sequence in rest else F.lit(True)
+        live = [F.when(usable, F.col(f"__live.{c}")) for c in columns]
+    found = [F.col(f"__h{i}") for i in range(len(columns))]
+    filled = {c: F.when(F.col("__reset"), F.col(c)).when(f.isNotNull(), f["v"]).otherwise(v).alias(c) for c, f, v in zip(columns, found, live)}
+    return out.select(*[filled.get(c, F.col(c)) for c in changes.columns])
 
 
 def split_retries(changes: DataFrame, columns: list[str], op: str = "op_type", retries: str = "retries") -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from tideline.functions.messages import meta_map, normalized_key, path_fingerpri
 from tideline.operators import changes as C
 from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
 from tideline.sources.readers import table_stream
-from tideline.streaming.apply import BatchLedger, ChangePieces, fork_batches, start_apply
+from tideline.streaming.apply import BatchLedger, ChangePieces, fork_batches, replay_from, start_apply
 
 KEYS = ["key", "__schema_id"]
 
@@ -138,6 +138,28 @@ def cdc_lob_carry_forward(spark, sf_dir):
     return C.carry_forward(c, ["user_id", "schema_id"], "seq", ["note"], base).select("event_id", "note")
 
 
+def cdc_carry_forward_hot_keys(spark, sf_dir):
+    """Four keys hold all changes, deletes among them, over which nothing is carried."""
+    a = feed(spark, sf_dir)
+    note = F.get_json_object("after", "$.note")
+    c = a.select("event_id", "schema_id", "op_type", F.struct("csn", "pos").alias("seq"), F.when(note != "unchanged-toast-datum", note).alias("note"))
+    return C.carry_forward(c, ["schema_id"], "seq", ["note"], reset=F.col("op_type") == "D").select("event_id", "note")
+
+
+def stream_carry_forward(spark, sf_dir):
+    """Large values carried forward by the apply stream over several batches of a changing table, deletes between them."""
+    root = storage.fresh_dir(spark, "stream-carry")
+    events = table(spark, sf_dir, "events")
+    week = F.when(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"), 0).when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), 1).otherwise(2)
+    for part in range(3):  # files in order of time, one a batch
+        events.where(week == part).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    c = changes(event_feed(table_stream(spark, f"{root}/events", events.schema, {"maxFilesPerTrigger": "1"})))
+    c = c.withColumn("note", F.when(F.col("note") != "unchanged-toast-datum", F.col("note")))
+    target = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer")
+    start_apply(c, target, f"{root}/checkpoint", carry=["note"], reset=F.col("op_type") == "D", compact_after=2).awaitTermination()
+    return flat(C.current_state(target.read()))
+
+
 def cdc_lob_retry(spark, sf_dir):
     """Updates without their large value go to the retry side once."""
     a = feed(spark, sf_dir).select("schema_id", "op_type", F.get_json_object("after", "$.note").alias("note"), F.when(F.col("k") % 3 == 0, 1).alias("retries"))
@@ -225,14 +247,23 @@ def stream_apply(spark, sf_dir):
 
 
 def stream_ledger(spark, sf_dir):
-    """The stream run twice from scratch under one ledger: the second run finds its batches done."""
+    """The stream from scratch twice under one ledger, the second run once more: each run has its batches, a resumed one finds them."""
     root = storage.fresh_dir(spark, "stream-ledger")
     target, ledger = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer"), BatchLedger(spark, f"{root}/ledger", "app", "apply")
-    for run in ("first", "second"):
-        start_apply(changes(event_feed(_event_stream(spark, sf_dir))), target, f"{root}/{run}", run=run, ledger=ledger).awaitTermination()
-    done = spark.read.parquet(f"{root}/ledger/rows")
-    rows = C.current_state(target.read()).agg(F.count("*").alias("n_live"))
-    return rows.crossJoin(done.agg(F.max(F.col("batch_id").cast("long")).alias("last_batch"), (F.count("*") - F.countDistinct("batch_id")).alias("repeated_batches"))).select("n_live", "repeated_batches")
+    for run in ("first", "second", "second"):
+        start_apply(changes(event_feed(_event_stream(spark, sf_dir))), target, f"{root}/{run}", ledger=ledger).awaitTermination()
+    done = spark.read.parquet(f"{root}/ledger/rows").agg(F.countDistinct("streaming_query_id").alias("n_runs"), (F.count("*") - F.countDistinct("streaming_query_id", "batch_id")).alias("repeated_batches"))
+    return C.current_state(target.read()).agg(F.count("*").alias("n_live")).crossJoin(done)  # one row each
+
+
+def replay_with_ledger(spark, sf_dir):
+    """The apply stream from a start timestamp under a ledger, then from an earlier one under the same ledger, then resumed: the
+    replay's batches have the numbers of the first run's, and none may be passed over."""
+    root = storage.fresh_dir(spark, "replay-ledger")
+    target, ledger = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer"), BatchLedger(spark, f"{root}/ledger", "app", "apply")
+    for start in ("2024-01-20 00:00:00", "2024-01-05 00:00:00", "2024-01-05 00:00:00"):
+        replay_from(changes(event_feed(_event_stream(spark, sf_dir))), "ts", start, target, f"{root}/checkpoints", ledger=ledger).awaitTermination()
+    return flat(C.current_state(target.read()))
 
 
 def stream_fork(spark, sf_dir):
@@ -287,6 +318,15 @@ SELECT event_id, CASE WHEN op_type <> 'I' THEN user_id END AS before_key, CASE W
 c AS (SELECT event_id, user_id, schema_id, csn, pos, CASE WHEN raw_note <> 'unchanged-toast-datum' THEN raw_note END AS note FROM b WHERE op_type <> 'D'),
 w AS (SELECT event_id, user_id, last_value(note IGNORE NULLS) OVER (PARTITION BY user_id, schema_id ORDER BY csn, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS note FROM c)
 SELECT event_id, coalesce(note, c_name) AS note FROM w LEFT JOIN customer ON user_id = c_custkey"""),
+    (cdc_carry_forward_hot_keys, SQL_A + """
+c AS (SELECT event_id, schema_id, op_type, csn, pos, CASE WHEN op_type <> 'D' AND raw_note <> 'unchanged-toast-datum' THEN raw_note END AS note FROM b),
+w AS (SELECT event_id, op_type, last_value(CASE WHEN op_type = 'D' THEN '' ELSE note END IGNORE NULLS) OVER (PARTITION BY schema_id ORDER BY csn, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS note FROM c)
+SELECT event_id, nullif(note, '') AS note FROM w"""),
+    (stream_carry_forward, SQL_A + """
+c AS (SELECT *, CASE WHEN op = 'D' THEN '' WHEN note <> 'unchanged-toast-datum' THEN note END AS mark FROM s),
+w AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY key, schema_id ORDER BY csn, pos, pk_rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried,
+        row_number() OVER (PARTITION BY key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM c)
+SELECT key, schema_id, amount, nullif(carried, '') AS note, event_id, csn, CAST(pk_rank AS BIGINT) AS pk_rank FROM w WHERE rn = 1 AND op <> 'D'"""),
     (cdc_lob_retry, SQL_A + """z AS (SELECT schema_id, CASE WHEN op_type = 'U' AND raw_note IS NULL AND k % 3 <> 0 THEN 'retry' ELSE 'pass' END AS side FROM b)
 SELECT schema_id, side, count(*) AS n FROM z GROUP BY schema_id, side"""),
     (cdc_truncate_apply, SQL_A + """
@@ -309,7 +349,8 @@ SELECT '/registry/' || replace(split_part(key, '.', 3), '__dol', '$') || '/schem
     (meta_map_columns, SQL_A + "z AS (SELECT 1) SELECT event_id, CAST(csn AS VARCHAR) AS csn, op_type, CAST(4 AS BIGINT) AS n FROM a"),
     (silver_filter, SQL_A + "z AS (SELECT 1) SELECT schema_id, op_type, count(*) AS n, max(csn) AS max_csn FROM a WHERE ts >= TIMESTAMP '2024-01-10' AND schema_id <> 's3' GROUP BY ALL"),
     (stream_apply, LATEST),
-    (stream_ledger, SQL_A + "r AS (SELECT *, row_number() OVER (PARTITION BY key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM s) SELECT count(*) AS n_live, CAST(0 AS BIGINT) AS repeated_batches FROM r WHERE rn = 1 AND op <> 'D'"),
+    (stream_ledger, SQL_A + "r AS (SELECT *, row_number() OVER (PARTITION BY key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM s) SELECT count(*) AS n_live, CAST(2 AS BIGINT) AS n_runs, CAST(0 AS BIGINT) AS repeated_batches FROM r WHERE rn = 1 AND op <> 'D'"),
+    (replay_with_ledger, LATEST.replace("FROM s", "FROM s WHERE ts >= TIMESTAMP '2024-01-05'")),
     (stream_fork, SQL_A + "z AS (SELECT 1) SELECT CASE WHEN schema_id <> 's3' THEN 'active' ELSE 'inactive' END AS side, schema_id, count(*) AS n FROM a GROUP BY ALL"),
     (claim_checks, "SELECT doc_id, md5(CASE WHEN doc_id % 3 = 0 THEN text ELSE 'inline' END) AS payload_md5 FROM documents"),
 ]

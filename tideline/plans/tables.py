@@ -17,20 +17,41 @@ from tideline.plans.catalog import _versions
 from tideline.plans.cdc import KEYS, _event_stream, _message_keys, changes, feed, flat
 from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
 from tideline.sources.readers import json_file_stream, text_file_stream
-from tideline.streaming.apply import ChangePieces, change_feed, replay_from
+from tideline.streaming.apply import ChangePieces, change_feed, change_stream, replay_from
 
 s = lambda c: F.col(c).cast("string")
 
 
 def change_feed_between(spark, sf_dir):
-    """Change feed that the second half of the changes makes to the current-state table of the first."""
+    """Change feed that the second half of the changes makes to the current-state table of the first, which was compacted since."""
     target = ChangePieces(spark, storage.fresh_dir(spark, "feed"), KEYS, "__cdc_sequencer")
     c = changes(feed(spark, sf_dir))
     target.append("first", 0, c.where("ts < timestamp_ntz '2024-01-20 00:00:00'"))
-    before = target.pieces()
     target.append("first", 1, c.where("ts >= timestamp_ntz '2024-01-20 00:00:00'"))
-    out = change_feed(target, before, [p for p in target.pieces() if p not in before])
-    return out.select("key", F.col("__schema_id").alias("schema_id"), "event_id", F.col("_change_type").alias("change_type"))
+    target.compact()
+    out = change_feed(target, 2)
+    return out.select("key", F.col("__schema_id").alias("schema_id"), "event_id", F.col("_change_type").alias("change_type"), "_commit_version")
+
+
+def change_stream_from(spark, sf_dir):
+    """A stream of the changes from the second of three commits on, drained before and after a compaction, and another one begun
+    after it: both have each change once."""
+    root = storage.fresh_dir(spark, "feed-stream")
+    target = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer")
+    c = changes(feed(spark, sf_dir))
+    for batch, part in enumerate(("ts < timestamp_ntz '2024-01-10 00:00:00'", "ts >= timestamp_ntz '2024-01-10 00:00:00' AND ts < timestamp_ntz '2024-01-20 00:00:00'", "ts >= timestamp_ntz '2024-01-20 00:00:00'")):
+        target.append("first", batch, c.where(part))
+
+    def drain(name):
+        change_stream(target, 2).writeStream.format("parquet").option("path", f"{root}/{name}/rows").option("checkpointLocation", f"{root}/{name}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    drain("a")
+    target.compact()
+    drain("a")
+    drain("b")
+    both = spark.read.parquet(f"{root}/a/rows").unionByName(spark.read.parquet(f"{root}/b/rows"))
+    row = both.select("key", F.col("__schema_id").alias("schema_id"), "event_id", F.col("__DeleteVersion").isNotNull().alias("deleted"), "_commit_version")
+    return row.groupBy(*row.columns).agg(F.count("*").alias("n"))
 
 
 def decode_by_registry(spark, sf_dir):
@@ -121,7 +142,7 @@ def replay_start(spark, sf_dir):
     target = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer")
     for start in ("2024-01-18 00:00:00", "2024-01-10 00:00:00", "2024-01-10 00:00:00"):
         replay_from(changes(event_feed(_event_stream(spark, sf_dir))), "ts", start, target, f"{root}/checkpoints").awaitTermination()
-    return flat(C.current_state(target.read())).crossJoin(F.broadcast(spark.createDataFrame([(len(storage.folders(spark, target.path)),)], "n_runs long")))  # one row
+    return flat(C.current_state(target.read())).crossJoin(F.broadcast(spark.createDataFrame([(len({p.run for p in target.pieces()}),)], "n_runs long")))  # one row
 
 
 def app_schema_pairs(spark, sf_dir):
@@ -225,9 +246,15 @@ QUERIES = [
     (change_feed_between, SQL_A + """
 h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM s WHERE ts < TIMESTAMP '2024-01-20') WHERE rn = 1 AND op <> 'D'),
 w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM s) WHERE rn = 1 AND op <> 'D'),
-j AS (SELECT coalesce(h.key, w.key) AS key, coalesce(h.schema_id, w.schema_id) AS schema_id, h.event_id AS a, w.event_id AS b, h.pk_rank AS x, w.pk_rank AS y FROM h FULL JOIN w ON h.key = w.key AND h.schema_id = w.schema_id)
-SELECT key, schema_id, b AS event_id, 'insert' AS change_type FROM j WHERE a IS NULL UNION ALL SELECT key, schema_id, a, 'delete' FROM j WHERE b IS NULL
-UNION ALL SELECT key, schema_id, a, 'update_preimage' FROM j WHERE a <> b UNION ALL SELECT key, schema_id, b, 'update_postimage' FROM j WHERE a <> b"""),
+j AS (SELECT coalesce(h.key, w.key) AS key, coalesce(h.schema_id, w.schema_id) AS schema_id, h.event_id AS a, w.event_id AS b, h.pk_rank AS x, w.pk_rank AS y FROM h FULL JOIN w ON h.key = w.key AND h.schema_id = w.schema_id),
+z AS (
+  SELECT key, schema_id, b AS event_id, 'insert' AS change_type FROM j WHERE a IS NULL UNION ALL SELECT key, schema_id, a, 'delete' FROM j WHERE b IS NULL
+  UNION ALL SELECT key, schema_id, a, 'update_preimage' FROM j WHERE a <> b UNION ALL SELECT key, schema_id, b, 'update_postimage' FROM j WHERE a <> b)
+SELECT *, CAST(2 AS BIGINT) AS _commit_version FROM z"""),
+    (change_stream_from, SQL_A + """
+p AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 2 ELSE 3 END AS part FROM s WHERE ts >= TIMESTAMP '2024-01-10'),
+r AS (SELECT *, row_number() OVER (PARTITION BY part, key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM p)
+SELECT key, schema_id, event_id, op = 'D' AS deleted, CAST(part AS BIGINT) AS _commit_version, CAST(2 AS BIGINT) AS n FROM r WHERE rn = 1"""),
     (decode_by_registry, SQL_A + "z AS (SELECT 1) SELECT k % 4 AS schema_fingerprint, count(*) AS n, count(*) FILTER (WHERE k % 4 < 3 AND op_type <> 'D') AS n_decoded, CAST(sum(CASE WHEN k % 4 < 3 AND op_type <> 'D' THEN new_key END) AS BIGINT) AS key_sum FROM b GROUP BY 1"),
     (lag_window, "SELECT event_type, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS yyyymmdd, max(ts) AS max_ts, count(*) AS n FROM events WHERE user_id % 3 = 1 AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1, 2"),
     (source_sample, "SELECT o_orderkey, o_custkey, o_orderstatus, 'db' AS src_db, 'orders' AS src_table FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 100"),

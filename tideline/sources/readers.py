@@ -29,8 +29,10 @@ def change_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType, options: dict[str, str] | None = None, where: Column | None = None) -> DataFrame:
-    """Stream of a columnar table's files, rate-limited, with an optional filter that the scan can prune by."""
-    reader = spark.readStream.schema(schema).options(**(BRONZE_DEFAULTS | (options or {})))
+    """Stream of a columnar table's files, with an optional filter that the scan can prune by. What a trigger takes is limited by
+    maxFilesPerTrigger, or by maxBytesPerTrigger if that is among the options."""
+    limits = {} if "maxBytesPerTrigger" in (options or {}) else BRONZE_DEFAULTS
+    reader = spark.readStream.schema(schema).options(**(limits | (options or {})))
     if storage.is_file(spark, path):  # a stream follows a folder: of one file's folder it takes that name alone
         folder, name = path.rsplit("/", 1)
         df = reader.option("pathGlobFilter", name).parquet(folder)

@@ -34,17 +34,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Folders in a folder, by name; none if it does not exist."""
+def found(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, by name, in one listing."""
+    fs, p = _file(spark, pattern)
+    return sorted(str(x.getPath()) for x in fs.globStatus(p) or [])
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
     fs, p = _file(spark, path)
-    return sorted(str(x.getPath()) for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
-def delete(spark: SparkSession, path: str) -> None:
+def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = _file(spark, path)
-    fs.delete(p, True)
+    fs.mkdirs(p)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a path that must not exist; its parents are made."""
+    fs, p = _file(spark, target)
+    if fs.exists(p):
+        raise FileExistsError(target)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), p):
+        raise OSError(f"{source} could not become {target}")
 
 
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, p = _file(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _file(spark, path)
+    fs.delete(p, True)
