@@ -142,3 +142,13 @@ def app_violations(apps: DataFrame, flows: DataFrame) -> DataFrame:
 def load_violations(specs: DataFrame) -> DataFrame:
     """(table_name, rule) of initial-load specs whose load_type is not known."""
     return _broken(specs, "table_name", {"load_type": ~F.lower(F.trim("load_type")).isin(*LOADS)})
+
+
+def control_product(left: DataFrame, right: DataFrame, rows: int = 10_000) -> DataFrame:
+    """Every row of one control table with every row of another: a cross join, by intent. Both are counted first, and more than
+    `rows` of either is an error, so the product and what is broadcast have a bound."""
+    for side in (left, right):
+        n = side.limit(rows + 1).count()
+        if n > rows:
+            raise ValueError(f"a control table of more than {rows} rows")
+    return left.crossJoin(F.broadcast(right))

@@ -63,8 +63,10 @@ def unexpected_errors(results: DataFrame, error: str = "is_error", message: str
 
 
 def compare_by_hash(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """(keys, verdict) of rows that differ: missing on a side, or different content."""
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]).cast("binary"))
+    """(keys, verdict) of rows that differ: missing on a side, or different content. Values are hashed with their lengths, and
+    nulls as a mark without one, so values that run together, or a text like the mark, are told apart."""
+    value = lambda c: F.when(F.col(c).isNull(), "~").otherwise(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")))
+    digest = F.md5(F.concat(*map(value, columns)).cast("binary"))
     a, b = left.select(*keys, digest.alias("__a")), right.select(*keys, digest.alias("__b"))
     verdict = F.when(F.col("__a").isNull(), "missing_left").when(F.col("__b").isNull(), "missing_right").when(F.col("__a") != F.col("__b"), "different")
     return a.join(b, keys, "full").select(*keys, verdict.alias("verdict")).where("verdict IS NOT NULL")

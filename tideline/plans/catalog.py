@@ -107,7 +107,7 @@ def flow_grouping(spark, sf_dir):
 
 
 def key_conflicts(spark, sf_dir):
-    li = _lines(spark, sf_dir).where("l_linenumber <= 2")
+    li = _lines(spark, sf_dir)
     keys = li.groupBy("l_orderkey", (F.col("l_suppkey") % 2).alias("schema_no")).agg(F.collect_set(F.col("l_linenumber")).alias("cols"))
     return MD.key_conflicts(keys, "l_orderkey", "cols").select("l_orderkey", F.size("sets").cast("long").alias("n_sets"))
 
@@ -154,8 +154,7 @@ def init_load_specs(spark, sf_dir):
     """Schemas by flows, inserted where absent: nations by the brands of all parts."""
     n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("schema_id"))
     f = table(spark, sf_dir, "part").select(F.col("p_brand").alias("flow_id")).distinct()
-    # the product of two control tables is the result asked for; what is there is left out first
-    every = n.select("schema_id", F.lit(1).alias("one")).join(f.withColumn("one", F.lit(1)), "one").drop("one").withColumn("status", F.lit("new"))
+    every = MD.control_product(n, f).withColumn("status", F.lit("new"))
     done = table(spark, sf_dir, "supplier").select(F.concat(F.lit("NATION_"), s("s_nationkey")).alias("schema_id"), F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 30).cast("string")).alias("flow_id"), F.lit("done").alias("status")).distinct()
     return M.insert_missing(done, every, ["schema_id", "flow_id"]).groupBy("schema_id", "status").agg(F.count("*").alias("n"))
 
@@ -165,7 +164,7 @@ _TYPES = ("tinyint", "smallint", "int", "bigint", "double", "decimal(12,2)", "de
 
 def _versions(spark, sf_dir):
     """Schema versions of an order's flow: a supplier remainder is a version, a part remainder a column."""
-    li = _lines(spark, sf_dir).where("l_partkey % 8 < 6")
+    li = _lines(spark, sf_dir)
     kind = F.element_at(F.array(*[F.lit(t) for t in _TYPES[:5]]), (F.col("l_suppkey") % 5 + 1).cast("int"))
     rows = li.select(F.concat(F.lit("f"), (F.col("l_orderkey") % 500).cast("string")).alias("flow_id"), (F.col("l_suppkey") % 4).cast("int").alias("version"), F.concat(F.lit("c"), (F.col("l_partkey") % 8).cast("string")).alias("column"), kind.alias("type"), (F.col("l_suppkey") % 5).alias("rank"))
     one = rows.groupBy("flow_id", "version", "column").agg(F.max_by("type", "rank").alias("type"))
@@ -173,7 +172,7 @@ def _versions(spark, sf_dir):
 
 
 WIDEST = """
-WITH r AS (SELECT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, 'c' || l_partkey % 8 AS col, max(l_suppkey % 5) AS rank FROM lineitem WHERE l_partkey % 8 < 6 GROUP BY 1, 2, 3),
+WITH r AS (SELECT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, 'c' || l_partkey % 8 AS col, max(l_suppkey % 5) AS rank FROM lineitem GROUP BY 1, 2, 3),
 w AS (SELECT flow_id, col, max(rank) AS rank, min(version) AS v0 FROM r GROUP BY 1, 2),
 t AS (SELECT *, CASE rank WHEN 0 THEN 'tinyint' WHEN 1 THEN 'smallint' WHEN 2 THEN 'int' WHEN 3 THEN 'bigint' ELSE 'double' END AS type FROM w)
 """
@@ -361,7 +360,7 @@ l AS (SELECT l_orderkey, string_agg('c' || l_partkey, ',' ORDER BY l_linenumber,
 SELECT l.l_orderkey, CASE WHEN pk IS NOT NULL THEN 'PRIMARY_KEY' WHEN l.l_orderkey % 4 = 1 THEN 'UNIQUE_KEY' WHEN ui IS NOT NULL THEN 'UNIQUE_INDEX' ELSE 'ALL_COLUMNS' END AS key_type,
   coalesce(pk, CASE WHEN l.l_orderkey % 4 = 1 THEN cols END, ui, every) AS key_columns FROM l JOIN u ON l.l_orderkey = u.l_orderkey"""),
     (flow_grouping, "SELECT p_partkey, p_name || '_' || p_partkey AS src_table, CAST(ceil(row_number() OVER (ORDER BY p_name || '_' || p_partkey) / 30.0) AS BIGINT) AS group_number FROM part"),
-    (key_conflicts, "WITH k AS (SELECT l_orderkey, l_suppkey % 2 AS sn, list_sort(list(DISTINCT l_linenumber)) AS c FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2) SELECT l_orderkey, count(DISTINCT c) AS n_sets FROM k GROUP BY 1 HAVING count(DISTINCT c) > 1"),
+    (key_conflicts, "WITH k AS (SELECT l_orderkey, l_suppkey % 2 AS sn, list_sort(list(DISTINCT l_linenumber)) AS c FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, count(DISTINCT c) AS n_sets FROM k GROUP BY 1 HAVING count(DISTINCT c) > 1"),
     (spec_violations, SPECS + """
 SELECT flow_id, 'id_mismatch' AS rule FROM f WHERE k % 13 = 0 UNION ALL SELECT flow_id, 'target_mismatch' FROM f WHERE k % 17 = 0 UNION ALL SELECT flow_id, 'no_key' FROM f WHERE k % 7 = 0
 UNION ALL SELECT flow_id, 'no_partition' FROM f WHERE k % 11 = 0 UNION ALL SELECT flow_id, 'schema_format' FROM f WHERE k % 19 = 0
@@ -397,7 +396,7 @@ SELECT CAST(l_orderkey AS VARCHAR) AS key, CAST(CASE WHEN h >= 92233720368547758
     (schema_registry_numbers, """SELECT CAST(p_partkey AS VARCHAR) AS key, 0 AS position, 'p_size' AS "column", 'decimal(38,' || p_size % 7 || ')' AS type FROM part
 UNION ALL SELECT CAST(p_partkey AS VARCHAR), 1, 'big', 'decimal(' || least(p_size % 20 + 30, 38) || ',2)' FROM part"""),
     (schema_diff_events, """
-WITH r AS (SELECT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, 'c' || l_partkey % 8 AS col, max(l_suppkey % 5) AS rank FROM lineitem WHERE l_partkey % 8 < 6 GROUP BY 1, 2, 3),
+WITH r AS (SELECT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, 'c' || l_partkey % 8 AS col, max(l_suppkey % 5) AS rank FROM lineitem GROUP BY 1, 2, 3),
 b AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version < 2 GROUP BY 1, 2), a AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version <> 1 GROUP BY 1, 2),
 f AS (SELECT flow_id FROM b INTERSECT SELECT flow_id FROM a),
 d AS (SELECT coalesce(a.flow_id, b.flow_id) AS flow_id, coalesce(a.col, b.col) AS "column", a.rank AS x, b.rank AS y FROM b FULL JOIN a ON a.flow_id = b.flow_id AND a.col = b.col),

@@ -132,9 +132,13 @@ def max_lob_kib(spark, sf_dir):
 
 
 def data_compare_by_hash(spark, sf_dir):
+    """Two copies that differ in rows, in a value, in where one value ends and the next begins, and in a null."""
+    k = F.col("o_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    copy = o.where("o_orderkey % 100 <> 7").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 50 == 3, "X").otherwise(F.col("o_orderstatus")))
-    return R.compare_by_hash(o.where("o_orderkey % 100 <> 9"), copy, ["o_orderkey"], ["o_custkey", "o_orderstatus"])
+    mine = o.where("o_orderkey % 100 <> 9").withColumn("tag", F.when(k % 100 == 21, F.concat("o_orderstatus", F.lit("|x"))).when(k % 100 == 31, None).otherwise("y")).withColumn("note", F.lit("z"))
+    copy = o.where("o_orderkey % 100 <> 7").withColumn("o_orderstatus", F.when(k % 50 == 3, "X").otherwise(F.col("o_orderstatus")))
+    copy = copy.withColumn("tag", F.when(k % 100 == 21, F.col("o_orderstatus")).when(k % 100 == 31, "~").otherwise("y")).withColumn("note", F.when(k % 100 == 21, "x|z").otherwise("z"))
+    return R.compare_by_hash(mine, copy, ["o_orderkey"], ["o_custkey", "o_orderstatus", "tag", "note"])
 
 
 def multi_table_counts(spark, sf_dir):
@@ -219,7 +223,7 @@ SELECT *, CASE WHEN lag_seconds IS NULL OR lag_seconds > 300 THEN 1 ELSE 0 END A
     (document_extract, "SELECT CAST(event_id AS VARCHAR) AS document_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE ts > TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'"),
     (extract_watermark, "WITH m AS (SELECT max(ts) AS t FROM events WHERE ts < TIMESTAMP '2024-01-12') SELECT event_type, count(*) AS n, (SELECT max(ts) FROM events) AS watermark FROM events, m WHERE ts > t GROUP BY event_type"),
     (max_lob_kib, "SELECT CAST(greatest(ceil(greatest(max(strlen(text)), max(strlen(source))) / 1024.0), 5) AS BIGINT) AS max_lob_kib FROM documents"),
-    (data_compare_by_hash, "SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 9 THEN 'missing_left' WHEN o_orderkey % 100 = 7 THEN 'missing_right' ELSE 'different' END AS verdict FROM orders WHERE o_orderkey % 100 IN (7, 9) OR (o_orderkey % 50 = 3 AND o_orderstatus <> 'X')"),
+    (data_compare_by_hash, "SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 9 THEN 'missing_left' WHEN o_orderkey % 100 = 7 THEN 'missing_right' ELSE 'different' END AS verdict FROM orders WHERE o_orderkey % 100 IN (7, 9, 21, 31) OR (o_orderkey % 50 = 3 AND o_orderstatus <> 'X')"),
     (multi_table_counts, "SELECT 'orders' AS table_name, o_orderstatus AS group_id, count(*) AS n_rows FROM orders GROUP BY 2 UNION ALL SELECT 'lineitem', l_returnflag, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'events', event_type, count(*) FROM events GROUP BY 2"),
     (multi_table_counts_apart, "SELECT 'orders' AS table_name, o_orderstatus AS group_id, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM orders GROUP BY 2 UNION ALL SELECT 'events', event_type, count(*), NULL FROM events GROUP BY 2 UNION ALL SELECT 'absent', NULL, NULL, 'PATH_NOT_FOUND' UNION ALL SELECT 'part', NULL, NULL, 'UNRESOLVED_COLUMN.WITH_SUGGESTION'"),
     (unexpected_errors, "SELECT CASE WHEN event_id % 3 = 1 THEN 'timeout' END AS message, count(*) AS n FROM events WHERE event_type = 'error' AND event_id % 3 <> 0 GROUP BY 1"),

@@ -13,6 +13,7 @@ from tideline.operators import logs as L
 from tideline.operators import merge as M
 from tideline.operators import metadata as MD
 from tideline.operators import reconcile as R
+from tideline.operators import rewrite as W
 from tideline.plans.catalog import _versions
 from tideline.plans.cdc import KEYS, _event_stream, _message_keys, changes, feed, flat
 from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
@@ -96,6 +97,31 @@ def overwrite_with_schema(spark, sf_dir):
     return spark.read.parquet(new).groupBy("o_orderstatus").agg(F.sum(F.col("o_orderkey").cast("long")).alias("key_sum"), F.count("note").alias("n_notes"), F.count("*").alias("n"))
 
 
+def flow_rewrite(spark, sf_dir):
+    """Five flows' tables, one of which has a column that cannot be cast and one of which is not there yet: outcome, flag, log rows
+    and what the tables hold then."""
+    root = storage.fresh_dir(spark, "rewrite")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.substring("o_orderpriority", 1, 1).alias("priority"), F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1)).alias("mark"))
+    flows = []
+    for p in "12345":
+        path = f"{root}/flow-{p}"
+        if p != "5":
+            o.where(F.col("priority") == p).drop("priority").write.partitionBy("o_orderstatus").parquet(path)
+        mark = "int" if p == "3" else "string"
+        flows.append(W.Rewrite(f"flow-{p}", path, f"o_orderkey decimal(20,0), o_custkey bigint, mark {mark}, note string, o_orderstatus string", ("o_orderstatus",)))
+    outcomes = W.rewrite_flows(spark, flows)
+    specs = spark.createDataFrame([(f.flow_id, False, "deploy") for f in flows], "flow_id string, schema_refresh_done boolean, updated_by string")
+    log = f"{root}/errors"
+    L.append_log(W.refresh_errors(outcomes, "app", F.lit("2024-02-01 00:00:00")), log)
+    logged = spark.read.parquet(log).groupBy("flow_id").agg(F.count("*").alias("n_errors"), F.max(F.col("error_metadata")["condition"]).alias("condition"))
+    held = None
+    for f in flows[:4]:
+        t = spark.read.parquet(f.path)
+        one = t.agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").cast("long").alias("key_sum")).select(F.lit(f.flow_id).alias("flow_id"), F.lit("note" in t.columns).alias("new_schema"), "n_rows", "key_sum")
+        held = one if held is None else held.unionByName(one)
+    return W.with_refresh_flags(specs, outcomes).join(held, "flow_id", "left").join(logged, "flow_id", "left")
+
+
 def error_log(spark, sf_dir):
     """Schemas of inactive flows are skipped with a warning row each in the error log."""
     path = storage.fresh_dir(spark, "errors")
@@ -207,7 +233,7 @@ def type_overrides(spark, sf_dir):
     for db in ("postgres", "oracle"):
         part = E.fold_versions(v, db).groupBy("flow_id").agg(F.max("failed").alias("failed"), F.sum((F.col("type") == "timestamp").cast("int")).alias("n_timestamps")).withColumn("database", F.lit(db))
         out = part if out is None else out.unionByName(part)
-    return out.where("database = 'postgres'").select("flow_id", "failed", "n_timestamps")
+    return out.select("database", "flow_id", "failed", "n_timestamps")
 
 
 def count_results(spark, sf_dir):
@@ -261,6 +287,12 @@ SELECT key, schema_id, event_id, op = 'D' AS deleted, CAST(part AS BIGINT) AS _c
     (registry_table, """WITH k AS (SELECT DISTINCT 'c##db' || user_id % 3 || '.sch' || user_id % 2 || '.tab' || user_id % 5 || CASE WHEN user_id % 7 = 0 THEN '__dol' ELSE '' END AS key, event_id % 3 AS fp FROM events WHERE event_id % 50 <> 0)
 SELECT replace(split_part(key, '.', 3), '__dol', '$') AS table_name, count(*) AS n, count(DISTINCT key) AS n_keys FROM k GROUP BY 1"""),
     (overwrite_with_schema, "SELECT o_orderstatus, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS n_notes, count(*) AS n FROM orders GROUP BY 1"),
+    (flow_rewrite, """
+WITH f AS (SELECT 'flow-' || i AS flow_id, i FROM (VALUES (1), (2), (3), (4), (5)) AS t(i)),
+o AS (SELECT 'flow-' || o_orderpriority[1] AS flow_id, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders WHERE o_orderpriority[1] <> '5' GROUP BY 1)
+SELECT f.flow_id, i <> 3 AS schema_refresh_done, CASE WHEN i = 3 THEN 'deploy' ELSE 'schema_merger' END AS updated_by,
+  CASE WHEN n_rows IS NOT NULL THEN i <> 3 END AS new_schema, n_rows, key_sum, CASE WHEN i = 3 THEN CAST(1 AS BIGINT) END AS n_errors, CASE WHEN i = 3 THEN 'CAST_INVALID_INPUT' END AS condition
+FROM f LEFT JOIN o ON f.flow_id = o.flow_id"""),
     (error_log, "SELECT 'flow' || user_id AS flow_id, CAST(strftime(ts, '%Y%m') AS INTEGER) AS yyyymm, count(*) AS n, count(DISTINCT ts) AS n_ids, max(event_id) AS last_event FROM events WHERE user_id % 5 = 0 AND event_type = 'error' GROUP BY 1, 2"),
     (extract_status, "SELECT 'c' || user_id % 10 AS collection, count(*) AS n_fatal FROM events WHERE event_type = 'error' AND event_id % 2 = 1 GROUP BY 1"),
     (truncate_events_sink, SQL_A + "z AS (SELECT 1) SELECT 'accounts' AS target_table, schema_id, max(csn) AS csn, arg_max(pos, csn) AS pos, count(*) AS n, TRUE AS has_files FROM a WHERE op_type = 'D' AND k % 5 = 0 GROUP BY schema_id"),
@@ -276,8 +308,11 @@ SELECT key, schema_id, amount, note, event_id, csn, CAST(pk_rank AS BIGINT) AS p
     (flow_specs, "SELECT 'flow' || p_partkey AS flow_id, p_name AS src_table, p_type AS lob_columns, CAST(p_size % 3 AS VARCHAR) AS owner, CASE WHEN p_size % 3 <> 0 THEN 'kept' ELSE '/silver/' || p_name END AS path FROM part"),
     (app_specs, "SELECT n_name AS app, CASE WHEN n_name < 'NATION_2' AND n_nationkey IN (SELECT s_nationkey FROM supplier) THEN '10' ELSE '600' END AS shuffle FROM nation"),
     (snapshot_append, "SELECT c_custkey, 'x' AS segment FROM customer WHERE c_custkey % 3 = 0"),
-    (type_overrides, """WITH r AS (SELECT DISTINCT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, l_partkey % 8 AS col FROM lineitem WHERE l_partkey % 8 < 6 AND l_suppkey % 4 < 2)
-SELECT flow_id, FALSE AS failed, count(DISTINCT col) FILTER (WHERE version = 0) AS n_timestamps FROM r GROUP BY 1"""),
+    (type_overrides, """
+WITH r AS (SELECT DISTINCT 'f' || l_orderkey % 500 AS flow_id, l_suppkey % 4 AS version, l_partkey % 8 AS col FROM lineitem WHERE l_suppkey % 4 < 2),
+c AS (SELECT flow_id, col, max(CASE WHEN version = 0 THEN 1 ELSE 0 END) AS old, max(CASE WHEN version = 1 THEN 1 ELSE 0 END) AS new FROM r GROUP BY 1, 2),
+f AS (SELECT flow_id, bool_or(old = 1 AND new = 1) AS both_types, sum(old) AS n FROM c GROUP BY 1)
+SELECT 'postgres' AS database, flow_id, FALSE AS failed, CAST(n AS BIGINT) AS n_timestamps FROM f UNION ALL SELECT 'oracle', flow_id, both_types, CAST(n AS BIGINT) FROM f"""),
     (count_results, """SELECT lower(o_orderpriority) AS table_name, CASE WHEN o_orderpriority LIKE '1%' OR o_orderpriority LIKE '5%' THEN 1 ELSE 0 END AS is_error, CASE WHEN o_orderpriority LIKE '1%' THEN 'timeout' WHEN o_orderpriority LIKE '5%' THEN 'missing' ELSE '' END AS errors,
 CASE WHEN o_orderpriority NOT LIKE '1%' AND o_orderpriority NOT LIKE '5%' THEN CAST(count(*) FILTER (WHERE o_orderkey % 7 = 0) AS VARCHAR) END AS diff, CAST(strftime(max(o_orderdate), '%Y%m%d') AS INTEGER) AS yyyymmdd FROM orders GROUP BY o_orderpriority"""),
     (column_alignment, "SELECT user_id, event_id, event_type AS __topic, 't' AS topic FROM events"),
