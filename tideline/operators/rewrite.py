@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def rewrite_one(spark: SparkSession, flow: Rewrite) -> tuple[str, bool, str | No
             rows.write.partitionBy(*flow.partitions).parquet(staged)
             publish(spark, staged, flow.path)
         return flow.flow_id, True, None, None
-    except (PySparkException, OSError) as e:
+    except (PySparkException, Py4JError, OSError) as e:
         storage.delete(spark, staged)
         named = re.findall(r"\[([A-Z][A-Z_.]+)\]", str(e))
         return flow.flow_id, False, named[-1] if named else type(e).__name__, str(e)
