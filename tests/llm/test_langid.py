@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -50,6 +51,15 @@ def slow(rows, order):
     return out
 
 
+def test_words_by_pieces():
+    """Cutting at ASCII first gives the same words."""
+    r = random.Random(1)
+    letters = "aZé 9-_’ñ漢\u0301\u093eß²İ\u00a0\x1cⅧ"
+    for _ in range(2000):
+        t = "".join(r.choice(letters) for _ in range(r.randint(0, 30)))
+        assert G.counted(Counter(G.pieces_of(t)).items()) == Counter(G.words_of(t)), t
+
+
 @pytest.mark.parametrize("tier", [G.TIER, 3, 0])
 def test_small_against_dictionaries(spark, tier):
     """Known and unseen words, no known letter at all, nulls, empty and long texts, repeated rows, marks, ties."""

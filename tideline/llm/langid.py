@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,16 +18,46 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 ORDER = 5
 #: Words with scores that are sent to every task (frequent ones, of at most WIDTH letters), and cells of their table.
 TIER, CELLS, WIDTH = 200_000, 4_000_000, 64
-#: Different words that a counting task holds before it passes their counts on.
-HELD = 200_000
+#: Different words or n-grams that a counting task holds before it passes their counts on.
+HELD = 100_000
 MICRO = 1_000_000
 
 
+#: Bytes that no word has become spaces; bytes of multi-byte characters stay.
+ASCII = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256))
+
+
 def words_of(text: str | None) -> list[str]:
     """Lower-cased words: letters, with the marks that follow them."""
     return WORD.findall(text.lower()) if text else []
 
 
+def pieces_of(text: str | None) -> list[bytes]:
+    """A text cut at every ASCII character that is no letter. A piece is a word, or holds other characters too (`words_in`)."""
+    return text.lower().encode().translate(ASCII).split() if text else []
+
+
+def words_in(piece: bytes) -> list[str]:
+    word = piece.decode()
+    return [word] if word.isalpha() else WORD.findall(word)
+
+
+def counted(pieces: Iterable[tuple[bytes, int]]) -> Counter:
+    """Words of counted pieces."""
+    out: Counter = Counter()
+    for p, n in pieces:
+        for w in words_in(p):
+            out[w] += n
+    return out
+
+
+def _count_rows(key: object, kind: pa.DataType, found: dict[str, int], names: list[str]) -> Iterator[pa.RecordBatch]:
+    words = list(found)
+    for i in range(0, len(words), 50_000):
+        part = words[i : i + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([key] * len(part), kind), pa.array([found[w] for w in part], pa.int64())], names=names)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, lang, n) over all rows of docs (text, lang): pre-aggregated in each task, a null lang for what is not learned."""
 
@@ -35,16 +65,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
         held: dict[str | None, Counter] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
-            for lang, c in held.items():
-                words = list(c)
-                for i in range(0, len(words), 50_000):
-                    part = words[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([lang] * len(part), pa.string()), pa.array([c[w] for w in part], pa.int64())], names=["word", "lang", "n"])
-            held.clear()
+            for lang in list(held):
+                yield from _count_rows(lang, pa.string(), counted(held.pop(lang).items()), ["word", "lang", "n"])
 
         for b in batches:
             for text, lang in zip(b.column("text"), b.column("lang")):
-                held.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
+                held.setdefault(lang.as_py(), Counter()).update(pieces_of(text.as_py()))
                 if sum(map(len, held.values())) > HELD:
                     yield from out()
         yield from out()
@@ -52,6 +78,30 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, "word string, lang string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
 
 
+def gram_counts(known: DataFrame, order: int) -> DataFrame:
+    """(gram, k, n): character n-grams of 1 to `order` letters of words (word, k, n) with a space on both sides."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[str, int]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for k in list(held):
+                yield from _count_rows(k, pa.int32(), held.pop(k), ["gram", "k", "n"])
+
+        for b in batches:
+            for word, k, n in zip(b.column("word").to_pylist(), b.column("k").to_pylist(), b.column("n").to_pylist()):
+                found, padded = held.setdefault(k, {}), f" {word} "
+                for size in range(1, order + 1):
+                    for i in range(len(padded) - size + 1):
+                        g = padded[i : i + size]
+                        found[g] = found.get(g, 0) + n
+                if sum(map(len, held.values())) > HELD:
+                    yield from out()
+        yield from out()
+
+    return known.select("word", "k", "n").mapInArrow(count, "gram string, k int, n bigint").groupBy("gram", "k").agg(F.sum("n").alias("n"))
+
+
 def grams(word: Column, n: int) -> Column:
     """Character n-grams of a word with a space on both sides."""
     padded = F.concat(F.lit(" "), word, F.lit(" "))
@@ -86,13 +136,16 @@ class Model:
         gains = F.collect_list(F.struct("k", "gain")).alias("gains")
         parts = [stash.save(scored(known, [r["n"] for r in totals]).groupBy("word").agg(gains))]
         unseen = stash.save(counts.groupBy("word").agg(F.max("lang").alias("lang")).where("lang IS NULL").select("word"))
+        table = stash.save(gram_counts(known, order)) if not unseen.isEmpty() else None
         for n in range(order, 0, -1):  # unseen words by the longest n-grams of which one is known
-            table = stash.save(known.select(F.explode(grams(F.col("word"), n)).alias("gram"), "k", "n").groupBy("gram", "k").agg(F.sum("n").alias("n")))
-            of = {r["k"]: r["n"] for r in table.groupBy("k").agg(F.sum("n").alias("n")).collect()}  # one row a language
+            if table is None or unseen.isEmpty():
+                break
+            mine = table.where(F.length("gram") == n)
+            of = {r["k"]: r["n"] for r in mine.groupBy("k").agg(F.sum("n").alias("n")).collect()}  # one row a language
             if not of:
                 continue
-            table = scored(table, [of.get(k, 1) for k in range(len(self.langs))]).groupBy("gram").agg(gains)
-            hit = unseen.select("word", F.explode(grams(F.col("word"), n)).alias("gram")).join(table, "gram")
+            mine = scored(mine, [of.get(k, 1) for k in range(len(self.langs))]).groupBy("gram").agg(gains)
+            hit = unseen.select("word", F.explode(grams(F.col("word"), n)).alias("gram")).join(mine, "gram")
             size = hit.groupBy("word").agg(F.count("*").alias("size"))
             mean = hit.select("word", F.inline("gains")).groupBy("word", "k").agg(F.sum("gain").alias("gain")).join(size, "word")
             parts.append(stash.save(mean.withColumn("gain", F.expr("gain div size")).groupBy("word").agg(gains)))
@@ -111,7 +164,7 @@ class Model:
                 break
             least = r["c"]
         near = self.scores.where((F.length("word") <= WIDTH) & (F.floor(F.log2("total")) >= F.lit(least))).collect() if least is not None else []  # at most `bound` rows
-        self.words = {r["word"]: i for i, r in enumerate(near)}
+        self.words = {r["word"].encode(): i for i, r in enumerate(near)}
         self.table = np.zeros((len(near) + 1, len(self.langs)), np.int64)
         for i, r in enumerate(near):
             for g in r["gains"]:
@@ -146,15 +199,19 @@ def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str =
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [Counter(words_of(t.as_py())) for t in b.column("text")]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            at = np.fromiter((words.get(w, -1) for c in found for w in c), np.int64, int(sizes.sum()))
-            n = np.fromiter((x for c in found for x in c.values()), np.int64, len(at))
-            sums = np.zeros((len(found) + 1, n_langs), np.int64)
-            np.add.at(sums, np.repeat(np.arange(len(found)), sizes), table[at] * n[:, None])
-            rest = [[{"word": w, "n": x} for w, x in c.items() if w not in words] for c in found]
-            counts = pa.array([sum(c.values()) for c in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("id"), counts, pa.array(sums[:-1].tolist(), pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))], names=["id", "n_words", "sums", "rest"])
+            counts, sums, rest = [], [], []
+            for t in b.column("text"):  # one text's words at a time
+                found = Counter(pieces_of(t.as_py()))
+                odd = [p for p in found if p not in words]
+                more = counted((p, found.pop(p)) for p in odd)
+                known = [w for w in more if w.encode() in words]
+                found.update({w.encode(): more.pop(w) for w in known})
+                at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+                sums.append(np.fromiter(found.values(), np.int64, len(found)) @ table[at])
+                counts.append(found.total() + more.total())
+                rest.append([{"word": w, "n": x} for w, x in more.items()])
+            out = [b.column("id"), pa.array(counts, pa.int64()), pa.array([x.tolist() for x in sums], pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))]
+            yield pa.RecordBatch.from_arrays(out, names=["id", "n_words", "sums", "rest"])
 
     out = rows.mapInArrow(score, f"id {kind}, n_words bigint, sums array<bigint>, rest array<struct<word:string,n:bigint>>")
     if not model.complete:
