@@ -60,3 +60,32 @@ def repair_unchanged(before: Column | str, after: Column | str) -> Column:
     kind = "map<string,string>"
     b, a = F.from_json(before, kind), F.from_json(after, kind)
     return F.when(a.isNotNull(), F.to_json(F.transform_values(a, lambda k, v: F.when(v == UNCHANGED, F.element_at(b, k)).otherwise(v))))
+
+
+#: Types that a registered field may have, besides decimals; others are taken as text.
+KINDS = ("string", "tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
+DECIMAL = "decimal(38,18)"
+
+
+def value_of_kind(text: Column, kind: Column) -> Column:
+    """A text as a value of the type that `kind` names in this row; null where it is none. One branch for each type there is,
+    whatever the number of schema versions."""
+    out = F.when(kind.startswith("decimal"), text.try_cast(DECIMAL).cast("variant"))
+    for k in KINDS[1:]:
+        out = out.when(kind == k, text.try_cast(k).cast("variant"))
+    return out.otherwise(text.cast("variant"))
+
+
+def decoded_image(image: Column, fields: Column) -> Column:
+    """Struct (image, bad) of an image text read by the row's own field list array<struct<name, type>>.
+
+    The text is parsed once. image: an object (variant) with the listed fields the text has a value for, each of its type, whatever else the text
+    holds; null if the text or the list is null or the text is no object. bad: names of fields whose text does not fit their type.
+    """
+    texts = F.try_variant_get(F.try_parse_json(image), "$", "map<string,string>")
+    read = F.transform(fields, lambda f: F.struct(f["name"].alias("name"), F.element_at(texts, f["name"]).alias("text"), f["type"].alias("type")))
+    typed = F.transform(F.filter(read, lambda r: r["text"].isNotNull()), lambda r: F.struct(r["name"].alias("key"), value_of_kind(r["text"], r["type"]).alias("value")))
+    good = F.filter(typed, lambda r: r["value"].isNotNull())
+    bad = F.transform(F.filter(typed, lambda r: r["value"].isNull()), lambda r: r["key"])
+    known = texts.isNotNull() & fields.isNotNull()
+    return F.when(known, F.struct(F.to_variant_object(F.map_from_entries(good)).alias("image"), bad.alias("bad")))

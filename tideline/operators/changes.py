@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tideline import storage
+from tideline.functions.images import decoded_image
 
 GC_SECONDS = 432_000
 
@@ -141,6 +142,18 @@ def fingerprint_gate(df: DataFrame, known: DataFrame, fingerprint: str = "schema
     return df.join(k, fingerprint, "left_semi"), df.join(k, fingerprint, "left_anti")
 
 
+def decode_by_registry(df: DataFrame, registry: DataFrame, images: list[str], fingerprint: str = "schema_fingerprint") -> DataFrame:
+    """Image texts decoded by the schema version that each row names: struct (image variant, bad array<string>) in their place.
+
+    registry: column rows (fingerprint, position, column, type) of all versions, as `evolve.registry_columns` gives them, gathered into one field list a
+    version. Rows of versions that are not registered get null images. A new version is a row of the registry, not a plan.
+    """
+    fields = F.transform(F.array_sort(F.collect_list(F.struct("position", F.col("column").alias("name"), F.col("type").alias("type")))), lambda f: F.struct(f["name"].alias("name"), f["type"].alias("type")))
+    lists = registry.select(fingerprint, "position", "column", "type").distinct().groupBy(fingerprint).agg(fields.alias("__fields"))
+    out = df.join(lists, fingerprint, "left")
+    return out.select(*[decoded_image(F.col(c), F.col("__fields")).alias(c) if c in images else F.col(c) for c in df.columns])
+
+
 def resolve_claim_checks(df: DataFrame, payloads: DataFrame) -> DataFrame:
     """Records whose payload is a path (fingerprint 0, table __S3_PATH_REF__) get the content found under it.
 

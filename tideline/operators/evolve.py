@@ -97,11 +97,19 @@ def flat_types(columns: DataFrame) -> DataFrame:
     return plain.unionByName(nested.drop("position").withColumnRenamed("at", "position").select(*plain.columns))
 
 
-def _folded_fields(columns: DataFrame, database: str) -> DataFrame:
+def _plain(columns: DataFrame) -> DataFrame:
+    """flat_types for columns that are said to hold no struct."""
+    struct = F.col("type").startswith("struct<")
+    kind = F.when(struct, F.raise_error(F.concat(F.lit("a struct among plain columns: "), "column"))).otherwise(F.col("type"))
+    return columns.withColumn("path", F.array("column")).withColumn("type", kind).drop("column")
+
+
+def _folded_fields(columns: DataFrame, database: str, nested: bool) -> DataFrame:
     """Fields (flow_id, path, type, overwrite, since, position, version, failed_at, field) as of the last version that merged."""
     done = "array<struct<version:int,position:int,t:string,retyped:boolean,failed:boolean>>"
     seen = F.array_sort(F.collect_list(F.struct("version", "position", _parsed(F.col("type")).alias("x"))))
-    fields = flat_types(columns.withColumn("version", F.col("version").cast("int")).withColumn("position", F.col("position").cast("int")))
+    columns = columns.withColumn("version", F.col("version").cast("int")).withColumn("position", F.col("position").cast("int"))
+    fields = (flat_types(columns) if nested else _plain(columns)).repartition("flow_id")  # every later step groups by the flow
     fields = fields.groupBy("flow_id", "path").agg(seen.alias("vs"))
     none = F.struct(F.lit(None).cast("struct<t:string,rank:int,whole:int,scale:int>").alias("now"), F.array().cast(done).alias("steps"))
 
@@ -126,11 +134,13 @@ def _folded_fields(columns: DataFrame, database: str) -> DataFrame:
 DEPTH = 6
 
 
-def _folded(columns: DataFrame, database: str) -> DataFrame:
+def _folded(columns: DataFrame, database: str, nested: bool) -> DataFrame:
     """Columns with the types of structs put together from their fields, the deepest first."""
+    if not nested:
+        return _folded_fields(columns, database, False).select("flow_id", F.col("path")[0].alias("column"), "type", "since", F.col("position").alias("at"), F.col("overwrite").alias("changed"), "version", "failed_at", "field")
     one = F.struct("path", "since", "position", "type", "overwrite")
     flow = ["version", "failed_at", "field"]
-    rows = _folded_fields(columns, database).groupBy("flow_id", F.col("path")[0].alias("column")).agg(F.collect_list(one).alias("fs"), F.max("overwrite").alias("changed"), *[F.first(c).alias(c) for c in flow])
+    rows = _folded_fields(columns, database, True).groupBy("flow_id", F.col("path")[0].alias("column")).agg(F.collect_list(one).alias("fs"), F.max("overwrite").alias("changed"), *[F.first(c).alias(c) for c in flow])
     deep = F.array_max(F.transform("fs", lambda f: F.size(f["path"]))) > DEPTH
     rows = rows.withColumn("fs", F.when(deep, F.raise_error(F.concat(F.lit("structs too deep in "), "column"))).otherwise(F.col("fs")))
     for d in range(DEPTH, 1, -1):
@@ -145,32 +155,81 @@ def _folded(columns: DataFrame, database: str) -> DataFrame:
 FOLDED = "flow_id string, position int, column string, type string, version int, overwrite boolean, failed boolean"
 
 
-def _with_errors(columns: DataFrame, database: str) -> DataFrame:
+def _with_errors(columns: DataFrame, database: str, nested: bool) -> DataFrame:
     flow = Window.partitionBy("flow_id")
     place = F.row_number().over(flow.orderBy("since", "at", "column")) - 1
     error = F.when(F.col("failed_at").isNotNull(), F.concat(F.lit("no common type for "), F.col("field"), F.lit(" in version "), F.col("failed_at")))
-    return _folded(columns, database).select("flow_id", place.cast("int").alias("position"), "column", "type", "version", F.max("changed").over(flow).alias("overwrite"), F.col("failed_at").isNotNull().alias("failed"), error.alias("error"))
+    return _folded(columns, database, nested).select("flow_id", place.cast("int").alias("position"), "column", "type", "version", F.max("changed").over(flow).alias("overwrite"), F.col("failed_at").isNotNull().alias("failed"), error.alias("error"))
 
 
-def fold_versions(columns: DataFrame, database: str = "oracle") -> DataFrame:
+def fold_versions(columns: DataFrame, database: str = "oracle", nested: bool = True) -> DataFrame:
     """Merged columns of each flow (FOLDED) from rows (flow_id, version, position, column, type), versions in order.
 
     The first version's columns come first, then new ones as they appear; fields of structs merge alike. A flow with a
     conflict is marked failed and keeps what it had before that version; others go on. overwrite: a type changed, so new
-    columns alone spare the table's rewrite.
+    columns alone spare the table's rewrite. Without nested types (nested=False; a struct is an error then) all is one pass.
     """
-    return _with_errors(columns, database).drop("error")
+    return _with_errors(columns, database, nested).drop("error")
 
 
-def fold_flows(columns: DataFrame, database: str = "oracle") -> DataFrame:
+def fold_flows(columns: DataFrame, database: str = "oracle", nested: bool = True) -> DataFrame:
     """(flow_id, ddl, fingerprints, overwrite, error): the merged schema of each flow and the fingerprints it stands for, from
     rows with a `fingerprint` too. A flow with a conflict has an error and nothing else; it fails alone."""
     prints = columns.groupBy("flow_id").agg(F.array_sort(F.collect_set("fingerprint")).alias("fingerprints"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat_ws(" ", "column", "type").alias("d")))), lambda x: x["d"]), ",")
-    flows = _with_errors(columns, database).groupBy("flow_id").agg(text.alias("ddl"), F.max("overwrite").alias("overwrite"), F.first("error").alias("error"))
+    flows = _with_errors(columns, database, nested).groupBy("flow_id").agg(text.alias("ddl"), F.max("overwrite").alias("overwrite"), F.first("error").alias("error"))
     return flows.join(prints, "flow_id").select("flow_id", *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in ("ddl", "fingerprints", "overwrite")], "error")
 
 
+def merge_report(columns: DataFrame, database: str = "oracle") -> DataFrame:
+    """What each version after a flow's first one changes: (flow_id, version, new, missing, merged, nullable, overwrite, error).
+
+    new: paths that no earlier version had; missing: known paths that this version lacks; of a field and those inside it
+    the outermost is listed. merged: `path: before > incoming = after` where the types differ, also where the old one holds the new.
+    nullable: paths that lost their NOT NULL, because this version (rows with a column `nullable`; true if absent) allows nulls, or lacks the field. overwrite: false only
+    for new fields without merged types. Lists are sorted. The version where two types have nothing in common has the error and no
+    lists, and ends its flow's report.
+    """
+    rows = columns.withColumn("version", F.col("version").cast("int")).withColumn("position", F.col("position").cast("int"))
+    if "nullable" not in columns.columns:
+        rows = rows.withColumn("nullable", F.lit(True))
+    every = rows.groupBy("flow_id").agg(F.array_sort(F.collect_set("version")).alias("all"))
+    one = F.struct("version", _parsed(F.col("type")).alias("x"), "nullable")
+    fields = flat_types(rows).groupBy("flow_id", "path").agg(F.array_sort(F.collect_list(one)).alias("vs")).join(every, "flow_id")
+    kind = "struct<t:string,rank:int,whole:int,scale:int>"
+    done = "array<struct<version:int,before:string,data:string,after:string,new:boolean,missing:boolean,loses:boolean>>"
+    start = F.struct(F.lit(None).cast(kind).alias("now"), F.lit(None).cast("boolean").alias("null_ok"), F.array().cast(done).alias("steps"))
+
+    def step(acc: Column, v: Column) -> Column:
+        mine = F.get(F.filter("vs", lambda x: x["version"] == v), 0)
+        first, here = acc["now"].isNull(), mine.isNotNull()
+        new = F.when(~here, acc["now"]).when(first, mine["x"]).otherwise(merge_type(acc["now"], mine["x"], database))
+        allows = F.coalesce(mine["nullable"], F.lit(True))
+        old = F.coalesce(acc["null_ok"], v > F.col("all")[0])  # a field that comes later is null in the rows before
+        row = F.struct(v.alias("version"), acc["now"]["t"].alias("before"), mine["x"]["t"].alias("data"), new["t"].alias("after"), (first & here & (v > F.col("all")[0])).alias("new"), (~first & ~here).alias("missing"), (~first & ~old & allows).alias("loses"))
+        known = ~first | here
+        return F.struct(F.coalesce(new, acc["now"]).alias("now"), F.when(known, old | allows).alias("null_ok"), F.when(known, F.concat(acc["steps"], F.array(row))).otherwise(acc["steps"]).alias("steps"))
+
+    fields = fields.withColumn("step", F.explode(F.aggregate("all", start, step)["steps"])).select("flow_id", "path", "all", "step.*")
+    above = fields.select("flow_id", F.col("path").alias("parent"), "version", (F.col("new") | F.col("missing")).alias("covered"))
+    fields = fields.withColumn("parent", F.slice("path", 1, F.size("path") - 1)).join(above, ["flow_id", "parent", "version"], "left")
+    name, top = F.array_join("path", "."), ~F.coalesce("covered", F.lit(False))
+    listed = lambda cond, text=name: F.array_sort(F.collect_list(F.when(cond, text)))
+    bad = F.col("after").isNull()
+    text = F.concat(name, F.lit(": "), "before", F.lit(" > "), "data", F.lit(" = "), "after")
+    out = fields.where(F.col("version") > F.col("all")[0]).groupBy("flow_id", "version").agg(
+        listed(F.col("new") & top).alias("new"), listed(F.col("missing") & top).alias("missing"),
+        listed(~F.col("new") & (F.col("before") != F.col("data")) & (F.col("data") != "void"), text).alias("merged"),
+        listed(F.col("loses")).alias("nullable"), F.min(F.when(bad, name)).alias("field"),
+    )
+    flow = Window.partitionBy("flow_id")
+    out = out.withColumn("bad", F.min(F.when(F.col("field").isNotNull(), F.col("version"))).over(flow)).where("bad IS NULL OR version <= bad")
+    fine = F.col("field").isNull()
+    error = F.concat(F.lit("no common type for "), "field", F.lit(" in version "), F.col("version").cast("string"))
+    overwrite = ~((F.size("new") > 0) & (F.size("merged") == 0))
+    return out.select("flow_id", "version", *[F.when(fine, F.col(c)).alias(c) for c in ("new", "missing", "merged", "nullable")], F.when(fine, overwrite).alias("overwrite"), F.when(~fine, error).alias("error"))
+
+
 def classify(before: DataFrame, after: DataFrame) -> DataFrame:
     """(flow_id, change) for flow specs (flow_id, ddl, fingerprints) against merged ones (flow_id, ddl, fingerprints, overwrite)."""
     b, a = before.alias("b"), after.alias("a")

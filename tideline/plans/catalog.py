@@ -179,33 +179,33 @@ t AS (SELECT *, CASE rank WHEN 0 THEN 'tinyint' WHEN 1 THEN 'smallint' WHEN 2 TH
 
 
 def schema_merge_columns(spark, sf_dir):
-    m = E.fold_versions(_versions(spark, sf_dir))
+    m = E.fold_versions(_versions(spark, sf_dir), nested=False)
     return m.select("flow_id", "column", "type", "failed")
 
 
 def schema_merge_order(spark, sf_dir):
     """Merged column order: the first version's columns, then new ones as they come."""
-    m = E.fold_versions(_versions(spark, sf_dir))
+    m = E.fold_versions(_versions(spark, sf_dir), nested=False)
     return E.ddl(m, ["flow_id"])
 
 
 def schema_merge_conflicts(spark, sf_dir):
     """Flows whose versions disagree beyond widening: the last version turns column c1 into text."""
     v = _versions(spark, sf_dir).withColumn("type", F.when((F.col("version") == 3) & (F.col("column") == "c1"), "string").otherwise(F.col("type")))
-    return E.fold_versions(v).groupBy("flow_id").agg(F.max("failed").alias("failed"))
+    return E.fold_versions(v, nested=False).groupBy("flow_id").agg(F.max("failed").alias("failed"))
 
 
 def _two_states(spark, sf_dir):
     v = _versions(spark, sf_dir)
-    return E.fold_versions(v.where("version < 2")), E.fold_versions(v.where("version <> 1"))
+    return E.fold_versions(v.where("version < 2"), nested=False), E.fold_versions(v.where("version <> 1"), nested=False)
 
 
 def schema_classify(spark, sf_dir):
     """Change class of every flow between its spec and the merge with newer versions."""
     v = _versions(spark, sf_dir)
     spec = v.where("version < 2")
-    old = E.fold_versions(spec)
-    new = E.fold_versions(v)
+    old = E.fold_versions(spec, nested=False)
+    new = E.fold_versions(v, nested=False)
     shape = lambda d, keep: E.ddl(d, ["flow_id"]).join(d.groupBy("flow_id").agg(F.max("overwrite").alias("overwrite")), "flow_id").join(keep.groupBy("flow_id").agg(F.collect_set("version").alias("fingerprints")), "flow_id")
     return E.classify(shape(old, spec), shape(new, v))
 
@@ -214,8 +214,8 @@ def schema_classify_failure(spark, sf_dir):
     """Change classes where the last version of some flows turns column c1 into text: those fail, each for itself."""
     v = _versions(spark, sf_dir).withColumn("fingerprint", F.col("version").cast("long"))
     v = v.withColumn("type", F.when((F.col("version") == 3) & (F.col("column") == "c1"), "string").otherwise(F.col("type")))
-    merged = E.fold_flows(v)
-    return E.classify(E.fold_flows(v.where("version < 2")), merged).join(merged, "flow_id").select("flow_id", "change", F.coalesce(F.size("fingerprints"), F.lit(0)).alias("n_fingerprints"), "error")
+    merged = E.fold_flows(v, nested=False)
+    return E.classify(E.fold_flows(v.where("version < 2"), nested=False), merged).join(merged, "flow_id").select("flow_id", "change", F.coalesce(F.size("fingerprints"), F.lit(0)).alias("n_fingerprints"), "error")
 
 
 def schema_merge_nested(spark, sf_dir):
@@ -227,6 +227,16 @@ def schema_merge_nested(spark, sf_dir):
     return m.select("flow_id", "column", "type", "failed")
 
 
+def schema_merge_report(spark, sf_dir):
+    """New, missing and merged fields of every version after a flow's first; columns from c4 on are fields of a struct."""
+    v = _versions(spark, sf_dir)
+    plain = v.where("position < 4").select("flow_id", "version", "position", "column", "type")
+    fields = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat_ws(":", "column", "type").alias("t")))), lambda x: x["t"]), ",")
+    struct = v.where("position >= 4").groupBy("flow_id", "version").agg(F.concat(F.lit("struct<"), fields, F.lit(">")).alias("type"))
+    r = E.merge_report(plain.unionByName(struct.select("flow_id", "version", F.lit(9).alias("position"), F.lit("s").alias("column"), "type")))
+    return r.select("flow_id", "version", *[F.array_join(c, ",").alias(f"{c}_fields") for c in ("new", "missing", "merged")], "overwrite", "error")
+
+
 def schema_diff_events(spark, sf_dir):
     before, after = _two_states(spark, sf_dir)
     both = before.select("flow_id").distinct().join(after.select("flow_id").distinct(), "flow_id")
@@ -386,6 +396,20 @@ o AS (SELECT flow_id, bool_or(prev IS NOT NULL AND rank > prev) AS overwrite, bo
 SELECT flow_id, CASE WHEN failed THEN 'FAILURE' WHEN NOT changed AND NOT newer THEN 'SAME' WHEN NOT changed OR NOT overwrite THEN 'FLOW_RESTART_ONLY' ELSE 'FLOW_RESTART_AND_OVERWRITE' END AS change,
   CAST(CASE WHEN failed THEN 0 ELSE n END AS INTEGER) AS n_fingerprints, CASE WHEN failed THEN 'no common type for c1 in version 3' END AS error FROM o WHERE had"""),
     (schema_merge_nested, WIDEST + """SELECT flow_id, 'image' AS "column", 'struct<inner:struct<' || string_agg(col || ':' || type, ',' ORDER BY v0, CAST(substr(col, 2) AS INTEGER)) || '>,tag:string>' AS type, FALSE AS failed FROM t GROUP BY flow_id"""),
+    (schema_merge_report, WIDEST + """,
+p AS (SELECT flow_id, version, CASE WHEN col < 'c4' THEN col ELSE 's.' || col END AS path, CASE WHEN col >= 'c4' THEN 's' END AS parent, rank FROM r
+  UNION ALL SELECT DISTINCT flow_id, version, 's', NULL, CAST(-1 AS BIGINT) FROM r WHERE col >= 'c4'),
+v AS (SELECT DISTINCT flow_id, version, min(version) OVER (PARTITION BY flow_id) AS v0 FROM r),
+g AS (SELECT flow_id, path, any_value(parent) AS parent, min(version) AS since FROM p GROUP BY 1, 2),
+x AS (SELECT v.flow_id, v.version, v0, g.path, g.parent, g.since, p.rank, p.version IS NOT NULL AS here,
+        max(p.rank) OVER (PARTITION BY v.flow_id, g.path ORDER BY v.version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM v JOIN g USING (flow_id) LEFT JOIN p ON p.flow_id = v.flow_id AND p.version = v.version AND p.path = g.path),
+y AS (SELECT *, since = version AND version > v0 AS fresh, since < version AND NOT here AS gone FROM x),
+z AS (SELECT y.*, coalesce(q.fresh OR q.gone, FALSE) AS covered FROM y LEFT JOIN y q ON q.flow_id = y.flow_id AND q.version = y.version AND q.path = y.parent),
+n AS (SELECT *, list_value('tinyint', 'smallint', 'int', 'bigint', 'double') AS names FROM z WHERE version > v0),
+o AS (SELECT flow_id, version, coalesce(string_agg(path, ',' ORDER BY path) FILTER (WHERE fresh AND NOT covered), '') AS new_fields, coalesce(string_agg(path, ',' ORDER BY path) FILTER (WHERE gone AND NOT covered), '') AS missing_fields,
+  coalesce(string_agg(path || ': ' || names[before + 1] || ' > ' || names[rank + 1] || ' = ' || names[greatest(before, rank) + 1], ',' ORDER BY path) FILTER (WHERE here AND since < version AND rank >= 0 AND rank <> before), '') AS merged_fields FROM n GROUP BY 1, 2)
+SELECT *, NOT (new_fields <> '' AND merged_fields = '') AS overwrite, CAST(NULL AS VARCHAR) AS error FROM o"""),
     (schema_fingerprint, """
 WITH o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn FROM lineitem),
 f AS (SELECT l_orderkey, string_agg('{"name":"C' || l_linenumber || '","type":["null","' || CASE l_partkey % 5 WHEN 0 THEN 'int' WHEN 1 THEN 'long' WHEN 2 THEN 'double' WHEN 3 THEN 'string' ELSE 'bytes' END || '"]}', ',' ORDER BY l_linenumber) AS fs FROM o WHERE rn = 1 GROUP BY 1),

@@ -9,6 +9,7 @@ from tideline.functions.images import typed_image
 from tideline.functions.messages import table_of
 from tideline.operators import changes as C
 from tideline.operators import evolve as E
+from tideline.operators import gate as G
 from tideline.operators import logs as L
 from tideline.operators import merge as M
 from tideline.operators import metadata as MD
@@ -56,12 +57,53 @@ def change_stream_from(spark, sf_dir):
 
 
 def decode_by_registry(spark, sf_dir):
-    """Images decoded for registered schema versions only; others come out null and are counted apart."""
+    """Images decoded by the schema version that each row names: three versions of different columns and types, and one unknown."""
     a = feed(spark, sf_dir)
-    registry = table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.col("r_regionkey").cast("long").alias("schema_fingerprint"), F.lit(True).alias("known"))
-    d = a.join(registry, "schema_fingerprint", "left")
-    d = d.withColumn("image", F.when(F.col("known"), typed_image("after", IMAGE, "oracle")))
-    return d.groupBy("schema_fingerprint").agg(F.count("*").alias("n"), F.count("image.key").alias("n_decoded"), F.sum("image.key").alias("key_sum"))
+    kinds = {0: "key bigint, amount double", 1: "key int, amount decimal(12,2), note string", 2: "key string, note string, extra date"}
+    rows = [(f, i, *c.split(" ", 1)) for f, cs in kinds.items() for i, c in enumerate(cs.split(", "))]
+    registry = spark.createDataFrame(rows, "schema_fingerprint long, position int, `column` string, type string")
+    d = C.decode_by_registry(a.select("schema_fingerprint", "after"), registry, ["after"])
+    image = F.col("after.image")
+    amount = F.try_variant_get(image, "$.amount", "double")
+    return d.groupBy("schema_fingerprint").agg(
+        F.count("*").alias("n"), F.count(image).alias("n_decoded"), F.schema_of_variant_agg(image).alias("shape"),
+        F.sum(F.try_variant_get(image, "$.key", "bigint")).alias("key_sum"), F.round(F.sum(amount), 3).alias("amount_sum"), F.count(F.try_variant_get(image, "$.note", "string")).alias("n_notes"),
+        F.coalesce(F.sum(F.size("after.bad")), F.lit(0)).alias("n_bad"),
+    )
+
+
+def clustered_rewrite(spark, sf_dir):
+    """lineitem along a curve over three columns: the files that a narrow filter on each of them reads, held against their bound."""
+    root = storage.fresh_dir(spark, "clustered")
+    columns = ["l_partkey", "l_orderkey", "l_suppkey"]
+    li = table(spark, sf_dir, "lineitem").select(*columns, "l_quantity")
+    li.write.parquet(f"{root}/old")
+    files = 27
+    M.clustered(spark.read.parquet(f"{root}/old"), columns, files).write.parquet(f"{root}/new")
+    t = spark.read.parquet(f"{root}/new")
+    ranges = M.file_ranges(t, columns).persist()
+    top = t.agg(*[F.max(c).alias(f"top_{c}") for c in columns])
+    out = None
+    for c in columns:  # one value in the middle of the column
+        mid = F.floor(F.col(f"top_{c}") / 2)
+        hit = ranges.crossJoin(F.broadcast(top)).where((F.col(f"low_{c}") <= mid) & (F.col(f"high_{c}") >= mid))  # one row
+        one = hit.agg(F.count("*").alias("n_files")).select(F.lit(c).alias("column"), (F.col("n_files").between(1, 2 * 9)).alias("within_bound"))
+        rows = t.crossJoin(F.broadcast(top)).where(F.col(c) == mid).agg(F.count("*").alias("n_rows"), F.sum("l_quantity").alias("quantity"))
+        one = one.crossJoin(rows)  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out.crossJoin(ranges.agg((F.count("*").between(20, files)).alias("all_files")))
+
+
+def run_gate(spark, sf_dir):
+    """Batches of orders by status behind a gate on null and on large prices: two pass, one is kept unpublished."""
+    root = storage.fresh_dir(spark, "gate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice")).alias("price"))
+    rows = []
+    for status, allowed in (("F", 10**9), ("O", 0), ("P", 10**9)):
+        gates = [G.Gate("n_rows", F.count("*"), 10**12), G.Gate("n_null", F.sum(F.col("price").isNull().cast("int")), allowed)]
+        v = G.gated_write(o.where(F.col("o_orderstatus") == status), f"{root}/{status}", gates)
+        rows.append((status, v.published, v.metrics["n_rows"], v.metrics["n_null"], ",".join(v.failed), storage.exists(spark, f"{root}/{status}")))
+    return spark.createDataFrame(rows, "o_orderstatus string, published boolean, n_rows long, n_null long, failed string, visible boolean")
 
 
 def lag_window(spark, sf_dir):
@@ -231,7 +273,7 @@ def type_overrides(spark, sf_dir):
     v = v.withColumn("type", F.when(F.col("version") == 0, "timestamp").otherwise("string"))
     out = None
     for db in ("postgres", "oracle"):
-        part = E.fold_versions(v, db).groupBy("flow_id").agg(F.max("failed").alias("failed"), F.sum((F.col("type") == "timestamp").cast("int")).alias("n_timestamps")).withColumn("database", F.lit(db))
+        part = E.fold_versions(v, db, nested=False).groupBy("flow_id").agg(F.max("failed").alias("failed"), F.sum((F.col("type") == "timestamp").cast("int")).alias("n_timestamps")).withColumn("database", F.lit(db))
         out = part if out is None else out.unionByName(part)
     return out.select("database", "flow_id", "failed", "n_timestamps")
 
@@ -281,7 +323,18 @@ SELECT *, CAST(2 AS BIGINT) AS _commit_version FROM z"""),
 p AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 2 ELSE 3 END AS part FROM s WHERE ts >= TIMESTAMP '2024-01-10'),
 r AS (SELECT *, row_number() OVER (PARTITION BY part, key, schema_id ORDER BY csn DESC, pos DESC, pk_rank DESC) AS rn FROM p)
 SELECT key, schema_id, event_id, op = 'D' AS deleted, CAST(part AS BIGINT) AS _commit_version, CAST(2 AS BIGINT) AS n FROM r WHERE rn = 1"""),
-    (decode_by_registry, SQL_A + "z AS (SELECT 1) SELECT k % 4 AS schema_fingerprint, count(*) AS n, count(*) FILTER (WHERE k % 4 < 3 AND op_type <> 'D') AS n_decoded, CAST(sum(CASE WHEN k % 4 < 3 AND op_type <> 'D' THEN new_key END) AS BIGINT) AS key_sum FROM b GROUP BY 1"),
+    (decode_by_registry, SQL_A + """
+z AS (SELECT k % 4 AS f, op_type, new_key, amount, CASE WHEN op_type <> 'D' THEN raw_note END AS note FROM b)
+SELECT f AS schema_fingerprint, count(*) AS n, count(*) FILTER (WHERE f < 3 AND op_type <> 'D') AS n_decoded,
+  CASE f WHEN 0 THEN 'OBJECT<amount: DOUBLE, key: BIGINT>' WHEN 1 THEN 'OBJECT<amount: DECIMAL(5,2), key: BIGINT, note: STRING>' WHEN 2 THEN 'OBJECT<key: STRING, note: STRING>' ELSE 'VOID' END AS shape,
+  CAST(sum(CASE WHEN f < 3 AND op_type <> 'D' THEN new_key END) AS BIGINT) AS key_sum, round(sum(CASE WHEN f < 2 AND op_type <> 'D' THEN amount END), 3) AS amount_sum,
+  count(note) FILTER (WHERE f IN (1, 2)) AS n_notes, CAST(0 AS BIGINT) AS n_bad FROM z GROUP BY f"""),
+    (clustered_rewrite, """
+WITH m AS (SELECT max(l_partkey) // 2 AS p, max(l_orderkey) // 2 AS o, max(l_suppkey) // 2 AS s FROM lineitem)
+SELECT 'l_partkey' AS "column", TRUE AS within_bound, count(*) AS n_rows, sum(l_quantity) AS quantity, TRUE AS all_files FROM lineitem, m WHERE l_partkey = p
+UNION ALL SELECT 'l_orderkey', TRUE, count(*), sum(l_quantity), TRUE FROM lineitem, m WHERE l_orderkey = o
+UNION ALL SELECT 'l_suppkey', TRUE, count(*), sum(l_quantity), TRUE FROM lineitem, m WHERE l_suppkey = s"""),
+    (run_gate, "SELECT o_orderstatus, o_orderstatus <> 'O' AS published, count(*) AS n_rows, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS n_null, CASE WHEN o_orderstatus = 'O' THEN 'n_null' ELSE '' END AS failed, o_orderstatus <> 'O' AS visible FROM orders GROUP BY o_orderstatus"),
     (lag_window, "SELECT event_type, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS yyyymmdd, max(ts) AS max_ts, count(*) AS n FROM events WHERE user_id % 3 = 1 AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1, 2"),
     (source_sample, "SELECT o_orderkey, o_custkey, o_orderstatus, 'db' AS src_db, 'orders' AS src_table FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 100"),
     (registry_table, """WITH k AS (SELECT DISTINCT 'c##db' || user_id % 3 || '.sch' || user_id % 2 || '.tab' || user_id % 5 || CASE WHEN user_id % 7 = 0 THEN '__dol' ELSE '' END AS key, event_id % 3 AS fp FROM events WHERE event_id % 50 <> 0)

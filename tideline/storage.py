@@ -65,6 +65,12 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not become {target}")
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder."""
+    fs, p = _file(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, p = _file(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isFile()
