@@ -8,6 +8,7 @@ from tideline import storage
 from tideline.functions.images import typed_image
 from tideline.functions.messages import table_of
 from tideline.operators import changes as C
+from tideline.operators import control as CT
 from tideline.operators import evolve as E
 from tideline.operators import gate as G
 from tideline.operators import logs as L
@@ -15,10 +16,11 @@ from tideline.operators import merge as M
 from tideline.operators import metadata as MD
 from tideline.operators import reconcile as R
 from tideline.operators import rewrite as W
-from tideline.plans.catalog import _versions
+from tideline.plans.catalog import WIDEST, _versions, schema_diff_events
 from tideline.plans.cdc import KEYS, _event_stream, _message_keys, changes, feed, flat
 from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
 from tideline.sources.readers import json_file_stream, text_file_stream
+from tideline.types import DOCUMENT
 from tideline.streaming.apply import ChangePieces, change_feed, change_stream, replay_from
 
 s = lambda c: F.col(c).cast("string")
@@ -164,6 +166,42 @@ def flow_rewrite(spark, sf_dir):
     return W.with_refresh_flags(specs, outcomes).join(held, "flow_id", "left").join(logged, "flow_id", "left")
 
 
+def schema_change_log(spark, sf_dir):
+    """The log of the schema changes of two states, appended, and appended again by a repeated run, which adds nothing."""
+    path = storage.fresh_dir(spark, "ddl-events")
+    rows = CT.change_log_rows(schema_diff_events(spark, sf_dir), "app", F.lit("tx1"), F.lit("2024-02-03 04:05:06"))
+    L.append_log(rows, path)
+    L.append_log(CT.new_log_rows(rows, spark.read.parquet(path)), path)
+    back = spark.read.schema(CT.DDL_EVENT_LOG).parquet(path)
+    event = F.from_json("ddl_event", "flow_id string, column string, event string, status string")
+    return back.select(event.alias("e"), "*").groupBy("app", "yyyymm", "transaction_id", "e.event", "e.status").agg(F.count("*").alias("n"), F.countDistinct("notification_id").alias("n_ids"), F.count("error_msg").alias("n_errors"))
+
+
+def app_load(spark, sf_dir):
+    """The specs of one app out of control tables for all: its row, its flows, and its loads that are not complete."""
+    n = F.col("n_nationkey")
+    apps = table(spark, sf_dir, "nation").select(F.concat(F.lit("app"), (n % 20).cast("string")).alias("app"), F.col("n_name").alias("delta_db")).where("n_nationkey >= 5")
+    flows = table(spark, sf_dir, "customer").select(F.concat(F.lit("app"), (F.col("c_custkey") % 25).cast("string")).alias("app"), F.col("c_name").alias("flow_id"))
+    k = F.col("s_suppkey")
+    loads = table(spark, sf_dir, "supplier").select(F.concat(F.lit("app"), (k % 25).cast("string")).alias("app"), F.col("s_name").alias("table_name"), F.when(k % 3 == 0, True).when(k % 3 == 1, False).alias("is_complete"))
+    mine = CT.app_specs(apps, flows, loads, "app7")
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(c).alias("name")) for kind, df, c in (("app", mine.app, "delta_db"), ("flow", mine.flows, "flow_id"), ("load", mine.loads, "table_name"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def created_table(spark, sf_dir):
+    """A document table created by its declared schema and layout, filled, and grouped by its cluster column without a shuffle."""
+    root = storage.fresh_dir(spark, "created")
+    name = "documents_" + root.rsplit("-", 1)[-1]
+    CT.create_table(spark, name, DOCUMENT, f"{root}/t", ("event_date",), ("org_id",), 4, properties={"layout": "org by day"})
+    e = table(spark, sf_dir, "events")
+    rows = e.select(s("event_id").alias("document_id"), F.parse_json("props").alias("document"), F.concat(F.lit("org"), (F.col("user_id") % 10).cast("string")).alias("org_id"), F.lit("s").alias("schema_id"), F.create_map(F.lit("type"), F.col("event_type")).alias("__meta"), F.to_date("ts").alias("event_date"))
+    t = spark.table(name)
+    rows.select(*t.columns).write.insertInto(name)
+    CT.create_table(spark, name, DOCUMENT)  # there already: nothing happens
+    return spark.table(name).groupBy("org_id").agg(F.count("*").alias("n"), F.countDistinct("event_date").alias("n_days"), F.sum(F.try_variant_get("document", "$.k", "bigint")).alias("k_sum"))
+
+
 def error_log(spark, sf_dir):
     """Schemas of inactive flows are skipped with a warning row each in the error log."""
     path = storage.fresh_dir(spark, "errors")
@@ -340,6 +378,16 @@ UNION ALL SELECT 'l_suppkey', TRUE, count(*), sum(l_quantity), TRUE FROM lineite
     (registry_table, """WITH k AS (SELECT DISTINCT 'c##db' || user_id % 3 || '.sch' || user_id % 2 || '.tab' || user_id % 5 || CASE WHEN user_id % 7 = 0 THEN '__dol' ELSE '' END AS key, event_id % 3 AS fp FROM events WHERE event_id % 50 <> 0)
 SELECT replace(split_part(key, '.', 3), '__dol', '$') AS table_name, count(*) AS n, count(DISTINCT key) AS n_keys FROM k GROUP BY 1"""),
     (overwrite_with_schema, "SELECT o_orderstatus, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS n_notes, count(*) AS n FROM orders GROUP BY 1"),
+    (schema_change_log, WIDEST + """,
+b AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version < 2 GROUP BY 1, 2), a AS (SELECT flow_id, col, max(rank) AS rank FROM r WHERE version <> 1 GROUP BY 1, 2),
+f AS (SELECT flow_id FROM b INTERSECT SELECT flow_id FROM a),
+d AS (SELECT coalesce(a.flow_id, b.flow_id) AS flow_id, a.rank AS x, b.rank AS y FROM b FULL JOIN a ON a.flow_id = b.flow_id AND a.col = b.col),
+e AS (SELECT *, CASE WHEN y IS NULL THEN 'ADD_COLUMN' WHEN x IS NULL THEN 'DROP_COLUMN' WHEN x <> y THEN 'MODIFY_COLUMN' END AS event FROM d WHERE flow_id IN (SELECT flow_id FROM f))
+SELECT 'app' AS app, 202402 AS yyyymm, 'tx1' AS transaction_id, event, CASE event WHEN 'DROP_COLUMN' THEN 'IGNORED' ELSE 'PROCESSED' END AS status, count(*) AS n, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_errors FROM e WHERE event IS NOT NULL GROUP BY event"""),
+    (app_load, """
+SELECT 'app' AS kind, n_name AS name FROM nation WHERE n_nationkey >= 5 AND n_nationkey % 20 = 7 UNION ALL SELECT 'flow', c_name FROM customer WHERE c_custkey % 25 = 7
+UNION ALL SELECT 'load', s_name FROM supplier WHERE s_suppkey % 25 = 7 AND s_suppkey % 3 <> 0"""),
+    (created_table, "SELECT 'org' || user_id % 10 AS org_id, count(*) AS n, count(DISTINCT CAST(ts AS DATE)) AS n_days, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum FROM events GROUP BY 1"),
     (flow_rewrite, """
 WITH f AS (SELECT 'flow-' || i AS flow_id, i FROM (VALUES (1), (2), (3), (4), (5)) AS t(i)),
 o AS (SELECT 'flow-' || o_orderpriority[1] AS flow_id, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders WHERE o_orderpriority[1] <> '5' GROUP BY 1)
