@@ -88,7 +88,7 @@ def test_graph_recall():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     g = hnsw.Graph(x)
     truth = g.x @ g.x.T >= 0.9
-    a, b = g.within(g.x, 0.9, hnsw.BEAM)
+    a, b, _ = g.within(g.x, 0.9, hnsw.BEAM)
     assert truth[a, b].sum() >= 0.99 * truth.sum()
 
 
@@ -135,3 +135,24 @@ def test_jaccard_components():
     want = components(range(len(sets)), links)
     label = passages.jaccard_components(sets)
     assert all((label[a] == label[b]) == (want[a] == want[b]) for a in range(len(sets)) for b in range(a))
+
+
+def test_dense_cluster_among_others(spark):
+    """Most vectors within the bound of each other: their beams end at a share of the shard, the rest is compared in blocks."""
+    r = np.random.default_rng(12)
+    base = r.normal(size=64)
+    x = np.concatenate([base + r.normal(size=(2500, 64)) * 0.2, base * 0.2 + r.normal(size=(200, 64)) * 0.8, r.normal(size=(300, 64))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near.sum() > 4_000_000
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = sorted((t.id, t.n_links, t.component_id) for t in hnsw.near_vectors(df, shards=2).collect())
+    comp = components(range(len(x)), list(zip(*(c.tolist() for c in np.nonzero(np.triu(near))))))
+    assert got == [(i, int(near[i].sum()), comp[i]) for i in range(len(x))]
+
+
+def test_vectors_of_extreme_length(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.1e200]), (3, [1e-200, 1e-200]), (4, [5e-324, 5e-324]), (5, [-1e308, 1e308]), (6, [0.0, 1.0])]
+    got = sorted(tuple(t)[:3] for t in hnsw.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shards=2).collect())
+    assert got == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 0, 5), (6, 0, 6)]

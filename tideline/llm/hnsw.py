@@ -3,7 +3,7 @@
 Each shard's graph is built once, by a task of its own, and written to the shared folder. Every vector is a query against every
 shard: a task loads one graph and a block of the queries, so neither grows with the table. Within a task the queries of a
 batch walk the graph in step, as array operations. A beam is widened for each query whose last place still lies within the
-similarity bound, and for all queries of a shard until an audit passes: vectors of all shards are compared by brute force with
+similarity bound, up to a share of the shard beyond which the query is compared with all of it, and for all queries of a shard until an audit passes: vectors of all shards are compared by brute force with
 the shard, and their links, themselves left out, must be found, and where those are few their nearest neighbours too. Found pairs are verified in
 double precision.
 """
@@ -25,6 +25,8 @@ SHARDS = 8
 SHARD_ROWS = 100_000
 LINKS = 16  # of a node on upper levels; twice as many on the lowest
 BEAM, BUILD_BEAM = 48, 48
+#: Widest beam, and places of all beams (or cells of a block) in one step.
+WIDEST, CELLS = 4096, 1 << 21
 #: Queries of a task.
 QUERY_ROWS = 25_000
 #: Audit queries against each shard, and the recall of their links that is asked for. Where fewer than ENOUGH links were there
@@ -146,16 +148,27 @@ class Graph:
             start = self.search(q, 1, lv, start)[0][:, 0]
         return self.search(q, min(beam, len(self.x)), 0, start)
 
-    def within(self, q: np.ndarray, bound: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) pairs found at the bound or above; beams whose last place is still within it are doubled."""
-        out, rest, slack = [], np.arange(len(q)), bound - 1e-4
+    def within(self, q: np.ndarray, bound: float, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, node) pairs found at the bound or above, and the queries that have too many for a beam.
+
+        Beams whose last place is still within the bound are doubled, in steps of fewer queries, up to a share of the graph
+        (and WIDEST); beyond that the caller compares with every node (`blocks_within`), which costs less than the walk.
+        """
+        most = min(WIDEST, max(beam, len(self.x) // 8))
+        out, rest, slack = [(np.zeros(0, np.int64),) * 2], np.arange(len(q)), bound - 1e-4
         while len(rest):
-            ids, sims = self.nearest(q[rest], beam)
-            full = (sims[:, -1] >= slack) & (ids.shape[1] < len(self.x))
-            r, c = np.nonzero((sims >= slack) & ~full[:, None])
-            out.append((rest[r], ids[r, c]))
-            rest, beam = rest[full], beam * 2
-        return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+            step, full = max(1, CELLS // (beam + 8 * LINKS)), []
+            for few in np.split(rest, np.arange(step, len(rest), step)):
+                ids, sims = self.nearest(q[few], beam)
+                more = (sims[:, -1] >= slack) & (ids.shape[1] < len(self.x))
+                r, c = np.nonzero((sims >= slack) & ~more[:, None])
+                out.append((few[r], ids[r, c]))
+                full.append(few[more])
+            rest, beam = np.concatenate(full), beam * 2
+            if beam > most:
+                break
+        a, y = zip(*out)
+        return np.concatenate(a), np.concatenate(y), rest
 
     def audited_beam(self, q: np.ndarray, own: np.ndarray, bound: float, beam: int) -> tuple[int, float]:
         """The first beam, doubling, whose recall of the audit queries' links reaches RECALL, and that of their NEAREST neighbours
@@ -170,8 +183,8 @@ class Graph:
         least = np.take_along_axis(sims, near, 1).min(axis=1) if k else np.zeros(len(q))
         few = links.sum() < ENOUGH
         while True:
-            a, b = self.within(q, bound, beam)
-            recall = float(links[a, b].sum() / links.sum()) if links.any() else 1.0
+            a, b, whole = self.within(q, bound, beam)
+            recall = float((links[a, b].sum() + links[whole].sum()) / links.sum()) if links.any() else 1.0
             near_recall = 1.0
             if few and k:
                 ids, found = self.nearest(q, beam)
@@ -201,9 +214,42 @@ class Graph:
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
+    v = v / np.abs(v).max(axis=1, keepdims=True, initial=0)  # squares of very large or small components stay numbers
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def blocks_within(q: np.ndarray, x: np.ndarray, bound: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query numbers, (queries, nodes) marks of similarity at the bound or above), some queries at a time: exact, in double precision."""
+    step = max(1, CELLS // max(1, len(x)))
+    for s in range(0, len(q), step):
+        yield np.arange(s, min(s + step, len(q))), q[s : s + step] @ x.T >= bound
+
+
+class Components:
+    """Components of a shard's nodes, by the pairs that blocks of queries bring, with the links that join them."""
+
+    def __init__(self, n: int):
+        self.n, self.label = n, np.arange(n)
+
+    def begin(self, queries: int) -> None:
+        self.before, self.all = self.label, np.concatenate([self.label, self.n + np.arange(queries)])
+
+    def join(self, query: np.ndarray, node: np.ndarray) -> None:
+        far = np.flatnonzero(self.all != np.arange(len(self.all)))
+        self.all = labels_of(len(self.all), np.concatenate([far, self.n + query]), np.concatenate([self.all[far], node]))
+
+    def join_marked(self, queries: np.ndarray, marks: np.ndarray) -> None:
+        r, y = np.nonzero(marks & (self.all[self.n + queries][:, None] != self.all[None, : self.n]))
+        if len(r):
+            self.join(queries[r], y)
+
+    def end(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nodes that were a component's first and are no more, their first now, each query's first node)."""
+        self.label = self.all[: self.n]
+        gone = np.flatnonzero((self.before == np.arange(self.n)) & (self.label != np.arange(self.n)))
+        return gone, self.label[gone], self.all[self.n :]
+
+
 def _matrix(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy().astype(np.float64).reshape(len(lists), -1)
 
@@ -241,7 +287,7 @@ def _build(bound: float):
 def _search(bound: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by (task, pos): first the nodes of a shard's graph, then queries (without a place, level and links)."""
-        task, held, graph, own, beam = None, [], None, None, BEAM
+        task, held, graph, own, beam, parts = None, [], None, None, BEAM, None
         for b in batches:
             at, tasks, query = 0, b.column(0).to_numpy(), b.column(5).is_null().to_numpy(zero_copy_only=False)
             edges = np.flatnonzero((np.diff(tasks) != 0) | (np.diff(query.view(np.int8)) != 0)) + 1
@@ -262,21 +308,27 @@ def _search(bound: float):
                     t = pa.Table.from_batches(held).combine_chunks()
                     own = (t.column("node").to_numpy(), t.column("copies").to_numpy(), _unit(_matrix(t.column("v").combine_chunks())))
                     graph = Graph.of_rows(own[2], t.column("level").to_numpy().astype(np.int64), t.column("links").combine_chunks().flatten().to_numpy())
-                    beam = t.column("beam")[0].as_py()
+                    beam, parts = t.column("beam")[0].as_py(), Components(len(own[0]))
                 step = int(max(64, min(1024, 3e7 // len(own[0]))))
                 for s in range(0, part.num_rows, step):
                     few = part.slice(s, step)
                     node = few.column(2).to_numpy()
                     q = _unit(_matrix(few.column(4)))
-                    a, y = graph.within(q.astype(np.float32), bound, beam)
+                    a, y, whole = graph.within(q.astype(np.float32), bound, beam)
                     ok = (np.einsum("nd,nd->n", q[a], own[2][y]) >= bound) & (node[a] != own[0][y])
                     a, y = a[ok], y[ok]
                     n = np.bincount(a, own[1][y], len(node)).astype(np.int64)
-                    ids = np.unique(np.concatenate([node[a], own[0][y]]))
-                    label = labels_of(len(ids), np.searchsorted(ids, node[a]), np.searchsorted(ids, own[0][y]))
-                    far = np.flatnonzero(label != np.arange(len(ids)))
-                    hit = n > 0
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node[hit], ids[far]])), pa.array(np.concatenate([n[hit], np.zeros(len(far), np.int64)])), pa.array(np.concatenate([node[hit], ids[label[far]]]))], ["node", "n", "other"])
+                    parts.begin(len(node))
+                    parts.join(a, y)
+                    for r, marks in blocks_within(q[whole], own[2], bound):
+                        marks &= node[whole[r]][:, None] != own[0][None, :]
+                        n[whole[r]] += (marks @ own[1].astype(np.float64)).astype(np.int64)
+                        parts.join_marked(whole[r], marks)
+                    gone, into, first = parts.end()
+                    hit = np.flatnonzero(n > 0)
+                    names = np.concatenate([node[hit], own[0][gone]])
+                    others = np.concatenate([own[0][first[hit]], own[0][into]])
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.concatenate([n[hit], np.zeros(len(gone), np.int64)])), pa.array(others)], ["node", "n", "other"])
 
     return work
 
@@ -299,8 +351,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     v = F.col(vector_col)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: x.cast("double")).alias("v"))
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    fine = F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & ~odd & (norm > 0) & (norm < float("inf")), F.lit(False))
+    fine = F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & ~odd & F.exists("v", lambda x: x != 0), F.lit(False))
     width = rows.where(fine).groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
     fine = fine & (F.size("v") == (width.w if width else 0))
     rows = stash.save(rows.select("id", F.when(fine, F.xxhash64("v")).alias("node"), F.when(fine, F.col("v")).alias("v")))
@@ -319,7 +370,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     found = stash.save(_dealt(loads.unionByName(queries), "task", count * blocks, "pos").mapInArrow(_search(cosine), "node long, n long, other long"))
     recall = graphs.agg(F.coalesce(F.min("recall"), F.lit(1.0)).alias("recall"))  # one row
     links = found.groupBy("node").agg(F.sum("n").alias("n"))
-    parts = connected_components(found.where("n = 0").select(F.col("node").alias("a"), F.col("other").alias("b")), stash)
+    parts = connected_components(found.select(F.col("node").alias("a"), F.col("other").alias("b")), stash)
     parts = parts.join(nodes.select("node", "rep"), "node")
     parts = parts.join(parts.groupBy("component").agg(F.min("rep").alias("smallest")), "component").select("node", "smallest")
     facts = nodes.select("node", "rep", "copies").join(links, "node", "left").join(parts, "node", "left")
