@@ -1,8 +1,9 @@
 """Repeated and nearly repeated passages: paragraph MinHash banding, exact verification, removal by components.
 
-Paragraphs are the lines of a text. Equal paragraphs form a class by aggregation; distinct ones are MinHashed over five-word
+Paragraphs are the lines of a text of LINE words or more. Equal paragraphs form a class by aggregation; distinct ones are MinHashed over five-word
 shingles, banded for recall, and colliding ones are verified by exact Jaccard similarity. Classes linked by verified pairs form
-components; the first occurrence of each component stays, the others are removed.
+components; the first occurrence of each component stays, the others are removed. Lines that follow each other make one
+passage, and a passage has `least` words, however short its lines.
 
 A passage may also lie inside longer paragraphs or go over line breaks, where no two paragraphs are alike. So every string of
 `least` words is held against all others too, without a row for each: a string owns an anchor, the k-gram within it whose hash is
@@ -28,6 +29,8 @@ from tideline.llm.common import Stash, by_group, connected_components, small_bat
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 #: Words that a passage has at least (passages of over 50 words).
 LEAST = 51
+#: Words of a line that is held against others for near copies. A shorter one has at most 15 shingles, of which one changed word takes up to five.
+LINE = 20
 #: Words of an anchor.
 GRAM = 16
 #: Distinct paragraphs of a bucket that are compared in one piece; larger buckets are compared as pairs of blocks.
@@ -237,13 +240,14 @@ def _listed(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """(id, k, start_word, n_words, component_id, removed): maximal runs of words of `least` words or more that are
-    repeated elsewhere, in the same text or another one, and nearly repeated paragraphs of that length.
+    repeated elsewhere, in the same text or another one, or are made of repeated and nearly repeated paragraphs.
 
     Of every repeated string and of every component of paragraphs the first occurrence, by id and place, stays; a run of
     others has `removed` true. Runs of either kind are maximal, so one that begins with a first occurrence and goes on with a
     repeat is a kept and a removed run, which share words at the border. component_id is the smallest id among the first
-    occurrences of the run's strings. A text without such a run has no row. k tells rows with equal ids apart; rows alike in
-    id and text repeat each other, and their runs appear once. Null and short texts have no runs; null ids count as
+    occurrences of the run's strings. A text without such a run has no row. k tells rows with equal ids and different texts apart; of N rows
+    alike in id and text, which are counted and not gathered, one has its runs, and N - 1 are removed whole (a row each, from the first word to the last, if
+    there are `least` words). Null and short texts have no runs; null ids count as
     smaller than others; an empty table gives an empty result; other columns are ignored. Texts are never cut.
     """
     spark = docs.sparkSession
@@ -251,16 +255,25 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     stash = Stash(spark, "passages")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("string"), F.lit(9), text_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
+    # rows alike in id and text become one with their number
+    same = stash.save(rows.groupBy("k").agg(F.count("*").cast("int").alias("copies")).where("copies > 1"))
+    repeated = not same.isEmpty()
+    if repeated:
+        rows = rows.join(same, "k", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+        rows = rows.where("copies = 1").unionByName(rows.where("copies > 1").dropDuplicates(["k"])).select("id", "k", "text", "copies")
+    else:
+        rows = rows.withColumn("copies", F.lit(1))
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Paragraphs with their band keys, and contexts (once a text) with the places they start at."""
         for b in batches:
-            ids, k = b.column(0), b.column(1).to_numpy()
+            ids, k, copies = b.column(0), b.column(1).to_numpy(), b.column(3).to_numpy()
             text, line, h = words_of([x.as_buffer().to_pybytes() for x in b.column(2)])
 
             def row(text, n, name, h, at, bands):
-                return pa.RecordBatch.from_arrays([ids.take(pa.array(text)), pa.array(k[text]), pa.array(n.astype(np.int32)), pa.array(name), h, at, bands], ["id", "k", "n", "class", "anchor", "at", "bands"])
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(text)), pa.array(k[text]), pa.array(copies[text]), pa.array(n.astype(np.int32)), pa.array(name), h, at, bands], ["id", "k", "copies", "n", "class", "anchor", "at", "bands"])
 
-            x, at, n, name, keys = paragraphs(text, line, h, least)
+            x, at, n, name, keys = paragraphs(text, line, h, min(LINE, least))
             yield row(x, n, name, pa.nulls(len(x), pa.int64()), _listed(list(at.reshape(-1, 1)), pa.int32()), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * BANDS, keys.ravel()))
             for x, at, n, anchor, name in contexts(text, h, least):
                 order = np.lexsort((at, name, anchor, x))
@@ -281,18 +294,18 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
             got = b.column(1).flatten()
             yield pa.RecordBatch.from_arrays([got.field("anchor"), got.field("class"), _listed(sets, pa.int64())], ["anchor", "class", "hashes"])
 
-    kinds = "id long, k long, n int, class long, anchor long, at array<int>, bands array<long>"
+    kinds = "id long, k long, copies int, n int, class long, anchor long, at array<int>, bands array<long>"
     found = stash.save(rows.mapInArrow(find, kinds))
     one = F.struct("id", "k", F.col("at")[0].alias("start"))
 
     # contexts: anchors met once own nothing; those with one kind of context repeat as they are
-    ctx = found.where("anchor IS NOT NULL").select("anchor", "class", "id", "k", "n", "at")
-    met = ctx.groupBy("anchor").agg(F.sum(F.size("at")).alias("c"), F.min("class").alias("x"), F.max("class").alias("y")).where("c > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    ctx = found.where("anchor IS NOT NULL").select("anchor", "class", "id", "k", "copies", "n", "at")
+    met = ctx.groupBy("anchor").agg(F.sum(F.size("at") * F.col("copies")).alias("c"), F.min("class").alias("x"), F.max("class").alias("y")).where("c > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
     seen = stash.save(ctx.join(met, "anchor"))
-    classes = stash.save(seen.groupBy("anchor", "class").agg(F.sum(F.size("at")).cast("long").alias("c"), F.min(one).alias("first"), F.first("n").alias("n"), F.first("mixed").alias("mixed")))
+    classes = stash.save(seen.groupBy("anchor", "class").agg(F.sum(F.size("at") * F.col("copies")).cast("long").alias("c"), F.min(one).alias("first"), F.first("n").alias("n"), F.first("mixed").alias("mixed")))
 
     # paragraphs: classes, buckets, and what has to be cut out of the texts
-    lines = stash.save(found.where("bands IS NOT NULL").groupBy("class").agg(F.min(one).alias("first"), F.min(F.struct("n", "bands")).alias("one")))
+    lines = stash.save(found.where("bands IS NOT NULL").groupBy("class").agg(F.min(one).alias("first"), F.min(F.struct("n", "bands")).alias("one"), F.sum("copies").alias("c")))
     banded = lines.select("class", F.explode("one.bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor("class").alias("x"), F.min("class").alias("y")).where("c > 1")
     buckets = stash.save(buckets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key", "c"))  # of buckets with equal members, one
@@ -313,7 +326,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     self_ = F.col("id").eqNullSafe(F.col("p.origin.id")) & (F.col("k") == F.col("p.origin.k")) & (F.col("at") + F.col("p.r") == F.col("p.origin.start"))
     hits = hits.select("id", "k", F.struct((F.col("at") + F.col("p.r")).alias("s"), (F.col("at") + F.col("p.r") + F.col("p.n") + (least - 1)).alias("e"), low.alias("component"), (~self_).alias("removed")).alias("u"))
 
-    # paragraphs that meet in a bucket, verified; the first occurrence of a component stays
+    # paragraphs that meet in a bucket, verified; the first occurrence of a component stays, as that of a repeated class does
     sets = cuts.where("anchor IS NULL").dropDuplicates(["class"]).select(F.col("class").alias("name"), F.col("hashes").alias("shingles"))
     blocks = F.ceil(F.col("c") / (BLOCK // 2)).cast("int")
     own = F.pmod(F.xxhash64("class", F.lit(3)), blocks).cast("int")
@@ -323,11 +336,18 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     parts_of = stash.save(connected_components(linked, stash))
     firsts = lines.join(parts_of, F.col("class") == F.col("node")).groupBy("component").agg(F.min("first").alias("origin"))
     near = parts_of.join(firsts, "component").select(F.col("node").alias("class"), "origin")
+    near = lines.select("class", "first", "c").join(near, "class", "left").where("c > 1 OR origin IS NOT NULL").select("class", F.coalesce("origin", "first").alias("origin"))
     near = found.where("bands IS NOT NULL").select("id", "k", "n", "class", F.col("at")[0].alias("at")).join(near, "class")
     stays = F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("k") == F.col("origin.k")) & (F.col("at") == F.col("origin.start"))
     near = near.select("id", "k", F.struct(F.col("at").alias("s"), (F.col("at") + F.col("n")).alias("e"), F.coalesce("origin.id", F.lit(-(1 << 63))).alias("component"), (~stays).alias("removed")).alias("u"))
 
     runs = hits.unionByName(near).groupBy("id", "k").agg(F.collect_list("u").alias("us")).mapInArrow(_merge, "id long, k long, start_word int, n_words int, component_id long, removed boolean")
+    runs = runs.where(F.col("n_words") >= least)
+    if repeated:
+        runs = stash.save(runs)
+        # all words of a repeated row are in its runs, if it has any
+        whole = runs.join(same, "k").groupBy("id", "k").agg(F.lit(0).alias("start_word"), F.max(F.col("start_word") + F.col("n_words")).alias("n_words"), F.min("component_id").alias("component_id"), F.lit(True).alias("removed"), F.first("copies").alias("copies"))
+        runs = runs.unionByName(whole.select("*", F.explode(F.sequence(F.lit(2), "copies"))).select(*runs.columns))
     return runs.withColumn("component_id", F.when(F.col("component_id") != -(1 << 63), F.col("component_id")))
 
 
