@@ -17,9 +17,9 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Longest character n-gram.
 ORDER = 5
 #: Words with scores that are sent to every task (frequent ones, of at most WIDTH letters), and cells of their table.
-TIER, CELLS, WIDTH = 200_000, 4_000_000, 64
+TIER, CELLS, WIDTH = 100_000, 2_000_000, 64
 #: Different words or n-grams that a counting task holds before it passes their counts on.
-HELD = 100_000
+HELD = 50_000
 MICRO = 1_000_000
 
 
@@ -125,7 +125,7 @@ class Model:
             self.scores = self.words = None
             return
         number = docs.sparkSession.createDataFrame(list(enumerate(self.langs)), "k int, lang string")
-        known = known.join(number, "lang")
+        known = known.join(F.broadcast(number), "lang")  # one row a language, from the driver
 
         def scored(rows: DataFrame, total: list[int]) -> DataFrame:
             """rows (..., k, n) with the gain of each."""
