@@ -15,6 +15,7 @@ from tideline.types import shape
 _S, _B, _TS, _LIST, _MAP = T.StringType(), T.BooleanType(), T.TimestampType(), T.ArrayType(T.StringType()), T.MapType(T.StringType(), T.StringType())
 _AUDIT = {"created_at": _TS, "updated_at": _TS, "created_by": _S, "updated_by": _S}
 
+#: The columns of the control tables and of the log of schema changes.
 APP_SPEC = shape(app=_S, src_db_type=_S, delta_db=_S, kafka_conf=_MAP, schema_topic=_S, cdc_topics=_LIST, bronze_reader_opts=_MAP, bronze_spark_conf=shape(active_flow_conf=_MAP, inactive_flow_conf=_MAP), silver_spark_conf=_MAP, bronze_table_props=_MAP, silver_table_props=_MAP, tenancy_conf=shape(tenancy_type=_S, client_id_col=_S, handle_l2l=_B), **_AUDIT)
 FLOW_SPEC = shape(flow_id=_S, app=_S, src_table=_S, target_details=shape(delta_table=_S, delta_table_path=_S, partition_cols=_LIST, schema_refresh_done=_B), cdc_keys=_LIST, cdc_schema=_S, cdc_lob_columns=_LIST, cdc_schema_fingerprints=T.ArrayType(T.LongType()), flow_grp_id=T.IntegerType(), flow_reader_opts=_MAP, flow_spark_conf=_MAP, inactive_schemas=_LIST, is_active=_B, **_AUDIT)
 DB_SCHEMA_SPEC = shape(id=_S, app=_S, src_db=_S, src_schema=_S, **_AUDIT)

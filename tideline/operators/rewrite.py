@@ -21,6 +21,7 @@ from tideline.operators.merge import cast_to, update_matched
 
 #: Rewrites that run at a time, as jobs of one session.
 AT_ONCE = 4
+#: Fixed value: the log's description of such a failure.
 WHY = "Failure occurred while overwriting schemas"
 
 
