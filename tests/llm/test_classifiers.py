@@ -37,15 +37,12 @@ def test_no_labels(spark):
     assert [r.score for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()] == [0.5] * 3
 
 
-def test_mixing_matches_direct_solution():
+def test_mixing_matches_direct_solution(spark):
     r = np.random.default_rng(7)
     p, n = r.dirichlet([1, 0.5, 0.3, 0.2], 400), r.integers(1, 500, 400)
     total, want = n.sum(), np.array(mixing.TARGETS)
-    res = np.zeros((0, 4))
-    for _ in range(400):
-        point = mixing.replay(p, res)[1]
-        res = np.vstack([res, (n * point) @ p / total - want])
-    rate = mixing.replay(p, res)[0]
+    table = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(n, p))], "row long, n_tokens long, p array<double>")
+    rate = np.array([x.rate for x in table.withColumn("rate", mixing.rate_at(mixing.fit_residuals(table))).orderBy("row").collect()])
     e = (n * rate) @ p / total - want
     best = np.maximum(0, 1 - p @ e / mixing.LAMBDA)  # the optimality condition of every document
     assert np.abs(best - rate).max() < 1e-3 and (rate >= 0).all()

@@ -1,5 +1,6 @@
 """Domain posteriors on held-out labels, and the whole query against a plain solution."""
 
+import uuid
 import zlib
 
 import numpy as np
@@ -40,13 +41,43 @@ def test_op7_end_to_end(spark):
     assert objective(got.rate.to_numpy()) <= objective(rate) * 1.001 + 1e-9
 
 
-@pytest.mark.parametrize("keep", [1, 3, 100])
-def test_written_steps_change_nothing(spark, keep):
+def plain(p, n, targets, steps=20_000):
+    """Rates by accelerated projected gradient in one array."""
+    want, rate, lam = np.array(targets) / sum(targets), np.ones(len(n)), mixing.LAMBDA
+    old = rate
+    momentum = (1 - np.sqrt(lam / (1 + lam))) / (1 + np.sqrt(lam / (1 + lam)))
+    for _ in range(steps):
+        ahead = rate + momentum * (rate - old)
+        old, rate = rate, np.maximum(0, ahead - ((n * ahead) @ p / n.sum() - want) @ p.T / (1 + lam) - lam * (ahead - 1) / (1 + lam))
+    return rate
+
+
+def counting_jobs(spark, work):
+    """(result, Spark jobs that it ran)."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "jobs of a test")
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("targets", [mixing.TARGETS, (0.25, 0.25, 0.25, 0.25), (0.0, 0.0, 0.0, 1.0), (1.0, 0.0, 0.0, 0.0)])
+@pytest.mark.parametrize("spread", [(1, 0.5, 0.3, 0.2), (0.02, 0.01, 0.01, 0.002)])
+def test_residuals_are_the_projected_gradients_end(spark, targets, spread):
+    """Near and far targets, soft and nearly hard posteriors: the same rates as many plain steps, from a few sums."""
     r = np.random.default_rng(7)
-    p, n = r.dirichlet([1, 0.5, 0.3, 0.2], 200), r.integers(1, 500, 200)
+    p, n = r.dirichlet(spread, 300), r.integers(0, 500, 300)
     df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>").repartition(3)
-    got = mixing.mixing_residuals(df, mixing.Stash(spark, "t"), steps=7, keep=keep)
-    want = np.zeros((0, 4))
-    for _ in range(7):
-        want = np.vstack([want, (n * mixing.replay(p, want)[1]) @ p / n.sum() - np.array(mixing.TARGETS)])
-    assert np.allclose(got, want, atol=1e-6)
+    y, jobs = counting_jobs(spark, lambda: mixing.fit_residuals(df, targets))
+    back = df.withColumn("rate", mixing.rate_at(y)).collect()
+    p, n, got = np.array([x.p for x in back]), np.array([x.n_tokens for x in back]), np.array([x.rate for x in back])
+    assert np.abs(got - plain(p, n, targets)).max() < 1e-3 and (got >= 0).all()
+    assert np.abs((n * got) @ p / n.sum() - np.array(targets) / sum(targets) - y).max() < 1e-7
+    assert jobs <= 30  # at most ten aggregations of up to three jobs each
+
+
+def test_no_tokens(spark):
+    for rows in ([], [(0, [0.25] * 4)] * 3):
+        df = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+        assert (mixing.fit_residuals(df) == 0).all() and [x.rate for x in df.select(mixing.rate_at(np.zeros(4)).alias("rate")).collect()] == [1.0] * len(rows)

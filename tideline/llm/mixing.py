@@ -6,8 +6,9 @@ squares so that the expected tokens of each domain, sum over documents of rate *
 
     minimise  1/2 * |(sum_d r_d n_d P_d - T) / N|^2 + LAMBDA/2 * sum_d (n_d / N) (r_d - 1)^2   over r >= 0.
 
-In the metric n_d / N the gradient of a document needs its own posteriors and the domains' residuals alone, so a step is one
-distributed sum of as many numbers as there are domains; tasks repeat the few steps since rates were last written.
+In the metric n_d / N the gradient of a document needs its own posteriors and the domains' residuals e alone, and a projected step of
+length 1 / LAMBDA takes every rate to max(0, 1 - P_d.e / LAMBDA). Residuals from which the step comes back to themselves are the minimum;
+they are found by a few distributed sums in built-in expressions (`fit_residuals`), and no rate is kept between steps.
 A token is a word between white space here.
 """
 
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import quality
@@ -29,9 +30,7 @@ DOMAINS = ((1, 0), (0, 0), (1, 1), (0, 1))
 TARGETS = (0.83, 0.045, 0.115, 0.01)
 #: Bounds of the fit: labelled rows read, and word features kept.
 LABELLED, FEATURES = 8_000, 2_048
-LAMBDA, STEPS, CLOSE = 0.005, 80, 1e-7
-#: Steps after which rates are written.
-KEEP = 10
+LAMBDA, STEPS, CLOSE = 0.005, 80, 1e-8
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -118,76 +117,50 @@ def posteriors(docs: DataFrame, model: Classifier, row_col: str, text_col: str =
     return rows.mapInArrow(work, f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, p array<double>")
 
 
-def replay(p: np.ndarray, residuals: np.ndarray, rate: np.ndarray | None = None, point: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the accelerated projected steps whose residuals are given, and the point of the next gradient; from the
-    start, or from the rates and points of an earlier step."""
-    ratio = np.sqrt(LAMBDA / (1 + LAMBDA))
-    momentum = (1 - ratio) / (1 + ratio)
-    rate = np.ones(len(p)) if rate is None else rate
-    point = rate if point is None else point
-    for e in residuals:
-        new = np.maximum(0, point - (p @ e + LAMBDA * (point - 1)) / (1 + LAMBDA))
-        rate, point = new, new + momentum * (new - rate)
-    return rate, point
-
-
 def _p(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def mixing_residuals(table: DataFrame, stash: Stash, targets: tuple[float, ...] = TARGETS, steps: int = STEPS, keep: int = KEEP) -> np.ndarray:
-    """Residuals of every step over (n_tokens, p): a distributed sum of one number for each domain a step. Rates and points are
-    written every `keep` steps, so a task repeats fewer steps than that."""
-    k = len(targets)
-    total = table.agg(F.sum("n_tokens")).first()[0] or 0
-    residuals, behind = np.zeros((0, k)), 0
-    if not total:
-        return residuals
-    want = np.array(targets) / sum(targets)
-    now, written = table.select("n_tokens", "p", F.lit(1.0).alias("rate"), F.lit(1.0).alias("point")), None
+def rate_at(y: np.ndarray) -> Column:
+    """The rate after a projected-gradient step of length 1 / LAMBDA from a point of residuals y, of a row with posteriors p."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col("p")[j] * float(v / LAMBDA) for j, v in enumerate(y)), F.lit(0.0)))
 
-    def at(b: pa.RecordBatch, so_far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        p = _p(b.column(1))
-        return p, *replay(p, so_far, b.column(2).to_numpy(), b.column(3).to_numpy())
 
+def fit_residuals(table: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS) -> np.ndarray:
+    """Residuals y of the domains at the smallest objective, over (n_tokens, p): the projected step from y comes back to y.
+
+    A step is one aggregation of built-in sums: the residuals that the rates at y have, and the second moments of the
+    documents whose rate is above zero. While the set of these stays the same all further gradient steps are linear in y, so the moments give
+    where they would end; a step that raises the value is halved. Without tokens the residuals are zero.
+    """
+    k = len(targets)
+    n, p, r = F.col("n_tokens"), [F.col("p")[j] for j in range(k)], F.col("r")
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    want = np.array(targets) / sum(targets)
+    sums = [F.sum("n_tokens"), F.sum(n * r * r), *[F.sum(n * r * x) for x in p], *[F.sum(F.when(r > 0, n * p[i] * p[j]).otherwise(0.0)) for i, j in pairs]]
+
+    def at(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray] | None:
+        """Value, gradient and curvature at y."""
+        total, square, *got = table.withColumn("r", rate_at(y)).agg(*sums).first()
+        if not total:
+            return None
+        got = np.array(got, float) / total
+        curve = np.eye(k)
+        for (i, j), v in zip(pairs, got[k:]):
+            curve[i, j] += v / LAMBDA
+            curve[j, i] = curve[i, j]
+        return LAMBDA / 2 * square / total + want @ y + y @ y / 2, want + y - got[:k], curve
+
+    y, now = np.zeros(k), at(np.zeros(k))
+    move = None
     for _ in range(steps):
-        if len(residuals) - behind == keep:
-
-            def move(batches: Iterator[pa.RecordBatch], so_far: np.ndarray = residuals[behind:]) -> Iterator[pa.RecordBatch]:
-                for b in batches:
-                    _, rate, point = at(b, so_far)
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rate), pa.array(point)], b.schema.names)
-
-            old, written = written, stash.save(now.mapInArrow(move, "n_tokens long, p array<double>, rate double, point double"))
-            now, behind = written, len(residuals)
-            if old is not None:
-                stash.drop(old)
-
-        def work(batches: Iterator[pa.RecordBatch], so_far: np.ndarray = residuals[behind:]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(k)
-            for b in batches:
-                p, _, point = at(b, so_far)
-                sums += (b.column(0).to_numpy() * point) @ p
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], [f"d{j}" for j in range(k)])
-
-        got = now.mapInArrow(work, ", ".join(f"d{j} double" for j in range(k))).agg(*[F.sum(f"d{j}") for j in range(k)]).first()
-        e = np.round(np.array(got, float) / total - want, 9)
-        close = len(residuals) and np.abs(e - residuals[-1]).max() < CLOSE
-        residuals = np.vstack([residuals, e])
-        if close:
+        if now is None or np.abs(now[1]).max() < CLOSE:
             break
-    return residuals
-
-
-def rates(table: DataFrame, residuals: np.ndarray) -> DataFrame:
-    """(row, n_tokens, p, rate)."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rate = replay(_p(b.column(2)), residuals)[0].round(6) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rate)], [*b.schema.names, "rate"])
-
-    return table.mapInArrow(work, f"row {table.schema['row'].dataType.simpleString()}, n_tokens long, p array<double>, rate double")
+        move = -np.linalg.solve(now[2], now[1]) if move is None else move / 2
+        then = at(y + move)
+        if then[0] <= now[0] + 1e-4 * now[1] @ move + 1e-14:
+            y, now, move = y + move, then, None
+    return np.round(y, 10)
 
 
 def mix(docs: DataFrame, labels: DataFrame, train: DataFrame | None = None, row_col: str = "doc_id", text_col: str = "text", targets: tuple[float, ...] = TARGETS) -> DataFrame:
@@ -199,7 +172,7 @@ def mix(docs: DataFrame, labels: DataFrame, train: DataFrame | None = None, row_
     """
     stash = Stash(docs.sparkSession, "mixing")
     table = stash.save(posteriors(docs, fit(train if train is not None else docs, labels), row_col, text_col))
-    return rates(table, mixing_residuals(table, stash, targets))
+    return table.withColumn("rate", F.round(rate_at(fit_residuals(table, targets)), 6))
 
 
 def copies(rate: str, *seed: str):
