@@ -22,6 +22,15 @@ def test_held_out(spark, labels, name, column, least):
     assert np.mean([a == b for a, b in held]) >= least
 
 
+@pytest.mark.parametrize("name, column, ones, zeros", [("op4_quality", "quality", 0.98, 0.95), ("op8_toxicity", "toxic", 0.84, 0.98)])
+def test_held_out_classes(spark, name, column, ones, zeros):
+    """Recall of each class at the query's threshold on the larger table, where one class has six rows of seven."""
+    root = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r[column] for r in spark.read.parquet(f"{root}/labels.parquet").collect()}
+    held = [(r.predicted, truth[r.doc_id]) for r in Q.queries()[name](spark, root).where("held_out").collect() if r.doc_id in truth]
+    assert np.mean([a for a, b in held if b == 1]) >= ones and np.mean([1 - a for a, b in held if b == 0]) >= zeros
+
+
 def test_restoring(spark):
     docs = spark.read.parquet(f"{MID}/documents.parquet")
     restore = toxicity.Restorer(toxicity.language_model(toxicity.count_trigrams(docs)))

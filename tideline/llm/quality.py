@@ -34,8 +34,8 @@ BINS = 24
 DECAY, PRIOR_DECAY = 1e-3, 100.0
 #: Cells of a histogram of scores, and the failure probability and slack of the prior's confidence bound.
 CELLS, DELTA, SLACK = 4096, 0.1, 0.01
-#: Score of the median trusted positive.
-SURE = 0.99
+#: Score of the median trusted positive, and of the boundary: the raw score above which a share of the prior of all documents lies.
+SURE, CUT = 0.99, 0.3
 _ZIP = 1 << 16
 
 
@@ -139,12 +139,13 @@ class Model:
     prior: float
     centre: float = 0.0  # the raw score above which a share of `prior` of all documents lies
     slope: float = 0.0
+    cut: float = 0.5  # the score at the centre
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         return self.weights[self.bins.inputs(x)].sum(axis=1) + self.weights[-1]
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.slope * (self.raw(x) - self.centre))
+        return sigmoid(self.slope * (self.raw(x) - self.centre) + np.log(self.cut / (1 - self.cut)))
 
     def span(self) -> tuple[float, float]:
         """The smallest and largest raw score there can be."""
@@ -202,12 +203,12 @@ def all_cells(measured: DataFrame, model: Model) -> np.ndarray:
     return out
 
 
-def fit(measured: DataFrame, labelled: DataFrame) -> Model:
+def fit(measured: DataFrame, labelled: DataFrame, cut: float = CUT) -> Model:
     """Model from the measures (id, x) of all documents and the labelled rows (doc_id, label 0 or 1) that may be learnt from.
 
     Bin edges, moments, prior and the score's centre come from distributed passes over all rows of `measured`. At most POSITIVES
-    positives are read, chosen by the hash of their ids, one row for each id. Rows with a null id or label are left out
-    there; without positives or without texts every score is one half.
+    positives are read, chosen by the hash of their ids, one row for each id. `cut` is the score of the boundary between the
+    classes. Rows with a null id or label are left out there; without positives or without texts every score is one half.
     """
     quantiles = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
     edges = measured.agg(*[F.percentile_approx(F.col("x")[j], quantiles, 10_000).alias(f"q{j}") for j in range(N)]).first()
@@ -227,7 +228,8 @@ def fit(measured: DataFrame, labelled: DataFrame) -> Model:
     above = all_cells(measured, model)[::-1].cumsum()[::-1]
     k = int(np.flatnonzero(above >= prior * above[0])[-1])
     model.centre = low + (high - low) * k / CELLS
-    model.slope = float(np.log(SURE / (1 - SURE)) / max(np.median(raw(model.weights, rows)) - model.centre, 0.05))
+    model.cut, odds = cut, lambda p: np.log(p / (1 - p))
+    model.slope = float((odds(SURE) - odds(cut)) / max(np.median(raw(model.weights, rows)) - model.centre, 0.05))
     return model
 
 
@@ -242,8 +244,9 @@ def score(measured: DataFrame, model: Model) -> DataFrame:
     return measured.select("id", "x").mapInArrow(work, "id long, score double")
 
 
-def judge(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
     """(id, score) for every row of docs, by a model fitted on all of them and on the labelled rows given; each text is read once.
+    A score of `cut` or more is what the model takes for class 1.
     Repeated rows are scored each; other columns are ignored."""
     measured = Stash(docs.sparkSession, "quality").save(measures(docs, id_col, text_col))
-    return score(measured, fit(measured, labelled))
+    return score(measured, fit(measured, labelled, cut))
