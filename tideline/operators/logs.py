@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.types import FLOW_ERROR
 
@@ -32,6 +33,11 @@ def append_log(rows: DataFrame, path: str, partition: str = "yyyymm") -> None:
     rows.write.mode("append").partitionBy(partition).parquet(path)
 
 
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The log's rows by their declared shape: an append without rows leaves no file that a shape could be taken from."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def fatal_statuses(statuses: DataFrame, error: str = "error") -> DataFrame:
     """Status rows that must fail the job: with an error that is not ignorable."""
     ignored = F.lit(False)

@@ -20,7 +20,7 @@ from tideline.plans.catalog import WIDEST, _versions, schema_diff_events
 from tideline.plans.cdc import KEYS, _event_stream, _message_keys, changes, feed, flat
 from tideline.plans.feeds import IMAGE, SQL_A, SQL_B, event_feed, table, tenant_feed
 from tideline.sources.readers import json_file_stream, text_file_stream
-from tideline.types import DOCUMENT
+from tideline.types import DOCUMENT, FLOW_ERROR
 from tideline.streaming.apply import ChangePieces, change_feed, change_stream, replay_from
 
 s = lambda c: F.col(c).cast("string")
@@ -126,8 +126,9 @@ def registry_table(spark, sf_dir):
     """Registry rows in a table partitioned by table name, each key and fingerprint once, written and read again."""
     path = storage.fresh_dir(spark, "registry")
     m = _message_keys(table(spark, sf_dir, "events")).where("event_id % 50 <> 0").select(F.lower("key").alias("key"), (F.col("event_id") % 3).alias("fingerprint"))
-    m.dropDuplicates(["key", "fingerprint"]).withColumn("table_name", table_of("key")).write.partitionBy("table_name").parquet(path)
-    return spark.read.parquet(path).groupBy("table_name").agg(F.count("*").alias("n"), F.countDistinct("key").alias("n_keys"))
+    m = m.dropDuplicates(["key", "fingerprint"]).withColumn("table_name", table_of("key"))
+    m.write.partitionBy("table_name").parquet(path)
+    return spark.read.schema(m.schema).parquet(path).groupBy("table_name").agg(F.count("*").alias("n"), F.countDistinct("key").alias("n_keys"))
 
 
 def overwrite_with_schema(spark, sf_dir):
@@ -157,7 +158,7 @@ def flow_rewrite(spark, sf_dir):
     specs = spark.createDataFrame([(f.flow_id, False, "deploy") for f in flows], "flow_id string, schema_refresh_done boolean, updated_by string")
     log = f"{root}/errors"
     L.append_log(W.refresh_errors(outcomes, "app", F.lit("2024-02-01 00:00:00")), log)
-    logged = spark.read.parquet(log).groupBy("flow_id").agg(F.count("*").alias("n_errors"), F.max(F.col("error_metadata")["condition"]).alias("condition"))
+    logged = L.read_log(spark, log, FLOW_ERROR).groupBy("flow_id").agg(F.count("*").alias("n_errors"), F.max(F.col("error_metadata")["condition"]).alias("condition"))
     held = None
     for f in flows[:4]:
         t = spark.read.parquet(f.path)
@@ -171,8 +172,8 @@ def schema_change_log(spark, sf_dir):
     path = storage.fresh_dir(spark, "ddl-events")
     rows = CT.change_log_rows(schema_diff_events(spark, sf_dir), "app", F.lit("tx1"), F.lit("2024-02-03 04:05:06"))
     L.append_log(rows, path)
-    L.append_log(CT.new_log_rows(rows, spark.read.parquet(path)), path)
-    back = spark.read.schema(CT.DDL_EVENT_LOG).parquet(path)
+    L.append_log(CT.new_log_rows(rows, L.read_log(spark, path, CT.DDL_EVENT_LOG)), path)
+    back = L.read_log(spark, path, CT.DDL_EVENT_LOG)
     event = F.from_json("ddl_event", "flow_id string, column string, event string, status string")
     return back.select(event.alias("e"), "*").groupBy("app", "yyyymm", "transaction_id", "e.event", "e.status").agg(F.count("*").alias("n"), F.countDistinct("notification_id").alias("n_ids"), F.count("error_msg").alias("n_errors"))
 
@@ -208,7 +209,7 @@ def error_log(spark, sf_dir):
     e = table(spark, sf_dir, "events").where("user_id % 5 = 0 AND event_type = 'error'")
     rows = L.error_rows(e, "app", F.concat(F.lit("flow"), s("user_id")), F.lit("schema of an inactive flow"), F.lit(None).cast("string"), F.col("ts"), event=F.col("event_id"))
     L.append_log(rows, path)
-    back = spark.read.parquet(path)
+    back = L.read_log(spark, path, FLOW_ERROR)
     return back.groupBy("flow_id", "yyyymm").agg(F.count("*").alias("n"), F.countDistinct("error_id").alias("n_ids"), F.max(F.col("error_metadata")["event"].cast("long")).alias("last_event"))
 
 
