@@ -29,7 +29,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     doc_id are judged each; rows without a doc_id stay; null texts are empty and copies of each other."""
     found = nearcopies.near_copies(docs).where("kept").select("id", F.col("k").alias("near_key")).distinct()
     keyed = docs.select(*COLUMNS).withColumn("near_key", nearcopies.near_key("doc_id", "text"))
-    kept = keyed.join(found, (F.col("id") == F.col("doc_id").cast("long")) & keyed["near_key"].eqNullSafe(found["near_key"])).select(keyed["near_key"], *COLUMNS)
+    kept = keyed.join(found, (F.col("id") == F.col("doc_id").cast("long")) & (keyed["near_key"] == found["near_key"])).select(keyed["near_key"], *COLUMNS)
     return kept.dropDuplicates(["doc_id", "near_key"]).select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 

@@ -4,10 +4,11 @@ import random
 
 import corpus_pipeline as P
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from test_contracts import components
 
-from tideline.llm import nearcopies, simhash
+from tideline.llm import common, nearcopies, simhash
 
 
 def shingles(text):
@@ -94,3 +95,14 @@ def test_pivot_components():
     links = [(a, b) for a in range(len(fp)) for b in range(a) if np.bitwise_count(fp[a] ^ fp[b]).sum() <= nearcopies.RADIUS and min(size[a], size[b]) >= 0.8 * max(size[a], size[b])]
     want, got = components(range(len(fp)), links), nearcopies.pivot_components(fp, table, size)
     assert all((got[a] == got[b]) == (want[a] == want[b]) for a in range(len(fp)) for b in range(a))
+
+
+def test_only_small_tables_stay(spark, tmp_path, monkeypatch):
+    """Prefixes and shingles are gone when the result is read; the disk holds none of them then."""
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    rng = np.random.default_rng(5)
+    words = [" ".join(f"w{x}" for x in rng.integers(0, 500, 40)) for _ in range(6)]
+    got = nearcopies.near_copies(spark.createDataFrame([(i, words[i % 6] + (" x" if i > 5 else "")) for i in range(12)], "doc_id long, text string"))
+    assert got.select("component_id").distinct().count() == 6
+    held = {c for f in tmp_path.rglob("*.parquet") if f.is_file() for c in pq.read_schema(f).names}
+    assert "id" in held and not held & {"keys", "key", "shingles"}

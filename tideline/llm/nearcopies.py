@@ -142,7 +142,10 @@ def linked_in_buckets(members: DataFrame, facts: DataFrame, label_of: Callable[[
     outside = F.concat(F.transform(F.sequence(F.lit(0), ins - 1), lambda b: F.xxhash64("key", F.lit("in"), own_out, b)), F.transform(F.sequence(F.lit(0), outs - 1), lambda a: F.xxhash64("key", F.lit("out"), F.least(a, own_out), F.greatest(a, own_out))))
     places = F.when(F.col("c") <= BLOCK, F.array("key")).when(F.col("inside"), inside).otherwise(outside)
     second = compare(left.select("s", F.explode(places).alias("key")))
-    return stash.save(connected_components(first.unionByName(second), stash))
+    out = stash.save(connected_components(first.unionByName(second), stash))
+    for done in (chosen, first, group, second):
+        stash.drop(done)
+    return out
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,22 +187,32 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), _listed([s.view(np.int64) for s in shingle_sets(b.column(1).to_pylist())], pa.int64())], ["s", "shingles"])
 
-    found = stash.save(rows.mapInArrow(find, "id long, k long, s long, n long, f1 long, f2 long, p1 long, p2 long, keys array<long>"))
-    facts = stash.save(found.groupBy("s").agg(F.min(F.struct("id", "k")).alias("one"), *[F.first(c).alias(c) for c in ("n", "f1", "f2", "p1", "p2", "keys")]))
-    keyed = facts.select("s", F.explode("keys").alias("key"))
+    # prefixes and shingles are the bulk: each is written once, and gone when the next step has read it
+    wide = stash.save(rows.mapInArrow(find, "id long, k long, s long, n long, f1 long, f2 long, p1 long, p2 long, keys array<long>"))
+    first = stash.save(wide.groupBy("s").agg(F.min(F.struct("id", "k")).alias("one"), *[F.first(c).alias(c) for c in ("n", "f1", "f2", "p1", "p2", "keys")]))
+    found = stash.save(wide.select("id", "k", "s"))
+    stash.drop(wide)
+    keyed = first.select("s", F.explode("keys").alias("key"))
     met = stash.save(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
     keyed = stash.save(keyed.join(met, "key"))
+    facts = stash.save(first.drop("keys"))
+    stash.drop(met), stash.drop(first)
     buckets = keyed.groupBy("key").agg(F.first("c").alias("c"), F.bit_xor("s").alias("x"), F.min("s").alias("y"))
     buckets = stash.save(buckets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))  # of buckets with equal members, one
     members = stash.save(keyed.join(buckets, "key").select("s", "key", "c"))
+    stash.drop(keyed), stash.drop(buckets)
     close = linked_in_buckets(members, facts.select("s", "n", "f1", "f2", "p1", "p2"), _by_fingerprint, stash)
 
     groups = stash.save(close.join(close.groupBy("component").agg(F.count("*").alias("c")), "component").select(F.col("node").alias("s"), F.col("component").alias("key"), "c"))
+    stash.drop(members), stash.drop(close)
     wanted = groups.join(facts, "s").select("s", F.col("one.k").alias("k"))
-    sets = stash.save(rows.select("k", "text").join(wanted, "k").select("s", "text").mapInArrow(again, "s long, shingles array<long>").dropDuplicates(["s"]))
+    texts = rows.select("k", "text").join(wanted, "k").dropDuplicates(["k", "s"])  # where the join has them: shingles are not dealt out
+    sets = stash.save(texts.select("s", "text").mapInArrow(again, "s long, shingles array<long>"))
     linked = linked_in_buckets(groups, sets, _by_set, stash)
+    stash.drop(sets), stash.drop(groups)
 
     named = stash.save(facts.select("s", "one").join(linked, F.col("s") == F.col("node"), "left").select("s", "one", F.coalesce("component", "s").alias("g")))
+    stash.drop(facts), stash.drop(linked)
     named = named.join(named.groupBy("g").agg(F.min("one").alias("kept")), "g").select("s", "kept")
     return found.select("id", "k", "s").join(named, "s").select("id", "k", F.col("kept.id").alias("component_id"), ((F.col("id") == F.col("kept.id")) & (F.col("k") == F.col("kept.k"))).alias("kept"))
 
