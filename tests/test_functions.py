@@ -163,3 +163,29 @@ def test_schema_texts():
     done = evolve.preprocess(node, numeric_as_string=True)
     assert [f["name"] for f in done["fields"]] == ["a", "n", "s"]
     assert [evolve.node_type(f["type"]) for f in done["fields"]] == ["decimal(38,3)", "decimal(38,2)", "struct<b:bigint>"]
+
+
+def test_fingerprints_of_many_forms():
+    """Forms of all lengths at once, a byte of each at a time, against the bit by bit definition."""
+
+    def plain(form):
+        fp = evolve.EMPTY
+        for byte in form:
+            fp ^= byte
+            for _ in range(8):
+                fp = fp >> 1 ^ (evolve.EMPTY if fp & 1 else 0)
+        return fp - (1 << 64) if fp >> 63 else fp
+
+    forms = [b"", b"x", b'"int"', *[bytes(range(n)) for n in (200, 3, 255, 64)], "é".encode(), b"x", b""]
+    assert evolve.fingerprints(forms).tolist() == [plain(f) for f in forms] and evolve.fingerprints([]).tolist() == []
+
+
+def test_registry_row_for_each_schema(spark):
+    """A text under many keys is one parse; each key has its row, and columns in order."""
+    text = '{"type":"record","name":"E","fields":[{"name":"before","type":["null",{"type":"record","name":"R","fields":[{"name":"B","type":"int"},{"name":"A","type":["null","long"]}]}]}]}'
+    other = text.replace('"A"', '"Z"')
+    rows = spark.createDataFrame([(f"k{i % 20}", text) for i in range(40)] + [("o", other), ("n", None), ("w", '{"name":"generic_wrapper"}')], "key string, schema string")
+    got = {r.key: (r.fingerprint, [(c["column"], c["type"]) for c in r.columns]) for r in evolve.registry_schemas(rows).collect()}
+    assert len(got) == 21 and got["o"] == (evolve.fingerprint(other), [("b", "int"), ("z", "bigint")])
+    assert {got[f"k{i}"][0] for i in range(20)} == {evolve.fingerprint(text)} and got["k3"][1] == [("b", "int"), ("a", "bigint")]
+    assert sorted((r.key, r.position, r.column, r.type) for r in evolve.registry_columns(rows.where("key = 'k3'")).collect()) == [("k3", 0, "b", "int"), ("k3", 1, "a", "bigint")]

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -295,14 +298,36 @@ def canonical(node, space: str = "") -> str:
     return f'{{"name":{json.dumps(name)},"type":"{"record" if kind == "error" else kind}"{rest}}}'
 
 
+def _byte_table() -> np.ndarray:
+    """What each value of the lowest byte adds to a fingerprint that is shifted by it."""
+    t = np.arange(256, dtype=np.uint64)
+    for _ in range(8):
+        t = t >> np.uint64(1) ^ np.where(t & np.uint64(1), np.uint64(EMPTY), np.uint64(0))
+    return t
+
+
+_BYTES = _byte_table()
+
+
+def fingerprints(forms: list[bytes]) -> np.ndarray:
+    """Signed 64-bit Rabin fingerprints of some canonical forms, a byte of all forms at a time; the longest come first, so
+    each step works on those that still have a byte."""
+    length = np.array([len(f) for f in forms], np.int64)
+    order = np.argsort(-length, kind="stable")
+    data = np.frombuffer(b"".join(forms), np.uint8)
+    start, fp = (np.cumsum(length) - length)[order], np.full(len(forms), EMPTY, np.uint64)
+    there = np.searchsorted(-length[order], -np.arange(length.max(initial=0)), side="left")  # forms longer than i
+    for i, n in enumerate(there.tolist()):
+        low = (fp[:n] & np.uint64(255)).astype(np.uint8) ^ data[start[:n] + i]
+        fp[:n] = fp[:n] >> np.uint64(8) ^ _BYTES[low]
+    out = np.empty(len(forms), np.uint64)
+    out[order] = fp
+    return out.view(np.int64)
+
+
 def fingerprint(schema: str) -> int:
     """64-bit Rabin fingerprint of a schema text's parsing canonical form, as a signed number."""
-    fp = EMPTY
-    for byte in canonical(json.loads(schema)).encode():
-        fp ^= byte
-        for _ in range(8):
-            fp = fp >> 1 ^ (EMPTY if fp & 1 else 0)
-    return fp - (1 << 64) if fp >> 63 else fp
+    return int(fingerprints([canonical(json.loads(schema)).encode()])[0])
 
 
 def preprocess(node, preserve_case: bool = False, numeric_as_string: bool = False):
@@ -342,24 +367,42 @@ def node_type(node) -> str:
 
 
 REGISTRY = "key string, fingerprint long, position int, column string, type string"
+#: Distinct texts of a task whose parsed rows are held, so that a text that comes again is not parsed again.
+HELD = 1000
 
 
-def registry_columns(schemas: DataFrame, numeric_as_string: bool = False) -> DataFrame:
-    """Column rows (REGISTRY) of the `before` image in distinct schema texts (key, schema); wrapper schemas are left out."""
+def _parse(text: str, numeric_as_string: bool) -> tuple[bytes, list[dict]]:
+    """Canonical form of a schema text and the columns of its `before` image."""
+    schema = json.loads(text)
+    node = preprocess(schema, numeric_as_string=numeric_as_string)
+    image = next((f["type"] for f in node["fields"] if f["name"] == "before"), node)
+    image = next((n for n in image if isinstance(n, dict)), None) if isinstance(image, list) else image
+    columns = [{"column": f["name"], "type": node_type(f["type"])} for f in image["fields"]]
+    return canonical(schema).encode(), columns
+
+
+def registry_schemas(schemas: DataFrame, numeric_as_string: bool = False) -> DataFrame:
+    """(key, fingerprint, columns array<struct<column, type>>) of distinct schema texts (key, schema), a row for each of them;
+    wrapper schemas are left out."""
     rows = schemas.where(~F.col("schema").like("%generic_wrapper%")).select("key", "schema").distinct()
+    shape = pa.list_(pa.struct([("column", pa.string()), ("type", pa.string())]))
 
-    def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in REGISTRY.split(", ")]
-        for part in parts:
-            out = []
-            for key, text in zip(part.key, part.schema):
-                node = preprocess(json.loads(text), numeric_as_string=numeric_as_string)
-                image = next((f["type"] for f in node["fields"] if f["name"] == "before"), node)
-                image = next((n for n in image if isinstance(n, dict)), None) if isinstance(image, list) else image
-                out += [(key, fingerprint(text), i, f["name"], node_type(f["type"])) for i, f in enumerate(image["fields"])]
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.mapInPandas(parse, REGISTRY)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsed = lru_cache(HELD)(_parse)
+        for b in batches:
+            texts = b.column(1).dictionary_encode()
+            found = [parsed(t, numeric_as_string) for t in texts.dictionary.to_pylist()]
+            prints = pa.array(fingerprints([f for f, _ in found]))
+            columns = pa.array([c for _, c in found], shape)
+            yield pa.RecordBatch.from_arrays([b.column(0), prints.take(texts.indices), columns.take(texts.indices)], ["key", "fingerprint", "columns"])
+
+    return rows.mapInArrow(parse, "key string, fingerprint long, columns array<struct<column:string,type:string>>")
+
+
+def registry_columns(schemas: DataFrame, numeric_as_string: bool = False) -> DataFrame:
+    """Column rows (REGISTRY) of the `before` image in distinct schema texts (key, schema); wrapper schemas are left out."""
+    rows = registry_schemas(schemas, numeric_as_string).select("key", "fingerprint", F.posexplode("columns").alias("position", "c"))
+    return rows.select("key", "fingerprint", "position", "c.column", "c.type")
 
 
 def onboard(seen: DataFrame, specs: DataFrame, keys: list[str], new_id: Column) -> DataFrame:

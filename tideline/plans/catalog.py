@@ -247,8 +247,11 @@ def _schema_texts(spark, sf_dir):
     """Each order's lines make a schema text."""
     li = _lines(spark, sf_dir)
     kinds = F.array(*[F.lit(k) for k in ("int", "long", "double", "string", "bytes")])
-    field = F.to_json(F.struct(F.concat(F.lit("C"), s("l_linenumber")).alias("name"), F.array(F.lit("null"), F.element_at(kinds, (F.col("l_partkey") % 5 + 1).cast("int"))).alias("type")))
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.min_by(field, F.struct("l_partkey", "l_suppkey")).alias("f"))
+    # of a line given several times, the smallest part's: its number alone is kept until then, and the text made of it
+    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+    kind = F.coalesce(F.get(kinds, (F.col("part") % 5).cast("int")), F.lit("bytes"))
+    field = F.to_json(F.struct(F.concat(F.lit("C"), s("l_linenumber")).alias("name"), F.array(F.lit("null"), kind).alias("type")))
+    one = one.select("l_orderkey", "l_linenumber", field.alias("f"))
     g = one.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "f"))), lambda x: x["f"]), ",").alias("fs"))
     image = F.concat(F.lit('{"type":"record","name":"Row","doc":"an image", "fields":['), F.col("fs"), F.lit("]}"))
     return g.select(s("l_orderkey").alias("key"), F.concat(F.lit('{"type":"record","name":"E","namespace":"a.b","fields":[{"name":"op","type":"string"},{"default":null, "name":"before","type":["null",'), image, F.lit("]}]}")).alias("schema"))
@@ -261,7 +264,7 @@ def schema_registry(spark, sf_dir):
 
 def schema_fingerprint(spark, sf_dir):
     """64-bit fingerprints of the schema texts' parsing canonical form, with the texts and their white space as they are."""
-    return E.registry_columns(_schema_texts(spark, sf_dir)).select("key", "fingerprint").distinct()
+    return E.registry_schemas(_schema_texts(spark, sf_dir)).where("size(columns) > 0").select("key", "fingerprint").distinct()
 
 
 def schema_registry_numbers(spark, sf_dir):
