@@ -350,3 +350,16 @@ def test_one_key_is_cut_into_segments(spark):
     assert len(sizes) >= 12 and max(sizes) < 3 * 200_000 / 16
     got = C.carry_forward(df, ["k"], "seq", ["lob"], segments=16).groupBy("lob").agg(F.count("*").alias("n")).collect()
     assert {r.lob: r.n for r in got} == {None: 7, "7": 50_000, "50007": 50_000, "100007": 50_000, "150007": 49_993}
+
+
+def test_a_week_of_many_files_is_one_batch(spark, sf, tmp_path, monkeypatch):
+    """Each batch is a week, whatever the number of its files, so values are carried in order and all cores read them."""
+    monkeypatch.setattr(storage, "fresh_dir", lambda spark, name, n=iter(range(99)): str(tmp_path / f"{name}-{next(n)}"))
+    whole = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(whole, "false")
+    try:
+        n = cdc.stream_carry_forward(spark, sf).count()
+    finally:
+        spark.conf.unset(whole)
+    (root,) = [p for p in tmp_path.glob("stream-carry*")]
+    assert n and len(list(root.glob("events/*.parquet"))) > 3 and len(list(root.glob("table/changes/commit=*"))) == 3

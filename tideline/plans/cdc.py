@@ -151,12 +151,12 @@ def stream_carry_forward(spark, sf_dir):
     root = storage.fresh_dir(spark, "stream-carry")
     events = table(spark, sf_dir, "events")
     week = F.when(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"), 0).when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), 1).otherwise(2)
-    for part in range(3):  # files in order of time, one a batch
-        events.where(week == part).coalesce(1).write.mode("append").parquet(f"{root}/events")
-    c = changes(event_feed(table_stream(spark, f"{root}/events", events.schema, {"maxFilesPerTrigger": "1"})))
-    c = c.withColumn("note", F.when(F.col("note") != "unchanged-toast-datum", F.col("note")))
     target = ChangePieces(spark, f"{root}/table", KEYS, "__cdc_sequencer")
-    start_apply(c, target, f"{root}/checkpoint", carry=["note"], reset=F.col("op_type") == "D", compact_after=2).awaitTermination()
+    for part in range(3):  # a week's files, however many, are the next run's one batch
+        events.where(week == part).repartition("event_id").write.mode("append").parquet(f"{root}/events")
+        c = changes(event_feed(table_stream(spark, f"{root}/events", events.schema, {"maxFilesPerTrigger": str(2**31 - 1)})))
+        c = c.withColumn("note", F.when(F.col("note") != "unchanged-toast-datum", F.col("note")))
+        start_apply(c, target, f"{root}/checkpoint", carry=["note"], reset=F.col("op_type") == "D", compact_after=2).awaitTermination()
     return flat(C.current_state(target.read()))
 
 
