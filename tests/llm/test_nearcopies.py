@@ -1,11 +1,13 @@
 """The pipeline's near-duplicate stage against exact Jaccard similarity of all pairs."""
 
 import random
+import time
 
 import corpus_pipeline as P
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from test_contracts import components
 
 from tideline.llm import common, nearcopies, simhash
@@ -106,3 +108,64 @@ def test_only_small_tables_stay(spark, tmp_path, monkeypatch):
     assert got.select("component_id").distinct().count() == 6
     held = {c for f in tmp_path.rglob("*.parquet") if f.is_file() for c in pq.read_schema(f).names}
     assert "id" in held and not held & {"keys", "key", "shingles"}
+
+
+def test_texts_that_only_meet_are_not_grouped(spark, monkeypatch):
+    """Texts that share a few shingles, short or long, are told apart where they meet: no text is read again but for near copies."""
+    asked, real = [], nearcopies.linked_in_buckets
+    monkeypatch.setattr(nearcopies, "COMMON", 0)  # the sample knows no common shingle, as with rare ones of a large table
+    monkeypatch.setattr(nearcopies, "linked_in_buckets", lambda members, *a: asked.append(members.select("s").distinct().count()) or real(members, *a))
+    r = random.Random(9)
+    line = [f"l{k}" for k in range(20)]
+    rows = [" ".join([*line, *[f"w{r.randrange(10**6)}" for _ in range(n)]]) for n in [30] * 40 + [50] * 40 + [150] * 120]
+    rows += [rows[0] + " x", rows[199] + " y"]
+    got = nearcopies.near_copies(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)).collect()
+    assert {x.id: x.component_id for x in got} == {k: {200: 0, 201: 199}.get(k, k) for k in range(202)}
+    assert asked[0] > 100 and asked[1] == 4
+
+
+def test_unrelated_fingerprints_are_apart():
+    r = np.random.default_rng(8)
+    fp = np.array([nearcopies.fingerprint(np.sort(r.integers(0, 1 << 63, 100, dtype=np.uint64))) for _ in range(400)])
+    near = [int((np.bitwise_count(fp[k + 1 :] ^ fp[k]).sum(axis=1) <= nearcopies.RADIUS).sum()) for k in range(400)]
+    assert sum(near) == 0
+
+
+def test_few_shingles_are_compared_exactly():
+    """Components of short and longer sets against all pairs, where fingerprints decide only between the longer ones."""
+    r = np.random.default_rng(10)
+    sets = []
+    for n in (1, 3, 20, 51, 62, 63, 64, 70, 78, 79, 80, 90):
+        base = r.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        sets += [np.unique(base[k : k + n]) for k in range(0, n, max(1, n // 12))] + [np.unique(base[: n + n // 5])]
+    size = np.array([len(s) for s in sets])
+    few = [s if len(s) < nearcopies.FEW / nearcopies.SIMILARITY else s[:0] for s in sets]
+    fp = np.array([nearcopies.fingerprint(s) for s in sets])
+    links = []
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            exact = both >= 0.8 * (size[a] + size[b] - both) - 1e-9
+            bits = min(size[a], size[b]) >= 0.8 * max(size[a], size[b]) - 1e-9 and np.bitwise_count(fp[a] ^ fp[b]).sum() <= nearcopies.RADIUS
+            if exact if min(size[a], size[b]) < nearcopies.FEW else bits:
+                links.append((a, b))
+    want, got = components(range(len(sets)), links), nearcopies.pivot_components(fp, simhash.pivot_table(fp).astype(np.int16), size, few)
+    assert all((got[a] == got[b]) == (want[a] == want[b]) for a in range(len(sets)) for b in range(a))
+    assert 12 < len(set(want.values())) < len(sets)
+
+
+def test_saving_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    stash, disk = common.Stash(spark, "shuffles"), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+    set_before, before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"), shuffles()
+    held = [spark.range(1000).repartition(3, "id").groupBy((F.col("id") + k).alias("x")).count() for k in range(3)]
+    saved = [stash.save(d) for d in held]
+    until = time.time() + 20
+    while time.time() < until and shuffles() - before:
+        time.sleep(0.2)
+    assert not {x for x in shuffles() - before if x.endswith(".data")} and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == set_before
+    assert all(d.count() == 1000 for d in (*saved, *held))

@@ -18,6 +18,8 @@ from tideline.storage import shared_dir
 #: Rows of an Arrow batch in the text operators: long texts must not add up in one batch.
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
+#: Shuffle files go with the query that made them, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +54,12 @@ class Stash:
         self.n += 1
         path = f"{self.root}/{self.n}"
         writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stash_path = path
         return out

@@ -7,10 +7,11 @@
   lost where sets meet at the shingles of their first fifth. The order puts shingles that are common in a sample last; the
   sample changes the work and never the result;
 * of the sets that meet, pairs are discarded by sizes, by the pivot table (largest difference of the Hamming distances to the
-  reference fingerprints, computed once for each set) and by the distance of the 128-bit fingerprints. RADIUS lies seven
-  standard deviations above the distance expected at similarity 0.8; sets of fewer than FEW shingles, whose distances
-  scatter more, are not discarded;
-* survivors form groups, whose texts are read once more and verified exactly.
+  reference fingerprints, computed once for each set) and by the distance of the 256-bit fingerprints. RADIUS lies seven
+  standard deviations above the distance expected at similarity 0.8, and six below that of unrelated sets; sets of fewer than
+  FEW shingles, whose distances scatter more, carry their shingles along and are compared exactly;
+* survivors form groups, whose texts are read once more and verified exactly. As hardly any unrelated sets pass, groups
+  stay as small as the near copies are, whatever the number of texts that meet.
 
 No step makes all pairs of a group: buckets are compared against one member first, and then only where groups meet.
 """
@@ -32,8 +33,10 @@ from tideline.llm.simhash import PIVOTS, majority_bits, pivot_table
 
 #: Texts whose shingles are counted for the order, and shingles that go last.
 SAMPLE, COMMON = 10_000, 1 << 16
-#: Bits at which 128-bit fingerprints may differ, and shingles below which they decide nothing.
-RADIUS, FEW = 48, 64
+#: Words of a fingerprint, bits at which two may differ, and shingles below which they decide nothing.
+BITS, RADIUS, FEW = ("f1", "f2", "f3", "f4"), 80, 64
+#: What a set is compared by: size, fingerprint, pivot table, and the shingles if there are few.
+FACTS = ("n", *BITS, "p1", "p2", "few")
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -48,8 +51,8 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def fingerprint(s: np.ndarray) -> np.ndarray:
-    """128-bit SimHash (two words) of a set of hashes."""
-    return np.array([majority_bits(s), majority_bits(mix(s * np.uint64(0x9FB21C651E98DF25) + np.uint64(1)))], np.uint64)
+    """256-bit SimHash (four words) of a set of hashes."""
+    return np.array([majority_bits(mix(s * np.uint64(0x9FB21C651E98DF25) + np.uint64(k)) if k else s) for k in range(len(BITS))], np.uint64)
 
 
 def prefix(s: np.ndarray, common: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -61,9 +64,17 @@ def prefix(s: np.ndarray, common: np.ndarray, count: np.ndarray) -> np.ndarray:
     return s[: n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1]
 
 
-def pivot_components(fp: np.ndarray, table: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Component label (an index) of each fingerprint; as in jaccard_components each step compares one with all others."""
+def pivot_components(fp: np.ndarray, table: np.ndarray, size: np.ndarray, few: list[np.ndarray] | None = None) -> np.ndarray:
+    """Component label (an index) of each fingerprint; as in jaccard_components each step compares one with all others.
+
+    few: the sorted shingles of the sets of fewer than FEW / SIMILARITY, by which pairs with one of fewer than FEW are
+    compared exactly; without them these pairs link by their sizes alone.
+    """
     n = len(size)
+    if few is not None:
+        flat, owner = np.concatenate([np.zeros(0, np.uint64), *few]), np.repeat(np.arange(n), [len(x) for x in few])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
     label, done = np.arange(n), np.zeros(n, bool)
     while True:
         largest = np.bincount(label, minlength=n).argmax()
@@ -72,11 +83,16 @@ def pivot_components(fp: np.ndarray, table: np.ndarray, size: np.ndarray) -> np.
             return label
         p = int(open_[0])
         near = np.flatnonzero((size >= SIMILARITY * size[p] - 1e-9) & (size[p] >= SIMILARITY * size - 1e-9))
-        if size[p] >= FEW / SIMILARITY:
-            few = size[near] < FEW
-            near = near[few | (np.abs(table[near] - table[p]).max(axis=1) <= RADIUS)]
-            near = near[(size[near] < FEW) | (np.bitwise_count(fp[near] ^ fp[p]).sum(axis=1) <= RADIUS)]
-        touched = np.unique(label[near])
+        small = np.minimum(size[near], size[p]) < FEW
+        short, near = near[small], near[~small]
+        if few is not None and len(short):
+            lo, hi = np.searchsorted(flat, few[p], "left"), np.searchsorted(flat, few[p], "right")
+            spread = np.repeat(lo - np.concatenate(([0], np.cumsum(hi - lo)[:-1])), hi - lo) + np.arange((hi - lo).sum())
+            both = np.bincount(owner[spread], minlength=n)[short]
+            short = short[both >= SIMILARITY * (size[short] + size[p] - both) - 1e-9]
+        near = near[np.abs(table[near] - table[p]).max(axis=1) <= RADIUS]
+        near = near[np.bitwise_count(fp[near] ^ fp[p]).sum(axis=1) <= RADIUS]
+        touched = np.unique(label[np.concatenate((short, near))])
         label[np.isin(label, touched)] = touched[0]
         done[p] = True
 
@@ -98,13 +114,17 @@ def _links(label_of: Callable[[pa.Table], np.ndarray]) -> Callable:
 
 
 def _by_fingerprint(t: pa.Table) -> np.ndarray:
-    fp = np.stack([t.column(c).to_numpy() for c in ("f1", "f2")], axis=1).view(np.uint64)
+    fp = np.ascontiguousarray(np.stack([t.column(c).to_numpy() for c in BITS], axis=1)).view(np.uint64)
     table = np.ascontiguousarray(np.stack([t.column(c).to_numpy() for c in ("p1", "p2")], axis=1)).view(np.uint8).astype(np.int16)
-    return pivot_components(fp, table, t.column("n").to_numpy())
+    return pivot_components(fp, table, t.column("n").to_numpy(), _sets(t.column("few")))
+
+
+def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [x.values.to_numpy().view(np.uint64) for x in column.combine_chunks()]
 
 
 def _by_set(t: pa.Table) -> np.ndarray:
-    return jaccard_components([x.values.to_numpy().view(np.uint64) for x in t.column("shingles").combine_chunks()])
+    return jaccard_components(_sets(t.column("shingles")))
 
 
 def _block(n: Column) -> tuple[Column, Column]:
@@ -177,19 +197,20 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for b in batches:
             sets = shingle_sets(b.column(2).to_pylist())
             names = np.array([xxhash.xxh64_intdigest(s.tobytes(), 8) for s in sets], np.uint64).view(np.int64)
-            fp = np.array([fingerprint(s) for s in sets], np.uint64).reshape(-1, 2)
+            fp = np.array([fingerprint(s) for s in sets], np.uint64).reshape(-1, len(BITS))
             table = np.ascontiguousarray(pivot_table(fp)).view(np.int64)  # a byte for each reference
             keys = [prefix(s, *lookup.value).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
             facts = [pa.array(c) for c in (names, np.array([len(s) for s in sets], np.int64), *fp.view(np.int64).T, *table.T)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *facts, _listed(keys, pa.int64())], ["id", "k", "s", "n", "f1", "f2", "p1", "p2", "keys"])
+            few = [s.view(np.int64) if len(s) < FEW / SIMILARITY else np.zeros(0, np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *facts, _listed(few, pa.int64()), _listed(keys, pa.int64())], ["id", "k", "s", *FACTS, "keys"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), _listed([s.view(np.int64) for s in shingle_sets(b.column(1).to_pylist())], pa.int64())], ["s", "shingles"])
 
     # prefixes and shingles are the bulk: each is written once, and gone when the next step has read it
-    wide = stash.save(rows.mapInArrow(find, "id long, k long, s long, n long, f1 long, f2 long, p1 long, p2 long, keys array<long>"))
-    first = stash.save(wide.groupBy("s").agg(F.min(F.struct("id", "k")).alias("one"), *[F.first(c).alias(c) for c in ("n", "f1", "f2", "p1", "p2", "keys")]))
+    wide = stash.save(rows.mapInArrow(find, f"id long, k long, s long, n long, {', '.join(f'{c} long' for c in BITS)}, p1 long, p2 long, few array<long>, keys array<long>"))
+    first = stash.save(wide.groupBy("s").agg(F.min(F.struct("id", "k")).alias("one"), *[F.first(c).alias(c) for c in (*FACTS, "keys")]))
     found = stash.save(wide.select("id", "k", "s"))
     stash.drop(wide)
     keyed = first.select("s", F.explode("keys").alias("key"))
@@ -201,7 +222,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     buckets = stash.save(buckets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))  # of buckets with equal members, one
     members = stash.save(keyed.join(buckets, "key").select("s", "key", "c"))
     stash.drop(keyed), stash.drop(buckets)
-    close = linked_in_buckets(members, facts.select("s", "n", "f1", "f2", "p1", "p2"), _by_fingerprint, stash)
+    close = linked_in_buckets(members, facts.select("s", *FACTS), _by_fingerprint, stash)
 
     groups = stash.save(close.join(close.groupBy("component").agg(F.count("*").alias("c")), "component").select(F.col("node").alias("s"), F.col("component").alias("key"), "c"))
     stash.drop(members), stash.drop(close)

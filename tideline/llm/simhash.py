@@ -78,7 +78,7 @@ def pivot_table(fp: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     """Hamming distances, a byte each, of fingerprints (rows of 64-bit words) to each reference fingerprint."""
     out = np.zeros((len(fp), n), np.uint8)
     for k, p in enumerate(pivots(n, fp.shape[1])):
-        out[:, k] = np.bitwise_count(fp ^ p).sum(axis=1)
+        out[:, k] = np.minimum(np.bitwise_count(fp ^ p).sum(axis=1), 255)  # differences can only shrink
     return out
 
 
