@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.llm import common
 from tideline.llm import langid as G
 from tideline.llm import queries as Q
 
@@ -72,6 +73,18 @@ def test_small_against_dictionaries(spark, tier):
     assert sorted(((r.id is None, r.id or 0), r.lang_pred, round(r.score, 9)) for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("tier", [3, 0])
+def test_no_table_of_words_is_broadcast(spark, monkeypatch, tier):
+    """However small its files: only the numbers of the languages go through the driver."""
+    plans, real = [], common.Stash.save
+    monkeypatch.setattr(common.Stash, "save", lambda self, df, *a: plans.append(df) or real(self, df, *a))
+    rows = [(i, f"known{chr(97 + i // 10)}{chr(97 + i % 10)} words in place of others", "en" if i % 2 else "de", i < 30) for i in range(40)]
+    plans.append(G.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, learn boolean"), F.col("learn"), tier=tier))
+    plans = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    joins, sent = sum(p.count("Join") for p in plans), sum(p.count("BroadcastExchange") for p in plans)
+    assert joins > 6 and sent == sum(p.count("BroadcastHashJoin") for p in plans) == 2  # to words, and to words for their n-grams
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "some words", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert [tuple(r) for r in G.identify(df, F.lit(True)).collect()] == [(1, "und", 0.0), (2, "und", 0.0)]
